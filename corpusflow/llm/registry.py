@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from corpusflow.llm.line_dedup import OP1_SQL, op1_line_dedup
+from corpusflow.llm.pii import op3_pii
+from corpusflow.llm.quality import op4_quality
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_pii": op3_pii,
+    "op4_quality": op4_quality,
 }
 ORACLES = {
     "op1_line_dedup": OP1_SQL,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from corpusflow.llm.line_dedup import OP1_SQL, op1_line_dedup
+from corpusflow.llm.ngram_join import OP7_SQL, op7_ngram_jaccard
+from corpusflow.llm.packing import op10_packing
 from corpusflow.llm.pii import op3_pii
 from corpusflow.llm.quality import op4_quality
 
@@ -10,7 +12,10 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_pii": op3_pii,
     "op4_quality": op4_quality,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op10_packing": op10_packing,
 }
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
+    "op7_ngram_jaccard": OP7_SQL,
 }

@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+from corpusflow.llm.cover_tree import OP2_SQL, op2_near_embeddings
 from corpusflow.llm.line_dedup import OP1_SQL, op1_line_dedup
 from corpusflow.llm.ngram_join import OP7_SQL, op7_ngram_jaccard
 from corpusflow.llm.packing import op10_packing
+from corpusflow.llm.permutation_index import op8_nearest
 from corpusflow.llm.pii import op3_pii
 from corpusflow.llm.quality import op4_quality
 
+from corpusflow.llm.warc import OP9_SQL, op9_warc
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_near_embeddings": op2_near_embeddings,
     "op3_pii": op3_pii,
     "op4_quality": op4_quality,
     "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op8_nearest": op8_nearest,
+    "op9_warc": op9_warc,
     "op10_packing": op10_packing,
 }
 ORACLES = {
     "op1_line_dedup": OP1_SQL,
+    "op2_near_embeddings": OP2_SQL,
     "op7_ngram_jaccard": OP7_SQL,
+    "op9_warc": OP9_SQL,
 }

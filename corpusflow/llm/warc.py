@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, StringContains, StringStartsWith, WriterCommitMessage
 
-from corpusflow.llm.common import new_path, ship
+from corpusflow.llm.common import materialize, new_path, ship
 
 NAMESPACE = 0x6C1F0A4E5D2B4C3A << 64
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -307,7 +307,8 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     raw = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), raw.alias("payload"), F.sha1(raw).alias("sha1"), F.octet_length(raw).cast("long").alias("payload_bytes"))
     kept = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("sha1", "payload_bytes").agg(F.max("page_id").alias("top"), F.count("*").alias("n"))
-    kept = kept.where("n > 1").select("sha1", "payload_bytes", "top")
+    # Written first, so that Spark knows its size: a small table is broadcast and payloads are not shuffled.
+    kept = materialize(kept.where("n > 1").select("sha1", "payload_bytes", "top"), "repeated-payloads")
     again = F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top"))
     rows = rows.join(kept, ["sha1", "payload_bytes"], "left").withColumn("record_type", F.when(again, "revisit").otherwise("response"))
     return rows.select("page_id", "url", F.when(~again | again.isNull(), F.col("payload")).alias("payload"), "sha1", "record_type", F.when(again, F.col("top")).alias("refers_to"), "payload_bytes")

@@ -3,11 +3,9 @@ Arrow plumbing, hashing and distributed connected components."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,16 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_LOCAL_DIR: list[str] = []
-
-
-def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+from corpusflow.session import ship
 
-    On a cluster the package is installed or passed with --py-files as well."""
-    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-    if root not in (paths := [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]):
-        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+_LOCAL_DIR: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,18 +40,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
 
 
 def release(*tables: DataFrame) -> None:
     """Delete tables that materialize() made and that nothing reads any more."""
     for df in tables:
-        spark = df.sparkSession
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        parents = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-        for parent in parents:
-            path = jvm.org.apache.hadoop.fs.Path(parent)
-            path.getFileSystem(conf).delete(path, True)
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def bounded(ids: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """ids, a narrow written table, marked for a broadcast if it has at most `most` rows (some
+    20 MB), for a merge join beyond that."""
+    return F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids.hint("shuffle_merge")
 
 
 def without(df: DataFrame, names: list[str]) -> DataFrame:

@@ -3,19 +3,22 @@
 A document's set holds the 64-bit hashes of its distinct word n-grams. Two sets
 of sizes up to r with Jaccard similarity of at least a/b differ in at most
 k = 2r(b-a)/(b+a) elements. For each band of sizes the hash domain is cut
-into n1 groups of three parts; if k < 2 * n1, some group differs in at most one element, so two of its
-three parts are equal, and the sums over these two parts are a common signature.
+into n1 groups of PARTS parts; if k < 2 * n1, some group differs in at most one element, so all
+its parts but one are equal, and each subset of PARTS - 1 parts is a signature.
 
 Groups in which a set has few elements make weak signatures that many sets
 share. A set whose strong groups alone number more than k / 2 emits these only: if a
 partner differed by two elements in each of them, it would differ by more than k, so some strong
 group still matches. Other sets emit all groups. No pair is lost either way.
 
-Sets that share a signature are candidates. What decides is the exact
-comparison of their whole sets; only sets that no link has brought into one component yet are
-compared, against a bounded number of pivots of a signature at a time, in as
-many rounds as it takes. So no signature's sets are ever paired all with all,
-and the components are those of all links.
+Sets that share a signature are candidates. Signatures with the same members count once.
+Within a signature a parity sketch (bit h mod B flipped for every element h) bounds the difference
+of two sets from below, so it only drops pairs that cannot link. Pairs are first
+drawn as a forest of what the sketches let pass, then, between sets that the links
+found have not brought into one component, all that pass. What decides is the exact
+comparison of whole sets. A signature's sets are compared with a bounded number of
+pivots at a time, in as many rounds as it takes; so the components are those
+of all links, and no signature's sets are paired all with all.
 """
 
 from __future__ import annotations
@@ -23,7 +26,6 @@ from __future__ import annotations
 from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +33,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import components, materialize, release, ship, splitmix, text_bytes, without
+from corpusflow.llm.common import bounded, components, materialize, release, ship, splitmix, text_bytes, without
 
-WORD_CACHE = 500_000
+WORD_CACHE = 100_000
 BAND = 1.25
 MARGIN = 1.15
-PIVOTS = 32
+PARTS = 2
+PIVOTS = 512
+MEMBERS = 4096
+SLICE = 512
 
 
 class _WordHash(dict):
@@ -79,8 +84,8 @@ class Band:
 
     @property
     def weak(self) -> int:
-        """A group is strong if any two of its parts hold this many elements together."""
-        return max(1, int(0.9 * self.most / self.groups * 2 / 3 / 2.5))
+        """A group is strong if all but its largest part hold this many elements together."""
+        return max(1, int(0.9 * self.most / self.groups * (PARTS - 1) / PARTS / 2))
 
 
 class Bands:
@@ -115,38 +120,78 @@ def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
     g, out = splitmix(s ^ np.uint64(0xA0761D6478BD642F)), []
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(g, dtype=np.uint64)])
     for band in bands.of(len(s)):
-        n = 3 * band.groups
+        n = PARTS * band.groups
         edges = (np.arange(1, n, dtype=np.float64) * (2.0**64 / n)).astype(np.uint64)
         at = np.concatenate([[0], np.searchsorted(s, edges), [len(s)]])
-        sums, sizes = np.diff(total[at]).reshape(-1, 3), np.diff(at).reshape(-1, 3)
+        sums, sizes = np.diff(total[at]).reshape(-1, PARTS), np.diff(at).reshape(-1, PARTS)
         strong = sizes.sum(1) - sizes.max(1) >= band.weak
         if 2 * strong.sum() <= band.k:
             strong[:] = True
         sums, group = sums[strong], np.nonzero(strong)[0].astype(np.uint64)
-        for a, b in ((0, 1), (0, 2), (1, 2)):
-            tag = splitmix(group * np.uint64(3) + np.uint64(a + b - 1 + (band.tag << 40)))
-            out.append(splitmix((sums[:, a] + sums[:, b]) ^ tag))
+        whole = sums.sum(1, dtype=np.uint64)
+        for part in range(PARTS):  # the subset of all parts but this one
+            tag = splitmix(group * np.uint64(PARTS) + np.uint64(part + (band.tag << 40)))
+            out.append(splitmix((whole - sums[:, part]) ^ tag))
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
+def sketch(s: np.ndarray, k: int) -> bytes:
+    """Parities of the elements' counts in B places, B a power of two of about 8 k.
+    Half of it xor the other half is the sketch for B / 2."""
+    bits = max(64, 1 << (8 * k - 1).bit_length())
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """A row of uint64 words for each sketch, all of the shortest's length."""
+    least = min(map(len, sketches))
+    out = np.empty((len(sketches), least // 8), np.uint64)
+    for i, raw in enumerate(sketches):
+        words = np.frombuffer(raw, "<u8")
+        while len(words) > out.shape[1]:
+            words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+        out[i] = words
+    return out
+
+
 def _sets(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2, sigs): s1 and s2 are a 128-bit hash of the whole set."""
+    """(doc_id, n_shingles, s1, s2, sketch): s1 and s2 are a 128-bit hash of the whole set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                some = batch.slice(at, SLICE)
+                sizes, whole, sketches = [], [], []
+                for text in text_bytes(some.column(1)):
+                    s = shingles(text, n)
+                    sizes.append(len(s))
+                    whole.append(xxhash.xxh3_128_digest(s.tobytes()))
+                    sketches.append(sketch(s, 2 * len(s) * (den - num) // (den + num)))
+                both = np.frombuffer(b"".join(whole), "<i8").reshape(-1, 2)
+                columns = [some.column(0), pa.array(sizes, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(sketches, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "s1", "s2", "sketch"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, sketch binary")
+
+
+def _signed(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(sig, s1): every signature of every set. They go straight into the shuffle: computing sets a
+    second time costs less than writing all signatures to disk besides."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(num, den)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
-                sets = [shingles(t, n) for t in text_bytes(some.column(1))]
-                sigs = [signatures(s, bands) for s in sets]
-                whole = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), "<i8").reshape(-1, 2)
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in sigs])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(whole[:, 0]), pa.array(whole[:, 1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sigs)))],
-                    ["doc_id", "n_shingles", "s1", "s2", "sigs"],
-                )
+            for at in range(0, batch.num_rows, SLICE):
+                sigs, sets = [], []
+                for text in text_bytes(batch.column(0).slice(at, SLICE)):
+                    s = shingles(text, n)
+                    sigs.append(signatures(s, bands))
+                    s1 = int.from_bytes(xxhash.xxh3_128_digest(s.tobytes())[:8], "little", signed=True)
+                    sets.append(np.full(len(sigs[-1]), s1, np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs)), pa.array(np.concatenate(sets))], ["sig", "s1"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, sigs array<long>")
+    return docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(run, "sig long, s1 long")
 
 
 def _runs(key: np.ndarray) -> np.ndarray:
@@ -155,61 +200,125 @@ def _runs(key: np.ndarray) -> np.ndarray:
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """(sig, doc_id): the rows whose signature has at least two rows. Rows come sorted
-    by signature and are streamed; of the rows gone by only the last is held."""
+    """(key, s1): the distinct sets of every signature that has several. Up to
+    MEMBERS sets the key is a hash of the members, so signatures with the same
+    members have one key; beyond, it is the signature. Rows come sorted by signature
+    and set and are streamed; MEMBERS rows are held at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row, and whether it was given out
+        at, held, large, done = None, [], False, OrderedDict()
+        keys: list[np.ndarray] = []
+        sets: list[np.ndarray] = []
+
+        def give(key: int, members: np.ndarray) -> None:
+            keys.append(np.full(len(members), key, np.int64))
+            sets.append(members)
+
+        def close() -> None:
+            members = np.concatenate(held) if held else np.zeros(0, np.int64)
+            if large:
+                give(at, members)
+            elif len(members) > 1:
+                key = int.from_bytes(xxhash.xxh3_64_digest(members.tobytes()), "little", signed=True)
+                if key not in done:
+                    done[key] = None
+                    if len(done) > 100_000:
+                        done.popitem(last=False)
+                    give(key, members)
+
         for batch in batches:
-            sig, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if held is not None:
-                sig, doc = np.concatenate([[held[0]], sig]), np.concatenate([[held[1]], doc])
-            same = np.concatenate([[False], sig[1:] == sig[:-1]])
-            keep = same | np.concatenate([same[1:], [False]])
-            if held is not None:
-                keep[0] &= not held[2]
-            last = bool(keep[-1]) or (held is not None and len(sig) == 1 and held[2])
-            held = (sig[-1], doc[-1], last)
-            yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(doc[keep])], ["sig", "doc_id"])
-
-    return rows.repartition("sig").sortWithinPartitions("sig", "doc_id").mapInArrow(run, "sig long, doc_id long")
-
-
-def _pivot_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """From (sig, rep, n, comp): rows of kind 0 are pairs (a, b) of a pivot and a set
-    of another component whose sizes allow a link; rows of kind 1 are (sig, rep), the
-    rows beyond the pivots, for the next round. The first PIVOTS sets of a signature are
-    its pivots; they are held while the signature's rows stream past."""
+            if not batch.num_rows:
+                continue
+            sig, s1 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (s1[1:] != s1[:-1])])
+            if held and sig[0] == at and s1[0] == held[-1][-1]:
+                fresh[0] = False
+            sig, s1 = sig[fresh], s1[fresh]
+            edges = _runs(sig)
+            alone = np.diff(edges) == 1
+            for lo, hi, one in zip(edges[:-1].tolist(), edges[1:].tolist(), alone.tolist(), strict=True):
+                if one and hi < len(sig) and (lo or sig[lo] != at):
+                    continue  # a signature of one set
+                if at is None or sig[lo] != at:
+                    close()
+                    at, held, large = int(sig[lo]), [], False
+                held.append(s1[lo:hi])
+                if sum(map(len, held)) > MEMBERS:
+                    give(at, np.concatenate(held)[:-1])
+                    held, large = [held[-1][-1:]], True
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(sets))], ["key", "s1"])
+                keys, sets = [], []
+        close()
+        if keys:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(sets))], ["key", "s1"])
+
+    return rows.repartition("sig").sortWithinPartitions("sig", "s1").mapInArrow(run, "key long, s1 long")
+
+
+class _Pivots:
+    """The first PIVOTS sets of a key, with components that merge as pairs are drawn."""
+
+    def __init__(self):
+        self.rep, self.n, self.comp = (np.zeros(0, np.int64) for _ in range(3))
+        self.raw: list[bytes] = []
+
+    def add(self, rep: np.ndarray, n: np.ndarray, comp: np.ndarray, raw: list[bytes]) -> None:
+        self.rep, self.n, self.comp = np.append(self.rep, rep), np.append(self.n, n), np.append(self.comp, comp)
+        self.raw += raw
+
+
+def _pairs(p: _Pivots, first: int, rep: np.ndarray, n: np.ndarray, comp: np.ndarray, raw: list[bytes], num: int, den: int, forest: bool) -> list[tuple[int, int]]:
+    """Pairs of a pivot and a later set that sizes and sketches let pass and whose components
+    differ. first is the place of rep[0] among the key's sets. With forest, a set gets one pair with each component, and both merge."""
+    both = folded(p.raw + raw)
+    pivots, words = both[: len(p.raw)], both[len(p.raw) :]
+    out, place = [], np.arange(len(p.rep))
+    for lo in range(0, len(rep), 64):
+        hi = min(lo + 64, len(rep))
+        differ = np.bitwise_count(words[lo:hi, None, :] ^ pivots[None]).sum(2, dtype=np.int64)
+        sizes = n[lo:hi, None] + p.n[None]
+        ok = (differ <= sizes * (den - num) // (den + num)) & (np.minimum(n[lo:hi, None], p.n[None]) * den >= np.maximum(n[lo:hi, None], p.n[None]) * num)
+        ok &= place[None] < first + np.arange(lo, hi)[:, None]
+        for i in np.nonzero(ok.any(1))[0].tolist():
+            own = int(p.comp[first + lo + i]) if first + lo + i < len(p.comp) else int(comp[lo + i])
+            near = np.nonzero(ok[i] & (p.comp != own))[0]
+            if not len(near):
+                continue
+            if forest:
+                _, at = np.unique(p.comp[near], return_index=True)
+                near = near[at]
+                p.comp[np.isin(p.comp, p.comp[near])] = own
+            out += [(int(a), int(rep[lo + i])) for a in p.rep[near]]
+    return out
+
+
+def _pivot_pairs(rows: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
+    """From (key, rep, n, comp, sketch): rows of kind 0 are pairs (a, b); rows of
+    kind 1 are (key, rep) beyond the pivots, for the next round."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, pivots = None, []
+        at, p, seen = None, _Pivots(), 0
         for batch in batches:
-            sig, rep, n, comp = (batch.column(c).to_numpy() for c in ("sig", "rep", "n", "comp"))
-            a, b, rest_sig, rest_rep = [], [], [], []
-            for lo, hi in pairwise(_runs(sig)):
-                if at != sig[lo]:
-                    at, pivots = sig[lo], []
-                for i in range(lo, min(hi, lo + PIVOTS - len(pivots))):
-                    x = (int(rep[i]), int(n[i]), int(comp[i]))
-                    for p in pivots:
-                        if p[2] != x[2] and min(p[1], x[1]) * den >= max(p[1], x[1]) * num:
-                            a.append(p[0])
-                            b.append(x[0])
-                    pivots.append(x)
-                    lo = i + 1
-                if lo < hi:
-                    r, m, c = rep[lo:hi], n[lo:hi], comp[lo:hi]
-                    for p in pivots:
-                        ok = (c != p[2]) & (np.minimum(m, p[1]) * den >= np.maximum(m, p[1]) * num)
-                        a += [p[0]] * int(ok.sum())
-                        b += r[ok].tolist()
-                    rest_sig += sig[lo:hi].tolist()
-                    rest_rep += r.tolist()
-            pairs = sorted({(min(p), max(p)) for p in zip(a, b, strict=True)})
-            kinds = [0] * len(pairs) + [1] * len(rest_sig)
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array([p[0] for p in pairs] + rest_sig, pa.int64()), pa.array([p[1] for p in pairs] + rest_rep, pa.int64())], ["kind", "a", "b"])
-
-    return rows.repartition("sig").sortWithinPartitions("sig", "rep").mapInArrow(run, "kind int, a long, b long")
+            key, rep, n, comp = (batch.column(c).to_numpy() for c in ("key", "rep", "n", "comp"))
+            raw = batch.column("sketch").to_pylist()
+            pairs: set[tuple[int, int]] = set()
+            rest_key, rest_rep = [], []
+            edges = _runs(key)
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if at is None or at != key[lo]:
+                    at, p, seen = int(key[lo]), _Pivots(), 0
+                more = min(hi, lo + PIVOTS - len(p.rep))
+                p.add(rep[lo:more], n[lo:more], comp[lo:more], raw[lo:more])
+                pairs.update(_pairs(p, seen, rep[lo:hi], n[lo:hi], comp[lo:hi], raw[lo:hi], num, den, forest))
+                seen += hi - lo
+                rest_key += key[more:hi].tolist()
+                rest_rep += rep[more:hi].tolist()
+            both = sorted(pairs)
+            kinds = [0] * len(both) + [1] * len(rest_key)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array([x for x, _ in both] + rest_key, pa.int64()), pa.array([y for _, y in both] + rest_rep, pa.int64())], ["kind", "a", "b"])
+
+    return rows.select("key", "rep", "n", "comp", "sketch").repartition("key").sortWithinPartitions("key", "rep").mapInArrow(run, "kind int, a long, b long")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -252,50 +361,56 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     doc_id has no links and a null component_id. Other columns are not read."""
     ship(docs.sparkSession)
     sets = materialize(_sets(docs, n, num, den), "jaccard-sets")
-    ids = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "n_shingles", "s1", "s2")
-    reps = ids.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"))
-    member = materialize(ids.join(reps, ["s1", "s2"]).select("doc_id", "rep", F.col("n_shingles").alias("n")), "jaccard-members")
-
-    rows = sets.where("doc_id IS NOT NULL").select(F.explode("sigs").alias("sig"), "doc_id")
-    shared = materialize(_shared(rows), "jaccard-shared")
-    left = shared.join(member, "doc_id").select("sig", "rep", "n").distinct()
-    several = left.groupBy("sig").agg(F.min("rep").alias("pivot"), F.max("rep").alias("__top")).where("pivot < __top").drop("__top")
-    left = materialize(left.join(several, "sig"), "jaccard-groups")
-    release(shared)
-    wanted = left.select(F.col("rep").alias("doc_id")).distinct()
-    texts = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi"), "jaccard-texts")
-
-    copies = member.where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    # First each set with the smallest pivot of its signatures; that joins most copies.
-    pairs = left.where("rep <> pivot").groupBy("rep").agg(F.min("pivot").alias("a")).select("a", F.col("rep").alias("b"))
-    tried = materialize(pairs, "jaccard-pairs")
-    links = materialize(_verify(tried, texts, n, num, den), "jaccard-links")
-    left = left.drop("pivot")
+    ids = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", F.col("n_shingles").alias("n"), "s1", "s2", "sketch")
+    reps = materialize(ids.groupBy("s1", "s2", "n", "sketch").agg(F.min("doc_id").alias("rep")), "jaccard-reps")
+    copies = ids.join(reps.select("s1", "s2", "rep"), ["s1", "s2"]).where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
+    copies = materialize(copies, "jaccard-copies")
+
+    shared = materialize(_shared(_signed(docs, n, num, den)).distinct(), "jaccard-shared")
+    # Two sets of one s1 would both be found here and compared like others.
+    left = materialize(shared.join(reps.drop("s2"), "s1").select("key", "rep", "n", "sketch"), "jaccard-groups")
+    wanted = materialize(left.select(F.col("rep").alias("doc_id")).distinct(), "jaccard-wanted")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(bounded(wanted), "doc_id", "left_semi")
+    texts = materialize(texts, "jaccard-texts")
+    temporary = [reps, copies, shared, wanted, texts]
+
+    links, tried = copies, None
+    comp = None
     while True:
-        comp = components(links)
-        known = left.join(comp, left.rep == comp.node, "left").select("sig", "rep", "n", F.coalesce("component", "rep").alias("comp"))
-        mixed = known.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
-        step = materialize(_pivot_pairs(known.join(mixed, "sig"), num, den), "jaccard-step")
-        fresh = step.where("kind = 0").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-        fresh = materialize(fresh, "jaccard-pairs")
-        tried = tried.union(fresh)
-        links = links.union(materialize(_verify(fresh, texts, n, num, den), "jaccard-links"))
-        rest = step.where("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("rep"))
+        rest = None
+        for forest in (True, False):
+            known = left.withColumn("comp", F.col("rep"))
+            if comp is not None:
+                known = left.join(comp, left.rep == comp.node, "left").select("key", "rep", "n", "sketch", F.coalesce("component", "rep").alias("comp"))
+                mixed = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+                known = known.join(mixed, "key")
+            step = materialize(_pivot_pairs(known, num, den, forest), "jaccard-step")
+            temporary.append(step)
+            fresh = step.where("kind = 0").select("a", "b").distinct()
+            fresh = materialize(fresh if tried is None else fresh.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+            tried = fresh if tried is None else tried.union(fresh)
+            found = materialize(_verify(fresh, texts, n, num, den), "jaccard-links")
+            links = links.union(found)
+            temporary += [fresh, found]
+            comp = components(links)
+            rest = step.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("rep"))
         if rest.isEmpty():
             break
-        left = materialize(left.join(rest, ["sig", "rep"], "left_semi"), "jaccard-groups")
-    comp = components(links.union(copies))
+        temporary.append(left)
+        left = materialize(left.join(rest, ["key", "rep"], "left_semi"), "jaccard-groups")
     comp = comp.groupBy("node").agg(F.min("component").alias("component_id")).withColumnRenamed("node", "doc_id")
     out = sets.select("doc_id", "n_shingles").join(comp, "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = materialize(out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")), "jaccard-classes")
+    release(sets, left, *temporary)
+    return out
 
 
 def near_unique(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """docs with one document left of each class: that of the smallest doc_id. Rows
     that repeat the kept doc_id stay, rows of a null doc_id too."""
-    classes = jaccard_classes(docs, n, num, den).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = jaccard_classes(docs, n, num, den).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     docs = without(docs, ["__gone"])
-    return docs.join(classes, docs.doc_id == classes["__gone"], "left_anti")
+    return docs.join(bounded(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
 def op7_ngram_jaccard(spark, sf_dir: str) -> DataFrame:

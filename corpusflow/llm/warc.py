@@ -247,7 +247,7 @@ class WarcWriter(DataSourceArrowWriter):
         for raw in self._records(iterator):
             if out is None:
                 system.create_dir(self._hidden(), recursive=True)
-                out = system.open_output_stream(f"{self._hidden()}/{name}")
+                out = system.open_output_stream(f"{self._hidden()}/{name}", compression=None)
             out.write(gzip.compress(raw, 6) if self.gzip else raw)
         if out is None:
             return Written(None)

@@ -118,7 +118,7 @@ def dedupe(papers: DataFrame, venues: VenuePack = VENUES, topics: LabelPack = TO
     """One record for each title key of papers (ord, map_key, FIELDS, labels, pipeline_stages):
     (title_key, ord, n, fields), n rows having become one. Titles without a key are left out. Ties in ord are
     broken by nothing: ord must be unique within a key."""
-    rows = normalized(papers, venues, topics).where(F.col("__key") != "").withColumn("abstract", F.col("__clean"))
+    rows = normalized(papers.select("ord", "map_key", *MERGED), venues, topics).where(F.col("__key") != "").withColumn("abstract", F.col("__clean"))
     rows = rows.withColumn("__rank", V.merge_precedence(F.col("venue"), venues)).withColumnRenamed("__key", "title_key")
     record = _with_score(F.struct(*[F.col(f) for f in MERGED]), F.col("__rank"), venues)
     step = lambda a, b: let(combine(a, b, topics, prefer_first), lambda e: _with_score(e, e["rank"], venues))

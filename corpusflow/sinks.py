@@ -22,12 +22,13 @@ def write_json_object(papers: DataFrame, path: str, key: str = "title") -> None:
     """A single JSON object {title: record} in one text file, for collections that a person opens.
 
     One task writes it, as the format is one object: use write_sorted_json for large collections."""
-    rows = papers.select(F.col(key).alias("k"), F.concat(F.to_json(F.array(F.col(key))), F.lit(":"), F.to_json(F.struct("*"))).alias("v"))
-    rows = rows.withColumn("v", F.regexp_replace("v", r"^\[(.*?)\]:", "$1: "))
-    ordered = rows.repartitionByRange(1, "k").sortWithinPartitions("k")
-    first = ordered.select("v", F.monotonically_increasing_id().alias("i")).select(F.concat(F.when(F.col("i") == 0, F.lit("{\n")).otherwise(F.lit(",\n")), F.col("v")).alias("value"))
-    end = papers.sparkSession.createDataFrame([("\n}\n",)], "value string")
-    first.union(end).coalesce(1).write.mode("overwrite").option("lineSep", "").text(path)
+    name = F.regexp_replace(F.to_json(F.array(F.col(key))), r"(?s)^\[(.*)\]$", "$1")
+    rows = papers.select(F.col(key).alias("k"), F.concat(name, F.lit(": "), F.to_json(F.struct("*"))).alias("v"))
+    ordered = rows.repartitionByRange(1, "k").sortWithinPartitions("k").select("v", F.monotonically_increasing_id().alias("i"))
+    edge = lambda text: papers.sparkSession.createDataFrame([(text,)], "value string")
+    entries = ordered.select(F.concat(F.when(F.col("i") > 0, F.lit(",")).otherwise(F.lit(" ")), F.col("v")).alias("value"))
+    whole = edge("{").coalesce(1).union(entries).union(edge("}").coalesce(1))
+    whole.coalesce(1).write.mode("overwrite").text(path)
 
 
 def report(rows: DataFrame, list_name: str, **counts: F.Column) -> DataFrame:

@@ -73,10 +73,12 @@ def parse_json(files: DataFrame, pack: VenuePack = VENUES) -> DataFrame:
     trimmed = F.ltrim(X.text("content"))
     # A list is read as an object too, so one parse serves both shapes.
     shaped = F.when(trimmed.startswith("["), F.concat(F.lit('{"l":'), F.col("content"), F.lit("}"))).otherwise(F.concat(F.lit('{"m":'), F.col("content"), F.lit("}")))
-    kind = T.StructType([T.StructField("m", T.MapType(T.StringType(), RAW)), T.StructField("l", T.ArrayType(RAW))])
-    parsed = files.withColumn("__j", F.from_json(shaped, kind))
-    listed = F.transform(F.col("__j.l"), lambda e: F.struct(F.coalesce(e["title"], F.lit("")).alias("key"), e.alias("value")))
-    rows = parsed.select("path", F.posexplode(F.coalesce(F.map_entries("__j.m"), listed)).alias("pos", "kv"))
+    # Records are parsed one by one, so one that is no object spoils no other.
+    parsed = files.withColumn("__j", F.from_json(shaped, "struct<m:map<string,string>,l:array<string>>"))
+    entry = lambda key, text: F.struct(key.alias("key"), F.when(F.ltrim(text).startswith("{"), F.from_json(text, RAW)).alias("value"))
+    mapped = F.transform(F.map_entries("__j.m"), lambda kv: entry(kv["key"], kv["value"]))
+    listed = F.transform(F.col("__j.l"), lambda text: entry(F.coalesce(F.get_json_object(text, "$.title"), F.lit("")), text))
+    rows = parsed.select("path", F.posexplode(F.coalesce(mapped, listed)).alias("pos", "kv"))
     return _records(rows.where("kv.value IS NOT NULL").select("path", F.col("pos").cast("long").alias("pos"), F.col("kv.key").alias("map_key"), F.col("kv.value").alias("e")), pack)
 
 

@@ -184,3 +184,17 @@ def quality_flags(flags: Column | str, level: Column, flag: str = "application_r
     out = F.when(level == APPLICATION, F.array_append(kept, F.lit(flag))).otherwise(kept)
     out = F.array_sort(F.array_distinct(out))
     return F.when(F.size(out) > 0, out)
+
+
+def answered_labels(answer: Column | str, field: str, pack: LabelPack) -> Column:
+    """The labels in a classifier's answer: JSON, perhaps fenced, whose field lists "parent, child" pairs. Pairs
+    that the taxonomy lacks go; an answer that is no JSON, or says NOT_RELEVANT, has null."""
+    body = text(answer)
+    body = F.when(F.contains(body, F.lit("```")), F.regexp_replace(F.split_part(body, F.lit("```"), F.lit(2)), "^json", "")).otherwise(body)
+    given = F.from_json(body, "map<string,array<string>>")[field]
+    known = [(f"{parent}, {child}", parent, child) for parent, children in pack.taxonomy.items() for child in children]
+    pairs = F.array(*[F.struct(F.lit(a).alias("pair"), F.lit(p).alias("parent"), F.lit(c).alias("child")) for a, p, c in known])
+    chosen = F.filter(pairs, lambda p: F.array_contains(given, p["pair"]))
+    names = F.flatten(F.transform(chosen, lambda p: F.array(p["parent"], p["child"])))
+    ok = ~F.contains(text(answer), F.lit("NOT_RELEVANT")) & given.isNotNull()
+    return F.when(ok, normalize_labels(names, pack))

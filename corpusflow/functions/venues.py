@@ -126,3 +126,22 @@ def evidence_rank(venue: Column, pack: VenuePack = VENUES, journals: list[str] |
 def source_names(value: Column | str, target: Column, pack: VenuePack = VENUES) -> Column:
     """Whether a source field names the target venue."""
     return (base_name(name_with_year(value, "", pack), pack) == target) | (base_name(value, pack) == target)
+
+
+def confident_source(source: Column | str, target: Column, pack: VenuePack = VENUES, also: dict[str, list[str]] | None = None) -> Column:
+    """Whether what a source calls itself is the target venue beyond doubt: not empty, not the side
+    volume, and naming it, or one of the further names of that target (PVLDB for VLDB)."""
+    low, base = F.lower(text(source)), base_name(target, pack)
+    side, mark, _ = pack.side_volume
+    more = F.lit(False)
+    for name, marks in (also or {"VLDB": ["vldb endowment", "pvldb"]}).items():
+        for m in marks:
+            more = more | ((base == name) & F.contains(low, F.lit(m)))
+    return (low != "") & ~((base == side) & F.contains(low, F.lit(mark))) & ((base_name(name_with_year(low, "", pack), pack) == base) | more)
+
+
+def any_confident_source(sources: list[Column], target: Column, pack: VenuePack = VENUES) -> Column:
+    out = F.lit(False)
+    for s in sources:
+        out = out | confident_source(s, target, pack)
+    return out

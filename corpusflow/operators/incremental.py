@@ -123,3 +123,23 @@ def keep_last(rows: DataFrame, keys: list[str], order: str, n: int = HISTORY) ->
     """The last n rows of each key (Spark prunes within each task before the shuffle)."""
     w = Window.partitionBy(*keys).orderBy(F.desc(order))
     return rows.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= n).drop("__r")
+
+
+def manifest(*grids: DataFrame) -> DataFrame:
+    """(name, ord) of venues in the order of the grids (venue, at), each once, where it comes first."""
+    rows = None
+    for i, g in enumerate(grids):
+        part = g.select(F.col("venue").alias("name"), F.struct(F.lit(i).alias("grid"), F.col("at").cast("long").alias("at")).alias("place"))
+        rows = part if rows is None else rows.unionByName(part)
+    first = rows.groupBy("name").agg(F.min("place").alias("place"))
+    return first.select("name", (F.row_number().over(Window.orderBy("place")) - 1).alias("ord"))  # a manifest is a short list
+
+
+def retryable(status: Column) -> Column:
+    """Statuses after which a request is made again: too many requests and errors of the server."""
+    return (status == 429) | ((status >= 500) & (status <= 599))
+
+
+def retry_delays(attempts: int = 4, first: float = 1.0, cap: float = 30.0) -> list[float]:
+    """Seconds to wait after each failed attempt but the last: doubling up to the cap."""
+    return [min(cap, first * 2**k) for k in range(attempts - 1)]

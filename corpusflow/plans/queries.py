@@ -294,6 +294,28 @@ def alias_longest_first(read):
     return read("pages").select("page_id", venue.alias("venue")).withColumn("category", V.category(F.col("venue"), HOSTS))
 
 
+@query("SELECT n_nationkey, n_nationkey % 5 IN (0, 1, 4) AS confident FROM nation")
+def confident_source(read):
+    sources = F.array(*[F.lit(s) for s in ("Proc. VLDB Endow.", "PVLDB", "Findings of the ACL", "", "Annual Meeting of the Association for Computational Linguistics")])
+    targets = F.array(*[F.lit(t) for t in ("VLDB2024", "VLDB", "ACL2024", "ACL", "ACL")])
+    k = (F.col("n_nationkey") % 5).cast("int")
+    return read("nation").select("n_nationkey", V.confident_source(F.get(sources, k), F.get(targets, k)).alias("confident"))
+
+
+@query("SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN 'Legal|Licence|Language|German' WHEN 1 THEN 'Legal|Licence' END AS labels FROM nation")
+def answered_labels(read):
+    """Answers of an outside classifier: plain, fenced, refusing and broken."""
+    answers = F.array(*[F.lit(a) for a in ('{"topics": ["Language, German", "Legal, Licence", "No, Such"]}', 'Here:```json{"topics": ["Legal, Licence"]}```', "NOT_RELEVANT", "{broken")])
+    labels = rules.answered_labels(F.get(answers, (F.col("n_nationkey") % 4).cast("int")), "topics", FIXTURE_TOPICS)
+    return read("nation").select("n_nationkey", F.array_join(labels, "|").alias("labels"))
+
+
+@query("SELECT n_name AS name, row_number() OVER (ORDER BY CASE WHEN n_regionkey = 1 THEN 0 ELSE 1 END, n_nationkey) - 1 AS ord FROM nation")
+def venue_manifest(read):
+    n = read("nation").select(F.col("n_name").alias("venue"), F.col("n_nationkey").alias("at"), "n_regionkey")
+    return incremental.manifest(n.where("n_regionkey = 1"), n).withColumn("ord", F.col("ord").cast("long"))
+
+
 # Merging.
 
 

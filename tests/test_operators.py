@@ -165,3 +165,9 @@ def test_streams_agree_with_batch(spark, tmp_path):
     q = states.window_counts(stream, "at", "k", late="100 days").writeStream.outputMode("complete").format("memory").queryName("counts").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("counts").agg(F.sum("n")).first()[0] == 40
+
+
+def test_retries(spark):
+    assert I.retry_delays() == [1, 2, 4] and I.retry_delays(8)[-1] == 30
+    got = rows(spark, "s int", (429,), (500,), (599,), (404,), (200,)).select(I.retryable(F.col("s"))).collect()
+    assert [r[0] for r in got] == [True, True, True, False, False]

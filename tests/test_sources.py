@@ -148,3 +148,11 @@ def test_papers_and_abstracts(spark):
     c = F.lit(h)
     r = spark.range(1).select(G.page_abstract(c), G.page_abstract(F.lit('<div id="abstract"><b>x</b> y</div>')), G.page_authors(c), G.page_authors(F.lit("")), G.pdf_abstract(F.lit("Abstract. " + "wo-\nrd " * 25 + "\n1 Introduction")), G.pdf_abstract(F.lit("Abstract: few words\nKeywords"))).first()
     assert list(r) == ["By meta &", "x y", "A and B C", "", "word " * 24 + "word", ""]
+
+
+def test_plain_rule_for_one_site(spark):
+    table = "<main><h1>Accepted Papers for X</h1><table>" + "".join(f"<tr><td>{i}</td><td>Row title {i}</td><td>A, B; C and D</td></tr>" for i in range(10)) + "</table></main>"
+    listed = "<main><ul><li><b>Item title</b> A, B and C</li><li>Homepage</li></ul><table><tr><td>1</td><td>Few</td><td>A</td></tr></table></main>"
+    got = G.accepted_by_rows(files(spark, ("t", table), ("l", listed), ("n", None))).collect()
+    assert {(r.path, r.extractor) for r in got} == {("t", "rows"), ("l", "items")} and len([r for r in got if r.path == "t"]) == 10
+    assert {r.authors for r in got if r.path == "t"} == {"A, B and C and D"} and [r.title for r in got if r.path == "l"] == ["Item title"]

@@ -202,7 +202,7 @@ def near_embeddings(vectors: DataFrame, least: float = 0.93, block: int = BLOCK)
     same = (F.col("a") == F.col("b")) & (F.col("pa") == F.col("pb"))
     sides = pairs.select("label", "dim", F.concat_ws(":", "label", "dim", "a", "pa", "b", "pb").alias("pair"), F.explode(F.when(same, F.array(F.struct(F.col("a").alias("cell"), F.col("pa").alias("part"), F.lit(2).alias("side")))).otherwise(F.array(F.struct(F.col("a").alias("cell"), F.col("pa").alias("part"), F.lit(0).alias("side")), F.struct(F.col("b").alias("cell"), F.col("pb").alias("part"), F.lit(1).alias("side"))))).alias("s"))
     sides = sides.select("label", "dim", "pair", "s.cell", "s.part", "s.side")
-    parts = placed.join(F.broadcast(stats.select("label", "dim", "cell", "parts").where("parts > 1").limit(SAMPLE * MOST_CELLS)), ["label", "dim", "cell"], "left")
+    parts = placed.join(stats.select("label", "dim", "cell", "parts").where("parts > 1"), ["label", "dim", "cell"], "left")
     parts = parts.withColumn("part", F.pmod(F.xxhash64("rep"), F.coalesce("parts", F.lit(1))).cast("int"))
     rows = parts.join(sides, ["label", "dim", "cell", "part"]).select("pair", "side", "rep", "copies", "v")
 

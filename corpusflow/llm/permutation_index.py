@@ -112,7 +112,8 @@ def nearest(vectors: DataFrame, queries: F.Column, top: int = 5, pivots: int = P
     nearest first, ties to the smaller vec_id.
 
     Vectors that are null, empty, zero or hold null or non-finite components, those of
-    another length than the pivots' and null vec_ids take no part. A row is not its own
+    another length than the pivots' and null vec_ids take no part. Of rows that repeat a vec_id the smallest
+    vector asks and the nearest answers. A row is not its own
     neighbour, nor is another row of the same vec_id. With fewer candidates all are returned; an empty
     table or query set gives no rows. Other columns are not read."""
     ship(vectors.sparkSession)
@@ -121,8 +122,8 @@ def nearest(vectors: DataFrame, queries: F.Column, top: int = 5, pivots: int = P
     good = picked.where(F.col("vec_id").isNotNull() & usable(F.col("v")))
     chosen = choose_pivots(good, pivots)
     index = materialize(build_index(good, chosen, order), "permutation-index")
-    asked = build_index(good.where("__q"), chosen, order).dropDuplicates(["vec_id"])
-    asked = materialize(asked, "permutation-queries")
+    asked = build_index(good.where("__q"), chosen, order).groupBy("vec_id").agg(F.min(F.struct("v", "pivots")).alias("r"))
+    asked = materialize(asked.select("vec_id", "r.*"), "permutation-queries")
     blocks = -(-asked.count() // QUERIES)
     found = None
     for k in range(blocks):
@@ -136,7 +137,7 @@ def nearest(vectors: DataFrame, queries: F.Column, top: int = 5, pivots: int = P
         found = part if found is None else found.union(part)
     if found is None:
         found = spark.createDataFrame([], "query_id long, vec_id long, score double")
-    ranked = found.dropDuplicates(["query_id", "vec_id"])
+    ranked = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return ranked.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 

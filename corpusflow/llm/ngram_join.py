@@ -14,7 +14,7 @@ group still matches. Other sets emit all groups. No pair is lost either way.
 Sets that share a signature are candidates. Signatures with the same members count once.
 Within a signature a parity sketch (bit h mod B flipped for every element h) bounds the difference
 of two sets from below, so it only drops pairs that cannot link. Pairs are first
-drawn as a forest of what the sketches let pass, then, between sets that the links
+drawn as forests of what the sketches let pass, then, between sets that the links
 found have not brought into one component, all that pass. What decides is the exact
 comparison of whole sets. A signature's sets are compared with a bounded number of
 pivots at a time, in as many rounds as it takes; so the components are those
@@ -294,31 +294,29 @@ def _pairs(p: _Pivots, first: int, rep: np.ndarray, n: np.ndarray, comp: np.ndar
 
 
 def _pivot_pairs(rows: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
-    """From (key, rep, n, comp, sketch): rows of kind 0 are pairs (a, b); rows of
-    kind 1 are (key, rep) beyond the pivots, for the next round."""
+    """From (key, rep, n, comp, sketch): (key, a, b) pairs of sets a key has, and, with
+    a null, (key, null, rep) for the sets beyond its pivots, for the next round."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, p, seen = None, _Pivots(), 0
         for batch in batches:
             key, rep, n, comp = (batch.column(c).to_numpy() for c in ("key", "rep", "n", "comp"))
             raw = batch.column("sketch").to_pylist()
-            pairs: set[tuple[int, int]] = set()
-            rest_key, rest_rep = [], []
+            keys, firsts, seconds = [], [], []
             edges = _runs(key)
             for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 if at is None or at != key[lo]:
                     at, p, seen = int(key[lo]), _Pivots(), 0
                 more = min(hi, lo + PIVOTS - len(p.rep))
                 p.add(rep[lo:more], n[lo:more], comp[lo:more], raw[lo:more])
-                pairs.update(_pairs(p, seen, rep[lo:hi], n[lo:hi], comp[lo:hi], raw[lo:hi], num, den, forest))
+                pairs = _pairs(p, seen, rep[lo:hi], n[lo:hi], comp[lo:hi], raw[lo:hi], num, den, forest)
                 seen += hi - lo
-                rest_key += key[more:hi].tolist()
-                rest_rep += rep[more:hi].tolist()
-            both = sorted(pairs)
-            kinds = [0] * len(both) + [1] * len(rest_key)
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array([x for x, _ in both] + rest_key, pa.int64()), pa.array([y for _, y in both] + rest_rep, pa.int64())], ["kind", "a", "b"])
+                keys += [at] * (len(pairs) + hi - more)
+                firsts += [min(x) for x in pairs] + [None] * (hi - more)
+                seconds += [max(x) for x in pairs] + rep[more:hi].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(firsts, pa.int64()), pa.array(seconds, pa.int64())], ["key", "a", "b"])
 
-    return rows.select("key", "rep", "n", "comp", "sketch").repartition("key").sortWithinPartitions("key", "rep").mapInArrow(run, "kind int, a long, b long")
+    return rows.select("key", "rep", "n", "comp", "sketch").repartition("key").sortWithinPartitions("key", "rep").mapInArrow(run, "key long, a long, b long")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -368,32 +366,57 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
 
     shared = materialize(_shared(_signed(docs, n, num, den)).distinct(), "jaccard-shared")
     # Two sets of one s1 would both be found here and compared like others.
-    left = materialize(shared.join(reps.drop("s2"), "s1").select("key", "rep", "n", "sketch"), "jaccard-groups")
+    left = materialize(shared.join(reps.select("s1", "rep"), "s1").select("key", "rep"), "jaccard-groups")
     wanted = materialize(left.select(F.col("rep").alias("doc_id")).distinct(), "jaccard-wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(bounded(wanted), "doc_id", "left_semi")
     texts = materialize(texts, "jaccard-texts")
     temporary = [reps, copies, shared, wanted, texts]
 
-    links, tried = copies, None
-    comp = None
-    while True:
-        rest = None
-        for forest in (True, False):
-            known = left.withColumn("comp", F.col("rep"))
-            if comp is not None:
-                known = left.join(comp, left.rep == comp.node, "left").select("key", "rep", "n", "sketch", F.coalesce("component", "rep").alias("comp"))
-                mixed = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-                known = known.join(mixed, "key")
-            step = materialize(_pivot_pairs(known, num, den, forest), "jaccard-step")
-            temporary.append(step)
-            fresh = step.where("kind = 0").select("a", "b").distinct()
-            fresh = materialize(fresh if tried is None else fresh.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
-            tried = fresh if tried is None else tried.union(fresh)
-            found = materialize(_verify(fresh, texts, n, num, den), "jaccard-links")
+    links, tried, comp = copies, None, None
+
+    def apart(pairs: DataFrame) -> DataFrame:
+        """Pairs whose sets are not in one component yet."""
+        if comp is None:
+            return pairs
+        x, y = comp.select(F.col("node").alias("a"), F.col("component").alias("__ca")), comp.select(F.col("node").alias("b"), F.col("component").alias("__cb"))
+        out = pairs.join(x, "a", "left").join(y, "b", "left")
+        return out.where(F.coalesce("__ca", "a") != F.coalesce("__cb", "b")).select(pairs.columns)
+
+    def compare(pairs: DataFrame) -> None:
+        """Compare whole sets of pairs that were not tried before, and renew the components."""
+        nonlocal links, tried, comp
+        fresh = pairs.select("a", "b").distinct()
+        fresh = materialize(fresh if tried is None else fresh.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+        temporary.append(fresh)
+        if not fresh.isEmpty():
+            own = texts
+            if tried is not None:  # later rounds need few texts
+                ids = materialize(fresh.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "jaccard-ids")
+                temporary.append(ids)
+                own = texts.join(bounded(ids), "doc_id", "left_semi")
+            found = materialize(_verify(fresh, own, n, num, den), "jaccard-links")
+            temporary.append(found)
             links = links.union(found)
-            temporary += [fresh, found]
-            comp = components(links)
-            rest = step.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("rep"))
+        tried = fresh if tried is None else tried.union(fresh)
+        comp = components(links)
+
+    while True:
+        # Every two sets of a key that its pivots let meet are compared by size and sketch, once. What passes is
+        # drawn as a forest; if all its trees hold, so do the components, and the key is done.
+        known = left.withColumn("comp", F.col("rep")) if comp is None else left.join(comp, left.rep == comp.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+        step = materialize(_pivot_pairs(known.join(reps.select("rep", "n", "sketch"), "rep"), num, den, True), "jaccard-step")
+        temporary.append(step)
+        drawn = step.where("a IS NOT NULL")
+        # A pair brings two texts together, so at first each set gets one; then those follow that are still apart.
+        compare(apart(drawn).groupBy("b").agg(F.min("a").alias("a")))
+        compare(apart(drawn))
+        # Keys of a pair that did not link may have others between the same components: these are compared one and all.
+        torn = materialize(apart(drawn).select("key").distinct(), "jaccard-torn")
+        known = left.join(bounded(torn), "key").join(comp, left.rep == comp.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+        rest_step = materialize(_pivot_pairs(known.join(reps.select("rep", "n", "sketch"), "rep"), num, den, False), "jaccard-step")
+        temporary += [torn, rest_step]
+        compare(apart(rest_step.where("a IS NOT NULL")))
+        rest = step.where("a IS NULL").select("key", F.col("b").alias("rep"))
         if rest.isEmpty():
             break
         temporary.append(left)

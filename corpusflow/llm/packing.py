@@ -42,13 +42,18 @@ class ByteBpe:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.path = path
+        self.tokenizer = self._load()
         self.ranked = self._ranked(json.loads(Path(path).read_text()))
         self.compared = 0
 
+    def _load(self):
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_file(self.path)
+        out.encode_special_tokens = True
+        return out
+
     @staticmethod
     def _ranked(file: dict):
         """The tiktoken encoding of the file, None if it isn't of that kind."""
@@ -73,6 +78,7 @@ class ByteBpe:
         if self.ranked is not None:
             ids = [self.ranked.encode_to_numpy(t, disallowed_special=()).astype("<u4").tobytes() for t in texts]
             if self.compared >= COMPARED:
+                self.tokenizer = None  # its memory is of no more use
                 return ids
             some = texts[:COMPARED]
             if ids[:COMPARED] == self._slow(some):

@@ -407,14 +407,15 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
         step = materialize(_pivot_pairs(known.join(reps.select("rep", "n", "sketch"), "rep"), num, den, True), "jaccard-step")
         temporary.append(step)
         drawn = step.where("a IS NOT NULL")
+        pairs = materialize(drawn.select("a", "b").distinct(), "jaccard-drawn")
         # A pair brings two texts together, so at first each set gets one; then those follow that are still apart.
-        compare(apart(drawn).groupBy("b").agg(F.min("a").alias("a")))
-        compare(apart(drawn))
+        compare(apart(pairs).groupBy("b").agg(F.min("a").alias("a")))
+        compare(apart(pairs))
         # Keys of a pair that did not link may have others between the same components: these are compared one and all.
-        torn = materialize(apart(drawn).select("key").distinct(), "jaccard-torn")
+        torn = materialize(drawn.join(apart(pairs), ["a", "b"], "left_semi").select("key").distinct(), "jaccard-torn")
         known = left.join(bounded(torn), "key").join(comp, left.rep == comp.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
         rest_step = materialize(_pivot_pairs(known.join(reps.select("rep", "n", "sketch"), "rep"), num, den, False), "jaccard-step")
-        temporary += [torn, rest_step]
+        temporary += [pairs, torn, rest_step]
         compare(apart(rest_step.where("a IS NOT NULL")))
         rest = step.where("a IS NULL").select("key", F.col("b").alias("rep"))
         if rest.isEmpty():

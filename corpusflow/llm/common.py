@@ -3,37 +3,15 @@ Arrow plumbing, hashing and distributed connected components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.session import ship
-
-_LOCAL_DIR: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Only where that is unset (local tests) a temporary folder is used."""
-    ship(spark)
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not _LOCAL_DIR:
-        _LOCAL_DIR.append(tempfile.mkdtemp(prefix="corpusflow-"))
-    return "file://" + _LOCAL_DIR[0]
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
+from corpusflow.session import delete, new_path, ship
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df to the shared folder and read it back."""
@@ -48,9 +26,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def release(*tables: DataFrame) -> None:
     """Delete tables that materialize() made and that nothing reads any more."""
     for df in tables:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(df.written_to)
-        path.getFileSystem(conf).delete(path, True)
+        delete(df.sparkSession, df.written_to)
 
 
 def bounded(ids: DataFrame, most: int = 1_000_000) -> DataFrame:

@@ -2,9 +2,9 @@
 
 The merge rule depends on order and has thresholds, so it can't be combined map-side: a key's members are
 sorted by ord and folded by one aggregate() expression. Members of a key are few; keys with more
-than `hot` members are folded in chunks of consecutive ords first, by the same rule, in as many
-rounds as it takes, so no row ever holds an unbounded group. (Folding chunks first may resolve thresholds
-otherwise than one long fold; up to `hot` members the fold is the plain one.)"""
+than `hot` members are sorted by range and cut into chunks of consecutive ords. A round folds one chunk of each
+such key into the record that the round before left, so the result is that of the plain fold and
+no row ever holds an unbounded group."""
 
 from __future__ import annotations
 
@@ -19,8 +19,10 @@ from corpusflow.functions import venues as V
 from corpusflow.functions.text import let
 from corpusflow.packs import TOPICS, VENUES, LabelPack, VenuePack
 from corpusflow.schema import FIELDS, LIST_FIELDS, SOURCE_FIELDS
+from corpusflow.session import delete, new_path
 
 HOT = 256
+CHUNK = 4  # times hot, the most rows of a key that a round takes
 GAIN = 40
 MERGED = (*FIELDS, *LIST_FIELDS)
 WEIGHTS = {"doi": 4, "url": 3, "author": 2, "year": 1, "keywords": 1, "openalex_id": 2, "semantic_scholar_id": 2, "key": 1}
@@ -95,23 +97,66 @@ def _with_score(e: Column, rank: Column, venues: VenuePack) -> Column:
 
 def fold(rows: DataFrame, keys: list[str], order: str, record: Column, step: Callable[[Column, Column], Column], hot: int = HOT) -> DataFrame:
     """(keys, order, n, record): the records of each key folded in their order; order is that of the first, n
-    their number. Each row's record is the start of its fold, so step(a, b) must give records of one type."""
-    now = rows.select(*keys, F.col(order).alias("__o"), F.lit(1).cast("long").alias("__n"), record.alias("__r"))
+    their number. Each row's record is the start of its fold, so step(a, b) must give records of one type.
 
-    def folded(df: DataFrame, by: list[str]) -> DataFrame:
-        members = F.array_sort(F.collect_list(F.struct("__o", "__n", "__r")), lambda a, b: F.when(a["__o"] < b["__o"], -1).when(a["__o"] > b["__o"], 1).otherwise(0))
-        out = df.groupBy(*by).agg(members.alias("__m"))
+    Keys are counted when this is called. If any has more than hot rows, those keys' rows are written to
+    the shared folder, and a job runs for each CHUNK * hot rows of the largest key."""
+    named = {k: f"__k{i}" for i, k in enumerate(keys)}
+    by = list(named.values())
+    now = rows.select(*[F.col(k).alias(n) for k, n in named.items()], F.col(order).alias("__o"), record.alias("__r"))
+    members = F.array_sort(F.collect_list(F.struct("__o", "__r")), lambda a, b: F.when(a["__o"] < b["__o"], -1).when(a["__o"] > b["__o"], 1).otherwise(0))
+
+    def first(df: DataFrame, *more: str) -> DataFrame:
+        """The folds of whole keys or first chunks, from (by, __m)."""
         rest = F.slice("__m", 2, F.greatest(F.size("__m") - 1, F.lit(0)))
         merged = F.aggregate(rest, F.get("__m", F.lit(0))["__r"], lambda s, m: step(s, m["__r"]))
-        total = F.aggregate("__m", F.lit(0).cast("long"), lambda s, m: s + m["__n"])
-        return out.select(*by, F.get("__m", F.lit(0))["__o"].alias("__o"), total.alias("__n"), merged.alias("__r"))
-
-    big = now.groupBy(*keys).agg(F.count("*").alias("__size")).where(F.col("__size") > hot)
-    # Hot keys, if there are any, come in chunks of consecutive rows; the window sees narrow rows only.
-    spots = now.join(big, keys).select(*keys, "__o")
-    place = spots.select(*keys, "__o", F.floor((F.row_number().over(Window.partitionBy(*keys).orderBy("__o")) - 1) / hot).alias("__chunk"))
-    now = now.join(place, [*keys, "__o"], "left").withColumn("__chunk", F.coalesce("__chunk", F.lit(0)))
-    return folded(folded(now, [*keys, "__chunk"]).drop("__chunk"), keys).select(*keys, F.col("__o").alias(order), F.col("__n").alias("n"), F.col("__r").alias("record"))
+        return df.select(*by, F.get("__m", F.lit(0))["__o"].alias("__o"), F.size("__m").cast("long").alias("__n"), merged.alias("__r"), *more)
+
+    big = rows.groupBy(*[F.col(k).alias(n) for k, n in named.items()]).agg(F.count("*").alias("__size")).where(F.col("__size") > hot)
+    number = big.count()
+    if not number:
+        out = first(now.groupBy(*by).agg(members.alias("__m")))
+    else:
+        narrow = big.select(*[F.col(n).alias(f"{n}b") for n in by])
+        narrow = F.broadcast(narrow) if number <= 100_000 else narrow
+        same = [F.col(n).eqNullSafe(F.col(f"{n}b")) for n in by]
+        out = first(now.join(narrow, same, "left_anti").groupBy(*by).agg(members.alias("__m")))
+        out = out.unionByName(_in_rounds(now.join(narrow, same, "left_semi"), by, members, first, step, CHUNK * hot))
+    return out.select(*[F.col(n).alias(k) for k, n in named.items()], F.col("__o").alias(order), F.col("__n").alias("n"), F.col("__r").alias("record"))
+
+
+def _in_rounds(rows: DataFrame, by: list[str], members: Column, first: Callable[..., DataFrame], step: Callable[[Column, Column], Column], chunk: int) -> DataFrame:
+    """(by, __o, __n, __r) for keys of any size: every round folds the next chunk of each key that has one."""
+    spark = rows.sparkSession
+    cut, dealt, states = (new_path(spark, f"fold-{n}") for n in ("cut", "dealt", "states"))
+    # Ids of sorted rows are consecutive within a task and grow from task to task, so chunks are runs of the order.
+    placed = rows.repartitionByRange(*by, "__o").sortWithinPartitions(*by, "__o").withColumn("__at", F.monotonically_increasing_id())
+    placed.groupBy(*by, F.floor(F.col("__at") / chunk).alias("__c")).agg(members.alias("__m")).write.parquet(cut)
+    chunks = spark.read.parquet(cut)
+    turn = chunks.select(*[F.col(n).alias(f"{n}b") for n in by], F.col("__c").alias("__cb"))
+    w = Window.partitionBy(*[f"{n}b" for n in by])
+    turn = turn.withColumn("__round", F.row_number().over(w.orderBy("__cb"))).withColumn("__last", F.col("__round") == F.count("*").over(w))
+    same = [F.col(n).eqNullSafe(F.col(f"{n}b")) for n in by]
+    chunks = chunks.join(turn, [*same, F.col("__c") == F.col("__cb")]).select(*by, "__m", "__last", "__round")
+    chunks.write.partitionBy("__round").parquet(dealt)
+    delete(spark, cut)
+    kind = chunks.drop("__round").schema
+    rounds = spark.read.schema(chunks.schema).parquet(dealt).agg(F.max("__round")).first()[0] or 0
+    state = None
+    for k in range(1, rounds + 1):
+        now = spark.read.schema(kind).parquet(f"{dealt}/__round={k}")
+        if state is None:
+            after = first(now, "__last")
+        else:
+            before = state.where("NOT __last").select(*[F.col(n).alias(f"{n}b") for n in by], "__o", "__n", "__r")
+            merged = F.aggregate("__m", F.col("__r"), lambda s, m: step(s, m["__r"]))
+            after = now.join(before, same).select(*by, "__o", (F.col("__n") + F.size("__m")).alias("__n"), merged.alias("__r"), "__last")
+        after.write.parquet(f"{states}/__round={k}")
+        state = spark.read.schema(after.schema).parquet(f"{states}/__round={k}")
+    delete(spark, dealt)
+    if state is None:
+        return first(rows.limit(0).groupBy(*by).agg(members.alias("__m")))
+    return spark.read.schema(state.schema).option("basePath", states).parquet(states).where("__last").select(*by, "__o", "__n", "__r")
 
 
 def dedupe(papers: DataFrame, venues: VenuePack = VENUES, topics: LabelPack = TOPICS, prefer_first: bool = False, canonical_result: bool = True) -> DataFrame:

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_LOCAL_DIR: list[str] = []
+
 
 def ship(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package from where the driver has it.
@@ -22,6 +26,28 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Only where that is unset (local tests) a temporary folder is used."""
+    ship(spark)
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not _LOCAL_DIR:
+        _LOCAL_DIR.append(tempfile.mkdtemp(prefix="corpusflow-"))
+    return "file://" + _LOCAL_DIR[0]
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def local(cores: int = 8, memory: str = "8g") -> SparkSession:
     """A session on this machine, as tests and bench use it."""
     return ship(

@@ -61,6 +61,23 @@ def test_fold_is_in_order(spark, hot):
         assert (r.record, r.n, r.o) == ("".join(v for _, v in own), len(own), 0)
 
 
+@pytest.mark.parametrize("hot", [256, 20, 2])
+def test_fold_of_hot_keys_is_the_plain_fold(spark, hot):
+    rng = random.Random(2)
+    sizes = {0: [10] * 255 + [15, 45, 60] + [10] * 9, None: [rng.randint(0, 150) for _ in range(300)]}
+    sizes |= {k: [rng.randint(0, 150) for _ in range(rng.choice([1, 5, 200, 600]))] for k in range(1, 12)}
+    rows = [(k, o, chr(97 + o % 26) * n) for k, own in sizes.items() for o, n in enumerate(own)]
+    rng.shuffle(rows)
+    step = lambda a, b: F.when(F.length(b) > F.length(a) + M.GAIN, b).otherwise(a)
+    got = M.fold(spark.createDataFrame(rows, "k int, o long, v string").repartition(5), ["k"], "o", F.col("v"), step, hot).collect()
+    want = {}
+    for k, o, v in sorted(rows, key=lambda r: r[1]):
+        want[k] = v if k not in want or len(v) > len(want[k]) + M.GAIN else want[k]
+    assert {r.k: r.record for r in got} == want and len(got) == len(sizes)
+    assert {r.k: (r.o, r.n) for r in got} == {k: (0, len(own)) for k, own in sizes.items()}
+    assert len(want[0]) == 60
+
+
 def test_upsert(spark):
     s = "key string, a string, b string"
     old = spark.createDataFrame([("k1", "x", None), ("k2", "x", "y"), ("k3", "x", "y")], s)

@@ -32,27 +32,27 @@ COMPARED = 64
 
 
 class ByteBpe:
-    """Ids of whole texts by a BPE file of the tokenizers library. Strings of
-    special tokens in a text are ordinary text.
+    """Ids of whole texts by a BPE file of the tokenizers library, used as it is: the file's added tokens
+    (as '<|endoftext|>') are found in a text and have their own ids; none are put around it.
 
     A byte-level file whose merges are in the order of their ids is the same map as a
     table of ranks, which tiktoken applies several times faster. So it does, if the file is
     of that kind and both libraries agree on the first texts; else tokenizers encodes
-    all."""
+    all. Texts that hold an added token always go to tokenizers, which knows the token's rules."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.path = path
         self.tokenizer = self._load()
-        self.ranked = self._ranked(json.loads(Path(path).read_text()))
-        self.compared = 0
+        file = json.loads(Path(path).read_text())
+        self.added = tuple(t["content"] for t in file.get("added_tokens") or ())
+        self.ranked = self._ranked(file)
+        self.compared, self.met = 0, False
 
     def _load(self):
         from tokenizers import Tokenizer
 
-        out = Tokenizer.from_file(self.path)
-        out.encode_special_tokens = True
-        return out
+        return Tokenizer.from_file(self.path)
 
     @staticmethod
     def _ranked(file: dict):
@@ -75,19 +75,31 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if self.ranked is not None:
-            ids = [self.ranked.encode_to_numpy(t, disallowed_special=()).astype("<u4").tobytes() for t in texts]
-            if self.compared >= COMPARED:
-                self.tokenizer = None  # its memory is of no more use
-                return ids
-            some = texts[:COMPARED]
-            if ids[:COMPARED] == self._slow(some):
-                self.compared += len(some)
-                return ids
-            self.ranked = None
-        return self._slow(texts)
+        if self.ranked is None:
+            return self._slow(texts)
+        odd = [i for i, t in enumerate(texts) if self._holds_added(t)]
+        plain = [t for t in texts if not self._holds_added(t)] if odd else texts
+        ids = [self.ranked.encode_to_numpy(t, disallowed_special=()).astype("<u4").tobytes() for t in plain]
+        if self.compared < COMPARED:
+            some = plain[:COMPARED]
+            if ids[:COMPARED] != self._slow(some):
+                self.ranked = None
+                return self._slow(texts)
+            self.compared += len(some)
+        elif not odd and not self.met:
+            self.tokenizer = None  # its memory is of no more use, until a text holds an added token
+        self.met |= bool(odd)
+        for i, x in zip(odd, self._slow([texts[i] for i in odd]), strict=True):
+            ids.insert(i, x)
+        return ids
+
+    def _holds_added(self, text: str) -> bool:
+        return any(t in text for t in self.added)
 
     def _slow(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        self.tokenizer = self.tokenizer or self._load()
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 

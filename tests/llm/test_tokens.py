@@ -82,6 +82,22 @@ def _bpe(held=[]):  # noqa: B006
     return held[0]
 
 
+def test_added_tokens_of_the_file_are_found(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(K.default_tokenizer())
+    assert len(plain.encode("a <|endoftext|> b", add_special_tokens=False).ids) == 4
+    some = ["a <|endoftext|> b", "none", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n", "<|endoftext", ""]
+    texts = [some[i % 6] + (f" {i}" if i % 5 else "") for i in range(300)]
+    bpe = K.ByteBpe(K.default_tokenizer())
+    for at in range(0, 300, 50):  # past the compared texts too
+        got = bpe.encode(texts[at : at + 50])
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts[at : at + 50]]
+    assert bpe.ranked is not None
+    row = K.pack(spark.createDataFrame([(1, some[0], None, None)], DOCS), K.default_tokenizer(), 64).first()
+    assert (row.length, row.ids_crc32) == (5, zlib.crc32(np.array(plain.encode(some[0], add_special_tokens=False).ids + [2], "<u4").tobytes()))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(max_size=40) | st.text(alphabet=ODD, max_size=40), min_size=1, max_size=8))
 def test_sentencepiece_parity(texts):

@@ -320,19 +320,22 @@ def _pivot_pairs(rows: DataFrame, num: int, den: int, forest: bool) -> DataFrame
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets have den * common >= num * union, as (u, v)."""
+    """The pairs (a, b) whose whole sets have den * common >= num * union, as (u, v).
+
+    An id that repeats with other texts has several sets; each is compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: OrderedDict[int, np.ndarray] = OrderedDict()
+        known: OrderedDict[tuple[int, bytes], np.ndarray] = OrderedDict()
 
         def set_of(doc: int, text: bytes) -> np.ndarray:
-            if doc in known:
-                known.move_to_end(doc)
-                return known[doc]
-            known[doc] = shingles(text, n)
+            key = doc, xxhash.xxh3_128_digest(text)
+            if key in known:
+                known.move_to_end(key)
+                return known[key]
+            known[key] = shingles(text, n)
             if len(known) > 64:
                 known.popitem(last=False)
-            return known[doc]
+            return known[key]
 
         for batch in batches:
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()

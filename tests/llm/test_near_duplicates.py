@@ -41,6 +41,20 @@ def test_few_pivots_lose_no_link(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == expected
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_each_text_of_a_repeated_id_links(spark, turn):
+    rng = random.Random(11)
+    rows = []
+    for k in range(6):
+        texts = [prose(rng, 120) for _ in range(3)]
+        rows += [(100 * k + 50, t, "en", "x") for t in texts] + [(100 * k + i + (60 if k % 2 else 10), near(rng, t, 1), "en", "x") for i, t in enumerate(texts)]
+    rows += hard_docs(3)
+    expected = plain(rows, 3, 90, 100)
+    assert all(len({expected[100 * k + i] for i in ((50, 60, 61, 62) if k % 2 else (10, 11, 12, 50))}) == 1 for k in range(6))
+    got = J.jaccard_classes(spark.createDataFrame(rows[::turn], DOCS).coalesce(1), 3, 90, 100).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.component_id for r in got if r.doc_id is not None} == expected
+
+
 def test_one_of_each_class_stays(spark):
     rows = hard_docs(2)
     kept = [r.doc_id for r in J.near_unique(spark.createDataFrame(rows, DOCS), 3, 90, 100).collect()]

@@ -11,6 +11,9 @@ from corpusflow.functions import venues as V
 from corpusflow.packs import VENUES, VenuePack
 
 
+BLOCK = 10_000
+
+
 def canary_status(canaries: DataFrame, papers: DataFrame) -> DataFrame:
     """(title, expected_venue, expected_year, found, actual_title, actual_venue, actual_year, relevance_level, ok)
     for canaries (title, venue, year) against papers (key, title, venue, year, relevance_level)."""
@@ -77,12 +80,12 @@ def apply_by_key(rows: DataFrame, results: DataFrame, key: str, fields: list[str
 def contained_titles(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
     """Pairs whose lowered texts are equal or one contains the other.
 
-    right must be a short list (search results for a title): it is checked to have at most 10,000 rows, and each
-    row of left is compared with them; over that the call is an error."""
-    if right.limit(10_001).count() > 10_000:
-        raise ValueError("the list to search in has more than 10,000 rows")
+    Each row of left is compared with each of right, as a list of search results for a title asks. Up to BLOCK rows
+    of right are broadcast; more are dealt into blocks of about that size, each of which meets all rows of left."""
     x, y = left.withColumn("__x", F.lower(X.squash(a))).where("__x <> ''"), right.withColumn("__y", F.lower(X.squash(b))).where("__y <> ''")
-    return x.join(F.broadcast(y), F.contains("__x", F.col("__y")) | F.contains("__y", F.col("__x"))).drop("__x", "__y")
+    most = right.count()
+    y = F.broadcast(y) if most <= BLOCK else y.repartition(-(-most // BLOCK)).hint("shuffle_replicate_nl")
+    return x.join(y, F.contains("__x", F.col("__y")) | F.contains("__y", F.col("__x"))).drop("__x", "__y")
 
 
 def index_links(pages: DataFrame, titles: DataFrame, link_text: str = "abs") -> DataFrame:

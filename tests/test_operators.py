@@ -171,3 +171,12 @@ def test_retries(spark):
     assert I.retry_delays() == [1, 2, 4] and I.retry_delays(8)[-1] == 30
     got = rows(spark, "s int", (429,), (500,), (599,), (404,), (200,)).select(I.retryable(F.col("s"))).collect()
     assert [r[0] for r in got] == [True, True, True, False, False]
+
+
+def test_contained_titles_of_a_long_list(spark):
+    left = spark.createDataFrame([(1, "One  Title 10004 and more"), (2, "title 7"), (3, ""), (4, None), (5, "nothing")], "i int, a string")
+    right = spark.range(20_005).select("id", F.concat(F.lit("Title "), "id", F.lit(" and")).alias("b"))
+    got = {(r.i, r.id) for r in J.contained_titles(left, right, "a", "b").collect()}
+    assert got == {(1, 10_004)} | {(2, n) for n in range(20_005) if str(n).startswith("7")}
+    few = right.where("id < 100")
+    assert {(r.i, r.id) for r in J.contained_titles(left, few, "a", "b").collect()} == {(i, n) for i, n in got if n < 100}

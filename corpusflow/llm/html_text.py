@@ -50,25 +50,41 @@ FRAME_NAMES = frozenset(
 FRAME_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog".split())
 COPY_SHARE = 0.5
 FRAME_ROLE, OPEN_ROLE, MAIN_ROLE = 0, 1, 2
+# What an element is: frame by its kind or role; by a name; a form; an article or main; anything else.
+HARD, NAMED, FORM, MARKED, PLAIN = range(5)
+# A form that holds one of these is around the page, not in it.
+PAGE_PARTS = frozenset(("h1", "nav", "header", "footer"))
 
 
-def _attributes(raw: str) -> tuple[set[str], str]:
-    """Words of class and id, and the role."""
-    words, role = set(), ""
+def _attributes(raw: str) -> tuple[bool, str]:
+    """Whether a whole token of class or id is made of names of the frame, and the role."""
+    named, role = False, ""
     for name, a, b, c in ATTRIBUTE.findall(raw):
-        value = (a or b or c).lower()
+        value = a or b or c
         if name.lower() == "role":
-            role = value
-        else:
-            words.update(w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", a or b or c).lower()) if w)
-    return words, role
+            role = value.lower()
+            continue
+        for token in value.split():
+            words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()) if w]
+            named |= bool(words) and FRAME_NAMES.issuperset(words)
+    return named, role
 
 
 def lines_of(page: str) -> list[tuple[str, int]]:
-    """(line, role) for each block with text, in page order. White space in a line is one space."""
+    """(line, role) for each block with text, in page order. White space in a line is one space.
+
+    Class and id don't make an article or main the frame, nor an element that holds one which is in no other;
+    nor are forms the frame that hold one, or, without such a name, the page's heading, menu, header or footer."""
+    out, wrappers = _parsed(page, frozenset())
+    return _parsed(page, wrappers)[0] if wrappers else out
+
+
+def _parsed(page: str, spared: frozenset[int]) -> tuple[list[tuple[str, int]], frozenset[int]]:
+    """Lines, and where the start tags of wrappers are that were taken for the frame. Tags at spared are not."""
+    wrappers: set[int] = set()
     out: list[tuple[str, int]] = []
     parts: list[str] = []
-    stack: list[tuple[str, int]] = []  # elements, with the role of what they hold
+    stack: list[tuple[str, int, int, int]] = []  # elements: name, role of what they hold, what they are, start
     role, at = OPEN_ROLE, 0
 
     def close_block() -> None:
@@ -93,7 +109,7 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         if m[1] or m[4]:
             open_at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             if open_at is not None:
-                if name in INLINE and any(n not in INLINE for n, _ in stack[open_at + 1 :]):
+                if name in INLINE and any(x[0] not in INLINE for x in stack[open_at + 1 :]):
                     continue  # an inline end tag does not end blocks
                 del stack[open_at:]
                 new = stack[-1][1] if stack else OPEN_ROLE
@@ -115,19 +131,30 @@ def lines_of(page: str) -> list[tuple[str, int]]:
         role_now = stack[-1][1] if stack else OPEN_ROLE
         if name in VOID:
             continue
-        new, raw = role_now, m[3] or m[6] or ""
-        if role_now != FRAME_ROLE:
-            words, said = _attributes(raw) if "=" in raw else (set(), "")
-            frame = name in FRAME or name in OUTER_FRAME and role_now != MAIN_ROLE or said in FRAME_ROLES or name not in ("html", "body", "main") and bool(words & FRAME_NAMES)
-            new = FRAME_ROLE if frame else MAIN_ROLE if name in ("article", "main") or said in ("main", "article") else role_now
-        stack.append((name, new))
+        raw = m[3] or m[6] or ""
+        named, said = _attributes(raw) if "=" in raw else (False, "")
+        marked = name in ("article", "main") or said in ("main", "article")
+        if name in FRAME and name != "form" or name in OUTER_FRAME and role_now != MAIN_ROLE or said in FRAME_ROLES:
+            kind = HARD
+        elif m.start() in spared or marked or name in ("html", "body"):
+            kind = MARKED if marked else PLAIN
+        else:
+            kind = NAMED if named else FORM if name == "form" else PLAIN
+        if (marked or name in PAGE_PARTS) and any(x[2] in (NAMED, FORM) for x in stack):
+            above = {x[2] for x in stack}
+            if marked and kind == MARKED and not above & {HARD, MARKED}:
+                wrappers.update(x[3] for x in stack if x[2] in (NAMED, FORM))
+            elif not marked and not above & {HARD, MARKED, NAMED}:
+                wrappers.update(x[3] for x in stack if x[2] == FORM)
+        new = FRAME_ROLE if role_now == FRAME_ROLE or kind in (HARD, NAMED, FORM) else MAIN_ROLE if marked else role_now
+        stack.append((name, new, kind, m.start()))
         if new != role:
             close_block()
             role = new
     if at < len(page):
         parts.append(html.unescape(page[at:]))
     close_block()
-    return out
+    return out, frozenset(wrappers)
 
 
 def aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:

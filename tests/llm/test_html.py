@@ -18,6 +18,20 @@ def test_markup_decides():
     assert H.main_text(lines, None, None).split("\n\n") == ["Head & line", "By me", "One two three", "Next one link.", "a", "b", "1", "2"]
 
 
+def test_names_of_wrappers_do_not_decide():
+    text = lambda page: H.main_text(H.lines_of(page), None, None).split("\n\n")
+    article = "<article{}><h1>Head</h1><p>Body</p><div class='share'>Share</div></article>"
+    for name in ("has-sidebar", "no-comments", "sidebar", "search", "post category-legal", "Comments"):
+        assert text(f"<body><nav>Menu</nav><div class='{name}'><p>Out</p><div id=ad>{article.format('')}</div></div></body>") == ["Head", "Body"]
+        assert text(f"<body><div class='{name}'><main><p>Body</p></main></div>") == ["Body"]
+        assert text("<body>" + article.format(f" class='{name}'")) == ["Head", "Body"]
+    assert text(f"<body><form action=x>{article.format('')}</form>") == ["Head", "Body"]
+    assert text("<body><form id=aspnetForm><nav>Menu</nav><p>Body</p><form class=search><p>Find</p></form></form>") == ["Body"]
+    assert text("<body><form><h1>Head</h1><p>Body</p></form>") == ["Head", "Body"]
+    assert text("<div class='no-comments'><p>Body</p><div class='cookie-banner'>Accept</div><div id='comments'>Nice</div><form><p>Mail</p></form></div>") == ["Body"]
+    assert text("<aside><article>Teaser</article></aside><main><p>Body</p><div class=comments><article>Nice</article></div></main>") == ["Body"]
+
+
 def test_broken_markup():
     assert H.lines_of("") == [] and H.lines_of("plain &lt;text") == [("plain <text", H.OPEN_ROLE)]
     assert [x for x, _ in H.lines_of("<article><p>cut off &am")] == ["cut off &am"]

@@ -13,6 +13,11 @@ from pyspark.sql import types as T
 
 from corpusflow.session import delete, new_path, ship
 
+#: Edges that a task of components() holds, and the neighbours from which on a node is a hub.
+EDGES = 1_000_000
+HUB = 100_000
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df to the shared folder and read it back."""
     spark = df.sparkSession
@@ -68,36 +73,100 @@ def splitmix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """Connected components of edges (u long, v long) as (node, component): the
-    smallest node of each component, for every node that has an edge.
+def contracted(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the edges (u, v) that aren't the smallest of their component, and that smallest node."""
+    ids, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b, top = at[: len(u)], at[len(u) :], np.arange(len(ids))
+    while True:
+        x, y = top[a], top[b]
+        open_ = x != y
+        if not open_.any():
+            break
+        a, b, x, y = a[open_], b[open_], x[open_], y[open_]
+        np.minimum.at(top, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(top, up := top[top]):
+            top = up
+    moved = top != np.arange(len(ids))
+    return ids[moved], ids[top[moved]]
 
-    Alternating large-star and small-star rounds (Kiveris et al., 2014): each
-    round is a map-side combined minimum and an equi-join, so a hub's
-    neighbours are never gathered in one row or task, and the number of rounds
-    grows with the logarithm of the longest path. Each round is written to the
-    shared folder, which cuts the lineage."""
 
-    def tidy(df: DataFrame) -> DataFrame:
-        return df.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+def _contract(edges: DataFrame) -> DataFrame:
+    """Edges (u, v) with u > v that connect what edges connects: each task holds EDGES of
+    them at a time and gives one edge for each node that isn't the smallest of its part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def give() -> pa.RecordBatch:
+            u, v = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in (0, 1))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in contracted(u, v)], ["u", "v"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+            if sum(b.num_rows for b in held) >= EDGES:
+                yield give()
+        if held:
+            yield give()
+
+    return edges.mapInArrow(run, "u long, v long")
 
-    def state(df: DataFrame):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
-    now = materialize(tidy(edges), "cc")
-    before = state(now)
-    while before[0]:
+def components(edges: DataFrame) -> DataFrame:
+    """Connected components of edges (u long, v long) as a written table (node, component): the
+    smallest node of each component, for every node that has an edge. Nulls link nothing.
+
+    Each task first contracts up to EDGES edges by itself; a graph of fewer is done then. What is left
+    goes through alternating large-star and small-star rounds (Kiveris et al., 2014), whose number
+    grows with the logarithm of the longest path. A round is a map-side combined minimum and
+    an equi-join. Nodes of more than HUB neighbours meet them by a broadcast of these few nodes
+    (at most edges / HUB), so that no task gets a hub's neighbours together. Each round is written to the
+    shared folder, which cuts the lineage."""
+    ship(edges.sparkSession)
+    raw = materialize(edges.where("u <> v").select("u", "v"), "cc")
+    # As many tasks as EDGES asks for; files are read together until then.
+    now = materialize(_contract(raw.coalesce(-(-(raw.count() + 1) // EDGES))), "cc")
+    release(raw)
+
+    def met(rows: DataFrame, low: DataFrame) -> DataFrame:
+        """rows (u, v) with m of low (u, m, n)."""
+        hubs = F.broadcast(low.where(F.col("n") > HUB).select("u", F.col("m").alias("__m")))
+        both = rows.join(hubs, "u", "left")
+        return both.where("__m IS NOT NULL").select("u", "v", F.col("__m").alias("m")).union(both.where("__m IS NULL").select("u", "v").join(low.select("u", "m"), "u"))
+
+    while _is_open(now):
         both = now.union(now.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = met(both, low).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = met(large, low).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         nxt = materialize(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
-        after = state(nxt)
         release(now)
         now = nxt
-        if after == before:
-            break
-        before = after
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots.distinct())
+    out = materialize(now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots.distinct()), "cc")
+    release(now)
+    return out
+
+
+def _is_open(edges: DataFrame) -> bool:
+    """Whether edges (u, v) are not yet stars: a node has two edges up, or an edge up and one down."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not ends.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
+
+
+def joined(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components (node, component) of all links so far, from those before links (u, v) came.
+    Links are contracted to components first, so the work is that of what is new. comp is released."""
+    if comp is None:
+        return components(links)
+    x, y = (comp.select(F.col("node").alias(e), F.col("component").alias(f"c{e}")) for e in ("u", "v"))
+    ends = links.join(x, "u", "left").join(y, "v", "left").select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
+    now = components(ends)
+    parts = now.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    old = comp.join(parts, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    out = materialize(old.union(now.join(comp, "node", "left_anti").select("node", "component")), "cc")
+    release(comp, now)
+    return out

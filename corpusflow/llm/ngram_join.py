@@ -7,18 +7,21 @@ into n1 groups of PARTS parts; if k < 2 * n1, some group differs in at most one
 its parts but one are equal, and each subset of PARTS - 1 parts is a signature.
 
 Groups in which a set has few elements make weak signatures that many sets
-share. A set whose strong groups alone number more than k / 2 emits these only: if a
-partner differed by two elements in each of them, it would differ by more than k, so some strong
-group still matches. Other sets emit all groups. No pair is lost either way.
+share. A set whose strong groups alone number more than k / 2 emits these only, other sets emit all
+groups. No pair is lost. Let A and B have no signature in common. Whether a group is strong depends on what the
+set has in it, so a group that is strong in one of them only differs by an element at least,
+and one that both emit by two. If both emit strong groups only, they differ by |strong in A| + |strong
+in B| > k elements at least; if one emits all, by two in each strong group of the other, again more than k; if both do, by
+two in each of the n1 groups.
 
 Sets that share a signature are candidates. Signatures with the same members count once.
 Within a signature a parity sketch (bit h mod B flipped for every element h) bounds the difference
-of two sets from below, so it only drops pairs that cannot link. Pairs are first
-drawn as forests of what the sketches let pass, then, between sets that the links
-found have not brought into one component, all that pass. What decides is the exact
-comparison of whole sets. A signature's sets are compared with a bounded number of
-pivots at a time, in as many rounds as it takes; so the components are those
-of all links, and no signature's sets are paired all with all.
+of two sets from below, so it only drops pairs that cannot link. What decides is the exact
+comparison of whole sets. A signature's sets are dealt into chunks. At first each chunk meets itself and the
+first one, and forests of what the sketches let pass are drawn and compared. A signature is done once its sets are one
+component, or if it is one chunk and its forest held. For the rest, chunks of the sets outside the largest
+component meet all other chunks, each pair of chunks a task, and the closest pairs between different
+components are drawn, more in every round until none was left out. So the components are those of all links.
 """
 
 from __future__ import annotations
@@ -33,13 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import bounded, components, materialize, release, ship, splitmix, text_bytes, without
+from corpusflow.llm.common import bounded, joined, materialize, release, ship, splitmix, text_bytes, without
 
 WORD_CACHE = 100_000
 BAND = 1.25
 MARGIN = 1.15
 PARTS = 2
-PIVOTS = 512
+CHUNK = 512
+MOST = 4
 MEMBERS = 4096
 SLICE = 512
 
@@ -136,9 +140,9 @@ def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def sketch(s: np.ndarray, k: int) -> bytes:
-    """Parities of the elements' counts in B places, B a power of two of about 8 k.
-    Half of it xor the other half is the sketch for B / 2."""
-    bits = max(64, 1 << (8 * k - 1).bit_length())
+    """Parities of the elements' counts in B places, B a power of two of about 8 k, 2^17 (16 KB) at
+    most. Half of it xor the other half is the sketch for B / 2."""
+    bits = min(1 << 17, max(64, 1 << (8 * k - 1).bit_length()))
     odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -256,67 +260,122 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.repartition("sig").sortWithinPartitions("sig", "s1").mapInArrow(run, "key long, s1 long")
 
 
-class _Pivots:
-    """The first PIVOTS sets of a key, with components that merge as pairs are drawn."""
-
-    def __init__(self):
-        self.rep, self.n, self.comp = (np.zeros(0, np.int64) for _ in range(3))
-        self.raw: list[bytes] = []
-
-    def add(self, rep: np.ndarray, n: np.ndarray, comp: np.ndarray, raw: list[bytes]) -> None:
-        self.rep, self.n, self.comp = np.append(self.rep, rep), np.append(self.n, n), np.append(self.comp, comp)
-        self.raw += raw
-
-
-def _pairs(p: _Pivots, first: int, rep: np.ndarray, n: np.ndarray, comp: np.ndarray, raw: list[bytes], num: int, den: int, forest: bool) -> list[tuple[int, int]]:
-    """Pairs of a pivot and a later set that sizes and sketches let pass and whose components
-    differ. first is the place of rep[0] among the key's sets. With forest, a set gets one pair with each component, and both merge."""
-    both = folded(p.raw + raw)
-    pivots, words = both[: len(p.raw)], both[len(p.raw) :]
-    out, place = [], np.arange(len(p.rep))
-    for lo in range(0, len(rep), 64):
-        hi = min(lo + 64, len(rep))
-        differ = np.bitwise_count(words[lo:hi, None, :] ^ pivots[None]).sum(2, dtype=np.int64)
-        sizes = n[lo:hi, None] + p.n[None]
-        ok = (differ <= sizes * (den - num) // (den + num)) & (np.minimum(n[lo:hi, None], p.n[None]) * den >= np.maximum(n[lo:hi, None], p.n[None]) * num)
-        ok &= place[None] < first + np.arange(lo, hi)[:, None]
+def _meets(groups: DataFrame, sizes: DataFrame) -> DataFrame:
+    """groups (key, rep, ...) with (x, y, side): the tasks in which the sets of a key meet, for the first round.
+
+    The sets of a key are dealt into chunks of about CHUNK by their hash. A task is a chunk with itself (side 1) and
+    with the key's first chunk (side 0), so rows are doubled at most. sizes has (key, size) of larger keys."""
+    rows = groups.join(bounded(sizes), "key", "left").withColumn("chunks", F.ceil(F.coalesce("size", F.lit(1)) / CHUNK))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("chunks")))
+    rows = rows.withColumn("y", F.explode(F.when(F.col("own") == 0, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("own"))))
+    return rows.withColumns({"x": F.lit(0), "side": F.when(F.col("own") == F.col("y"), 1).otherwise(0)}).drop("size", "chunks", "own")
+
+
+def _meets_again(groups: DataFrame, sizes: DataFrame) -> DataFrame:
+    """groups (key, rep, comp, ...) with (x, y, side): the tasks in which sets of different components meet.
+
+    sizes has (key, size, major, others): a key's sets, its largest component and the sets outside it. Sets of
+    the largest component need not meet each other, so every chunk of the others meets all chunks."""
+    rows = groups.join(sizes, "key")
+    one, out = F.col("size") <= CHUNK, F.col("comp") != F.col("major")
+    few = F.when(one, 1).otherwise(F.ceil(F.col("others") / CHUNK))
+    many = F.when(one, 0).otherwise(F.ceil((F.col("size") - F.col("others")) / CHUNK))
+    rows = rows.withColumns({"few": few, "many": many})
+    at = F.pmod(F.xxhash64("rep"), F.when(out | one, F.col("few")).otherwise(F.col("many")))
+    rows = rows.withColumn("own", at + F.when(out | one, 0).otherwise(F.col("few")))
+    last = F.when(F.col("own") < F.col("few"), F.col("few") + F.col("many") - 1).otherwise(F.col("few") - 1)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    side = F.when(F.col("own") == F.col("other"), 1).when(F.col("own") < F.col("other"), 0).otherwise(2)
+    return rows.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other"), "side": side}).drop(*sizes.columns[1:], "few", "many", "own", "other")
+
+
+def _pairs(n: np.ndarray, comp: np.ndarray, side: np.ndarray, words: np.ndarray, num: int, den: int, most: int) -> tuple[list[tuple[int, int]], bool]:
+    """Places of pairs whose sizes and sketches may link, whose components differ and whose sides may meet.
+
+    With most = 0 they are a forest: a set gets one pair with each component, and both become one. Else a set gets
+    the `most` pairs of least difference with each component; the second value tells whether others were left."""
+    out, cut = [], False
+    comp = comp.copy()
+    for lo in range(0, len(n), 64):
+        hi = min(lo + 64, len(n))
+        differ = np.bitwise_count(words[lo:hi, None, :] ^ words[None, :hi]).sum(2, dtype=np.int64)
+        mine, theirs = n[lo:hi, None], n[None, :hi]
+        ok = (differ <= (mine + theirs) * (den - num) // (den + num)) & (np.minimum(mine, theirs) * den >= np.maximum(mine, theirs) * num)
+        ok &= (np.arange(hi)[None] < np.arange(lo, hi)[:, None]) & ((side[lo:hi, None] != side[None, :hi]) | (side[None, :hi] == 1))
         for i in np.nonzero(ok.any(1))[0].tolist():
-            own = int(p.comp[first + lo + i]) if first + lo + i < len(p.comp) else int(comp[lo + i])
-            near = np.nonzero(ok[i] & (p.comp != own))[0]
+            near = np.nonzero(ok[i])[0]
+            near = near[comp[near] != comp[lo + i]]
             if not len(near):
                 continue
-            if forest:
-                _, at = np.unique(p.comp[near], return_index=True)
+            if not most:
+                _, at = np.unique(comp[near], return_index=True)
                 near = near[at]
-                p.comp[np.isin(p.comp, p.comp[near])] = own
-            out += [(int(a), int(rep[lo + i])) for a in p.rep[near]]
-    return out
+                comp[np.isin(comp, comp[near])] = comp[lo + i]
+            elif len(near) > most:
+                near = near[np.lexsort((differ[i, near], comp[near]))]
+                first = np.searchsorted(comp[near], comp[near])
+                keep = np.arange(len(near)) - first < most
+                cut |= not keep.all()
+                near = near[keep]
+            out += [(j, lo + i) for j in near.tolist()]
+    return out, cut
+
+
+def _draw(rows: DataFrame, num: int, den: int, most: int) -> DataFrame:
+    """From (key, x, y, side, rep, n, comp, sketch): (key, a, b), a < b, the pairs that each task (key, x, y) draws,
+    and (key, null, null) if it left others. A task's rows are held: about two chunks."""
+    columns = ["rep", "n", "comp", "side"]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        at = None
+        keys, firsts, seconds = [], [], []
 
-def _pivot_pairs(rows: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
-    """From (key, rep, n, comp, sketch): (key, a, b) pairs of sets a key has, and, with
-    a null, (key, null, rep) for the sets beyond its pivots, for the next round."""
+        def close() -> None:
+            if not held:
+                return
+            rep, n, comp, side = (np.concatenate([h[0][k] for h in held]) if len(held) > 1 else held[0][0][k] for k in range(4))
+            raw = [x for h in held for x in h[1].to_pylist()]
+            held.clear()
+            if len(rep) < 2 or (comp == comp[0]).all():
+                return
+            pairs, cut = _pairs(n, comp, side, folded(raw), num, den, most)
+            for i, j in pairs:
+                keys.append(at[0])
+                firsts.append(min(int(rep[i]), int(rep[j])))
+                seconds.append(max(int(rep[i]), int(rep[j])))
+            if cut:
+                keys.append(at[0])
+                firsts.append(None)
+                seconds.append(None)
+
+        def give() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (keys, firsts, seconds)], ["key", "a", "b"])
+            for c in (keys, firsts, seconds):
+                c.clear()
+            return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, p, seen = None, _Pivots(), 0
         for batch in batches:
-            key, rep, n, comp = (batch.column(c).to_numpy() for c in ("key", "rep", "n", "comp"))
-            raw = batch.column("sketch").to_pylist()
-            keys, firsts, seconds = [], [], []
-            edges = _runs(key)
-            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if at is None or at != key[lo]:
-                    at, p, seen = int(key[lo]), _Pivots(), 0
-                more = min(hi, lo + PIVOTS - len(p.rep))
-                p.add(rep[lo:more], n[lo:more], comp[lo:more], raw[lo:more])
-                pairs = _pairs(p, seen, rep[lo:hi], n[lo:hi], comp[lo:hi], raw[lo:hi], num, den, forest)
-                seen += hi - lo
-                keys += [at] * (len(pairs) + hi - more)
-                firsts += [min(x) for x in pairs] + [None] * (hi - more)
-                seconds += [max(x) for x in pairs] + rep[more:hi].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(firsts, pa.int64()), pa.array(seconds, pa.int64())], ["key", "a", "b"])
-
-    return rows.select("key", "rep", "n", "comp", "sketch").repartition("key").sortWithinPartitions("key", "rep").mapInArrow(run, "key long, a long, b long")
+            if not batch.num_rows:
+                continue
+            place = [batch.column(c).to_numpy() for c in ("key", "x", "y")]
+            values, sketches = [batch.column(c).to_numpy() for c in columns], batch.column("sketch")
+            differ = np.any([p[1:] != p[:-1] for p in place], axis=0)
+            edges = np.concatenate([[0], np.nonzero(differ)[0] + 1, [batch.num_rows]]).tolist()
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                now = tuple(int(p[lo]) for p in place)
+                if now != at:
+                    close()
+                    at = now
+                held.append(([v[lo:hi] for v in values], sketches.slice(lo, hi - lo)))
+            if keys:
+                yield give()
+        close()
+        if keys:
+            yield give()
+
+    dealt = rows.select("key", "x", "y", *columns, "sketch").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "rep")
+    return dealt.mapInArrow(run, "key long, a long, b long")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -369,69 +428,82 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
 
     shared = materialize(_shared(_signed(docs, n, num, den)).distinct(), "jaccard-shared")
     # Two sets of one s1 would both be found here and compared like others.
-    left = materialize(shared.join(reps.select("s1", "rep"), "s1").select("key", "rep"), "jaccard-groups")
-    wanted = materialize(left.select(F.col("rep").alias("doc_id")).distinct(), "jaccard-wanted")
+    groups = materialize(shared.join(reps.select("s1", "rep"), "s1").select("key", "rep"), "jaccard-groups")
+    wanted = materialize(groups.select(F.col("rep").alias("doc_id")).distinct(), "jaccard-wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(bounded(wanted), "doc_id", "left_semi")
     texts = materialize(texts, "jaccard-texts")
-    temporary = [reps, copies, shared, wanted, texts]
-
-    links, tried, comp = copies, None, None
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sets are not in one component yet."""
-        if comp is None:
-            return pairs
-        x, y = comp.select(F.col("node").alias("a"), F.col("component").alias("__ca")), comp.select(F.col("node").alias("b"), F.col("component").alias("__cb"))
-        out = pairs.join(x, "a", "left").join(y, "b", "left")
-        return out.where(F.coalesce("__ca", "a") != F.coalesce("__cb", "b")).select(pairs.columns)
-
-    def compare(pairs: DataFrame) -> None:
-        """Compare whole sets of pairs that were not tried before, and renew the components."""
-        nonlocal links, tried, comp
-        fresh = pairs.select("a", "b").distinct()
-        fresh = materialize(fresh if tried is None else fresh.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
-        temporary.append(fresh)
-        if not fresh.isEmpty():
-            own = texts
-            if tried is not None:  # later rounds need few texts
-                ids = materialize(fresh.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "jaccard-ids")
-                temporary.append(ids)
-                own = texts.join(bounded(ids), "doc_id", "left_semi")
-            found = materialize(_verify(fresh, own, n, num, den), "jaccard-links")
-            temporary.append(found)
-            links = links.union(found)
-        tried = fresh if tried is None else tried.union(fresh)
-        comp = components(links)
-
+    release(shared, wanted)
+    about = reps.select("rep", "n", "sketch")
+    links = _Links(texts, copies, n, num, den)
+
+    # Every two sets of a task are compared by size and sketch. What passes is drawn as a forest; if
+    # all its trees hold, so do the components. A pair brings two texts together, so at first each set gets one; then
+    # those follow that are still apart.
+    large = materialize(groups.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > CHUNK), "jaccard-large")
+    step = materialize(_draw(_meets(groups.withColumn("comp", F.col("rep")).join(about, "rep"), large), num, den, 0), "jaccard-step")
+    pairs = materialize(step.select("a", "b").distinct(), "jaccard-drawn")
+    links.compare(pairs.groupBy("b").agg(F.min("a").alias("a")))
+    links.compare(links.apart(pairs))
+    # Keys of a pair that did not link may have others between the same components, and chunks of large keys have met
+    # the first only. Of these keys the ones that are not yet one component go on.
+    again = step.join(links.apart(pairs), ["a", "b"], "left_semi").select("key").union(large.select("key")).distinct()
+    most = MOST
     while True:
-        # Every two sets of a key that its pivots let meet are compared by size and sketch, once. What passes is
-        # drawn as a forest; if all its trees hold, so do the components, and the key is done.
-        known = left.withColumn("comp", F.col("rep")) if comp is None else left.join(comp, left.rep == comp.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-        step = materialize(_pivot_pairs(known.join(reps.select("rep", "n", "sketch"), "rep"), num, den, True), "jaccard-step")
-        temporary.append(step)
-        drawn = step.where("a IS NOT NULL")
-        pairs = materialize(drawn.select("a", "b").distinct(), "jaccard-drawn")
-        # A pair brings two texts together, so at first each set gets one; then those follow that are still apart.
-        compare(apart(pairs).groupBy("b").agg(F.min("a").alias("a")))
-        compare(apart(pairs))
-        # Keys of a pair that did not link may have others between the same components: these are compared one and all.
-        torn = materialize(drawn.join(apart(pairs), ["a", "b"], "left_semi").select("key").distinct(), "jaccard-torn")
-        known = left.join(bounded(torn), "key").join(comp, left.rep == comp.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-        rest_step = materialize(_pivot_pairs(known.join(reps.select("rep", "n", "sketch"), "rep"), num, den, False), "jaccard-step")
-        temporary += [pairs, torn, rest_step]
-        compare(apart(rest_step.where("a IS NOT NULL")))
-        rest = step.where("a IS NULL").select("key", F.col("b").alias("rep"))
-        if rest.isEmpty():
+        todo = materialize(links.named(groups.join(again, "key", "left_semi")), "jaccard-todo")
+        parts = todo.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
+        sizes = parts.agg(F.sum("c").alias("size"), F.max_by("comp", "c").alias("major"), (F.sum("c") - F.max("c")).alias("others"))
+        sizes = materialize(sizes.where("others > 0"), "jaccard-sizes")
+        release(step, pairs)
+        step = materialize(_draw(_meets_again(todo.join(about, "rep"), sizes), num, den, most), "jaccard-step")
+        pairs = materialize(step.where("a IS NOT NULL").select("a", "b").distinct(), "jaccard-drawn")
+        links.compare(pairs)
+        release(todo, sizes)
+        again, most = step.where("a IS NULL").select("key").distinct(), 8 * most
+        if again.isEmpty():
             break
-        temporary.append(left)
-        left = materialize(left.join(rest, ["key", "rep"], "left_semi"), "jaccard-groups")
-    comp = comp.groupBy("node").agg(F.min("component").alias("component_id")).withColumnRenamed("node", "doc_id")
+    comp = links.comp.withColumnsRenamed({"node": "doc_id", "component": "component_id"})
     out = sets.select("doc_id", "n_shingles").join(comp, "doc_id", "left")
     out = materialize(out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")), "jaccard-classes")
-    release(sets, left, *temporary)
+    release(sets, reps, copies, groups, texts, large, step, pairs, links.comp, *links.tried)
     return out
 
 
+class _Links:
+    """Pairs compared so far and the components (node, component) of those that link, copies of one set from the start."""
+
+    def __init__(self, texts: DataFrame, copies: DataFrame, n: int, num: int, den: int):
+        self.texts, self.copies, self.rule = texts, copies, (n, num, den)
+        self.comp: DataFrame | None = None
+        self.tried: list[DataFrame] = []
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose sets are not in one component yet."""
+        x, y = (self.comp.select(F.col("node").alias(e), F.col("component").alias(f"__c{e}")) for e in ("a", "b"))
+        out = pairs.join(x, "a", "left").join(y, "b", "left")
+        return out.where(F.coalesce("__ca", "a") != F.coalesce("__cb", "b")).select(pairs.columns)
+
+    def named(self, groups: DataFrame) -> DataFrame:
+        """groups (key, rep) with comp, the component of each set."""
+        return groups.join(self.comp, groups.rep == self.comp.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+
+    def compare(self, pairs: DataFrame) -> None:
+        """Compare the whole sets of pairs (a, b) that were not tried before."""
+        for before in self.tried:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        fresh = materialize(pairs.select("a", "b"), "jaccard-pairs")
+        first = not self.tried
+        self.tried.append(fresh)
+        if not first and fresh.isEmpty():
+            return
+        texts, ids = self.texts, None
+        if not first:  # later rounds need few texts
+            ids = materialize(fresh.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "jaccard-ids")
+            texts = texts.join(bounded(ids), "doc_id", "left_semi")
+        found = materialize(_verify(fresh, texts, *self.rule), "jaccard-links")
+        self.comp = joined(self.comp, found.union(self.copies) if first else found)
+        release(found, *([ids] if ids else []))
+
+
 def near_unique(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """docs with one document left of each class: that of the smallest doc_id. Rows
     that repeat the kept doc_id stay, rows of a null doc_id too."""

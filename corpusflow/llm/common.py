@@ -3,6 +3,8 @@ Arrow plumbing, hashing and distributed connected components."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,6 +36,17 @@ def release(*tables: DataFrame) -> None:
         delete(df.sparkSession, df.written_to)
 
 
+def release_at_exit(*tables: DataFrame) -> None:
+    """Delete tables that a returned DataFrame still reads when this program ends."""
+    for df in tables:
+        atexit.register(_release_late, df)
+
+
+def _release_late(df: DataFrame) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone: then the folder's owner cleans up
+        release(df)
+
+
 def bounded(ids: DataFrame, most: int = 1_000_000) -> DataFrame:
     """ids, a narrow written table, marked for a broadcast if it has at most `most` rows (some
     20 MB), for a merge join beyond that."""
@@ -113,9 +126,9 @@ def _contract(edges: DataFrame) -> DataFrame:
     return edges.mapInArrow(run, "u long, v long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """Connected components of edges (u long, v long) as a written table (node, component): the
-    smallest node of each component, for every node that has an edge. Nulls link nothing.
+def stars(edges: DataFrame) -> DataFrame:
+    """Connected components of edges (u long, v long) as a written table (node, component): the smallest node of
+    its component for every node that isn't that node itself. Nulls link nothing.
 
     Each task first contracts up to EDGES edges by itself; a graph of fewer is done then. What is left
     goes through alternating large-star and small-star rounds (Kiveris et al., 2014), whose number
@@ -125,8 +138,9 @@ def components(edges: DataFrame) -> DataFrame:
     shared folder, which cuts the lineage."""
     ship(edges.sparkSession)
     raw = materialize(edges.where("u <> v").select("u", "v"), "cc")
+    count = raw.count()
     # As many tasks as EDGES asks for; files are read together until then.
-    now = materialize(_contract(raw.coalesce(-(-(raw.count() + 1) // EDGES))), "cc")
+    now = materialize(_contract(raw.coalesce(max(1, -(-count // EDGES)))), "cc")
     release(raw)
 
     def met(rows: DataFrame, low: DataFrame) -> DataFrame:
@@ -135,7 +149,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = rows.join(hubs, "u", "left")
         return both.where("__m IS NOT NULL").select("u", "v", F.col("__m").alias("m")).union(both.where("__m IS NULL").select("u", "v").join(low.select("u", "m"), "u"))
 
-    while _is_open(now):
+    while count > EDGES and _is_open(now):
         both = now.union(now.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
         large = met(both, low).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -144,9 +158,8 @@ def components(edges: DataFrame) -> DataFrame:
         nxt = materialize(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
         release(now)
         now = nxt
-    roots = now.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    out = materialize(now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots.distinct()), "cc")
-    release(now)
+    out = now.withColumnsRenamed({"u": "node", "v": "component"})
+    out.written_to = now.written_to
     return out
 
 
@@ -157,16 +170,22 @@ def _is_open(edges: DataFrame) -> bool:
     return not ends.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): stars() with a row for every node that has an edge to another."""
+    out = stars(edges)
+    return out.union(out.select("component", "component").distinct())
+
+
 def joined(comp: DataFrame | None, links: DataFrame) -> DataFrame:
-    """The components (node, component) of all links so far, from those before links (u, v) came.
-    Links are contracted to components first, so the work is that of what is new. comp is released."""
+    """stars() of all links so far, from those before links (u, v) came, which are released.
+    Links are contracted to components first, so the work is that of what is new."""
     if comp is None:
-        return components(links)
-    x, y = (comp.select(F.col("node").alias(e), F.col("component").alias(f"c{e}")) for e in ("u", "v"))
+        return stars(links)
+    x, y = (bounded(comp.select(F.col("node").alias(e), F.col("component").alias(f"c{e}"))) for e in ("u", "v"))
     ends = links.join(x, "u", "left").join(y, "v", "left").select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
-    now = components(ends)
-    parts = now.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    now = stars(ends)
+    parts = bounded(now.select(F.col("node").alias("component"), F.col("component").alias("to")))
     old = comp.join(parts, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
-    out = materialize(old.union(now.join(comp, "node", "left_anti").select("node", "component")), "cc")
+    out = materialize(old.union(now.select("node", "component")), "cc")
     release(comp, now)
     return out

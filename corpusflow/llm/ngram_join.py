@@ -36,14 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import bounded, joined, materialize, release, ship, splitmix, text_bytes, without
+from corpusflow.llm.common import bounded, joined, materialize, release, release_at_exit, ship, splitmix, text_bytes, without
 
 WORD_CACHE = 100_000
 BAND = 1.25
 MARGIN = 1.15
 PARTS = 2
-CHUNK = 512
-MOST = 4
+CHUNK = 256
+MOST = 16
 MEMBERS = 4096
 SLICE = 512
 
@@ -204,23 +204,35 @@ def _runs(key: np.ndarray) -> np.ndarray:
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """(key, s1): the distinct sets of every signature that has several. Up to
-    MEMBERS sets the key is a hash of the members, so signatures with the same
-    members have one key; beyond, it is the signature. Rows come sorted by signature
-    and set and are streamed; MEMBERS rows are held at most."""
+    """(key, y, side, s1): the distinct sets of every signature that has several, dealt to the tasks (key, y) of the first round.
+
+    A signature's sets are cut into chunks of CHUNK. A task is a chunk with itself (side 1) and, after the
+    first, with the first chunk (side 0), so rows are doubled at most. Up to MEMBERS sets the key is a hash of the
+    members, so signatures with the same members have one key; beyond, it is the signature.
+    Rows come sorted by signature and set, sets being hashes, and are streamed; MEMBERS rows are held at
+    most. A very common signature is one in a hundred or so of each set's, and costs its task a pass over its rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, large, done = None, [], False, OrderedDict()
-        keys: list[np.ndarray] = []
-        sets: list[np.ndarray] = []
+        at, held, done = None, [], OrderedDict()
+        seen, first = 0, np.zeros(0, np.int64)  # of a signature of more than MEMBERS sets: those given so far, its first chunk
+        out: list[tuple[int, int, int, np.ndarray]] = []
 
         def give(key: int, members: np.ndarray) -> None:
-            keys.append(np.full(len(members), key, np.int64))
-            sets.append(members)
+            """Deal the next members of a signature."""
+            nonlocal seen, first
+            for lo in range(0, len(members), CHUNK):
+                some, y = members[lo : lo + CHUNK], (seen + lo) // CHUNK
+                if y:
+                    out.append((key, y, 0, first))
+                else:
+                    first = some
+                out.append((key, y, 1, some))
+            seen += len(members)
 
         def close() -> None:
+            nonlocal seen, first
             members = np.concatenate(held) if held else np.zeros(0, np.int64)
-            if large:
+            if seen:
                 give(at, members)
             elif len(members) > 1:
                 key = int.from_bytes(xxhash.xxh3_64_digest(members.tobytes()), "little", signed=True)
@@ -229,6 +241,13 @@ def _shared(rows: DataFrame) -> DataFrame:
                     if len(done) > 100_000:
                         done.popitem(last=False)
                     give(key, members)
+            seen, first = 0, np.zeros(0, np.int64)
+
+        def rows_out() -> pa.RecordBatch:
+            sizes = [len(x[3]) for x in out]
+            columns = [np.repeat(np.array([x[k] for x in out], np.int64), sizes) for k in range(3)] + [np.concatenate([x[3] for x in out])]
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "y", "side", "s1"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -245,37 +264,27 @@ def _shared(rows: DataFrame) -> DataFrame:
                     continue  # a signature of one set
                 if at is None or sig[lo] != at:
                     close()
-                    at, held, large = int(sig[lo]), [], False
+                    at, held = int(sig[lo]), []
                 held.append(s1[lo:hi])
-                if sum(map(len, held)) > MEMBERS:
-                    give(at, np.concatenate(held)[:-1])
-                    held, large = [held[-1][-1:]], True
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(sets))], ["key", "s1"])
-                keys, sets = [], []
+                if sum(map(len, held)) > MEMBERS:  # whole chunks go, one set at least stays
+                    members = np.concatenate(held)
+                    whole = (len(members) - 1) // CHUNK * CHUNK
+                    give(at, members[:whole])
+                    held = [members[whole:]]
+            if out:
+                yield rows_out()
         close()
-        if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(sets))], ["key", "s1"])
-
-    return rows.repartition("sig").sortWithinPartitions("sig", "s1").mapInArrow(run, "key long, s1 long")
-
-
-def _meets(groups: DataFrame, sizes: DataFrame) -> DataFrame:
-    """groups (key, rep, ...) with (x, y, side): the tasks in which the sets of a key meet, for the first round.
+        if out:
+            yield rows_out()
 
-    The sets of a key are dealt into chunks of about CHUNK by their hash. A task is a chunk with itself (side 1) and
-    with the key's first chunk (side 0), so rows are doubled at most. sizes has (key, size) of larger keys."""
-    rows = groups.join(bounded(sizes), "key", "left").withColumn("chunks", F.ceil(F.coalesce("size", F.lit(1)) / CHUNK))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("chunks")))
-    rows = rows.withColumn("y", F.explode(F.when(F.col("own") == 0, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("own"))))
-    return rows.withColumns({"x": F.lit(0), "side": F.when(F.col("own") == F.col("y"), 1).otherwise(0)}).drop("size", "chunks", "own")
+    return rows.repartition("sig").sortWithinPartitions("sig", "s1").mapInArrow(run, "key long, y long, side long, s1 long")
 
 
 def _meets_again(groups: DataFrame, sizes: DataFrame) -> DataFrame:
     """groups (key, rep, comp, ...) with (x, y, side): the tasks in which sets of different components meet.
 
     sizes has (key, size, major, others): a key's sets, its largest component and the sets outside it. Sets of
-    the largest component need not meet each other, so every chunk of the others meets all chunks."""
+    the largest component need not meet each other, so every chunk of the others meets all chunks. Chunks are dealt by the sets' hashes."""
     rows = groups.join(sizes, "key")
     one, out = F.col("size") <= CHUNK, F.col("comp") != F.col("major")
     few = F.when(one, 1).otherwise(F.ceil(F.col("others") / CHUNK))
@@ -378,10 +387,11 @@ def _draw(rows: DataFrame, num: int, den: int, most: int) -> DataFrame:
     return dealt.mapInArrow(run, "key long, a long, b long")
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets have den * common >= num * union, as (u, v).
+def _verify(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """The pairs (a, b), a written table, whose whole sets have den * common >= num * union, as (u, v).
 
-    An id that repeats with other texts has several sets; each is compared."""
+    An id that repeats with other texts has several sets; each is compared. Texts of b go to those of a; those of
+    neither go nowhere."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: OrderedDict[tuple[int, bytes], np.ndarray] = OrderedDict()
@@ -406,9 +416,41 @@ def _verify(pairs: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> D
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["u", "v"])
 
-    ta = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    tb = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb").mapInArrow(run, "u long, v long")
+    tb = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")).join(bounded(pairs), "b")
+    ta = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")).join(bounded(pairs.select("a")), "a", "left_semi")
+    return tb.join(ta, "a").select("a", "b", "ta", "tb").mapInArrow(run, "u long, v long")
+
+
+class _Links:
+    """Pairs compared so far and the stars (node, component) of those that link, copies (u, v) of one set from the start."""
+
+    def __init__(self, docs: DataFrame, copies: DataFrame, n: int, num: int, den: int):
+        self.docs, self.copies, self.rule = docs, copies, (n, num, den)
+        self.comp: DataFrame | None = None
+        self.tried: list[DataFrame] = []
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose sets are not in one component yet."""
+        x, y = (bounded(self.comp.select(F.col("node").alias(e), F.col("component").alias(f"__c{e}"))) for e in ("a", "b"))
+        out = pairs.join(x, "a", "left").join(y, "b", "left")
+        return out.where(F.coalesce("__ca", "a") != F.coalesce("__cb", "b")).select(pairs.columns)
+
+    def named(self, groups: DataFrame) -> DataFrame:
+        """groups (key, rep, ...) with comp, the component of each set."""
+        comp = bounded(self.comp.select(F.col("node").alias("rep"), F.col("component").alias("comp")))
+        return groups.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+
+    def compare(self, pairs: DataFrame) -> None:
+        """Compare the whole sets of distinct pairs (a, b) that were not tried before."""
+        for before in self.tried:
+            pairs = pairs.join(bounded(before), ["a", "b"], "left_anti")
+        fresh = materialize(pairs.select("a", "b"), "jaccard-pairs")
+        first = not self.tried
+        self.tried.append(fresh)
+        if not first and fresh.isEmpty():
+            return
+        found = _verify(fresh, self.docs, *self.rule)
+        self.comp = joined(self.comp, found.union(self.copies) if first else found)
 
 
 def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -420,95 +462,51 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     Rows that repeat a doc_id are one node: what links with either is in its component. A null
     doc_id has no links and a null component_id. Other columns are not read."""
     ship(docs.sparkSession)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = materialize(_sets(docs, n, num, den), "jaccard-sets")
     ids = sets.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", F.col("n_shingles").alias("n"), "s1", "s2", "sketch")
     reps = materialize(ids.groupBy("s1", "s2", "n", "sketch").agg(F.min("doc_id").alias("rep")), "jaccard-reps")
-    copies = ids.join(reps.select("s1", "s2", "rep"), ["s1", "s2"]).where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    copies = materialize(copies, "jaccard-copies")
-
-    shared = materialize(_shared(_signed(docs, n, num, den)).distinct(), "jaccard-shared")
+    copies = ids.select("doc_id", "s1", "s2").join(reps.select("s1", "s2", "rep"), ["s1", "s2"]).where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     # Two sets of one s1 would both be found here and compared like others.
-    groups = materialize(shared.join(reps.select("s1", "rep"), "s1").select("key", "rep"), "jaccard-groups")
-    wanted = materialize(groups.select(F.col("rep").alias("doc_id")).distinct(), "jaccard-wanted")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(bounded(wanted), "doc_id", "left_semi")
-    texts = materialize(texts, "jaccard-texts")
-    release(shared, wanted)
-    about = reps.select("rep", "n", "sketch")
+    shared = _shared(_signed(docs, n, num, den)).distinct()
+    groups = materialize(shared.join(reps.select("s1", "rep", "n", "sketch"), "s1").select("key", "y", "side", "rep", "n", "sketch"), "jaccard-groups")
     links = _Links(texts, copies, n, num, den)
 
     # Every two sets of a task are compared by size and sketch. What passes is drawn as a forest; if
     # all its trees hold, so do the components. A pair brings two texts together, so at first each set gets one; then
     # those follow that are still apart.
-    large = materialize(groups.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > CHUNK), "jaccard-large")
-    step = materialize(_draw(_meets(groups.withColumn("comp", F.col("rep")).join(about, "rep"), large), num, den, 0), "jaccard-step")
-    pairs = materialize(step.select("a", "b").distinct(), "jaccard-drawn")
-    links.compare(pairs.groupBy("b").agg(F.min("a").alias("a")))
-    links.compare(links.apart(pairs))
+    step = materialize(_draw(groups.withColumns({"comp": F.col("rep"), "x": F.lit(0)}), num, den, 0), "jaccard-step")
+    links.compare(step.groupBy("b").agg(F.min("a").alias("a")))
+    links.compare(links.apart(step.select("a", "b")).distinct())
     # Keys of a pair that did not link may have others between the same components, and chunks of large keys have met
     # the first only. Of these keys the ones that are not yet one component go on.
-    again = step.join(links.apart(pairs), ["a", "b"], "left_semi").select("key").union(large.select("key")).distinct()
-    most = MOST
+    again = links.apart(step).select("key").union(groups.where("y > 0").select("key")).distinct()
+    own, most = groups.where("side = 1").select("key", "rep", "n", "sketch"), MOST
     while True:
-        todo = materialize(links.named(groups.join(again, "key", "left_semi")), "jaccard-todo")
+        todo = materialize(links.named(own.join(again, "key", "left_semi")), "jaccard-todo")
+        if todo.isEmpty():
+            release(todo)
+            break
         parts = todo.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
         sizes = parts.agg(F.sum("c").alias("size"), F.max_by("comp", "c").alias("major"), (F.sum("c") - F.max("c")).alias("others"))
-        sizes = materialize(sizes.where("others > 0"), "jaccard-sizes")
-        release(step, pairs)
-        step = materialize(_draw(_meets_again(todo.join(about, "rep"), sizes), num, den, most), "jaccard-step")
-        pairs = materialize(step.where("a IS NOT NULL").select("a", "b").distinct(), "jaccard-drawn")
-        links.compare(pairs)
-        release(todo, sizes)
-        again, most = step.where("a IS NULL").select("key").distinct(), 8 * most
-        if again.isEmpty():
-            break
+        release(step)
+        step = materialize(_draw(_meets_again(todo, sizes.where("others > 0")), num, den, most), "jaccard-step")
+        release(todo)
+        links.compare(step.where("a IS NOT NULL").select("a", "b").distinct())
+        again, most = step.where("a IS NULL").select("key").distinct(), 16 * most
     comp = links.comp.withColumnsRenamed({"node": "doc_id", "component": "component_id"})
     out = sets.select("doc_id", "n_shingles").join(comp, "doc_id", "left")
-    out = materialize(out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")), "jaccard-classes")
-    release(sets, reps, copies, groups, texts, large, step, pairs, links.comp, *links.tried)
-    return out
-
-
-class _Links:
-    """Pairs compared so far and the components (node, component) of those that link, copies of one set from the start."""
-
-    def __init__(self, texts: DataFrame, copies: DataFrame, n: int, num: int, den: int):
-        self.texts, self.copies, self.rule = texts, copies, (n, num, den)
-        self.comp: DataFrame | None = None
-        self.tried: list[DataFrame] = []
-
-    def apart(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose sets are not in one component yet."""
-        x, y = (self.comp.select(F.col("node").alias(e), F.col("component").alias(f"__c{e}")) for e in ("a", "b"))
-        out = pairs.join(x, "a", "left").join(y, "b", "left")
-        return out.where(F.coalesce("__ca", "a") != F.coalesce("__cb", "b")).select(pairs.columns)
-
-    def named(self, groups: DataFrame) -> DataFrame:
-        """groups (key, rep) with comp, the component of each set."""
-        return groups.join(self.comp, groups.rep == self.comp.node, "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
-
-    def compare(self, pairs: DataFrame) -> None:
-        """Compare the whole sets of pairs (a, b) that were not tried before."""
-        for before in self.tried:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
-        fresh = materialize(pairs.select("a", "b"), "jaccard-pairs")
-        first = not self.tried
-        self.tried.append(fresh)
-        if not first and fresh.isEmpty():
-            return
-        texts, ids = self.texts, None
-        if not first:  # later rounds need few texts
-            ids = materialize(fresh.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "jaccard-ids")
-            texts = texts.join(bounded(ids), "doc_id", "left_semi")
-        found = materialize(_verify(fresh, texts, *self.rule), "jaccard-links")
-        self.comp = joined(self.comp, found.union(self.copies) if first else found)
-        release(found, *([ids] if ids else []))
+    release(reps, groups, step, *links.tried)
+    release_at_exit(sets, links.comp)
+    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def near_unique(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """docs with one document left of each class: that of the smallest doc_id. Rows
     that repeat the kept doc_id stay, rows of a null doc_id too."""
     gone = jaccard_classes(docs, n, num, den).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    docs = without(docs, ["__gone"])
+    gone, docs = materialize(gone, "jaccard-gone"), without(docs, ["__gone"])
+    release_at_exit(gone)
     return docs.join(bounded(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
 
 

@@ -1,23 +1,25 @@
 """Line deduplication with a sharded minimal perfect hash.
 
 1. Every line's key (white space stripped, A-Z lower-cased) of at least
-   min_chars code points is hashed to 128 bits; a map-side combined aggregate
-   counts the documents and finds the largest doc_id of each hash.
-2. The distinct hashes found in at least min_docs documents are dealt to shards
-   of bounded size. Each shard is one task, which builds a minimal perfect hash
-   (levels of bit arrays with ranks, as in Limasset et al. 2017) that indexes
-   arrays of 64-bit fingerprints, counts and largest doc_ids. Hashes below
-   min_docs never decide anything, so they are not indexed; the fingerprint
-   tells such a line from an indexed one.
-3. Documents probe the arrays while they are read; lines are never joined. The
-   shards are held in groups of at most resident_bytes: if they need more
-   than one group, documents pass through the groups one after the other, as each
-   line's key lives in exactly one group.
+   min_chars code points is hashed to 128 bits; an aggregate counts the
+   distinct documents of each hash and finds the largest doc_id.
+2. All distinct hashes are dealt to shards of bounded size. Each shard is one
+   task, which builds a minimal perfect hash (levels of bit arrays with ranks, as
+   in Limasset et al. 2017) that indexes compact arrays: 32-bit fingerprints,
+   32-bit counts and the largest doc_ids.
+3. Documents probe the arrays: each of a document's distinct hashes is sent to its
+   shard, where the count decides and the largest doc_id tells whose lines stay.
+   A task streams probes past one shard; shards that get many, as
+   those of very common lines, are probed by several tasks. Lines themselves never
+   move, are never joined, and no index is broadcast.
+4. Lost hashes, a list for each document that loses any, meet the texts, from which their
+   lines are then taken, in one pass however large the index is.
 """
 
 from __future__ import annotations
 
 import io
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.llm.common import map_arrow, materialize, release, splitmix, text_bytes, without
+from corpusflow.llm.common import bounded, map_arrow, materialize, release, release_at_exit, splitmix, text_bytes, without
 
 SPACE = b" \t\n\x0b\x0c\r"
-NO_ID = -(2**63)
+#: Distinct hashes in a shard, and probes of a shard that one task takes.
+SHARD_KEYS = 1 << 18
+TASK_PROBES = 1 << 22
 
 
 def line_key(line: bytes) -> bytes:
@@ -46,8 +50,8 @@ def _halves(digests: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class PerfectHash:
-    """A minimal perfect hash over distinct 128-bit keys, with a fingerprint,
-    a count and a largest id for each key. Arrays only, so it can be shipped."""
+    """A minimal perfect hash over distinct 128-bit keys, with a 32-bit fingerprint, a
+    count (2^32 - 1 at most) and a largest id for each key. Arrays only, so it can be shipped."""
 
     def __init__(self, words: list[np.ndarray], fingerprint: np.ndarray, count: np.ndarray, largest: np.ndarray):
         self.words, self.fingerprint, self.count, self.largest = words, fingerprint, count, largest
@@ -74,11 +78,15 @@ class PerfectHash:
             flags[spot[alone]] = 1
             words.append(np.packbits(flags, bitorder="little").view(np.uint64))
             left = left[~alone]
-        out = cls(words, np.zeros(len(h1), np.int64), np.zeros(len(h1), np.int64), np.zeros(len(h1), np.int64))
+        out = cls(words, np.zeros(len(h1), np.uint32), np.zeros(len(h1), np.uint32), np.zeros(len(h1), np.int64))
         at = out._index(h1, h2)
-        out.fingerprint[at], out.count[at], out.largest[at] = h2, count, largest
+        out.fingerprint[at], out.count[at], out.largest[at] = cls._mark(h2), np.minimum(count, 2**32 - 1), largest
         return out
 
+    @staticmethod
+    def _mark(h2: np.ndarray) -> np.ndarray:
+        return h2.view(np.uint64).astype(np.uint32)
+
     def _index(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         """The place of each key; of a key that is not in the set: some place or -1."""
         out, open_ = np.full(len(h1), -1, np.int64), np.arange(len(h1))
@@ -94,10 +102,10 @@ class PerfectHash:
         return out
 
     def find(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-        """The place of each key that is in the set, -1 for others."""
+        """The place of each key that is in the set; -1 for others, but for one in 2^32 of them."""
         at = self._index(h1, h2)
         if len(self.fingerprint):
-            at[(at >= 0) & (self.fingerprint[at] != h2)] = -1
+            at[(at >= 0) & (self.fingerprint[at] != self._mark(h2))] = -1
         return at
 
     def to_bytes(self) -> bytes:
@@ -114,109 +122,130 @@ class PerfectHash:
         return cls(arrays[3:], *arrays[:3])
 
 
-def line_counts(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(h1, h2, n_docs, largest): documents and largest doc_id of every key."""
+def _keyed(text: bytes, min_chars: int) -> tuple[list[bytes], list[tuple[int, bytes]]]:
+    """A text's lines, and (place, hash) of those that are long enough."""
+    lines = text.split(b"\n")
+    return lines, [(i, xxhash.xxh3_128_digest(k)) for i, x in enumerate(lines) if len(x) >= min_chars and long_enough(k := line_key(x), min_chars)]
+
+
+def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
+    """(h1, h2, id): the distinct hashes of the long lines of each row; id is its doc_id."""
 
     def keys(batch: pa.RecordBatch) -> pa.RecordBatch:
         digests, ids = [], []
         for doc_id, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
-            own = {line_key(x) for x in text.split(b"\n") if len(x) >= min_chars}
-            own = [xxhash.xxh3_128_digest(k) for k in own if long_enough(k, min_chars)]
+            own = {h for _, h in _keyed(text, min_chars)[1]}
             digests += own
-            ids += [NO_ID if doc_id is None else doc_id] * len(own)
+            ids += [doc_id] * len(own)
         h1, h2 = _halves(digests)
         return pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(ids, pa.int64())], ["h1", "h2", "id"])
 
-    rows = map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), keys, T.StructType([T.StructField(n, T.LongType()) for n in ("h1", "h2", "id")]))
-    return rows.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("id").alias("largest"))
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), keys, T.StructType([T.StructField(n, T.LongType()) for n in ("h1", "h2", "id")]))
+
+
+def line_counts(hashes: DataFrame) -> DataFrame:
+    """(h1, h2, n_docs, largest): distinct doc_ids, null being one, and the largest doc_id of every hash.
+
+    A hash's ids are first made distinct, dealt by hash and id, so a very common line is no hot key."""
+    own = hashes.groupBy("h1", "h2", "id").agg(F.lit(1).alias("one"))
+    return own.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("id").alias("largest"))
 
 
 def build_index(counts: DataFrame, shard_keys: int) -> tuple[DataFrame, int]:
-    """(shard, size, blob) of perfect hashes over the keys of counts, and the number of shards."""
+    """(shard, probes, blob) of perfect hashes over the keys of counts, and the number of shards; probes is how many
+    documents hold a key of the shard, once for each."""
     shards = max(1, -(-counts.count() // shard_keys))
 
     def one(table: pa.Table) -> pa.Table:
-        h1, h2, n, largest = (table.column(c).to_numpy() for c in ("h1", "h2", "n_docs", "largest"))
-        blob = PerfectHash.build(h1, h2, n, largest).to_bytes()
-        return pa.table({"shard": pa.array([table.column("shard")[0].as_py()], pa.int64()), "size": pa.array([len(blob)], pa.int64()), "blob": pa.array([blob], pa.binary())})
+        h1, h2, n = (table.column(c).to_numpy() for c in ("h1", "h2", "n_docs"))
+        # Only a null id can have no largest one; its count is 1.
+        blob = PerfectHash.build(h1, h2, n, table.column("largest").fill_null(0).to_numpy()).to_bytes()
+        return pa.table({"shard": pa.array([table.column("shard")[0].as_py()], pa.int64()), "probes": pa.array([int(n.sum())], pa.int64()), "blob": pa.array([blob], pa.binary())})
 
     dealt = counts.withColumn("shard", F.pmod("h1", F.lit(shards)).cast("long"))
-    return materialize(dealt.groupBy("shard").applyInArrow(one, "shard long, size long, blob binary"), "line-shards"), shards
-
-
-def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, shard_keys: int = 1 << 18, resident_bytes: int = 64 << 20) -> DataFrame:
+    return materialize(dealt.groupBy("shard").applyInArrow(one, "shard long, probes long, blob binary"), "line-shards"), shards
+
+
+def lost_hashes(hashes: DataFrame, index: DataFrame, shards: int, min_docs: int, task_probes: int) -> DataFrame:
+    """(id, h1, h2): the hashes that documents lose, from a probe of each (h1, h2, id) in its shard."""
+    parts = index.select("shard", F.ceil(F.col("probes") / task_probes).alias("parts"))
+    many = materialize(parts.where("parts > 1"), "line-many")  # at most probes / task_probes rows
+    own = F.coalesce("parts", F.lit(1))
+    probes = hashes.withColumn("shard", F.pmod("h1", F.lit(shards)).cast("long")).join(bounded(many), "shard", "left")
+    probes = probes.select("shard", F.pmod(F.xxhash64("id", "h2"), own).alias("part"), F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("blob"), "h1", "h2", "id")
+    none = F.lit(None).cast("long")
+    blobs = index.join(parts.withColumnRenamed("shard", "__s"), F.col("shard") == F.col("__s"))
+    blobs = blobs.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"), "blob", none.alias("h1"), none.alias("h2"), none.alias("id"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: PerfectHash | None = None
+        for batch in batches:
+            # A shard's blob comes before its probes.
+            starts = np.nonzero(batch.column("kind").to_numpy() == 0)[0].tolist()
+            for lo, hi in zip([-1, *starts], [*starts, batch.num_rows], strict=True):
+                if lo >= 0:
+                    found = PerfectHash.from_bytes(batch.column("blob")[lo].as_py())
+                some = batch.slice(lo + 1, hi - lo - 1)
+                if not some.num_rows:
+                    continue
+                h1, h2 = some.column("h1").to_numpy(), some.column("h2").to_numpy()
+                at = found.find(h1, h2)
+                ids = some.column("id")
+                other = np.asarray(ids.is_null()) | (ids.fill_null(0).to_numpy() != found.largest[at])
+                gone = pa.array((at >= 0) & (found.count[at] >= min_docs) & other)
+                yield pa.RecordBatch.from_arrays([some.column(c).filter(gone) for c in ("id", "h1", "h2")], ["id", "h1", "h2"])
+
+    rows = blobs.union(probes).repartition("shard", "part").sortWithinPartitions("shard", "part", "kind")
+    out = materialize(rows.mapInArrow(run, "id long, h1 long, h2 long"), "line-lost")
+    release(many)
+    return out
+
+
+def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, shard_keys: int = SHARD_KEYS, task_probes: int = TASK_PROBES) -> DataFrame:
     """docs (doc_id, text, ...) with the repeated lines taken out of text, plus
     n_lines (before) and n_dropped, both long.
 
-    A key found in at least min_docs rows loses all its lines except in
+    A key found in at least min_docs documents, that is distinct doc_ids, loses all its lines except in
     the rows of the largest doc_id that holds it. A null text is one empty
-    line and becomes ''. A null doc_id counts as a document and as the smallest id. Rows that
-    repeat a doc_id count each; a text that loses all lines becomes ''. Other
+    line and becomes ''. A null doc_id counts as a document and as smaller than any other. Rows that
+    repeat a doc_id are one document, each loses its lines; a text that loses all lines becomes ''. Other
     columns pass through, but for those named n_lines or n_dropped, which are
     replaced. No rows in, no rows out."""
-    spark = docs.sparkSession
-    docs = without(docs, ["n_lines", "n_dropped"])
-    counts = materialize(line_counts(docs, min_chars).where(F.col("n_docs") >= min_docs), "line-counts")
+    docs = without(docs, ["n_lines", "n_dropped", "__id", "__lost"])
+    hashes = line_hashes(docs, min_chars)
+    counts = materialize(line_counts(hashes), "line-counts")
     index, shards = build_index(counts, shard_keys)
-    groups, room = [[]], resident_bytes
-    for shard, size in sorted((r[0], r[1]) for r in index.select("shard", "size").collect()):  # one small row for 2^18 keys
-        if size > room and groups[-1]:
-            groups, room = [*groups, []], resident_bytes
-        groups[-1].append(shard)
-        room -= size
-
+    lost = lost_hashes(hashes, index, shards, min_docs, task_probes)
+    release(counts, index)
+    # The list of a document is no longer than its text.
+    own = lost.distinct().groupBy(F.col("id").alias("__id")).agg(F.collect_list(F.struct("h1", "h2")).alias("__lost"))
+    release_at_exit(lost)
+    rows = docs.join(own, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left").select(*docs.columns, "__lost")
     schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    names = [c.lower() for c in docs.columns]
-    at_id, at_text = names.index("doc_id"), names.index("text")
-    for k, group in enumerate(groups):
-        held = spark.sparkContext.broadcast(dict((r[0], bytes(r[1])) for r in index.where(F.col("shard").isin(group)).select("shard", "blob").collect()) if group else {})
-        docs = map_arrow(docs, _prober(held, shards, min_chars, at_id, at_text, k == 0), schema)
-        if k + 1 < len(groups):
-            docs = materialize(docs, "line-pass")
-    release(counts)
-    return docs
-
-
-def _prober(held, shards: int, min_chars: int, at_id: int, at_text: int, first: bool):
-    ready: dict[int, PerfectHash] = {}
-
-    def probe(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if len(ready) < len(held.value):
-            ready.update((s, PerfectHash.from_bytes(b)) for s, b in held.value.items() if s not in ready)
-        texts, spans, digests = text_bytes(batch.column(at_text)), [], []
-        lines = [t.split(b"\n") for t in texts]
-        for d, own in enumerate(lines):
-            for i, line in enumerate(own):
-                if len(line) >= min_chars and long_enough(key := line_key(line), min_chars):
-                    spans.append((d, i))
-                    digests.append(xxhash.xxh3_128_digest(key))
-        h1, h2 = _halves(digests)
-        ids = np.array([NO_ID if x is None else x for x in batch.column(at_id).to_pylist()], np.int64)
-        doc = np.array([d for d, _ in spans], np.int64)
-        lost = np.zeros(len(spans), bool)
-        shard = np.mod(h1, shards)
-        for s, index in ready.items():
-            own = np.nonzero(shard == s)[0]
-            at = index.find(h1[own], h2[own])
-            known = at >= 0
-            lost[own[known]] = index.largest[at[known]] != ids[doc[own[known]]]
-        dropped = np.zeros(len(texts), np.int64)
-        gone: dict[int, set[int]] = {}
-        for j in np.nonzero(lost)[0]:
-            d, i = spans[j]
-            gone.setdefault(d, set()).add(i)
-            dropped[d] += 1
-        for d, out in gone.items():
-            texts[d] = b"\n".join(x for i, x in enumerate(lines[d]) if i not in out)
-        columns = list(batch.columns)
-        columns[at_text] = pa.array(texts, pa.binary()).cast(batch.column(at_text).type)
-        if first:
-            columns += [pa.array([len(x) for x in lines], pa.int64()), pa.array(dropped)]
-        else:
-            columns[-1] = pa.array(dropped + columns[-1].to_numpy(zero_copy_only=False))
-        return pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *(["n_lines", "n_dropped"] if first else [])])
-
-    return probe
+    return map_arrow(rows, _dropper(min_chars, [c.lower() for c in docs.columns].index("text")), schema)
+
+
+def _dropper(min_chars: int, at_text: int):
+    def drop(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, lost = text_bytes(batch.column(at_text)), batch.column(batch.num_columns - 1)
+        kept, counts, dropped = [], [], []
+        for k, text in enumerate(texts):
+            if not lost[k].is_valid:
+                kept.append(text)
+                counts.append(text.count(b"\n") + 1)
+                dropped.append(0)
+                continue
+            own = {np.array([x["h1"], x["h2"]], "<i8").tobytes() for x in lost[k].as_py()}
+            lines, keys = _keyed(text, min_chars)
+            gone = {i for i, h in keys if h in own}
+            kept.append(b"\n".join(x for i, x in enumerate(lines) if i not in gone))
+            counts.append(len(lines))
+            dropped.append(len(gone))
+        columns = list(batch.columns[:-1])
+        columns[at_text] = pa.array(kept, pa.binary()).cast(batch.column(at_text).type)
+        return pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())], [*batch.schema.names[:-1], "n_lines", "n_dropped"])
+
+    return drop
 
 
 def op1_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -1,15 +1,18 @@
 """Main text of web pages by differencing with the pages of nearest URL.
 
-Pages are sorted by host and URL path, by range, so a host of any size spans as
-many tasks as it needs. Each page becomes lines, one for each block of its
-markup, and is paired with the page before and the page after it of its host. The
-lines of a pair are aligned by their longest common subsequence; lines it aligns are
-shared. Pages that share half of their text or more are copies of one article and say nothing
-about the site's frame; such a pair is left out.
-
-Markup decides where it is plain: lines of menus, footers, sidebars, adverts,
-forms, comments and the like go, and if a page has a marked article, so do lines outside it. Of
-other lines those go that are shared with either neighbour. Within a marked article a line
+Each page becomes lines, one for each block of its markup, and each line a 64-bit hash: what is ordered, dealt
+and compared are these hashes, some hundredths of the markup. Pages are sorted by host and URL path, and each is paired,
+within its host, with the nearest page before it and the nearest after it that are no copies of
+it. The lines of a pair are aligned by their longest common subsequence; lines it aligns are
+shared. Pages that share half of their text or more are copies of one article and say nothing about the site's
+frame; the nearest NEAR others of each side, each kind of page once, are tried.
+
+The order is dealt to tasks by ranges, so a host of any size spans as many as it needs. A range takes the pages near
+its edges over from the ranges beside it, so what a page is compared with, and its text, is the same
+however the table is partitioned.
+
+Shared lines go. Markup only says how likely a line is the frame to begin with: menus, footers, sidebars, adverts,
+forms, comments and the like go without being shared, as does what stands outside a marked article; within one a line
 goes only if both neighbours share it, in one run with lines of the frame around the
 article: then the template goes on into the article. Sentences that articles have in common stay.
 """
@@ -22,15 +25,15 @@ from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.llm.common import ship, without
+from corpusflow.llm.common import map_arrow, materialize, release, release_at_exit, ship, without
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""(?i)(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
-LINK = re.compile(r"https?://([^/?#]*)([^?#]*)", re.I)
 
 # Contents of these are never text.
 RAW = frozenset(("script", "style", "template", "noscript", "textarea", "title", "iframe", "object", "svg", "canvas", "math", "head"))
@@ -49,6 +52,8 @@ FRAME_NAMES = frozenset(
 )
 FRAME_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog".split())
 COPY_SHARE = 0.5
+#: Pages of a side that a page is compared with, until one is no copy.
+NEAR = 4
 FRAME_ROLE, OPEN_ROLE, MAIN_ROLE = 0, 1, 2
 # What an element is: frame by its kind or role; by a name; a form; an article or main; anything else.
 HARD, NAMED, FORM, MARKED, PLAIN = range(5)
@@ -157,10 +162,10 @@ def _parsed(page: str, spared: frozenset[int]) -> tuple[list[tuple[str, int]], f
     return out, frozenset(wrappers)
 
 
-def aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+def aligned(a: list, b: list) -> list[tuple[int, int]]:
     """A longest common subsequence of two lists of lines, as index pairs
     (Hunt and Szymanski: the time grows with the pairs of equal lines)."""
-    where: dict[str, list[int]] = {}
+    where: dict = {}
     for j, line in enumerate(b):
         where.setdefault(line, []).append(j)
     tails: list[int] = []
@@ -181,83 +186,202 @@ def aligned(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def shared(a: list[tuple[str, int]], b: list[tuple[str, int]]) -> tuple[set[int], set[int]]:
-    """Lines that two pages share; none if they are copies of one article."""
-    pairs = aligned([x for x, _ in a], [x for x, _ in b])
-    size = lambda lines, at: sum(len(lines[i][0]) for i in at if lines[i][1] != FRAME_ROLE)
-    i, j = {p for p, _ in pairs}, {q for _, q in pairs}
-    least = min(size(a, range(len(a))), size(b, range(len(b))))
-    return (set(), set()) if pairs and size(a, i) >= COPY_SHARE * least else (i, j)
+class Lines:
+    """A page's lines: their hashes, lengths and roles, and what kind of page it is (its longest lines)."""
 
+    def __init__(self, hashes: list[int], sizes: list[int], roles: list[int]):
+        self.hashes, self.sizes, self.roles = hashes, sizes, roles
+        long = sorted((-n, h) for h, n, r in zip(hashes, sizes, roles, strict=True) if r != FRAME_ROLE)[:3]
+        self.kind = tuple(h for _, h in long)
 
-def main_text(lines: list[tuple[str, int]], before: set[int] | None, after: set[int] | None) -> str:
-    """What is left of a page's lines, given those shared with either neighbour (None: no neighbour)."""
-    both = (before or set()) & (after or set())
-    either = (before or set()) | (after or set())
-    article = any(r == MAIN_ROLE for _, r in lines)
+
+def shared(a: Lines, b: Lines) -> list[int] | None:
+    """Lines of a that b shares; None if they are copies of one article."""
+    pairs = aligned(a.hashes, b.hashes)
+    size = lambda page, at: sum(page.sizes[i] for i in at if page.roles[i] != FRAME_ROLE)
+    least = min(size(a, range(len(a.hashes))), size(b, range(len(b.hashes))))
+    return None if pairs and size(a, [i for i, _ in pairs]) >= COPY_SHARE * least else [i for i, _ in pairs]
+
+
+class Recent:
+    """The last NEAR pages of a host, of each kind the last. What it holds after a row of pages is what it
+    holds after their last ones, filled up with what it held before: so ranges can be put together."""
+
+    def __init__(self, host: str | None = None, pages: list[Lines] | None = None):
+        self.host, self.pages = host, pages or []  # the nearest first
+
+    def add(self, host: str, page: Lines) -> None:
+        rest = self.pages if host == self.host else []
+        if page.kind:
+            rest = [page, *(p for p in rest if p.kind != page.kind)][:NEAR]
+        self.host, self.pages = host, rest
+
+    def before(self, older: Recent) -> Recent:
+        """This, with what `older` held when it began (if it has seen one host only)."""
+        kinds = {p.kind for p in self.pages}
+        return Recent(self.host, [*self.pages, *(p for p in older.pages if p.kind not in kinds)][:NEAR])
+
+    def shares(self, host: str, page: Lines) -> list[int] | None:
+        """What the page shares with the nearest that is no copy of it; None if there is none."""
+        for other in self.pages if host == self.host else []:
+            if (out := shared(page, other)) is not None:
+                return out
+        return None
+
+
+def kept_lines(roles: list[int], before: list[int] | None, after: list[int] | None) -> list[int]:
+    """The lines that are the page's main text, given those shared with either neighbour (None: no neighbour)."""
+    both = set(before or ()) & set(after or ())
+    either = set(before or ()) | set(after or ())
+    article = MAIN_ROLE in roles
     template: set[int] = set()
     run: list[int] = []
     for i in sorted(both):
         run = [*run, i] if run and run[-1] == i - 1 else [i]
-        if i + 1 not in both and any(lines[k][1] != MAIN_ROLE for k in run):
+        if i + 1 not in both and any(roles[k] != MAIN_ROLE for k in run):
             template.update(run)
-    keep = [x for i, (x, r) in enumerate(lines) if (r == MAIN_ROLE and i not in template) or (r == OPEN_ROLE and not article and i not in either)]
-    return "\n\n".join(keep)
+    return [i for i, r in enumerate(roles) if (r == MAIN_ROLE and i not in template) or (r == OPEN_ROLE and not article and i not in either)]
 
 
-def address(url: str | None) -> tuple[str, str]:
-    """Host and path of a URL, lower-cased host without port; others have no host."""
-    m = LINK.match(url or "")
-    return (m[1].rsplit("@", 1)[-1].split(":")[0].lower(), m[2]) if m else ("", url or "")
+KEY = ("__host", "__path", "__id", "__key")
+LINED = "__host string, __path string, __id long, __key long, hashes array<long>, sizes array<int>, roles binary"
 
 
-def extract_text(pages: DataFrame) -> DataFrame:
-    """pages (page_id, url, html, ...) without html, plus text: blocks joined by two line feeds.
+def _lined(pages: DataFrame) -> DataFrame:
+    """(KEY, hashes, sizes, roles) of every page's lines, pages (KEY, html)."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        hashes, sizes, roles = [], [], []
+        for page in batch.column(4).to_pylist():
+            own = lines_of(page or "")
+            hashes.append([xxhash.xxh3_64_intdigest(x) - (1 << 63) for x, _ in own])
+            sizes.append([len(x) for x, _ in own])
+            roles.append(bytes(r for _, r in own))
+        return pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32())), pa.array(roles, pa.binary())], [*KEY, "hashes", "sizes", "roles"])
+
+    return map_arrow(pages, run, T._parse_datatype_string(LINED))
+
+
+def _read(batch: pa.RecordBatch) -> Iterator[tuple[int, str, Lines]]:
+    """(range, host, page) of the rows of a batch."""
+    columns = [batch.column(c).to_pylist() for c in ("range", "__host", "hashes", "sizes", "roles")]
+    return ((r, host, Lines(h, n, list(roles))) for r, host, h, n, roles in zip(*columns, strict=True))
 
-    A null or empty html, and one with no article text, has the text ''. Pages of a null or odd URL are
-    neighbours of each other, under an empty host. Repeated pages are copies of each other. A page at the edge of a
-    sort range has the neighbour within its range only. Other columns pass through; a column that is already
-    named text is replaced."""
-    ship(pages.sparkSession)
-    rows = without(pages, ["text", "__host", "__path"])
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?i)^https?://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    path = F.regexp_extract(F.coalesce("url", F.lit("")), r"(?i)^(?:https?://[^/?#]*)?([^?#]*)", 1)
-    rows = rows.withColumn("__host", host).withColumn("__path", path)
-    rows = rows.repartitionByRange(F.col("__host"), F.col("__path"), F.col("page_id")).sortWithinPartitions("__host", "__path", "page_id")
-    names = rows.columns
-    at_html, at_host = [c.lower() for c in names].index("html"), names.index("__host")
-    kept = [i for i in range(len(names) - 2) if i != at_html]
-    schema = T.StructType([*[rows.schema.fields[i] for i in kept], T.StructField("text", T.StringType())])
+
+def _edges(ranges: DataFrame, down: bool) -> dict[int, Recent]:
+    """For each range what was met before it, in order of the ranges or, with down, against it.
+
+    A range tells the last NEAR pages it meets and whether it has one host only: that is all that comes to the driver, at most
+    NEAR rows of hashes for a range of the table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The text of a page waits for the page after it.
-        last_host, last, before, last_row = None, None, None, None
+        at, first, recent = None, None, Recent()
 
-        def out(rows: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([*[rows.column(i) for i in kept], pa.array(texts, pa.string())], schema.names)
+        def give() -> pa.RecordBatch:
+            pages = recent.pages or [Lines([], [], [])]
+            return pa.RecordBatch.from_arrays([
+                pa.array([at] * len(pages)), pa.array(range(len(pages)), pa.int32()), pa.array([recent.host] * len(pages)), pa.array([first == recent.host] * len(pages)),
+                pa.array([p.hashes for p in pages], pa.list_(pa.int64())), pa.array([p.sizes for p in pages], pa.list_(pa.int32())), pa.array([bytes(p.roles) for p in pages], pa.binary()),
+            ], ["range", "place", "host", "single", "hashes", "sizes", "roles"])
 
         for batch in batches:
-            texts = []
-            for host, page in zip(batch.column(at_host).to_pylist(), batch.column(at_html).to_pylist(), strict=True):
-                lines = lines_of(page or "")
-                after = own = None
-                if last is not None and host == last_host:
-                    after, own = shared(last, lines)
-                if last is not None:
-                    texts.append(main_text(last, before, after))
-                last_host, last, before = host, lines, own
-            if texts:
-                if last_row is not None:
-                    yield out(last_row, texts[:1])
-                    texts = texts[1:]
-                if texts:
-                    yield out(batch.slice(0, batch.num_rows - 1), texts)
+            for r, host, page in _read(batch):
+                if r != at:
+                    if at is not None:
+                        yield give()
+                    at, first, recent = r, host, Recent()
+                recent.add(host, page)
+        if at is not None:
+            yield give()
+
+    schema = "range long, place int, host string, single boolean, hashes array<long>, sizes array<int>, roles binary"
+    own: dict[int, tuple[bool, Recent]] = {}
+    for row in sorted(_in_order(ranges, down).mapInArrow(run, schema).collect(), key=lambda row: (row["range"], row["place"])):
+        single, recent = own.setdefault(row["range"], (row["single"], Recent(row["host"])))
+        if row["hashes"]:
+            recent.pages.append(Lines(row["hashes"], row["sizes"], list(row["roles"])))
+    out, now = {}, Recent()
+    for r in sorted(own, reverse=down):
+        out[r] = now
+        single, recent = own[r]
+        now = recent.before(now) if single and recent.host == now.host else recent
+    return out
+
+
+def _in_order(ranges: DataFrame, down: bool) -> DataFrame:
+    """Rows with the rows of a range together, in order or, with down, against it."""
+    return ranges.sortWithinPartitions("range", *[F.desc(c) if down else F.asc(c) for c in KEY])
+
+
+def _compared(rows: DataFrame, edges: dict[int, Recent], name: str, down: bool) -> DataFrame:
+    """rows with the lines that each page shares with the nearest page met before it in this order."""
+    held = rows.sparkSession.sparkContext.broadcast({r: (e.host, [(p.hashes, p.sizes, p.roles) for p in e.pages]) for r, e in edges.items()})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, recent = None, Recent()
+        for batch in batches:
+            out = []
+            for r, host, page in _read(batch):
+                if r != at:
+                    at = r
+                    old, pages = held.value[r]
+                    recent = Recent(old, [Lines(*p) for p in pages])
+                out.append(recent.shares(host, page))
+                recent.add(host, page)
             if batch.num_rows:
-                last_row = batch.slice(batch.num_rows - 1, 1)
-        if last_row is not None:
-            yield out(last_row, [main_text(last, before, None)])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int32()))], [*batch.schema.names, name])
+
+    schema = T.StructType([*rows.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))])
+    return _in_order(rows, down).mapInArrow(run, schema)
+
+
+def _kept(rows: DataFrame) -> DataFrame:
+    """(__id, __key, keep): the places of the lines to keep."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        roles, before, after = (batch.column(c).to_pylist() for c in ("roles", "before", "after"))
+        keep = [kept_lines(list(r), b, a) for r, b, a in zip(roles, before, after, strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__key"), pa.array(keep, pa.list_(pa.int32()))], ["__id", "__key", "keep"])
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, T._parse_datatype_string("__id long, __key long, keep array<int>"))
+
+
+def extract_text(pages: DataFrame) -> DataFrame:
+    """pages (page_id, url, html, ...) without html, plus text: blocks joined by two line feeds.
+
+    A null or empty html, and one with no article text, has the text ''. Pages of a null or odd URL are
+    neighbours of each other, under an empty host. Rows that repeat a page are one page; rows that repeat a page_id
+    with another url or html are pages of their own. Other columns pass through; a column that is already
+    named text is replaced. No rows in, no rows out."""
+    ship(pages.sparkSession)
+    pages = without(pages, ["text", *KEY, "__lines", "keep"])
+    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?i)^https?://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    path = F.regexp_extract(F.coalesce("url", F.lit("")), r"(?i)^(?:https?://[^/?#]*)?([^?#]*)", 1)
+    keys = [host.alias("__host"), path.alias("__path"), F.col("page_id").cast("long").alias("__id"), F.xxhash64("url", "html").alias("__key")]
+    lined = materialize(_lined(pages.select(*keys, F.col("html"))), "pages-lined")
+    once = lined.dropDuplicates(["__id", "__key"])
+    ranges = once.repartitionByRange(*[F.col(c) for c in KEY]).withColumn("range", F.spark_partition_id().cast("long"))
+    ranges = materialize(ranges, "pages-ranges")
+    # The ranges stand now: a task takes whole ones, whatever it reads them for.
+    dealt = ranges.repartition("range")
+    rows = _compared(dealt, _edges(dealt, False), "before", False)
+    keep = materialize(_kept(_compared(rows, _edges(dealt, True), "after", True)), "pages-kept")
+    release(lined, ranges)
+    release_at_exit(keep)
+
+    names = [c for c in pages.columns if c.lower() != "html"]
+    source = pages.select(*[F.col(f"`{c}`") for c in names], *keys[2:], "html")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lines = [[x for x, _ in lines_of(page or "")] for page in batch.column(batch.num_columns - 1).to_pylist()]
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lines, pa.list_(pa.string()))], [*batch.schema.names[:-1], "__lines"])
+
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField("__lines", T.ArrayType(T.StringType()))])
+    # The lines, not the markup, go to meet what is kept of them.
+    parsed = map_arrow(source, run, schema).alias("p")
+    both = parsed.join(keep.alias("k"), F.col("p.__id").eqNullSafe(F.col("k.__id")) & (F.col("p.__key") == F.col("k.__key")))
+    text = F.array_join(F.transform("keep", lambda i: F.get("__lines", i)), "\n\n")
+    return both.select(*[F.col(f"p.`{c}`") for c in names], text.alias("text"))
 
 
 def op5_html_text(spark, sf_dir: str) -> DataFrame:

@@ -9,17 +9,22 @@ from corpusflow.llm import html_text as H
 PAGES = "page_id long, url string, html string, text string"
 
 
+def alone(page):
+    """The main text of a page without neighbours."""
+    lines = H.lines_of(page)
+    return [lines[i][0] for i in H.kept_lines([r for _, r in lines], None, None)]
+
+
 def test_markup_decides():
     page = """<html><head><title>T</title><script>var x='<p>no</p>'</script></head><body><header>Site</header><nav><ul><li>Menu</ul></nav>
     <div id="cookie-banner">Accept</div><main><h1>Head &amp; line</h1><header>By me</header><p>One<br>two  <b>th</b>ree<p>Next&nbsp;one <a href=x>link</a>.
     <aside>Side</aside><ul><li>a<li>b</ul><table><tr><td>1<td>2</table><div class="adBox ad">Buy</div><form><p>Mail</form><style>p{}</style><!-- <p>gone</p> -->
     <section class="comments"><article>Nice</article></section></main><p>Outside</p><footer>End</footer></body></html>"""
-    lines = H.lines_of(page)
-    assert H.main_text(lines, None, None).split("\n\n") == ["Head & line", "By me", "One two three", "Next one link.", "a", "b", "1", "2"]
+    assert alone(page) == ["Head & line", "By me", "One two three", "Next one link.", "a", "b", "1", "2"]
 
 
 def test_names_of_wrappers_do_not_decide():
-    text = lambda page: H.main_text(H.lines_of(page), None, None).split("\n\n")
+    text = alone
     article = "<article{}><h1>Head</h1><p>Body</p><div class='share'>Share</div></article>"
     for name in ("has-sidebar", "no-comments", "sidebar", "search", "post category-legal", "Comments"):
         assert text(f"<body><nav>Menu</nav><div class='{name}'><p>Out</p><div id=ad>{article.format('')}</div></div></body>") == ["Head", "Body"]
@@ -67,10 +72,49 @@ def test_shared_lines_go(spark):
 def test_template_reaches_into_articles(spark):
     page = lambda k: f"<nav>Home of all</nav><article><p>Read our newsletter</p><p>Body {k} of the article is here, and it is long enough to tell it from others</p><p>Sentence all share</p><p>Last {k}</p></article>"
     rows = [(k, f"http://a.org/{k:03}", page(k), None) for k in range(9)]
-    spark.conf.set("spark.sql.shuffle.partitions", "1")  # one sort range
     got = {r.page_id: r.text for r in H.extract_text(spark.createDataFrame(rows, PAGES)).collect()}
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
-    assert got[4].split("\n\n") == ["Body 4 of the article is here, and it is long enough to tell it from others", "Sentence all share", "Last 4"]
+    for k in range(1, 8):
+        assert got[k].split("\n\n") == [f"Body {k} of the article is here, and it is long enough to tell it from others", "Sentence all share", f"Last {k}"]
+
+
+def test_runs_of_copies_have_other_neighbours(spark):
+    page = lambda k: f"<div>The site's own menu of pages</div><p>Story {k} begins and is told at length {k * 7}, with all that belongs to it</p><p>End of {k}</p><div>Imprint of the site</div>"
+    rows = [(k, f"http://a.org/{k:03}", page(k if k < 5 or k > 25 else 5), None) for k in range(30)]
+    rows += [(100 + k, "http://a.org/004", page(4), None) for k in range(3)] + [(4, "http://a.org/004", page(4), None)]
+    got = H.extract_text(spark.createDataFrame(rows, PAGES)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert "menu" not in r.text and "Imprint" not in r.text and "Story" in r.text and "End" in r.text
+
+
+def test_text_is_the_same_however_partitioned(spark):
+    stripped = "regexp_replace(html, '</?article>| class=\"[^\"]*\"', '')"
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").selectExpr("page_id", "url", f"CASE WHEN page_id % 2 = 0 THEN html ELSE {stripped} END AS html", "'' AS text")
+    hosts = pages.selectExpr("page_id", "concat('http://one.org/', page_id % 50) AS url", "html", "text")
+    for table in (pages, hosts):
+        found = []
+        for n in (1, 4, 61):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            found.append(sorted((r.page_id, r.text) for r in H.extract_text(table.repartition(n)).collect()))
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        assert found[0] == found[1] == found[2]
+
+
+def test_frames_go_without_article_and_class(spark):
+    """Without marked articles and names, menus and footers go by their kind, and what pages of a host share by differencing."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    notice = "<div>This notice stands on every page</div>"
+    plain = lambda h: re.sub(r' class="[^"]*"|</?article>', "", h).replace("<body>", "<body>" + notice)
+    got = H.extract_text(spark.createDataFrame([(r.page_id, r.url, plain(r.html or ""), None) for r in rows], PAGES)).collect()
+    frame = {r.page_id: [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.findall(r"(?s)<(?:nav|footer)\b.*?</(?:nav|footer)>", r.html)] for r in rows}
+    host = lambda u: re.sub(r"^https?://([^/]*).*", r"\1", u)
+    hosts = [host(r.url) for r in rows]
+    for r in got:
+        assert not any(len(x) > 40 and x in " ".join(r.text.split()) for x in frame[r.page_id])
+    many = [r for r in got if hosts.count(host(r.url)) > 4]
+    assert many and sum("This notice" in r.text for r in many) <= 0.1 * len(many)
 
 
 def test_whole_articles_of_test_pages(spark):

@@ -2,10 +2,10 @@
 
 Identical vectors of a label are one point with a count. The points of a
 label are dealt to blocks of bounded size: to the nearest of a few centres, which
-a bounded sample gives, and by hash within a centre whose points are too many. Each pair of blocks that
-the centres' covering radii do not rule out is one task. It builds a cover tree for
-each block (nested levels whose radii halve, every node knows how far its
-farthest descendant lies) and walks both trees together, dropping pairs of
+a bounded sample gives, and by hash within a centre whose points are too many. A cover tree is built
+for each block, once (nested levels whose radii halve, every node knows how far its
+farthest descendant lies). Each pair of blocks that the centres' covering radii do not rule out is
+one task, which walks both trees together, level by level, dropping pairs of
 nodes that lie farther apart than the threshold and both covering radii. What is left at
 the leaves is compared exactly. A task returns link counts and a spanning forest, never all
 its pairs.
@@ -13,6 +13,7 @@ its pairs.
 
 from __future__ import annotations
 
+import io
 import math
 
 import numpy as np
@@ -20,10 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import components, map_arrow, materialize, ship, without
+from corpusflow.llm.common import map_arrow, materialize, release, release_at_exit, ship, stars, without
 
-BLOCK = 2048
+BLOCK = 4096
 MOST_CELLS = 64
+#: Pairs of nodes that are expanded at a time.
+FRONTIER = 1 << 16
 SAMPLE = 8192
 SLACK = 1e-6
 
@@ -46,69 +49,119 @@ def chord(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 class CoverTree:
     """Nested levels over unit vectors: the points of a level lie more than its radius
-    apart and cover all points within it; the next level has half the radius."""
+    apart and cover all points within it; the next level has half the radius.
+
+    A level has its points (places in x), the reach of each (its farthest descendant), and where
+    its children lie in the next level; the children of the last level are points of x."""
 
     def __init__(self, x: np.ndarray):
         self.x = x
         n = len(x)
-        self.children: dict[tuple[int, int], list[int]] = {}
-        centres, owner, radius, level = [0], np.zeros(n, np.int64), 2.0, 0
-        far = chord(x, x[:1])[:, 0]
-        self.levels = [(np.array([0]), radius)]
-        owners = [owner]
+        owner, radius, far = np.zeros(n, np.int64), 2.0, chord(x, x[:1])[:, 0]
+        centres = [0]
+        points, parents, self.radii = [np.array(centres)], [], [radius]
         # Halve until every point that differs is a centre of its own.
-        while far.max(initial=0) > SLACK and level < 40:
-            radius, level = radius / 2, level + 1
+        while far.max(initial=0) > SLACK and len(points) <= 40:
+            radius /= 2
             old, owner, far = owner, owner.copy(), far.copy()
             for p in np.nonzero(far > radius)[0]:
                 if far[p] > radius:
                     d = chord(x, x[p : p + 1])[:, 0]
                     near = d < far
-                    owner[near], far[near] = p, d[near]
+                    owner[near], far[near] = len(centres), d[near]
                     centres.append(int(p))
-            parent = old[np.array(centres)]
-            for c, o in zip(centres, parent, strict=True):
-                self.children.setdefault((level - 1, int(o)), []).append(c)
-            self.levels.append((np.array(centres), radius))
-            owners.append(owner)
-        self.depth = level
-        # Descendants follow parents, so the reach is found from the leaves up.
-        self.members: dict[tuple[int, int], np.ndarray] = {}
-        last = owners[-1]
-        for c in self.levels[-1][0]:
-            self.members[level, int(c)] = np.nonzero(last == c)[0]
-        self.reach: dict[tuple[int, int], float] = {}
-        for k in range(level, -1, -1):
-            for c in map(int, self.levels[k][0]):
-                if k < level:
-                    self.members[k, c] = np.concatenate([self.members[k + 1, g] for g in self.children[k, c]])
-                self.reach[k, c] = float(chord(x[self.members[k, c]], x[c : c + 1]).max())
+            points.append(np.array(centres))
+            parents.append(old[points[-1]])
+            self.radii.append(radius)
+        parents.append(owner)
+        self.points = points
+        self.children: list[np.ndarray] = []
+        self.start: list[np.ndarray] = []
+        for level, parent in zip(points, parents, strict=True):
+            self.children.append(np.argsort(parent, kind="stable"))
+            self.start.append(np.searchsorted(parent[self.children[-1]], np.arange(len(level) + 1)))
+        self.reach, above = [np.zeros(0)] * len(points), np.arange(n)
+        for k in range(len(points) - 1, -1, -1):
+            above = parents[k][above]
+            self.reach[k] = np.zeros(len(points[k]))
+            np.maximum.at(self.reach[k], above, rows_apart(x, x[points[k][above]]))
+
+    def to_bytes(self, *more: np.ndarray) -> bytes:
+        out = io.BytesIO()
+        np.save(out, np.array([len(self.points)]))
+        for a in (self.x, np.array(self.radii), *self.points, *self.children, *self.start, *self.reach, *more):
+            np.save(out, a)
+        return out.getvalue()
+
+    @classmethod
+    def from_bytes(cls, raw: bytes) -> tuple[CoverTree, list[np.ndarray]]:
+        """The tree and the arrays that went along."""
+        source, arrays = io.BytesIO(raw), []
+        while source.tell() < len(raw):
+            arrays.append(np.load(source))
+        n, out = int(arrays[0][0]), cls.__new__(cls)
+        out.x, out.radii = arrays[1], arrays[2].tolist()
+        out.points, out.children, out.start, out.reach = (arrays[3 + k * n : 3 + (k + 1) * n] for k in range(4))
+        return out, arrays[3 + 4 * n :]
+
+
+def rows_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances of unit vectors, row by row."""
+    return np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", a, b), 0))
+
+
+def _below(a: CoverTree, b: CoverTree, k: int, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a child of p[i] and a child of q[i]. A tree that has ended stays at its points."""
+
+    def children(t: CoverTree, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if k >= len(t.points):
+            return at, np.ones(len(at), np.int64), np.arange(len(t.x))
+        return t.start[k][at], t.start[k][at + 1] - t.start[k][at], t.children[k]
+
+    (sa, na, ca), (sb, nb, cb) = children(a, p), children(b, q)
+    many = na * nb
+    row = np.repeat(np.arange(len(p)), many)
+    off = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+    return ca[sa[row] + off // nb[row]], cb[sb[row] + off % nb[row]]
+
+
+def _count(t: CoverTree, k: int, at: np.ndarray) -> np.ndarray:
+    return t.start[k][at + 1] - t.start[k][at] if k < len(t.points) else np.ones(len(at), np.int64)
 
 
 def dual_pairs(a: CoverTree, b: CoverTree, most: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs (i of a, j of b) that the trees cannot rule out; all at most
-    `most` apart are among them. With same, a is b and each pair comes with i < j."""
+    `most` apart are among them. With same, a is b and each pair comes once, with i < j.
+
+    Both trees go down a level at a time, pairs of nodes in arrays of bounded length."""
     out_i, out_j = [], []
-    todo = [(0, 0, 0, 0)]
+    todo = [(0, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    depth = max(len(a.points), len(b.points))
     while todo:
-        ka, p, kb, q = todo.pop()
-        leaf_a, leaf_b = ka == a.depth, kb == b.depth
-        if leaf_a and leaf_b:
-            i, j = a.members[ka, p], b.members[kb, q]
-            out_i.append(np.repeat(i, len(j)))
-            out_j.append(np.tile(j, len(i)))
+        k, p, q = todo.pop()
+        if len(p) > FRONTIER:
+            todo += [(k, p[:FRONTIER], q[:FRONTIER]), (k, p[FRONTIER:], q[FRONTIER:])]
+            continue
+        i, j = _below(a, b, k, p, q)
+        last = k + 1 >= depth
+        if same:  # a pair of different nodes came one way round; children of one node come both ways
+            own = np.repeat(p == q, _count(a, k, p) * _count(b, k, q))
+            keep = ~own | (i < j if last else i <= j)
+            i, j = i[keep], j[keep]
+        if last:
+            out_i.append(np.minimum(i, j) if same else i)
+            out_j.append(np.maximum(i, j) if same else j)
             continue
-        left, kl = ([p], ka) if leaf_a else (a.children[ka, p], ka + 1)
-        right, kr = ([q], kb) if leaf_b else (b.children[kb, q], kb + 1)
-        ra, rb = np.array([a.reach[kl, c] for c in left]), np.array([b.reach[kr, c] for c in right])
-        near = chord(a.x[left], b.x[right]) <= most + SLACK + ra[:, None] + rb[None, :]
-        todo += [(kl, left[s], kr, right[t]) for s, t in zip(*np.nonzero(near), strict=True)]
-    i = np.concatenate(out_i) if out_i else np.zeros(0, np.int64)
-    j = np.concatenate(out_j) if out_j else np.zeros(0, np.int64)
-    if same:
-        keep = i < j
-        i, j = i[keep], j[keep]
-    return i, j
+        pa, ra = (a.points[k + 1], a.reach[k + 1]) if k + 1 < len(a.points) else (np.arange(len(a.x)), np.zeros(len(a.x)))
+        pb, rb = (b.points[k + 1], b.reach[k + 1]) if k + 1 < len(b.points) else (np.arange(len(b.x)), np.zeros(len(b.x)))
+        if 4 * len(i) > len(pa) * len(pb):
+            far = chord(a.x[pa], b.x[pb])[i, j]
+        else:
+            far = np.concatenate([rows_apart(a.x[pa[i[lo : lo + FRONTIER]]], b.x[pb[j[lo : lo + FRONTIER]]]) for lo in range(0, len(i), FRONTIER)] or [np.zeros(0)])
+        near = far <= most + SLACK + ra[i] + rb[j]
+        if near.any():
+            todo.append((k + 1, i[near], j[near]))
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_i, out_j))
 
 
 def _forest(u: np.ndarray, v: np.ndarray) -> list[tuple[int, int]]:
@@ -187,8 +240,8 @@ def near_embeddings(vectors: DataFrame, least: float = 0.93, block: int = BLOCK)
                 cell[at], far[at] = d.argmin(1), d.min(1)
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(far)], [*batch.schema.names, "cell", "far"])
 
-    placed = materialize(map_arrow(points, assign, points.withColumn("cell", F.lit(0)).withColumn("far", F.lit(0.0)).schema), "cover-placed")
-    placed = placed.withColumn("dim", F.size("v"))
+    placed_ = materialize(map_arrow(points, assign, points.withColumn("cell", F.lit(0)).withColumn("far", F.lit(0.0)).schema), "cover-placed")
+    placed = placed_.withColumn("dim", F.size("v"))
     stats = placed.groupBy("label", "dim", "cell").agg(F.count("*").alias("n"), F.max("far").alias("reach"))
     stats = stats.withColumn("parts", F.ceil(F.col("n") / block).cast("int"))
     gaps = [(lab, dim, i, j, float(d)) for (lab, dim), c in centres.items() for i, row in enumerate(chord(c, c)) for j, d in enumerate(row)]
@@ -204,37 +257,49 @@ def near_embeddings(vectors: DataFrame, least: float = 0.93, block: int = BLOCK)
     sides = sides.select("label", "dim", "pair", "s.cell", "s.part", "s.side")
     parts = placed.join(stats.select("label", "dim", "cell", "parts").where("parts > 1"), ["label", "dim", "cell"], "left")
     parts = parts.withColumn("part", F.pmod(F.xxhash64("rep"), F.coalesce("parts", F.lit(1))).cast("int"))
-    rows = parts.join(sides, ["label", "dim", "cell", "part"]).select("pair", "side", "rep", "copies", "v")
+    # A block's tree is built once and goes, with its points, to the pairs it has part in.
+    where = ["label", "dim", "cell", "part"]
 
-    def compare(table: pa.Table) -> pa.Table:
-        side, rep, copies, x = table["side"].to_numpy(), table["rep"].to_numpy(), table["copies"].to_numpy(), _matrix(table["v"])
+    def build(table: pa.Table) -> pa.Table:
+        rep, copies = table["rep"].to_numpy(), table["copies"].to_numpy()
         order = np.argsort(rep, kind="stable")
-        side, rep, copies, x = side[order], rep[order], copies[order], x[order]
-        ia, ib = (np.nonzero(side != 1)[0], np.nonzero(side != 0)[0])
-        if not len(ia) or not len(ib):
-            u = v = np.zeros(0, np.int64)
-        else:
-            whole = bool(side[0] == 2)
-            ta = CoverTree(unit(x[ia]))
-            tb = ta if whole else CoverTree(unit(x[ib]))
-            i, j = dual_pairs(ta, tb, most, whole)
-            u, v = ia[i], ib[j]
-            scaled = x / np.abs(x).max(axis=1, keepdims=True)
-            norm = np.sqrt((scaled * scaled).sum(axis=1))
-            linked = (scaled[u] * scaled[v]).sum(axis=1) / (norm[u] * norm[v]) >= least
-            u, v = u[linked], v[linked]
-        links = np.bincount(u, weights=copies[v], minlength=len(rep)) + np.bincount(v, weights=copies[u], minlength=len(rep))
-        some = np.nonzero(links)[0]
-        edges = _forest(rep[u], rep[v])
-        kind = [0] * len(some) + [1] * len(edges)
-        return pa.table({"kind": pa.array(kind, pa.int32()), "a": pa.array(rep[some].tolist() + [e[0] for e in edges], pa.int64()), "b": pa.array(links[some].astype(np.int64).tolist() + [e[1] for e in edges], pa.int64())})
+        x = _matrix(table["v"])[order]
+        blob = CoverTree(unit(x)).to_bytes(rep[order], copies[order], x)
+        return pa.table({**{c: table[c].slice(0, 1) for c in where}, "tree": pa.array([blob], pa.binary())})
+
+    kinds = ", ".join(f"{c} {parts.schema[c].dataType.simpleString()}" for c in where)
+    trees = materialize(parts.groupBy(*where).applyInArrow(build, f"{kinds}, tree binary"), "cover-trees")
+    rows = trees.join(sides, where).select("pair", "side", "tree")
+
+    def compare(table: pa.Table) -> pa.Table:
+        order = np.argsort(table["side"].to_numpy(), kind="stable").tolist()
+        (ta, (rep_a, copies_a, xa)), (tb, (rep_b, copies_b, xb)) = (CoverTree.from_bytes(table["tree"][i].as_py()) for i in (order[0], order[-1]))
+        whole = len(order) == 1
+        i, j = dual_pairs(ta, ta if whole else tb, most, whole)
+        scaled = [x / np.abs(x).max(axis=1, keepdims=True) for x in (xa, xb)]
+        norm = [np.sqrt((x * x).sum(axis=1)) for x in scaled]
+        # The exact measure, in slices.
+        linked = [(scaled[0][i[lo : lo + FRONTIER]] * scaled[1][j[lo : lo + FRONTIER]]).sum(axis=1) / (norm[0][i[lo : lo + FRONTIER]] * norm[1][j[lo : lo + FRONTIER]]) >= least for lo in range(0, len(i), FRONTIER)]
+        linked = np.concatenate(linked) if linked else np.zeros(0, bool)
+        i, j = i[linked], j[linked]
+        nodes, links = [], []
+        for rep, n in ((rep_a, np.bincount(i, weights=copies_b[j], minlength=len(rep_a))), (rep_b, np.bincount(j, weights=copies_a[i], minlength=len(rep_b)))):
+            some = np.nonzero(n)[0]
+            nodes += rep[some].tolist()
+            links += n[some].astype(np.int64).tolist()
+        edges = _forest(rep_a[i], rep_b[j])
+        kind = [0] * len(nodes) + [1] * len(edges)
+        return pa.table({"kind": pa.array(kind, pa.int32()), "a": pa.array(nodes + [e[0] for e in edges], pa.int64()), "b": pa.array(links + [e[1] for e in edges], pa.int64())})
 
     found = materialize(rows.groupBy("pair").applyInArrow(compare, "kind int, a long, b long"), "cover-links")
+    release(placed_, trees)
     others = found.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("others"))
     members = good.join(points.select("label", "v", "rep", "copies"), ["label", "v"]).select("vec_id", "rep", "copies")
     members = materialize(members, "cover-members")
     edges = found.where("kind = 1").select(F.col("a").alias("u"), F.col("b").alias("v")).union(members.select("vec_id", "rep"))
-    comp = components(edges)
+    comp = stars(edges)
+    release_at_exit(members, found, comp)
+    release(points)
     links = members.groupBy("vec_id", "rep").agg(F.first("copies").alias("copies"), F.count("*").alias("rows")).join(others, "rep", "left")
     # A row's links: its vector's other copies and what they link with. Rows that repeat a vec_id with another vector have theirs added.
     links = links.groupBy("vec_id").agg(F.sum(F.col("copies") - 1 + F.coalesce("others", F.lit(0))).cast("long").alias("n_links"))

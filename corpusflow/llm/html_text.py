@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.llm.common import map_arrow, materialize, release, release_at_exit, ship, without
+from corpusflow.llm.common import bounded, map_arrow, materialize, release, release_at_exit, ship, without
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""(?i)(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""")
@@ -335,13 +335,15 @@ def _compared(rows: DataFrame, edges: dict[int, Recent], name: str, down: bool)
     return _in_order(rows, down).mapInArrow(run, schema)
 
 
-def _kept(rows: DataFrame) -> DataFrame:
-    """(__id, __key, keep): the places of the lines to keep."""
+def _changed(rows: DataFrame) -> DataFrame:
+    """(__id, __key, keep): the places of the lines to keep, of pages where the neighbours make a difference."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         roles, before, after = (batch.column(c).to_pylist() for c in ("roles", "before", "after"))
         keep = [kept_lines(list(r), b, a) for r, b, a in zip(roles, before, after, strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__key"), pa.array(keep, pa.list_(pa.int32()))], ["__id", "__key", "keep"])
+        other = pa.array([k != kept_lines(list(r), None, None) for k, r in zip(keep, roles, strict=True)], pa.bool_())
+        columns = [batch.column("__id"), batch.column("__key"), pa.array(keep, pa.list_(pa.int32()))]
+        return pa.RecordBatch.from_arrays([c.filter(other) for c in columns], ["__id", "__key", "keep"])
 
     return map_arrow(rows, run, T._parse_datatype_string("__id long, __key long, keep array<int>"))
 
@@ -354,33 +356,36 @@ def extract_text(pages: DataFrame) -> DataFrame:
     with another url or html are pages of their own. Other columns pass through; a column that is already
     named text is replaced. No rows in, no rows out."""
     ship(pages.sparkSession)
-    pages = without(pages, ["text", *KEY, "__lines", "keep"])
+    pages = without(pages, ["text", *KEY, "__lines", "__alone", "keep"])
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?i)^https?://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     path = F.regexp_extract(F.coalesce("url", F.lit("")), r"(?i)^(?:https?://[^/?#]*)?([^?#]*)", 1)
     keys = [host.alias("__host"), path.alias("__path"), F.col("page_id").cast("long").alias("__id"), F.xxhash64("url", "html").alias("__key")]
     lined = materialize(_lined(pages.select(*keys, F.col("html"))), "pages-lined")
-    once = lined.dropDuplicates(["__id", "__key"])
-    ranges = once.repartitionByRange(*[F.col(c) for c in KEY]).withColumn("range", F.spark_partition_id().cast("long"))
+    ranges = lined.repartitionByRange(*[F.col(c) for c in KEY]).withColumn("range", F.spark_partition_id().cast("long"))
     ranges = materialize(ranges, "pages-ranges")
     # The ranges stand now: a task takes whole ones, whatever it reads them for.
     dealt = ranges.repartition("range")
     rows = _compared(dealt, _edges(dealt, False), "before", False)
-    keep = materialize(_kept(_compared(rows, _edges(dealt, True), "after", True)), "pages-kept")
+    changed = _changed(_compared(rows, _edges(dealt, True), "after", True))
+    # Rows that repeat a page are one.
+    changed = materialize(changed.groupBy("__id", "__key").agg(F.min("keep").alias("keep")), "pages-changed")
     release(lined, ranges)
-    release_at_exit(keep)
+    release_at_exit(changed)
 
     names = [c for c in pages.columns if c.lower() != "html"]
     source = pages.select(*[F.col(f"`{c}`") for c in names], *keys[2:], "html")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lines = [[x for x, _ in lines_of(page or "")] for page in batch.column(batch.num_columns - 1).to_pylist()]
-        return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lines, pa.list_(pa.string()))], [*batch.schema.names[:-1], "__lines"])
+        own = [lines_of(page or "") for page in batch.column(batch.num_columns - 1).to_pylist()]
+        lines = pa.array([[x for x, _ in page] for page in own], pa.list_(pa.string()))
+        alone = pa.array([kept_lines([r for _, r in page], None, None) for page in own], pa.list_(pa.int32()))
+        return pa.RecordBatch.from_arrays([*batch.columns[:-1], lines, alone], [*batch.schema.names[:-1], "__lines", "__alone"])
 
-    schema = T.StructType([*source.schema.fields[:-1], T.StructField("__lines", T.ArrayType(T.StringType()))])
-    # The lines, not the markup, go to meet what is kept of them.
+    schema = T.StructType([*source.schema.fields[:-1], T.StructField("__lines", T.ArrayType(T.StringType())), T.StructField("__alone", T.ArrayType(T.IntegerType()))])
+    # What differencing changes goes to the pages, if it is of bounded size; else both meet by key, the lines instead of the markup.
     parsed = map_arrow(source, run, schema).alias("p")
-    both = parsed.join(keep.alias("k"), F.col("p.__id").eqNullSafe(F.col("k.__id")) & (F.col("p.__key") == F.col("k.__key")))
-    text = F.array_join(F.transform("keep", lambda i: F.get("__lines", i)), "\n\n")
+    both = parsed.join(bounded(changed).alias("k"), F.col("p.__id").eqNullSafe(F.col("k.__id")) & (F.col("p.__key") == F.col("k.__key")), "left")
+    text = F.array_join(F.transform(F.coalesce("keep", "__alone"), lambda i: F.get("__lines", i)), "\n\n")
     return both.select(*[F.col(f"p.`{c}`") for c in names], text.alias("text"))
 
 

@@ -19,7 +19,7 @@ from corpusflow.functions import venues as V
 from corpusflow.functions.text import let
 from corpusflow.packs import TOPICS, VENUES, LabelPack, VenuePack
 from corpusflow.schema import FIELDS, LIST_FIELDS, SOURCE_FIELDS
-from corpusflow.session import delete, new_path
+from corpusflow.session import delete, materialize, new_path, release_at_exit
 
 HOT = 256
 CHUNK = 4  # times hot, the most rows of a key that a round takes
@@ -163,15 +163,61 @@ def dedupe(papers: DataFrame, venues: VenuePack = VENUES, topics: LabelPack = TO
     """One record for each title key of papers (ord, map_key, FIELDS, labels, pipeline_stages):
     (title_key, ord, n, fields), n rows having become one. Titles without a key are left out. Ties in ord are
     broken by nothing: ord must be unique within a key."""
-    rows = normalized(papers.select("ord", "map_key", *MERGED), venues, topics).where(F.col("__key") != "").withColumn("abstract", F.col("__clean"))
-    rows = rows.withColumn("__rank", V.merge_precedence(F.col("venue"), venues)).withColumnRenamed("__key", "title_key")
-    record = _with_score(F.struct(*[F.col(f) for f in MERGED]), F.col("__rank"), venues)
+    rows, record = _records(papers, venues, topics)
+    # Keys are counted before rows are folded, so the clean records are written once.
+    rows = materialize(rows.where("title_key <> ''"), "records")
+    release_at_exit(rows)
     step = lambda a, b: let(combine(a, b, topics, prefer_first), lambda e: _with_score(e, e["rank"], venues))
     out = fold(rows, ["title_key"], "ord", record, step)
     out = out.select("title_key", "ord", "n", *[F.col("record")[f].alias(f) for f in MERGED])
     return canonical(out, venues, topics) if canonical_result else out
 
 
+def _records(papers: DataFrame, venues: VenuePack, topics: LabelPack) -> tuple[DataFrame, Column]:
+    """papers (ord, map_key, MERGED) normalized, with title_key, and each row's record for the fold."""
+    rows = normalized(papers.select("ord", "map_key", *MERGED), venues, topics).withColumn("abstract", F.col("__clean"))
+    rows = rows.withColumn("__rank", V.merge_precedence(F.col("venue"), venues)).withColumnRenamed("__key", "title_key")
+    return rows, _with_score(F.struct(*[F.col(f) for f in MERGED]), F.col("__rank"), venues)
+
+
+def upsert_papers(existing: DataFrame, incoming: DataFrame, venues: VenuePack = VENUES, topics: LabelPack = TOPICS, prefer_existing: bool = False) -> DataFrame:
+    """Papers (title_key, MERGED) after incoming ones (ord, map_key, MERGED) were merged into existing ones, with (added,
+    updated, skipped, invalid): how many incoming rows were the first of a new key, changed the record they
+    met, changed nothing, or had no key. Those without one are counted in a row of the key ''.
+
+    Existing papers are deduplicated first. A key's incoming rows are merged in order of ord by the rule of the merge: record
+    score and venue rank, or, with prefer_existing, what is there stays and only gaps are filled."""
+    old = dedupe(existing, venues, topics).withColumns({"ord": F.lit(-1).cast("long"), "map_key": F.lit("")})
+    rows, record = _records(old.select("ord", "map_key", *MERGED).unionByName(incoming.select("ord", "map_key", *MERGED)), venues, topics)
+    rows, zero = materialize(rows, "records"), F.lit(0).cast("long")
+    release_at_exit(rows)
+
+    def step(a: Column, b: Column) -> Column:
+        merged = let(combine(a["r"], b["r"], topics, prefer_existing), lambda e: _with_score(e, e["rank"], venues))
+
+        def counted(e: Column) -> Column:
+            equal = F.lit(True)
+            for f in MERGED:
+                empty = F.array().cast("array<string>") if f in LIST_FIELDS else F.lit("")
+                equal = equal & (F.coalesce(e[f], empty) == F.coalesce(a["r"][f], empty))
+            return F.struct(e.alias("r"), (a["updated"] + F.when(equal, zero).otherwise(1)).alias("updated"), (a["skipped"] + F.when(equal, 1).otherwise(zero)).alias("skipped"))
+
+        return let(merged, counted)
+
+    start = F.struct(record.alias("r"), zero.alias("updated"), zero.alias("skipped"))
+    out = fold(rows.where("title_key <> ''"), ["title_key"], "ord", start, step)
+    out = out.select("title_key", *[F.col("record")["r"][f].alias(f) for f in MERGED], F.when(F.col("ord") >= 0, 1).otherwise(0).cast("long").alias("added"), "record.updated", "record.skipped", zero.alias("invalid"))
+    bad = rows.where("title_key = '' AND ord >= 0").agg(F.count("*").alias("invalid")).where("invalid > 0")
+    none = [F.lit(None).cast(out.schema[f].dataType).alias(f) for f in MERGED]
+    return out.unionByName(bad.select(F.lit("").alias("title_key"), *none, *[zero.alias(c) for c in ("added", "updated", "skipped")], "invalid"))
+
+
+def upsert_counts(merged: DataFrame) -> DataFrame:
+    """One row (added, updated, skipped, invalid, total) over upsert_papers()'s result."""
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("added", "updated", "skipped", "invalid")]
+    return merged.agg(*sums, F.count_if(F.col("title_key") != "").alias("total"))
+
+
 def duplicates() -> Column:
     """The number of rows that went, as an aggregate over dedupe()'s result."""
     return F.coalesce(F.sum(F.col("n") - 1), F.lit(0))

@@ -3,8 +3,6 @@ Arrow plumbing, hashing and distributed connected components."""
 
 from __future__ import annotations
 
-import atexit
-import contextlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,40 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.session import delete, new_path, ship
+from corpusflow.session import drop_at_exit, materialize, new_path, release, release_at_exit, ship  # noqa: F401
 
 #: Edges that a task of components() holds, and the neighbours from which on a node is a hub.
 EDGES = 1_000_000
 HUB = 100_000
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df to the shared folder and read it back."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.written_to = path
-    return out
-
-
-def release(*tables: DataFrame) -> None:
-    """Delete tables that materialize() made and that nothing reads any more."""
-    for df in tables:
-        delete(df.sparkSession, df.written_to)
-
-
-def release_at_exit(*tables: DataFrame) -> None:
-    """Delete tables that a returned DataFrame still reads when this program ends."""
-    for df in tables:
-        atexit.register(_release_late, df)
-
-
-def _release_late(df: DataFrame) -> None:
-    with contextlib.suppress(Exception):  # the session may be gone: then the folder's owner cleans up
-        release(df)
-
-
 def bounded(ids: DataFrame, most: int = 1_000_000) -> DataFrame:
     """ids, a narrow written table, marked for a broadcast if it has at most `most` rows (some
     20 MB), for a merge join beyond that."""

@@ -1,18 +1,21 @@
 """Approximate nearest neighbours with a permutation index.
 
-Pivots are a bounded sample of the vectors. Every vector is indexed by the order of
-its nearest pivots. A block of vectors posts them in an inverted file: under each pivot,
-the vectors that have it among their nearest, with its place in their order. A query
-adds up, over the lists of its own nearest pivots, how much each vector's order agrees with its own;
+Pivots are a bounded sample of the vectors of a length. Every vector is represented by the order of
+its nearest pivots. Vectors are indexed in blocks, once: a block is a row of a written table with its
+distinct vectors and a pivot inverted file, which posts under each pivot
+the vectors that have it among their nearest, with its place in their order. A query reads the lists
+of its own nearest pivots and adds up how much each vector's order agrees with its own;
 this ranks the block by Spearman's footrule with a fixed place for absent pivots. The best
-`share` of the block (at least `least` vectors) is reranked by exact cosine.
+`share` of a block, and never fewer than LEAST of it, is reranked by exact cosine.
 
-Queries are a stated set, taken in blocks of bounded size against all blocks of the index,
-so each pass is a scan whose tasks return a few rows per query.
+Queries are a stated set, taken in groups of bounded size against all blocks, so a group is
+one scan of the index whose tasks return a few rows per query. Nothing is searched besides the index: the
+share is the recall's price at every size.
 """
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,15 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import map_arrow, materialize, ship
+from corpusflow.llm.common import materialize, release, release_at_exit, ship
 from corpusflow.llm.cover_tree import unit, usable
 
-PIVOTS = 128
-ORDER = 64
+PIVOTS = 256
+ORDER = 96
 SHARE = 0.1
-LEAST = 512
-SAMPLE = 1024
-ROWS = 8192
+LEAST = 24
+SAMPLE = 4096
+ROWS = 4096
 QUERIES = 4096
 
 
@@ -37,132 +40,148 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def choose_pivots(good: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE) -> np.ndarray:
-    """Distinct unit vectors of the commonest length in a sample of at most `sample` rows."""
-    rows = good.select("v").groupBy("v").agg(F.min(F.lit(1))).select("v").orderBy(F.xxhash64("v")).limit(sample).collect()
-    lengths = [len(r["v"]) for r in rows]
-    if not lengths:
-        return np.zeros((0, 1))
-    common = max(set(lengths), key=lambda n: (lengths.count(n), -n))
-    return unit(np.array([r["v"] for r in rows if len(r["v"]) == common][:pivots], np.float64))
+    """Distinct unit vectors among at most `sample` rows, those whose ids hash lowest."""
+    rows = good.select("vec_id", "v").orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(sample).collect()
+    x = np.array([r["v"] for r in rows], np.float64)
+    _, first = np.unique(x, axis=0, return_index=True)
+    return unit(x[np.sort(first)[:pivots]])
 
 
-def build_index(good: DataFrame, pivots: np.ndarray, order: int = ORDER) -> DataFrame:
-    """(vec_id, v, pivots): every vector of the pivots' length with its nearest pivots in order."""
-    order, held = min(order, len(pivots)), good.sparkSession.sparkContext.broadcast(pivots)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        near = np.argsort(-(unit(_matrix(batch.column(1))) @ held.value.T), axis=1, kind="stable")[:, :order].astype(np.int16)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, near.size + 1, order, dtype=np.int32)), pa.array(near.ravel()))
-        return pa.RecordBatch.from_arrays([*batch.columns, lists], ["vec_id", "v", "pivots"])
-
-    same = good.where(F.size("v") == pivots.shape[1]) if len(pivots) else good.limit(0)
-    return map_arrow(same.select("vec_id", "v"), run, same.select("vec_id", "v", F.array().cast("array<short>").alias("pivots")).schema)
+def nearest_pivots(u: np.ndarray, pivots: np.ndarray, order: int) -> np.ndarray:
+    """The places of the nearest pivots of unit vectors, nearest first."""
+    return np.argsort(-(u @ pivots.T), axis=1, kind="stable")[:, :order]
 
 
 class InvertedFile:
-    """Posting lists of a block: pivot -> vectors and the pivot's place in their order."""
-
-    def __init__(self, near: np.ndarray, pivots: int):
-        n, self.order = near.shape
-        self.n = n
-        flat = near.ravel().astype(np.int64)
-        by = np.argsort(flat, kind="stable")
-        self.vector, self.place = by // self.order, (by % self.order).astype(np.int32)
-        self.start = np.searchsorted(flat[by], np.arange(pivots + 1))
+    """A block: its distinct vectors with the ids of each (ascending), and posting lists: pivot -> vectors and the
+    pivot's place in their order."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, pivots: np.ndarray, order: int):
+        _, first, same = np.unique(x, axis=0, return_index=True, return_inverse=True)
+        by = np.lexsort((ids, same.reshape(-1)))
+        self.ids, self.begin = ids[by], np.searchsorted(same.reshape(-1)[by], np.arange(len(first) + 1))
+        self.u = unit(x[first])
+        near = nearest_pivots(self.u, pivots, order)
+        flat = near.ravel()
+        at = np.argsort(flat, kind="stable")
+        self.order = np.array([near.shape[1]])
+        self.vector, self.place = (at // near.shape[1]).astype(np.int32), (at % near.shape[1]).astype(np.int16)
+        self.start = np.searchsorted(flat[at], np.arange(len(pivots) + 1))
+
+    def to_bytes(self) -> bytes:
+        out = io.BytesIO()
+        for a in (self.ids, self.begin, self.u, self.order, self.vector, self.place, self.start):
+            np.save(out, a)
+        return out.getvalue()
+
+    @classmethod
+    def from_bytes(cls, raw: bytes) -> InvertedFile:
+        source, out = io.BytesIO(raw), cls.__new__(cls)
+        out.ids, out.begin, out.u, out.order, out.vector, out.place, out.start = (np.load(source) for _ in range(7))
+        return out
 
     def agreement(self, query: np.ndarray) -> np.ndarray:
         """For each vector order(order + 1) minus its footrule to the query, halved."""
-        total = np.zeros(self.n, np.int32)
+        order, total = int(self.order[0]), np.zeros(len(self.u), np.int32)
         for j, p in enumerate(query.tolist()):
             a, b = self.start[p], self.start[p + 1]
-            total[self.vector[a:b]] += self.order - np.maximum(self.place[a:b], j)
+            total[self.vector[a:b]] += order - np.maximum(self.place[a:b], j)  # a vector is in a list once
         return total
 
+    def search(self, q_ids: np.ndarray, q: np.ndarray, q_near: np.ndarray, top: int, share: float) -> list[tuple[int, int, float]]:
+        """(query row, vec_id, score) of the nearest found for each query."""
+        wanted, out = min(len(self.u), max(LEAST, int(np.ceil(share * len(self.u))))), []
+        for r in range(len(q_ids)):
+            agrees = self.agreement(q_near[r])
+            chosen = np.argpartition(-agrees, wanted - 1)[:wanted]
+            score = self.u[chosen] @ q[r]
+            if len(chosen) > 2 * top + 2:
+                # Vectors whose scores tie with the last one kept stay, so ids decide between them.
+                floor = np.partition(score, len(score) - top - 1)[len(score) - top - 1]
+                keep = score >= floor - 1e-12
+                chosen, score = chosen[keep], score[keep]
+            for c, s in zip(chosen.tolist(), score.tolist(), strict=True):
+                # Of equal vectors the smallest top + 1 ids can matter.
+                out += [(r, int(i), s) for i in self.ids[self.begin[c] : self.begin[c + 1]][: top + 1] if i != q_ids[r]]
+        return out
+
+
+def build_index(good: DataFrame, pivots: np.ndarray, order: int = ORDER, rows: int = ROWS) -> DataFrame:
+    """(blob): the inverted files of all vectors (vec_id, v), `rows` to a block."""
+    held = good.sparkSession.sparkContext.broadcast(pivots)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+
+        def give() -> pa.RecordBatch:
+            ids, x = (np.concatenate(c) for c in ([b.column(0).to_numpy() for b in waiting], [_matrix(b.column(1)) for b in waiting]))
+            waiting.clear()
+            return pa.RecordBatch.from_arrays([pa.array([InvertedFile(ids, x, held.value, order).to_bytes()], pa.binary())], ["blob"])
+
+        for batch in batches:
+            for lo in range(0, batch.num_rows, rows):
+                waiting.append(batch.slice(lo, rows))
+                if sum(b.num_rows for b in waiting) >= rows:
+                    yield give()
+        if waiting:
+            yield give()
+
+    return materialize(good.select("vec_id", "v").mapInArrow(run, "blob binary"), "permutation-index")
 
-def _search_block(ids, x, near, q_ids, q, q_near, pivots, top, share, least):
-    """(query row, vec_id, score) of the nearest of a block for each query."""
-    # Equal vectors are one candidate; of their ids the smallest top + 1 can matter.
-    _, first, same = np.unique(x, axis=0, return_index=True, return_inverse=True)
-    same = same.reshape(-1)
-    by = np.lexsort((ids, same))
-    begin = np.searchsorted(same[by], np.arange(len(first) + 1))
-    x, near = x[first], near[first]
-    file, u = InvertedFile(near, pivots), unit(x)
-    wanted = min(len(x), max(least, int(np.ceil(share * len(x)))))
-    out = []
-    for r in range(len(q_ids)):
-        if wanted < len(x):
-            chosen = np.argpartition(-file.agreement(q_near[r]), wanted - 1)[:wanted]
-        else:
-            chosen = np.arange(len(x))
-        score = u[chosen] @ q[r]
-        if len(chosen) > 2 * top + 2:
-            # Vectors whose scores tie with the last one kept stay, so ids decide between them.
-            floor = np.partition(score, len(score) - top - 1)[len(score) - top - 1]
-            keep = score >= floor - 1e-12
-            chosen, score = chosen[keep], score[keep]
-        for c, s in zip(chosen.tolist(), score.tolist(), strict=True):
-            out += [(r, int(i), s) for i in ids[by[begin[c] : begin[c + 1]][: top + 1]] if i != q_ids[r]]
-    return out
-
-
-def nearest(vectors: DataFrame, queries: F.Column, top: int = 5, pivots: int = PIVOTS, order: int = ORDER, share: float = SHARE, least: int = LEAST) -> DataFrame:
+
+def nearest(vectors: DataFrame, queries: F.Column, top: int = 5, pivots: int = PIVOTS, order: int = ORDER, share: float = SHARE, rows: int = ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of vectors (vec_id, embedding, ...) that
     `queries` selects, its `top` nearest other rows found, by cosine in double precision,
     nearest first, ties to the smaller vec_id.
 
-    Vectors that are null, empty, zero or hold null or non-finite components, those of
-    another length than the pivots' and null vec_ids take no part. Of rows that repeat a vec_id the smallest
-    vector asks and the nearest answers. A row is not its own
+    Vectors that are null, empty, zero or hold null or non-finite components and null vec_ids take no part. Vectors
+    of each length are indexed and searched by themselves; lengths are few, each costs a few jobs. Of rows that repeat a vec_id the smallest
+    vector of each length asks and the nearest answers. A row is not its own
     neighbour, nor is another row of the same vec_id. With fewer candidates all are returned; an empty
     table or query set gives no rows. Other columns are not read."""
     ship(vectors.sparkSession)
     spark = vectors.sparkSession
     picked = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"), queries.alias("__q"))
     good = picked.where(F.col("vec_id").isNotNull() & usable(F.col("v")))
-    chosen = choose_pivots(good, pivots)
-    index = materialize(build_index(good, chosen, order), "permutation-index")
-    asked = build_index(good.where("__q"), chosen, order).groupBy("vec_id").agg(F.min(F.struct("v", "pivots")).alias("r"))
-    asked = materialize(asked.select("vec_id", "r.*"), "permutation-queries")
-    blocks = -(-asked.count() // QUERIES)
-    found = None
-    for k in range(blocks):
-        rows = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == k).orderBy("vec_id").collect()  # about QUERIES rows
-        if not rows:
-            continue
-        q = unit(np.array([r["v"] for r in rows], np.float64))
-        held = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in rows]), q, np.array([r["pivots"] for r in rows])))
-        part = index.mapInArrow(_searcher(held, len(chosen), top, share, least), "query_id long, vec_id long, score double")
-        part = materialize(part, "permutation-found") if blocks > 1 else part
-        found = part if found is None else found.union(part)
-    if found is None:
-        found = spark.createDataFrame([], "query_id long, vec_id long, score double")
-    ranked = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    lengths = [r[0] for r in good.groupBy(F.size("v").alias("n")).agg(F.count_if("__q").alias("q")).where("q > 0").orderBy("n").collect()]
+    out = None
+    for n in lengths:
+        same = good.where(F.size("v") == n)
+        chosen = choose_pivots(same, pivots)
+        near = min(order, len(chosen))
+        index = build_index(same, chosen, near, rows)
+        asked = materialize(same.where("__q").groupBy("vec_id").agg(F.min("v").alias("v")), "permutation-queries")
+        groups = -(-asked.count() // QUERIES)
+        for k in range(groups):
+            own = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(groups)) == k).orderBy("vec_id").collect()  # about QUERIES rows
+            if own:
+                q = unit(np.array([r["v"] for r in own], np.float64))
+                held = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in own]), q, nearest_pivots(q, chosen, near)))
+                part = index.mapInArrow(_searcher(held, top, share), "query_id long, vec_id long, score double")
+                if groups > 1:
+                    part = materialize(part, "permutation-found")
+                    release_at_exit(part)
+                out = part if out is None else out.union(part)
+        release(asked)
+        release_at_exit(index)
+    if out is None:
+        out = spark.createDataFrame([], "query_id long, vec_id long, score double")
+    ranked = out.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return ranked.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 
 
-def _searcher(held, pivots: int, top: int, share: float, least: int):
+def _searcher(held, top: int, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q_ids, q, q_near = held.value
         best: list[list[tuple[float, int]]] = [[] for _ in q_ids]
-        waiting: list[tuple] = []
-
-        def search(blocks: list[tuple]) -> None:
-            ids, x, near = (np.concatenate([b[i] for b in blocks]) for i in range(3))
-            new: dict[int, list[tuple[float, int]]] = {}
-            for r, i, s in _search_block(ids, x, near, q_ids, q, q_near, pivots, top, share, least):
-                new.setdefault(r, []).append((-s, i))
-            for r, rows in new.items():
-                best[r] = sorted(set(best[r] + rows))[:top]
-
         for batch in batches:
-            waiting.append((batch.column(0).to_numpy(), _matrix(batch.column(1)), _matrix(batch.column(2))))
-            if sum(len(b[0]) for b in waiting) >= ROWS:
-                search(waiting)
-                waiting = []
-        if waiting:
-            search(waiting)
+            for blob in batch.column(0):
+                new: dict[int, list[tuple[float, int]]] = {}
+                for r, i, s in InvertedFile.from_bytes(blob.as_py()).search(q_ids, q, q_near, top, share):
+                    new.setdefault(r, []).append((-s, i))
+                for r, found in new.items():
+                    best[r] = _first(best[r] + found, top)
         rows = [(int(q_ids[r]), i, -s) for r, own in enumerate(best) for s, i in own]
         if rows:
             a, b, c = zip(*rows, strict=True)
@@ -171,5 +190,14 @@ def _searcher(held, pivots: int, top: int, share: float, least: int):
     return run
 
 
+def _first(found: list[tuple[float, int]], top: int) -> list[tuple[float, int]]:
+    """The first of (-score, id), each id once."""
+    out: dict[int, float] = {}
+    for s, i in sorted(found):
+        if out.setdefault(i, s) == s and len(out) == top:
+            break
+    return [(s, i) for i, s in out.items()]
+
+
 def op8_nearest(spark, sf_dir: str) -> DataFrame:
     return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)

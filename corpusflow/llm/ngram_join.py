@@ -43,7 +43,7 @@ BAND = 1.25
 MARGIN = 1.15
 PARTS = 2
 CHUNK = 256
-MOST = 16
+MOST = 64
 MEMBERS = 4096
 SLICE = 512
 
@@ -493,7 +493,7 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
         step = materialize(_draw(_meets_again(todo, sizes.where("others > 0")), num, den, most), "jaccard-step")
         release(todo)
         links.compare(step.where("a IS NOT NULL").select("a", "b").distinct())
-        again, most = step.where("a IS NULL").select("key").distinct(), 16 * most
+        again, most = step.where("a IS NULL").select("key").distinct(), 64 * most
     comp = links.comp.withColumnsRenamed({"node": "doc_id", "component": "component_id"})
     out = sets.select("doc_id", "n_shingles").join(comp, "doc_id", "left")
     release(reps, groups, step, *links.tried)

@@ -110,7 +110,7 @@ _ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end
 def find_pii(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """docs (text, ...) plus pii: array of (kind, start, end, score), by kind in the
     order of KINDS, then start. A null or empty text has an empty array. Other columns and
-    repeated rows pass through; a column that is already named pii is replaced."""
+    repeated rows pass through; a column that is already named pii is replaced. No rows in, no rows out."""
     ship(docs.sparkSession)
 
     @F.arrow_udf(SPAN_TYPE)
@@ -123,8 +123,8 @@ def find_pii(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
 def redact(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
     """docs (text, ...) with every span replaced by its kind in brackets, as [EMAIL].
 
-    Spans that touch or overlap become one, named after the first. A null text stays
-    null. Other columns pass through."""
+    Spans that overlap become one, named after the first; those that only touch stay apart. A null text stays
+    null. Other columns and repeated rows pass through; no rows in, no rows out."""
     ship(docs.sparkSession)
 
     @F.arrow_udf("string")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, StringContains, StringStartsWith, WriterCommitMessage
 
-from corpusflow.llm.common import materialize, new_path, ship
+from corpusflow.llm.common import drop_at_exit, materialize, release_at_exit, new_path, ship
 
 NAMESPACE = 0x6C1F0A4E5D2B4C3A << 64
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -309,6 +309,7 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     kept = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("sha1", "payload_bytes").agg(F.max("page_id").alias("top"), F.count("*").alias("n"))
     # Written first, so that Spark knows its size: a small table is broadcast and payloads are not shuffled.
     kept = materialize(kept.where("n > 1").select("sha1", "payload_bytes", "top"), "repeated-payloads")
+    release_at_exit(kept)
     again = F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top"))
     rows = rows.join(kept, ["sha1", "payload_bytes"], "left").withColumn("record_type", F.when(again, "revisit").otherwise("response"))
     return rows.select("page_id", "url", F.when(~again | again.isNull(), F.col("payload")).alias("payload"), "sha1", "record_type", F.when(again, F.col("top")).alias("refers_to"), "payload_bytes")
@@ -330,6 +331,7 @@ def digest_of(payload: F.Column) -> F.Column:
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
     path = new_path(spark, "archives")
+    drop_at_exit(spark, path)
     write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), path)
     rows = read_warc(spark, path).where(F.col("record_type").isin("response", "revisit"))
     # A response's length and digest are those of the payload that came back.

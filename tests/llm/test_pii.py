@@ -60,6 +60,35 @@ def test_tables(spark):
     assert P.find_pii(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def more(text):
+    """The added kinds by a plain reading: IBANs that pass mod 97, and social security numbers near their words."""
+    out = []
+    for m in P.IBAN.finditer(text):
+        bare = m[0].replace(" ", "")
+        turned = "".join(str(ord(c) - 55) if c.isalpha() else c for c in bare[4:] + bare[:4])
+        if 15 <= len(bare) <= 34 and int(turned) % 97 == 1:
+            out.append(("iban", *m.span()))
+    for m in P.SSN.finditer(text):
+        near = text[max(0, m.start() - P.NEAR) : m.start()] + " " + text[m.end() : m.end() + P.NEAR]
+        score = P.BASE_SCORE["ssn"] + 0.3 * bool(P.FOR["ssn"].search(near)) - 0.3 * bool("ssn" in P.AGAINST and P.AGAINST["ssn"].search(near))
+        if round(score, 2) >= 0.5:
+            out.append(("ssn", *m.span()))
+    return out
+
+
+def test_added_spans_of_the_query(spark):
+    text = "IBAN GB82 WEST 1234 5698 7654 32 and GB82 WEST 1234 5698 7654 33, ssn 123-45-6789." + " word" * 40 + " 123-45-6780"
+    assert [s[0] for s in P.spans(text) if s[0] not in P.BASE_KINDS] == [k for k, *_ in more(text)] == ["iban", "ssn"]
+    out = P.op3_pii(spark, "/root/testdata/sf0.01")
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    for r in out.collect():
+        assert r.spans == ",".join(f"{k}:{s}:{e}" for k, s, e in plain(texts[r.doc_id]) + more(texts[r.doc_id]))
+
+
+def test_touching_spans_stay_apart():
+    assert P.redacted("a@b.cc+12345678901") == "[EMAIL][PHONE]"
+
+
 def test_query(spark):
     out = P.op3_pii(spark, "/root/testdata/sf0.01")
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}

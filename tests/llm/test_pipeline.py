@@ -2,7 +2,7 @@ import re
 
 import corpus_pipeline as P
 from corpusflow.llm import line_dedup, packing, pii
-from tests.llm.helpers import shingle_set
+from tests.llm.helpers import hard_docs, shingle_set
 
 SF = "/root/testdata/sf0.001"
 
@@ -52,3 +52,22 @@ def test_run_is_the_stages(spark):
         docs = stage(spark, docs, SF)
     key = lambda r: (r.doc_id, r.piece, r.start, r.length, r.ids_crc32)
     assert sorted(map(key, docs.collect())) == sorted(map(key, P.run(spark, SF).collect()))
+
+
+def test_stages_on_hard_rows(spark):
+    """Nulls, empty and long texts, repeated rows and ids, and no rows at all, through every stage."""
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    hard = [(r[0], r[1], None, r[2], None) for r in hard_docs()] + [(None, None, None, None, None)] * 2
+    long = "This line of the footer is in many documents, all of them"
+    hard += [(7000 + k, f"own {k}\n{long}", "en", "s", 1) for k in range(6)] + [(7000, f"own 0\n{long}", "en", "s", 1)]
+    for rows in (hard, []):
+        docs = spark.createDataFrame(rows, columns)
+        for name, stage in P.STAGES[1:]:
+            before, docs = docs, P.materialize(stage(spark, docs, SF), name)
+            if name != "packing":
+                assert docs.columns == list(P.COLUMNS)
+            if name in ("line_dedup", "personal_data"):
+                assert docs.count() == before.count()
+        assert {r.doc_id for r in docs.collect()} == {r.doc_id for r in before.collect()}
+        kept = P.quality(spark, spark.createDataFrame(rows, columns), SF)
+        assert kept.columns == list(P.COLUMNS) and kept.count() <= len(rows)

@@ -43,3 +43,35 @@ def test_hard_rows(spark):
     one = spark.createDataFrame([(10, 1), (11, 1), (None, 0), (12, None)], "doc_id long, quality int")
     assert all(0 <= r.score <= 1 for r in Q.score_quality(docs, one).collect())
     assert Q.score_quality(spark.createDataFrame([], DOCS), none).collect() == []
+
+
+def test_statistics_same_as_plain(spark):
+    """Statistics and features of hard texts against plain Python."""
+    import re
+    import unicodedata
+
+    from pyspark.sql import functions as F
+
+    texts = [None, "", " ", "\n", "A bc!\n\nA bc!, 12. Äö É $%", "x" * 5000, "One\ttwo\x0bthree\r\nfour? {a}=b_c \\ @+/", "ü😀 ÀB\u00a0c"] + [r[1] for r in hard_docs()]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    found, names = Q.with_features(docs)
+    stats = [c.alias(n) for n, c in Q.statistics(F.coalesce("text", F.lit(""))).items()]
+    stats = {r.doc_id: r.asDict() for r in docs.select("doc_id", *stats).collect()}
+    for r in found.collect():
+        t = r.text or ""
+        words = [w for w in re.split(r"[ \t-\r]+", t) if w]
+        lines = t.split("\n")
+        many = lambda p: float(len(re.findall(p, t)))  # noqa: E731, B023
+        plain = {
+            "chars": float(len(t)), "words": float(len(words)), "distinct_words": float(len(set(words))), "lines": float(len(lines)), "distinct_lines": float(len(set(lines))),
+            "upper": float(sum(unicodedata.category(c) == "Lu" for c in t)), "digits": many("[0-9]"), "symbols": many(r"[*%#&$|<>{}=~^_\\@+/]"), "shouts": many("!"), "stops": many("[.?!]"), "commas": many("[,;:]"),
+        }
+        assert {k: v for k, v in stats[r.doc_id].items() if k != "doc_id"} == plain
+        per = lambda a, b: plain[a] / max(plain[b], 1.0)  # noqa: E731, B023
+        expected = {
+            "chars": plain["chars"], "words": plain["words"], "word_length": per("chars", "words"), "distinct_words": per("distinct_words", "words"), "richness": plain["distinct_words"] / max(plain["words"], 1.0) ** 0.5,
+            "distinct_lines": per("distinct_lines", "lines"), "line_words": per("words", "lines"), "upper": per("upper", "chars"), "digits": per("digits", "chars"), "symbols": per("symbols", "words"), "shouts": per("shouts", "words"),
+            "stops": per("stops", "words"), "commas": per("commas", "words"),
+        }
+        assert names == list(expected)
+        assert all(abs(r["__f"][n] - v) < 1e-9 for n, v in expected.items())

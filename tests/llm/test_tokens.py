@@ -140,3 +140,14 @@ def test_encode_and_decode_tables(spark):
     whole = S.summarise(docs, S.default_model())
     assert whole.count() == len(rows) and whole.where("NOT round_trip").count() == 0
     assert S.encode(spark.createDataFrame([], DOCS), S.default_model()).collect() == []
+
+
+def test_query_same_as_the_library(spark):
+    """Counts and digests of op6_sentencepiece against the sentencepiece library."""
+    own = sentencepiece.SentencePieceProcessor(model_file=S.default_model())
+    texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    expected = {r.doc_id: own.encode(r.text or "") for r in texts}
+    got = S.op6_sentencepiece(spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert (r.n_tokens, r.ids_crc32) == (len(expected[r.doc_id]), zlib.crc32(np.array(expected[r.doc_id], "<u4").tobytes()))

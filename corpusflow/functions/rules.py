@@ -8,7 +8,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow import packs
@@ -198,3 +198,13 @@ def answered_labels(answer: Column | str, field: str, pack: LabelPack) -> Column
     names = F.flatten(F.transform(chosen, lambda p: F.array(p["parent"], p["child"])))
     ok = ~F.contains(text(answer), F.lit("NOT_RELEVANT")) & given.isNotNull()
     return F.when(ok, normalize_labels(names, pack))
+
+
+def label_papers(papers: DataFrame, pack: LabelPack, answers: DataFrame | None = None, field: str = "topics") -> DataFrame:
+    """papers (key, title, abstract, keywords, ...) with labels: by rules, or by the answers (key, answer) of an outside
+    classifier. Then papers whose answer is missing, refuses or can't be read go."""
+    if answers is None:
+        body = lowered(F.concat_ws(" ", *[text(c) for c in ("title", "abstract", "keywords")]))
+        return papers.withColumn("labels", classify(body, pack))
+    own = answers.select("key", answered_labels("answer", field, pack).alias("labels")).where("labels IS NOT NULL")
+    return papers.drop("labels").join(own, "key")

@@ -11,27 +11,18 @@ import unicodedata
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusflow.packs import MOJIBAKE
+from corpusflow.packs import MOJIBAKE, NOTE, SYNONYMS
 
 WS = r"(?U)[\s\x1c-\x1f]+"
 EDGE_WS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 TAG = r"<[^>]+>"
 DASHES = r"[‐-―−]"
-NOTE = r"(?iU)\s*\[[^\]]*(?:experiment|analysis|benchmark|vision|systems)[^\]]*\]\s*\.?$"
 #: What case folding turns into ASCII letters and lower() does not.
 FOLDS = {"ß": "ss", "ẞ": "ss", "ǰ": "j", "ẖ": "h", "ẗ": "t", "ẘ": "w", "ẙ": "y"}
-#: Spellings that share a key: pattern and what it becomes.
-SYNONYMS = [
-    (r"(?U)\btext\s*[- ]?\s*to\s*[- ]?\s*sql\b", "texttosql"),
-    (r"(?U)\btext\s*2\s*sql\b", "texttosql"),
-    (r"(?U)\bnl\s*[- ]?\s*2\s*sql\b", "nl2sql"),
-    (r"(?U)\bnatural\s+language\s+to\s+sql\b", "naturallanguagetosql"),
-]
-
 
 def text(c: Column | str) -> Column:
     """A string column, null as empty."""
@@ -165,6 +156,20 @@ def doi(c: Column | str, decode: bool = False) -> Column:
     return F.rtrim(F.regexp_extract(out, r"(?iU)(10\.\d{4,9}/[^\s\"<>]+)", 1), F.lit(".,;:)]}"))
 
 
+def first_doi(columns: list[Column | str]) -> Column:
+    """The DOI of the first of these fields that holds one, '' if none does."""
+    found = F.filter(F.array(*[doi(c, decode=True) for c in columns]), lambda d: d != "")
+    return F.coalesce(F.get(found, F.lit(0)), F.lit(""))
+
+
+def with_doi(rows: DataFrame, columns: tuple[str, ...] = ("doi", "url", "ee", "paper_url")) -> DataFrame:
+    """rows with doi filled, where it is empty, by the first DOI in these columns (those that rows have), and doi_id, that DOI as
+    batch interfaces name it, '' if there is none."""
+    found = first_doi([c for c in columns if c in rows.columns])
+    out = rows.withColumn("__doi", found)
+    return out.withColumns({"doi": F.when(text("doi") == "", F.col("__doi")).otherwise(F.col("doi")), "doi_id": F.when(F.col("__doi") != "", F.concat(F.lit("DOI:"), "__doi")).otherwise("")}).drop("__doi")
+
+
 def slug(c: Column | str, most: int = 80) -> Column:
     return F.substring(F.btrim(F.regexp_replace(F.lower(text(c)), "[^a-z0-9]+", "-"), F.lit("-")), 1, most)
 

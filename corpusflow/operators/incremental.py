@@ -74,6 +74,38 @@ def outcomes(results: DataFrame, now: Column) -> DataFrame:
     return results.select("record_key", status.alias("status"), iso(now).alias("last_attempt_at"), F.when(status == "complete", iso(now)).otherwise("").alias("last_success_at"), F.col("path").alias("rawdata_path"), X.text("sha256").alias("sha256"), F.coalesce("rows", F.lit(0)).alias("record_count"), X.text("error").alias("error"))
 
 
+def stale(results: DataFrame, now: Column) -> DataFrame:
+    """States (record_key, path, rows, sha256) of sources whose year is not over and whose refresh is due: what is known
+    of the file stays, there is no time of success."""
+    out = outcomes(results.withColumn("error", F.lit("active-year refresh due")), now)
+    return out.withColumn("status", F.lit("stale"))
+
+
+LADDER = ("skipped", "fetched", "existing_kept", "fallback_used", "failed")
+
+
+def fetch_ladder(wanted: DataFrame, first: DataFrame, second: DataFrame, keep_existing: bool = True) -> DataFrame:
+    """(record_key, outcome, used, rows, error) for wanted sources (record_key, skip, has_file, has_second), given the answers of
+    the first and the second place to ask (record_key, rows, error; no rows is a failure too).
+
+    In order: a source that needs no fetch is skipped; the first place's rows are used; if it failed, a file that is
+    there is kept (with keep_existing, as for conferences); else the second place's rows are used, if there is
+    one; else the fetch failed, with the errors of both."""
+    place = lambda df, n: df.select("record_key", F.col("rows").alias(f"__r{n}"), X.text("error").alias(f"__e{n}"))
+    out = wanted.join(place(first, 1), "record_key", "left").join(place(second, 2), "record_key", "left")
+    good = lambda n: F.coalesce(F.col(f"__r{n}") > 0, F.lit(False)) & (F.coalesce(f"__e{n}", F.lit("")) == "")
+    why = lambda n: F.when(F.coalesce(f"__e{n}", F.lit("")) == "", "empty").otherwise(F.col(f"__e{n}"))
+    both = F.coalesce("has_second", F.lit(False))
+    outcome = (
+        F.when(F.col("skip"), LADDER[0]).when(good(1), LADDER[1]).when(F.coalesce("has_file", F.lit(False)) & F.lit(keep_existing), LADDER[2])
+        .when(both & good(2), LADDER[3]).otherwise(LADDER[4])
+    )
+    out = out.withColumn("outcome", outcome)
+    is_ = lambda k: F.col("outcome") == LADDER[k]
+    error = F.when(is_(0) | is_(1), "").when(is_(4) & both, F.concat(F.lit("first: "), why(1), F.lit("; second: "), why(2))).otherwise(why(1))
+    return out.select("record_key", "outcome", F.when(is_(1), "first").when(is_(3), "second").otherwise("").alias("used"), F.when(is_(1), F.col("__r1")).when(is_(3), F.col("__r2")).otherwise(0).cast("long").alias("rows"), error.alias("error"))
+
+
 @dataclass
 class Rotation:
     """Where a round-robin over a manifest of venues stands; a handful of names, so plain Python."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusflow import packs
 from corpusflow.functions import rules
 from corpusflow.functions import text as X
 from corpusflow.functions import venues as V
@@ -68,9 +69,33 @@ def reconcile(papers: DataFrame, evidence: DataFrame, venues: VenuePack = VENUES
     return rows.select("key", "title", old.alias("from"), F.when(changed, F.struct(*[after[f].alias(f) for f in PLACE])).otherwise(old).alias("to"), F.col("path").alias("rawdata_path"), F.col("raw_title").alias("rawdata_title"), changed.alias("changed"))
 
 
-def apply_by_key(rows: DataFrame, results: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """rows with empty fields filled from results of the same key (a DOI, say); rows without a result stay."""
-    first = results.groupBy(key).agg(*[F.first(f, ignorenulls=True).alias(f"__{f}") for f in fields])
+def reconcile_summary(changes: DataFrame, venues: VenuePack = VENUES) -> DataFrame:
+    """One row of counts over reconcile()'s result: evidence found, updates, those to a higher venue, those of
+    metadata only, and papers that were right already."""
+    rank = lambda c: V.evidence_rank(F.col(c)["venue"], venues)
+    promoted = F.col("changed") & (rank("to") > rank("from"))
+    return changes.agg(
+        F.count("*").alias("evidence_matches"), F.count_if("changed").alias("updated_count"), F.count_if(promoted).alias("promoted_count"),
+        F.count_if(F.col("changed") & ~promoted).alias("metadata_fix_count"), F.count_if(~F.col("changed")).alias("already_aligned_count"),
+    )
+
+
+def to_enrich(papers: DataFrame, group: list[str], order: str, pattern: str | None = None, most: int | None = None) -> DataFrame:
+    """Papers (title, abstract, ...) to look up an abstract for: those without one whose title matches the
+    pattern in any case, of each group the first `most` by order. What is counted are attempts, whatever comes of them."""
+    out = papers.where(X.text("abstract") == "")
+    if pattern is not None:
+        out = out.where(X.text("title").rlike(f"(?iU){pattern}"))
+    if most is None:
+        return out
+    return out.withColumn("__r", F.row_number().over(Window.partitionBy(*group).orderBy(order))).where(F.col("__r") <= most).drop("__r")
+
+
+def apply_by_key(rows: DataFrame, results: DataFrame, key: str, fields: list[str], order: str | None = None) -> DataFrame:
+    """rows with empty fields filled from results of the same key (a DOI, say); rows without a result stay. Of several results
+    each field has its first that isn't null in the order of a column, without one the smallest."""
+    pick = lambda f: F.min(f) if order is None else F.min_by(f, F.when(F.col(f).isNotNull(), F.col(order)))
+    first = results.groupBy(key).agg(*[pick(f).alias(f"__{f}") for f in fields])
     out = rows.join(first, key, "left")
     for f in fields:
         out = out.withColumn(f, F.when(X.text(f) == "", F.coalesce(f"__{f}", f)).otherwise(F.col(f)))
@@ -78,34 +103,61 @@ def apply_by_key(rows: DataFrame, results: DataFrame, key: str, fields: list[str
 
 
 def contained_titles(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
-    """Pairs whose lowered texts are equal or one contains the other.
-
-    Each row of left is compared with each of right, as a list of search results for a title asks. Up to BLOCK rows
-    of right are broadcast; more are dealt into blocks of about that size, each of which meets all rows of left."""
-    x, y = left.withColumn("__x", F.lower(X.squash(a))).where("__x <> ''"), right.withColumn("__y", F.lower(X.squash(b))).where("__y <> ''")
-    most = right.count()
-    y = F.broadcast(y) if most <= BLOCK else y.repartition(-(-most // BLOCK)).hint("shuffle_replicate_nl")
-    return x.join(y, F.contains("__x", F.col("__y")) | F.contains("__y", F.col("__x"))).drop("__x", "__y")
+    """Pairs whose lowered texts are equal or one contains the other, each pair of rows once; empty texts match nothing.
+
+    A text that lies in another has its inner words, all but the first and the last, whole in it. So the longest inner word
+    of the one is looked up among the words of the other, and what meets there is compared. Texts of one or two
+    words have no inner one: only these are compared with every row. right is taken in blocks of about BLOCK rows, which
+    are broadcast; left is read once for each, where it is, and never shuffled."""
+    x = left.withColumn("__x", F.lower(X.squash(a))).where("__x <> ''")
+    y = right.withColumn("__y", F.lower(X.squash(b))).where("__y <> ''")
+    blocks = max(1, -(-right.count() // BLOCK))
+    parts = [y] if blocks == 1 else [y.where(F.pmod(F.xxhash64("__y"), F.lit(blocks)) == k) for k in range(blocks)]
+    out = None
+    for part in parts:
+        for found in _contained(x, part):
+            out = found if out is None else out.unionByName(found)
+    return out.drop("__x", "__y")
+
+
+def _contained(x: DataFrame, y: DataFrame) -> list[DataFrame]:
+    """Pairs of x and y, of which y is to be broadcast: y in x by its inner word, or as it has none, and x in y likewise."""
+    words = lambda c: F.split(c, " ")
+
+    def inner(c: str) -> Column:
+        own = F.slice(words(c), 2, F.greatest(F.size(words(c)) - 2, F.lit(0)))
+        longest = F.array_sort(F.transform(own, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w"))))
+        return F.get(longest, F.lit(0))["w"]
+
+    within, around = F.contains("__x", F.col("__y")), F.contains("__y", F.col("__x")) & (F.col("__x") != F.col("__y"))
+    columns = [*x.columns, *y.columns]
+    own = y.withColumn("__w", inner("__y"))
+    by_word = x.select("*", F.explode(F.array_distinct(words("__x"))).alias("__w")).join(F.broadcast(own.where("__w IS NOT NULL")), "__w").where(within)
+    few = x.join(F.broadcast(own.where("__w IS NULL").drop("__w")), within)
+    asked = x.withColumn("__w", inner("__x"))
+    known = F.broadcast(y.select("*", F.explode(F.array_distinct(words("__y"))).alias("__w")))
+    back = asked.where("__w IS NOT NULL").join(known, "__w").where(around)
+    short = asked.where("__w IS NULL").drop("__w").join(F.broadcast(y), around)
+    return [df.select(*columns) for df in (by_word, few, back, short)]
 
 
 def index_links(pages: DataFrame, titles: DataFrame, link_text: str = "abs") -> DataFrame:
     """(title, path, url): titles found in index pages (path, content) of paper blocks, by simple key."""
-    from corpusflow.sources.pages import found, one
+    from corpusflow.sources.pages import index_entries
 
-    blocks = pages.select("path", F.explode(found(F.col("content"), r"(?is)<div class=[\"']paper[\"']>(.*?)</div>")).alias("b"))
-    links = blocks.select("path", X.simple_key(one(F.col("b"), r"(?is)<p class=[\"']title[\"']>(.*?)</p>")).alias("k"), one(F.col("b"), rf"(?is)<a href=[\"']([^\"']+)[\"'][^>]*>\s*{link_text}\s*</a>").alias("url"))
+    links = index_entries(pages, link_text).select("path", X.simple_key("title").alias("k"), F.col("href").alias("url"))
     return titles.select("title", X.simple_key("title").alias("k")).join(links.where("url <> '' AND k <> ''"), "k").drop("k")
 
 
 def route(url: Column, doi: Column) -> Column:
     """Where an abstract is to be had, by the shape of link and DOI."""
     return (
-        F.when(F.contains(url, F.lit("/virtual/")) & url.rlike("/(?:poster|paper)/"), "virtual")
-        .when(F.contains(url, F.lit("conf.researchr.org/details/")), "researchr")
+        F.when(F.contains(url, F.lit(packs.VIRTUAL_ROUTE)) & url.rlike("/(?:poster|paper)/"), "virtual")
+        .when(F.contains(url, F.lit(packs.DETAILS_ROUTE)), "researchr")
         .when(F.lower(url).endswith(".pdf"), "pdf")
-        .when(F.contains(url, F.lit("proceedings.mlr.press/")), "pmlr")
-        .when(F.contains(url, F.lit("proceedings.neurips.cc/")), "neurips")
-        .when(F.lower(doi).startswith("10.18653/v1/"), "anthology")
+        .when(F.contains(url, F.lit(packs.PMLR_ROUTE)), "pmlr")
+        .when(F.contains(url, F.lit(packs.NEURIPS_ROUTE)), "neurips")
+        .when(F.lower(doi).startswith(packs.ANTHOLOGY_ROUTE), "anthology")
         .when(doi != "", "doi")
         .otherwise("none")
     )
@@ -120,10 +172,15 @@ def changes(current: DataFrame, stored: DataFrame, key: str, value: str) -> Data
 
 
 def fingerprints(files: DataFrame, group: Column) -> DataFrame:
-    """(grp, fingerprint, files) of files (path, sha256): a hash over paths and hashes in order of path."""
-    rows = files.select(group.alias("grp"), "path", "sha256")
-    parts = F.array_sort(F.collect_list(F.concat_ws(":", "path", "sha256")))
-    return rows.groupBy("grp").agg(F.sha2(F.array_join(parts, "\n"), 256).alias("fingerprint"), F.count("*").alias("files"))
+    """(grp, fingerprint, files) of files (path, sha256): a hash over paths and hashes that no order of input changes.
+
+    A group's files are dealt by the hash of their path to 4,096 parts, each hashed in order of path; the parts' hashes make
+    the group's. So a group of any size is many rows of bounded ones, not one."""
+    rows = files.select(group.alias("grp"), "path", "sha256", F.left(F.sha2("path", 256), F.lit(3)).alias("part"))
+    lines = F.array_sort(F.collect_list(F.concat_ws(":", "path", "sha256")))
+    parts = rows.groupBy("grp", "part").agg(F.sha2(F.array_join(lines, "\n"), 256).alias("h"), F.count("*").alias("n"))
+    whole = F.array_sort(F.collect_list(F.concat_ws(":", "part", "h")))
+    return parts.groupBy("grp").agg(F.sha2(F.array_join(whole, "\n"), 256).alias("fingerprint"), F.sum("n").alias("files"))
 
 
 def coverage(expected: DataFrame, actual: DataFrame, keys: list[str], official: DataFrame | None = None) -> DataFrame:
@@ -148,9 +205,17 @@ def attempted_since(state: DataFrame, since: Column, statuses: list[str]) -> Dat
     return state.where(F.col("status").isin(statuses) & (F.try_to_timestamp("last_attempt_at") >= since))
 
 
-def nearest_before(points: DataFrame, marks: DataFrame, group: str, at: str, value: str) -> DataFrame:
-    """points with the value of the last mark at or before them in their group (an as-of join by union and window)."""
+def nearest_before(points: DataFrame, marks: DataFrame, group: str, at: str, value: str, unit: str = "day") -> DataFrame:
+    """points with the value of the last mark at or before them in their group; marks without a value don't count.
+
+    An as-of join by union and window. Rows are dealt by group and unit of time, so a group of any size is many
+    tasks; the last value of each unit, one row for it, is carried over to the units after it."""
     both = points.select(group, at, F.lit(None).alias("__v"), F.struct(*points.columns).alias("__p")).unionByName(marks.select(group, at, F.col(value).alias("__v"), F.lit(None).cast(points.select(F.struct(*points.columns)).schema[0].dataType).alias("__p")))
-    w = Window.partitionBy(group).orderBy(at, F.col("__p").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
-    out = both.withColumn(value, F.last("__v", ignorenulls=True).over(w)).where("__p IS NOT NULL")
-    return out.select("__p.*", value)
+    both = both.withColumn("__u", F.date_trunc(unit, at))
+    units = both.groupBy(group, "__u").agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col(at))).alias("__last"))
+    before = Window.partitionBy(group).orderBy("__u").rowsBetween(Window.unboundedPreceding, -1)
+    units = units.select(group, "__u", F.last("__last", ignorenulls=True).over(before).alias("__carried"))
+    w = Window.partitionBy(group, "__u").orderBy(at, F.col("__p").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    out = both.withColumn("__own", F.last("__v", ignorenulls=True).over(w)).where("__p IS NOT NULL")
+    out = out.alias("o").join(units.alias("u"), F.col(f"o.{group}").eqNullSafe(F.col(f"u.{group}")) & F.col("o.__u").eqNullSafe(F.col("u.__u")), "left")
+    return out.select("__p.*", F.coalesce("__own", "__carried").alias(value))

@@ -5,6 +5,7 @@ Every operator takes these as parameters: another domain brings its own pack.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 # What must be the same as the collections that users already have.
@@ -239,6 +240,54 @@ CANARIES = [
     ("Text2SQL-Flow: A Robust SQL-Aware Data Augmentation Framework for Text-to-SQL", "ICDE", "2026"),
 ]
 
+# List pages of conferences: what their markup and lines say.
+TRACKS = ["research track", "research papers", "fse research papers", "icse research track", "ase research papers", "issta research papers"]
+SCHEDULE_HEADING = "research track papers schedule"
+SCHEDULE_SKIPS = ["theme:", "session chair:", "program", "author information", "attending", "sponsors", "calls", "menu"]
+WEEKDAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+NUMBERED_HEADING = "accepted research papers for icde"
+NUMBERED_FOOTERS = ["ieee international conference on data engineering", "© ieee"]
+PROGRAMME_MARKS = ["conf.researchr.org", '<body id="track"']
+MAIN_END = "<!--endMainContent"
+ROW_HEADINGS = ["paper title", "total papers accepted"]
+LINK_HEADINGS = ["accepted", "proceedings", "schedule", "program"]
+SITE_ROW_HEADINGS = ["a", "paper title", "total papers accepted:"]
+SITE_ITEM_HEADINGS = ["homepage", "accepted papers"]
+ABSTRACT_NAMES = ("DC.Description", "citation_abstract", "description")
+PDF_HEADINGS = ["vldb reference format", "pvldb reference format", "introduction", "keywords", "keyword", "ccs concepts"]
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+YEAR = re.compile(r"\b20\d{2}\b")
+VIRTUAL_LINK = re.compile(r"/virtual/20\d{2}/(?:poster|paper)/")
+LISTED_NUMBER = re.compile(r"^\d+\s*[|.)-]\s*")
+LISTED_NOTE = re.compile(r"\s*\[[^\]]*(?:Experiments|Analysis|Vision|Systems)[^\]]*\]\s*$")
+LISTED_DOI = re.compile(r"\bDOI:\s*\S+", re.IGNORECASE)
+LISTED_BRACKETS = re.compile(r"\([^)]*\)")
+LISTED_NAMES = re.compile(r";|\band\b")
+LISTED_COMMAS = re.compile(r";|\band\b|,")
+
+# Titles: spellings that share a key (pattern and what it becomes), the bracketed note at the end of a title, and what
+# case folding turns into ASCII letters and lower() does not.
+SYNONYMS = [
+    (r"(?U)\btext\s*[- ]?\s*to\s*[- ]?\s*sql\b", "texttosql"),
+    (r"(?U)\btext\s*2\s*sql\b", "texttosql"),
+    (r"(?U)\bnl\s*[- ]?\s*2\s*sql\b", "nl2sql"),
+    (r"(?U)\bnatural\s+language\s+to\s+sql\b", "naturallanguagetosql"),
+]
+NOTE = r"(?iU)\s*\[[^\]]*(?:experiment|analysis|benchmark|vision|systems)[^\]]*\]\s*\.?$"
+
+# Sites of single papers: which links and DOIs lead where.
+VIRTUAL_ROUTE, DETAILS_ROUTE = "/virtual/", "conf.researchr.org/details/"
+PMLR_ROUTE, NEURIPS_ROUTE, ANTHOLOGY_ROUTE = "proceedings.mlr.press/", "proceedings.neurips.cc/", "10.18653/v1/"
+
+# Conference pages that records are read from: what their titles, links and abstracts are marked by.
+ACL_TITLE = r"<strong><a class=align-middle href="
+ACL_ABSTRACT = r'(?s)<div class="card-body p-3 small">(.*?)</div>'
+NDSS = (
+    (r'(?s)<h2 class="pt-cv-title"><a href="([^"]*)"[^>]*>(.*?)</a></h2>'),
+    (r'(?s)<h3 class="blog-post-title">(.*?)</h3>.*?<a class="paper-link-abs" href="([^"]+)"'),
+)
+DBLP_WRAPPERS = ("bht", "h1", "ref", "dblpcites")
+
 # End of the fixed values.
 
 

@@ -5,11 +5,8 @@ hold make the queries tell something; their SQL is generated from the same packs
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusflow import packs
 from corpusflow.functions import rules
@@ -17,30 +14,11 @@ from corpusflow.functions import text as X
 from corpusflow.functions import venues as V
 from corpusflow.operators import facets, gates, incremental, joins, merge, sampling
 from corpusflow.packs import FIXTURE_TOPICS, VenuePack
+from corpusflow.plans.registry import query
 from corpusflow.session import ship
 from corpusflow.sources import pages as G
 from corpusflow.sources import records as R
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Register a function (read) -> DataFrame under its name; read(table) gives a table."""
-
-    def add(f):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship(spark)
-            return f(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
-
-        QUERIES[f.__name__] = run
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
 # SQL of the term and alias rules, for the other engine.
 
 SQL_LOW = "regexp_replace(lower(coalesce({0}, '')), '\\s+', ' ', 'g')"
@@ -89,23 +67,26 @@ def text_lowered(read):
     return read("documents").select("doc_id", F.md5(X.lowered("text").cast("binary")).alias("lowered"))
 
 
-KEY_SQL = "array_to_string(regexp_extract_all(lower(replace(split_part(text, chr(10), 1), 'ß', 'ss')), '[a-z0-9]+'), ' ')"
+WORDS_SQL = "array_to_string(regexp_extract_all(lower(replace({0}, 'ß', 'ss')), '[a-z0-9]+'), ' ')"
+KEY_SQL, FIRST_SQL = WORDS_SQL.format("text"), WORDS_SQL.format("split_part(text, chr(10), 1)")
 
 
-@query(f"SELECT doc_id, {KEY_SQL} AS k FROM documents")
+@query(f"SELECT doc_id, md5({KEY_SQL}) AS k FROM documents")
 def text_title_key(read):
-    return read("documents").select("doc_id", X.title_key(F.split_part("text", F.lit("\n"), F.lit(1))).alias("k"))
+    """The entity key of whole texts, as a digest."""
+    return read("documents").select("doc_id", F.md5(X.title_key("text").cast("binary")).alias("k"))
 
 
-@query(f"SELECT k, count(*) AS n FROM (SELECT {KEY_SQL} AS k FROM documents) GROUP BY k HAVING count(*) > 1")
+@query(f"SELECT md5(k) AS k, count(*) AS n FROM (SELECT {KEY_SQL} AS k FROM documents) GROUP BY k HAVING count(*) > 1")
 def duplicate_keys(read):
-    rows = read("documents").select("doc_id", X.title_key(F.split_part("text", F.lit("\n"), F.lit(1)), True).alias("k"))
+    rows = read("documents").select(F.md5(X.title_key("text", True).cast("binary")).alias("k"))
     return rows.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
 
 
 @query(f"SELECT count(DISTINCT k) AS unique_keys, count(*) AS documents FROM (SELECT {KEY_SQL} AS k FROM documents)")
 def unique_keys(read):
-    return read("documents").select(X.title_key(F.split_part("text", F.lit("\n"), F.lit(1)), True).alias("k")).agg(F.countDistinct("k").alias("unique_keys"), F.count("*").alias("documents"))
+    rows = read("documents").select(F.md5(X.title_key("text", True).cast("binary")).alias("k"))
+    return rows.agg(F.countDistinct("k").alias("unique_keys"), F.count("*").alias("documents"))
 
 
 @query("SELECT p_partkey, left(trim(regexp_replace(lower(p_name || ' / ' || p_type), '[^a-z0-9]+', '-', 'g'), '-'), 80) AS slug FROM part")
@@ -187,32 +168,6 @@ def text_clean(read):
     return read("documents").select("doc_id", F.md5(X.clean_text("text").cast("binary")).alias("cleaned"))
 
 
-LIST_SQL = """
-WITH d AS (SELECT source AS path, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos, lang AS authors, trim(trim(regexp_replace(split_part(text, chr(10), 1), '\\s+', ' ', 'g')), ' :-') AS title FROM documents),
-e AS (SELECT * FROM d WHERE length(title) >= 8 AND NOT regexp_matches(left(lower(title || ' ' || authors), 80), 'accepted demo|accepted industry|accepted tutorial|accepted workshop|doctoral consortium|industry track|pods|sirip')),
-u AS (SELECT path, pos, title, authors FROM (SELECT *, row_number() OVER (PARTITION BY path, lower(title) ORDER BY pos) AS r FROM e) WHERE r = 1)
-"""
-
-
-def list_pages(read) -> DataFrame:
-    """Pages that list the first lines of each source's documents."""
-    item = F.concat(F.lit("<li><b>"), F.split_part("text", F.lit("\n"), F.lit(1)), F.lit("</b> "), "lang", F.lit("</li>"))
-    items = read("documents").groupBy(F.col("source").alias("path")).agg(F.array_sort(F.collect_list(F.struct("doc_id", item.alias("i")))).alias("l"))
-    return items.select("path", F.concat(F.lit("<main><ul>"), F.array_join("l.i", ""), F.lit("</ul></main>")).alias("content"))
-
-
-@query(LIST_SQL + "SELECT path, 'items' AS extractor, pos, title, authors FROM u")
-def extractor_cascade(read):
-    """Entries of list pages by the cascade of extractors."""
-    return G.accepted(list_pages(read)).select("path", "extractor", F.col("pos").cast("long").alias("pos"), "title", "authors")
-
-
-@query(LIST_SQL + "SELECT path, count(*) AS parsed_entries, CASE WHEN count(*) >= 45 THEN 'complete' ELSE 'empty' END AS status FROM u GROUP BY path")
-def min_entries_gate(read):
-    pages = list_pages(read)
-    return G.few_entries(pages, G.accepted(pages), 45)
-
-
 # Rules.
 
 
@@ -260,6 +215,16 @@ def relevance_domain(read):
 LABELS = sql_labels(SQL_LOW.format("text"), FIXTURE_TOPICS)
 
 
+@query("SELECT n_nationkey, 'rules' AS backend, CASE WHEN n_regionkey = 0 THEN 'Legal|Licence' ELSE 'Style' END AS labels FROM nation UNION ALL SELECT n_nationkey, 'answers', 'Legal|Licence' FROM nation WHERE n_nationkey % 2 = 0")
+def label_backends(read):
+    """Labels by rules, and by the answers of an outside classifier, without which a paper goes."""
+    papers = read("nation").select("n_nationkey", F.col("n_nationkey").alias("key"), F.col("n_name").alias("title"), F.when(F.col("n_regionkey") == 0, "A  License").otherwise("").alias("abstract"), F.lit(None).cast("string").alias("keywords"))
+    answers = papers.select("key", F.when(F.col("key") % 2 == 0, '{"topics": ["Legal, Licence"]}').otherwise("NOT_RELEVANT").alias("answer"))
+    labelled = [(rules.label_papers(papers, FIXTURE_TOPICS), "rules"), (rules.label_papers(papers, FIXTURE_TOPICS, answers), "answers")]
+    parts = [df.select("n_nationkey", F.lit(name).alias("backend"), F.array_join("labels", "|").alias("labels")) for df, name in labelled]
+    return parts[0].union(parts[1])
+
+
 @query(f"SELECT doc_id, array_to_string({LABELS}, '|') AS labels FROM documents")
 def multi_label(read):
     return read("documents").select("doc_id", F.array_join(rules.classify(X.lowered("text"), FIXTURE_TOPICS), "|").alias("labels"))
@@ -319,11 +284,13 @@ def venue_manifest(read):
 # Merging.
 
 
-DOC_KEY = "array_to_string(regexp_extract_all(lower(replace(left(text, 80), 'ß', 'ss')), '[a-z0-9]+'), ' ')"
+DOC_KEY = f"CASE WHEN {KEY_SQL} = '' THEN '' ELSE md5({KEY_SQL}) END"
 
 
 def keyed(read) -> DataFrame:
-    return read("documents").withColumn("key", X.title_key(F.substring("text", 1, 80), True))
+    """Documents with the key of their whole text, as a digest ('' if the text has no word)."""
+    key = X.title_key("text", True)
+    return read("documents").withColumn("key", X.let(key, lambda k: F.when(k == "", "").otherwise(F.md5(k.cast("binary")))))
 
 
 @query(f"SELECT key, min(doc_id) AS doc_id, arg_min(source, doc_id) AS source FROM (SELECT *, {DOC_KEY} AS key FROM documents) GROUP BY key")
@@ -337,57 +304,106 @@ def dedupe_last(read):
     return R.last_of_each(keyed(read).select("key", "doc_id", "source"), ["key"], "doc_id")
 
 
-@query(f"""
-SELECT key, min(doc_id) AS ord, count(*) AS n, md5(list_reduce(list(text ORDER BY doc_id), lambda a, b: CASE WHEN length(b) > length(a) + 40 THEN b ELSE a END)) AS text
-FROM (SELECT *, {DOC_KEY} AS key FROM documents) WHERE key <> '' GROUP BY key""")
+@query("""
+SELECT p_name AS key, min(p_partkey) AS ord, count(*) AS n, md5(list_reduce(list(repeat(p_type, p_size) ORDER BY p_partkey), lambda a, b: CASE WHEN length(b) > length(a) + 40 THEN b ELSE a END)) AS text
+FROM part GROUP BY p_name""")
 def dedupe_fold(read):
     """The ordered fold: a text gives way to one that is more than 40 characters longer."""
-    rows = keyed(read).where("key <> ''")
-    out = merge.fold(rows, ["key"], "doc_id", F.col("text"), lambda a, b: F.when(F.length(b) > F.length(a) + merge.GAIN, b).otherwise(a))
-    return out.select("key", F.col("doc_id").alias("ord"), "n", F.md5(F.col("record").cast("binary")).alias("text"))
+    rows = read("part").select("p_name", "p_partkey", F.expr("repeat(p_type, p_size)").alias("text"))
+    out = merge.fold(rows, ["p_name"], "p_partkey", F.col("text"), lambda a, b: F.when(F.length(b) > F.length(a) + merge.GAIN, b).otherwise(a))
+    return out.select(F.col("p_name").alias("key"), F.col("p_partkey").alias("ord"), "n", F.md5(F.col("record").cast("binary")).alias("text"))
+
+
+# Parts as papers of their names: the score of a record depends on its abstract and DOI alone, as the rest is filled alike.
+PAPER_SQL = """
+WITH p AS (SELECT p_partkey AS ord, p_name AS key, repeat(p_type || ' ', p_size) AS raw, 'Ann ' || p_brand AS author, CASE WHEN p_size > 40 THEN '10.1/' || p_partkey ELSE '' END AS doi, p_type AS stage,
+  CASE p_size % 3 WHEN 0 THEN ['Licence'] WHEN 1 THEN ['German'] ELSE ['Table', 'no such label'] END AS labels FROM part),
+r AS (SELECT key, ord, {'a': trim(raw), 'au': author, 'd': doi} AS x, labels, stage FROM p),
+m AS (SELECT key, min(ord) AS ord, count(*) AS n, list_reduce(list(x ORDER BY ord), lambda a, b:
+    CASE WHEN (CASE WHEN length(b.a) >= 80 THEN 8 WHEN length(b.a) > 0 THEN 3 ELSE 0 END) + (CASE WHEN b.d <> '' THEN 4 ELSE 0 END) > (CASE WHEN length(a.a) >= 80 THEN 8 WHEN length(a.a) > 0 THEN 3 ELSE 0 END) + (CASE WHEN a.d <> '' THEN 4 ELSE 0 END)
+    THEN {'a': CASE WHEN b.a = '' OR length(a.a) > length(b.a) + 40 THEN a.a ELSE b.a END, 'au': b.au, 'd': CASE WHEN b.d <> '' THEN b.d ELSE a.d END}
+    ELSE {'a': CASE WHEN a.a = '' OR length(b.a) > length(a.a) + 40 THEN b.a ELSE a.a END, 'au': a.au, 'd': CASE WHEN a.d <> '' THEN a.d ELSE b.d END} END) AS x,
+  list_sort(list_distinct(list(stage))) AS stages, bool_or(list_contains(labels, 'Licence')) AS li, bool_or(list_contains(labels, 'German')) AS ge, bool_or(list_contains(labels, 'Table')) AS ta FROM r GROUP BY key)
+SELECT key AS title_key, ord, n, md5(x.a) AS abstract, x.au AS author, x.d AS doi, array_to_string(list_filter([CASE WHEN li THEN 'Legal|Licence' END, CASE WHEN ge THEN 'Language|German' END, CASE WHEN ta THEN 'Style|Table' END], lambda y: y IS NOT NULL), '|') AS labels, array_to_string(stages, '|') AS stages FROM m
+"""
 
 
-@query()
-def dedupe_papers(read):
-    """The full merge of records, with documents as papers."""
+def part_papers(read) -> DataFrame:
     none = F.lit(None).cast("string")
-    columns = {"title": F.substring("text", 1, 80), "abstract": F.col("text"), "author": F.col("source"), "year": F.lit("2024"), "type": F.lit("ARTICLE"), "source": F.col("lang")}
-    papers = read("documents").select(F.col("doc_id").alias("ord"), F.lit("").alias("map_key"), *[columns.get(f, none).alias(f) for f in merge.FIELDS], rules.classify(X.lowered("text"), FIXTURE_TOPICS).alias("labels"), F.array(F.col("lang")).alias("pipeline_stages"))
-    out = merge.dedupe(papers, packs.VENUES, FIXTURE_TOPICS)
-    return out.select("title_key", "ord", "n", F.md5(F.col("abstract").cast("binary")).alias("abstract"), "author", "venue", F.array_join("labels", "|").alias("labels"), F.array_join("pipeline_stages", "|").alias("stages"))
+    columns = {"title": F.col("p_name"), "abstract": F.expr("repeat(concat(p_type, ' '), p_size)"), "author": F.concat(F.lit("Ann "), "p_brand"), "doi": F.when(F.col("p_size") > 40, F.concat(F.lit("10.1/"), "p_partkey")).otherwise(""), "year": F.lit("2024"), "type": F.lit("ARTICLE")}
+    labels = F.when(F.col("p_size") % 3 == 0, F.array(F.lit("Licence"))).when(F.col("p_size") % 3 == 1, F.array(F.lit("German"))).otherwise(F.array(F.lit("Table"), F.lit("no such label")))
+    return read("part").select(F.col("p_partkey").alias("ord"), F.lit("").alias("map_key"), *[columns.get(f, none).alias(f) for f in merge.FIELDS], labels.alias("labels"), F.array("p_type").alias("pipeline_stages"))
+
+
+@query(PAPER_SQL)
+def dedupe_papers(read):
+    """The full merge of records: parts of one name become one, in their order."""
+    out = merge.dedupe(part_papers(read), packs.VENUES, FIXTURE_TOPICS)
+    return out.select("title_key", "ord", "n", F.md5(F.col("abstract").cast("binary")).alias("abstract"), "author", "doi", F.array_join("labels", "|").alias("labels"), F.array_join(F.array_sort("pipeline_stages"), "|").alias("stages"))
 
 
 @query("""
-WITH a AS (SELECT o_custkey AS k, min(o_orderstatus) AS s, NULL AS p FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1),
-b AS (SELECT o_custkey AS k, max(o_orderstatus) AS s, max(o_orderpriority) AS p FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1)
+WITH e AS (SELECT DISTINCT p_name AS k FROM part), i AS (SELECT n_nationkey AS ord, CASE WHEN n_regionkey = 0 THEN '' WHEN n_nationkey < 12 THEN (SELECT k FROM (SELECT k, row_number() OVER (ORDER BY k) - 1 AS r FROM e) WHERE r = n_nationkey % 3) ELSE 'Paper ' || n_regionkey END AS k FROM nation)
+SELECT (SELECT count(DISTINCT k) FROM i WHERE k LIKE 'Paper %') AS added, (SELECT count(DISTINCT k) FROM i WHERE k <> '' AND k NOT LIKE 'Paper %') AS updated,
+  (SELECT count(*) FROM i WHERE k <> '') - (SELECT count(DISTINCT k) FROM i WHERE k <> '') AS skipped, (SELECT count(*) FROM i WHERE k = '') AS invalid, (SELECT count(*) FROM e) + (SELECT count(DISTINCT k) FROM i WHERE k LIKE 'Paper %') AS total""")
+def upsert_papers(read):
+    """An upsert by key and score: the first to come for a known key brings it keywords, those after it nothing new."""
+    none = F.lit(None).cast("string")
+    names = read("part").select("p_name").distinct()
+    three = names.withColumn("r", F.row_number().over(Window.orderBy("p_name")) - 1).where("r < 3")  # names are few
+    n = read("nation").withColumn("r", F.col("n_nationkey") % 3).join(F.broadcast(three), "r")
+    title = F.when(F.col("n_regionkey") == 0, "").when(F.col("n_nationkey") < 12, F.col("p_name")).otherwise(F.concat(F.lit("Paper "), "n_regionkey"))
+    columns = {"title": title, "keywords": F.lit("words"), "year": F.lit("2024"), "type": F.lit("ARTICLE")}
+    incoming = n.select(F.col("n_nationkey").cast("long").alias("ord"), F.lit("").alias("map_key"), *[columns.get(f, none).alias(f) for f in merge.FIELDS], F.array().cast("array<string>").alias("labels"), F.array().cast("array<string>").alias("pipeline_stages"))
+    return merge.upsert_counts(merge.upsert_papers(part_papers(read), incoming, packs.VENUES, FIXTURE_TOPICS, prefer_existing=True))
+
+
+# Customers by their orders, and suppliers by their lines under every twentieth of the same keys: two versions of one table, from all rows.
+VERSIONS_SQL = """
+WITH a AS (SELECT o_custkey AS k, min(o_orderstatus) AS s, count(*) % 3 AS v FROM orders GROUP BY 1), b AS (SELECT l_suppkey * 20 AS k, max(l_linestatus) AS s, max(l_returnflag) AS p, count(*) % 3 AS v FROM lineitem GROUP BY 1)
+"""
+
+
+def versions(read) -> tuple[DataFrame, DataFrame]:
+    old = read("orders").groupBy(F.col("o_custkey").alias("k")).agg(F.min("o_orderstatus").alias("s"), (F.count("*") % 3).alias("v"))
+    new = read("lineitem").groupBy((F.col("l_suppkey") * 20).alias("k")).agg(F.max("l_linestatus").alias("s"), F.max("l_returnflag").alias("p"), (F.count("*") % 3).alias("v"))
+    return old, new
+
+
+@query(f"""{VERSIONS_SQL}
 SELECT coalesce(a.k, b.k)::VARCHAR AS key, CASE WHEN b.k IS NULL THEN a.s ELSE b.s END AS s, b.p AS p, CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'kept' ELSE 'updated' END AS status
 FROM a FULL JOIN b ON a.k = b.k""")
 def upsert_status(read):
-    o = read("orders")
-    old = o.where("o_orderkey % 2 = 0").groupBy(F.col("o_custkey").cast("string").alias("key")).agg(F.min("o_orderstatus").alias("s")).withColumn("p", F.lit(None).cast("string"))
-    new = o.where("o_orderkey % 3 = 0").groupBy(F.col("o_custkey").cast("string").alias("key")).agg(F.max("o_orderstatus").alias("s"), F.max("o_orderpriority").alias("p"))
-    return merge.upsert(old, new, ["s", "p"])
+    old, new = versions(read)
+    key = F.col("k").cast("string").alias("key")
+    return merge.upsert(old.select(key, "s", F.lit(None).cast("string").alias("p")), new.select(key, "s", "p"), ["s", "p"])
 
 
-@query("""
-WITH a AS (SELECT o_custkey AS k, min(o_orderstatus) AS s FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), b AS (SELECT o_custkey AS k, max(o_orderstatus) AS s FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1)
-SELECT CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'kept' ELSE 'skipped' END AS status, count(*) AS n FROM a FULL JOIN b ON a.k = b.k GROUP BY 1""")
+@query(f"{VERSIONS_SQL} SELECT CASE WHEN a.k IS NULL THEN 'added' WHEN b.k IS NULL THEN 'kept' ELSE 'skipped' END AS status, count(*) AS n FROM a FULL JOIN b ON a.k = b.k GROUP BY 1")
 def upsert_counters(read):
     """Existing records are preferred, so what came for them changes nothing."""
-    o = read("orders")
-    old = o.where("o_orderkey % 2 = 0").groupBy(F.col("o_custkey").cast("string").alias("key")).agg(F.min("o_orderstatus").alias("s"))
-    new = o.where("o_orderkey % 3 = 0").groupBy(F.col("o_custkey").cast("string").alias("key")).agg(F.max("o_orderstatus").alias("s"))
-    return merge.upsert(old, new, ["s"], prefer_existing=True).groupBy("status").agg(F.count("*").alias("n"))
+    old, new = versions(read)
+    key = F.col("k").cast("string").alias("key")
+    return merge.upsert(old.select(key, "s"), new.select(key, "s"), ["s"], prefer_existing=True).groupBy("status").agg(F.count("*").alias("n"))
 
 
 # Joins.
 
 
-@query("""
-SELECT d.doc_id FROM documents d WHERE EXISTS (SELECT 1 FROM (SELECT unnest(string_split(d.text, chr(10))) AS line) l JOIN benchmark b ON trim(lower(b.text)) = trim(lower(l.line)))""")
+SHINGLES_SQL = "SELECT {0}, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT {0}, w, unnest(range(1, len(w) - 6)) AS i FROM (SELECT {0}, string_split(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))), ' ') AS w FROM {1}))"
+
+
+def shingles(rows: DataFrame, key: str, n: int = 8) -> DataFrame:
+    """(key, g): every run of n words of the text."""
+    words = rows.select(key, F.split(F.lower(X.squash("text")), " ").alias("w")).where(F.size("w") >= n)
+    return words.select(key, "w", F.explode(F.sequence(F.lit(1), F.size("w") - n + 1)).alias("i")).select(key, F.array_join(F.slice("w", F.col("i"), F.lit(n)), " ").alias("g"))
+
+
+@query(f"SELECT DISTINCT d.doc_id FROM ({SHINGLES_SQL.format('doc_id', 'documents')}) d SEMI JOIN ({SHINGLES_SQL.format('item_id', 'benchmark')}) b ON d.g = b.g")
 def contamination_semi(read):
-    lines = read("documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line")).withColumn("k", F.trim(F.lower("line")))
-    return lines.join(read("benchmark").select(F.trim(F.lower("text")).alias("k")).distinct(), "k", "left_semi").select("doc_id").distinct()
+    """Documents that share a run of eight words with the benchmark."""
+    own = shingles(read("documents"), "doc_id").select("doc_id", F.xxhash64("g").alias("h"), "g")
+    return own.join(shingles(read("benchmark"), "item_id").select(F.xxhash64("g").alias("h"), "g").distinct(), ["h", "g"], "left_semi").select("doc_id").distinct()
 
 
 @query("""
@@ -404,7 +420,7 @@ def quality_join(read):
 
 
 @query(f"""
-WITH p AS (SELECT {KEY_SQL} AS key, split_part(text, chr(10), 1) AS title, source AS venue, lang AS year, doc_id FROM documents),
+WITH p AS (SELECT {FIRST_SQL} AS key, split_part(text, chr(10), 1) AS title, source AS venue, lang AS year, doc_id FROM documents),
 q AS (SELECT key, arg_min(title, doc_id) AS title, arg_min(venue, doc_id) AS venue, arg_min(year, doc_id) AS year FROM p GROUP BY key),
 c AS (SELECT DISTINCT n_name AS title, lower(n_name) AS key FROM nation UNION SELECT title, key FROM q WHERE venue = 'src3')
 SELECT c.title, 'src3' AS expected_venue, 'en' AS expected_year, q.key IS NOT NULL AS found, coalesce(q.title, '') AS actual_title, coalesce(q.venue, '') AS actual_venue, coalesce(q.year, '') AS actual_year,
@@ -448,15 +464,77 @@ def reconcile_venues(read):
 
 
 @query("""
-WITH a AS (SELECT o_custkey AS key, sum(o_totalprice > 1000) AS v FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), b AS (SELECT o_custkey AS key, sum(o_totalprice > 1000) AS v FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1)
-SELECT coalesce(a.key, b.key) AS key, CASE WHEN a.key IS NULL THEN 'stale' WHEN b.key IS NULL THEN 'new' WHEN a.v = b.v THEN 'same' ELSE 'changed' END AS state FROM a FULL JOIN b ON a.key = b.key""")
+SELECT count(*) AS evidence_matches, count(*) FILTER (WHERE o <> 0 OR t <> 0) AS updated_count, count(*) FILTER (WHERE t > o) AS promoted_count, count(*) FILTER (WHERE t = o) AS metadata_fix_count, 0::BIGINT AS already_aligned_count
+FROM (SELECT k, CASE k % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS o, 3 AS t FROM (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part)))""")
+def reconcile_counts(read):
+    """Papers of a conference, a preprint server and a journal, all of which evidence places in another conference."""
+    pick = F.get(F.array(*[F.lit(x) for x in ("ICDE", "ArXiv", "TKDE")]), (F.col("p_partkey") % 3).cast("int"))
+    none = F.lit("")
+    papers = read("part").select(F.col("p_partkey").cast("string").alias("key"), F.col("p_name").alias("title"), pick.alias("venue"), *[none.alias(c) for c in ("venue_track", "booktitle", "journal")], F.lit("core").alias("relevance_level"))
+    proof = read("lineitem").select(F.col("l_partkey").cast("string").alias("key"), F.lit("KDD").alias("target"), F.lit("t").alias("raw_title"), F.lit("p").alias("path"), F.lit("KDD").alias("booktitle"), none.alias("journal"), F.year("l_shipdate").alias("year"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"))
+    return joins.reconcile_summary(joins.reconcile(papers, proof))
+
+
+@query("SELECT c_custkey, c_name FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS r FROM customer WHERE c_mktsegment <> 'BUILDING' AND regexp_matches(c_name, '[02468]$')) WHERE r <= 5")
+def enrich_candidates(read):
+    """Of each group the first five records without an abstract whose title matches a pattern."""
+    rows = read("customer").select("c_custkey", "c_name", "c_nationkey", F.col("c_name").alias("title"), F.when(F.col("c_mktsegment") == "BUILDING", "known").alias("abstract"))
+    return joins.to_enrich(rows, ["c_nationkey"], "c_custkey", "customer#.*[02468]$", 5).select("c_custkey", "c_name")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'old' ELSE 'c' || (SELECT c_nationkey FROM customer WHERE c_custkey = o_custkey) END AS abstract FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)")
+def results_by_key(read):
+    """Empty fields filled by the results of a batch, of several the first that has one."""
+    rows = read("orders").select("o_orderkey", F.col("o_custkey").alias("doi"), F.when(F.col("o_orderstatus") == "F", "old").otherwise("").alias("abstract"))
+    c = read("customer")
+    results = c.select(F.col("c_custkey").alias("doi"), F.lit(None).cast("string").alias("abstract"), F.lit(0).alias("o"))
+    for k, name in ((2, "later"), (1, "c")):
+        value = F.concat(F.lit(name), F.col("c_nationkey").cast("string"))
+        results = results.union(c.select("c_custkey", value, F.lit(k)))
+    return joins.apply_by_key(rows, results, "doi", ["abstract"], "o").join(c.select(F.col("c_custkey").alias("doi")), "doi", "left_semi").select("o_orderkey", "abstract")
+
+
+@query("SELECT p_partkey, '10.1234/x' || p_partkey AS doi, 'DOI:10.1234/x' || p_partkey AS doi_id FROM part WHERE p_partkey % 4 < 3 UNION ALL SELECT p_partkey, '', '' FROM part WHERE p_partkey % 4 = 3")
+def doi_write_back(read):
+    """The first DOI of several fields, written back where there is none."""
+    name = F.concat(F.lit("10.1234/x"), F.col("p_partkey").cast("string"))
+    on = lambda k, c: F.when(F.col("p_partkey") % 4 == k, c).otherwise("")
+    rows = read("part").select("p_partkey", on(0, name).alias("doi"), on(1, F.concat(F.lit("https://doi.org/"), F.replace(name, F.lit("/"), F.lit("%2F")))).alias("url"), on(2, F.concat(F.lit("https://x.org/"), name)).alias("paper_url"))
+    return X.with_doi(rows).select("p_partkey", "doi", "doi_id")
+
+
+@query(f"""{VERSIONS_SQL}
+SELECT coalesce(a.k, b.k) AS key, CASE WHEN a.k IS NULL THEN 'stale' WHEN b.k IS NULL THEN 'new' WHEN a.v = b.v THEN 'same' ELSE 'changed' END AS state FROM a FULL JOIN b ON a.k = b.k""")
 def change_detect_full(read):
-    o = read("orders")
-    part = lambda k: o.where(f"o_orderkey % {k} = 0").groupBy(F.col("o_custkey").alias("key")).agg(F.count_if(F.col("o_totalprice") > 1000).alias("v"))
-    return joins.changes(part(2), part(3), "key", "v")
+    old, new = versions(read)
+    return joins.changes(old.withColumnRenamed("k", "key"), new.withColumnRenamed("k", "key"), "key", "v")
+
+
+@query("""
+SELECT c_custkey::VARCHAR AS record_key, CASE WHEN m = 0 THEN 'skipped' WHEN n > 0 AND m <> 1 THEN 'fetched' WHEN m = 2 THEN 'existing_kept' WHEN m < 5 THEN 'fallback_used' ELSE 'failed' END AS outcome,
+  CASE WHEN m = 0 THEN 0 WHEN n > 0 AND m <> 1 THEN n WHEN m = 2 THEN 0 WHEN m < 5 THEN 7 ELSE 0 END AS rows
+FROM (SELECT c_custkey, c_custkey % 7 AS m, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS n FROM customer)""")
+def fetch_ladder(read):
+    """Where the rows of a source come from: the first place, what is there, or the second place; else it failed."""
+    c = read("customer").select(F.col("c_custkey").cast("string").alias("record_key"), (F.col("c_custkey") % 7).alias("m"))
+    wanted = c.select("record_key", (F.col("m") == 0).alias("skip"), (F.col("m") == 2).alias("has_file"), (F.col("m") < 5).alias("has_second"))
+    counts = read("orders").groupBy(F.col("o_custkey").cast("string").alias("record_key")).agg(F.count("*").alias("rows"))
+    first = c.join(counts, "record_key", "left").select("record_key", F.coalesce("rows", F.lit(0)).alias("rows"), F.when(F.col("m") == 1, "boom").alias("error"))
+    second = c.select("record_key", F.lit(7).alias("rows"), F.when(F.col("m") > 4, "gone").alias("error"))
+    return incremental.fetch_ladder(wanted, first, second).select("record_key", "outcome", "rows")
+
+
+@query("SELECT s_suppkey::VARCHAR AS record_key, 'stale' AS status, '' AS last_success_at, s_nationkey::BIGINT AS record_count, 'h' AS sha256 FROM supplier")
+def stale_states(read):
+    """Sources whose refresh is due: what is known of their files stays."""
+    rows = read("supplier").select(F.col("s_suppkey").cast("string").alias("record_key"), F.lit("p").alias("path"), F.col("s_nationkey").cast("long").alias("rows"), F.lit("h").alias("sha256"))
+    return incremental.stale(rows, F.lit("2024-01-02T03:04:05Z").cast("timestamp")).select("record_key", "status", "last_success_at", "record_count", "sha256")
 
 
-@query("SELECT source, sha256(string_agg(doc_id || ':' || sha256(text), chr(10) ORDER BY doc_id || ':' || sha256(text))) AS fingerprint, count(*) AS files FROM documents GROUP BY source")
+@query("""
+WITH f AS (SELECT source, left(sha256(doc_id::VARCHAR), 3) AS part, doc_id || ':' || sha256(text) AS line FROM documents),
+p AS (SELECT source, part, sha256(string_agg(line, chr(10) ORDER BY line)) AS h, count(*) AS n FROM f GROUP BY 1, 2)
+SELECT source, sha256(string_agg(part || ':' || h, chr(10) ORDER BY part || ':' || h)) AS fingerprint, sum(n)::BIGINT AS files FROM p GROUP BY source""")
 def sha_fingerprint(read):
     files = read("documents").select(F.col("doc_id").cast("string").alias("path"), F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), "source")
     return joins.fingerprints(files, F.col("source")).withColumnRenamed("grp", "source")
@@ -564,12 +642,33 @@ def raw_stats(read):
     return gates.raw_stats(read("documents").select("doc_id", "source").join(read("labels"), "doc_id", "left"), ["source"], F.col("quality") == 1)
 
 
-@query(f"""
-WITH r AS (SELECT count(*) AS keyed, count(DISTINCT {DOC_KEY}) AS u, count(*) FILTER (WHERE contains(lower(text), 'license')) AS dep FROM documents)
-SELECT 'duplicate_titles' AS rule, true AS fatal FROM r WHERE keyed > u UNION ALL SELECT 'deprecated_labels', true FROM r WHERE dep > 0""")
+GATE_SQL = f"""
+WITH d AS (SELECT count(*) AS keyed, count(DISTINCT {DOC_KEY}) AS u, count(*) FILTER (WHERE contains(lower(text), 'license')) AS dep FROM documents),
+l AS (SELECT count(*) FILTER (WHERE quality = 0) AS bad, count(*) FILTER (WHERE toxic = 1) AS tox, avg((quality = 0)::INT) AS share FROM labels),
+o AS (SELECT avg((o_orderstatus = 'F')::INT) AS failed, avg((o_orderstatus = 'O')::INT) AS open, count(*) FILTER (WHERE o_totalprice < 0) AS none FROM orders),
+m AS (SELECT * FROM d, l, o)
+"""
+GATES = [
+    ("duplicate_titles", True, "keyed > u"), ("deprecated_labels", True, "dep > 0"), ("irrelevant_present", True, "bad > 0"), ("canary_missed", True, "tox > 0"), ("unexplained_drop", True, "share > 0.05"),
+    ("dblp_failure_ratio", True, "failed > 0.3"), ("other_ratio", False, "open > 0.3"), ("rate_limited", False, "bad > tox"), ("dry_run_changed", True, "none > 0"), ("dry_run_stale", True, "tox > 0"), ("baseline_unavailable", False, "dep > 0"),
+    ("sentinel_version", True, "none <> 2"), ("venue_unsupported", True, "none > 0"), ("journals_missing", True, "bad > 0"), ("conferences_missing", True, "none > 0"), ("config_missing", True, "dep > 0"),
+    ("side_volume_tagged", True, "none > 0"), ("not_published", False, "keyed > 0"), ("api_key_unset", False, "none = 0"),
+]
+
+
+@query(GATE_SQL + " UNION ALL ".join(f"SELECT '{name}' AS rule, {str(fatal).lower()} AS fatal FROM m WHERE {test}" for name, fatal, test in GATES))
 def gate_violations(read):
-    row = keyed(read).agg(F.count_if(F.col("key") != "").alias("keyed"), F.countDistinct("key").alias("unique_titles"), F.count_if(F.contains(F.lower("text"), F.lit("license"))).alias("deprecated"), F.lit(0).alias("irrelevant"), F.lit(0.0).alias("drop_ratio"), F.lit(True).alias("baseline_ok"))
-    return gates.violations(row)
+    """The rules that a row of metrics breaks; the metrics are counts over documents, labels and orders."""
+    d = keyed(read).agg(F.count("*").alias("keyed"), F.countDistinct("key").alias("unique_titles"), F.count_if(F.contains(F.lower("text"), F.lit("license"))).alias("dep"))
+    rows = read("labels").agg(F.count_if(F.col("quality") == 0).alias("bad"), F.count_if(F.col("toxic") == 1).alias("tox"), F.avg(F.when(F.col("quality") == 0, 1).otherwise(0)).alias("drop_ratio"))
+    share = lambda s: F.avg(F.when(F.col("o_orderstatus") == s, 1).otherwise(0))
+    o = read("orders").agg(share("F").alias("dblp_failure_ratio"), share("O").alias("other_ratio"), F.count_if(F.col("o_totalprice") < 0).alias("none"))
+    one = d.crossJoin(rows).crossJoin(o)  # three tables of one row
+    metrics = {
+        "deprecated": "dep", "irrelevant": "bad", "canaries_missed": "tox", "rate_limited": "greatest(bad - tox, 0)", "changed": "none", "stale": "tox", "baseline_ok": "dep = 0", "sentinel_version": "none", "unsupported": "none",
+        "journals_missing": "bad", "conferences_missing": "none", "configs_missing": "dep", "side_volume": "none", "not_published": "keyed", "api_key_set": "none <> 0",
+    }
+    return gates.violations(one.select("keyed", "unique_titles", "drop_ratio", "dblp_failure_ratio", "other_ratio", *[F.expr(e).alias(n) for n, e in metrics.items()]))
 
 
 @query("SELECT count(*) FILTER (WHERE quality = 1) AS kept, count(*) FILTER (WHERE quality = 0) AS removed FROM labels")
@@ -685,11 +784,7 @@ def audit_sample(read):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents keyed and merged in order, labelled, and their labels counted."""
     ship(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    rows = docs.withColumn("key", X.title_key(F.substring("text", 1, 80), True)).where("key <> ''")
+    rows = keyed(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet")).where("key <> ''")
     merged = merge.fold(rows, ["key"], "doc_id", F.col("text"), lambda a, b: F.when(F.length(b) > F.length(a) + merge.GAIN, b).otherwise(a))
     labelled = merged.select(rules.classify(X.lowered("record"), FIXTURE_TOPICS).alias("labels"))
     return facets.label_counts(labelled, "labels").orderBy(F.desc("n"), "value")
-
-
-del Column, T

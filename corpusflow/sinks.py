@@ -56,7 +56,7 @@ def markdown_table(rows: DataFrame, columns: list[str], title: str) -> DataFrame
 
 TEMPLATE = """<!doctype html><meta charset="utf-8"><title>{title}</title>
 <h1>{title} <small>{total}</small></h1><select>{years}</select><select>{venues}</select><select>{categories}</select>
-<script>const topics={topics},stages={stages},papers={papers};</script>"""
+<script>const topics={topics},stages={stages},papers=[PAPERS];</script>"""
 
 
 def option_list(counts: dict[str, int], values: list[str], everything: str) -> str:
@@ -66,21 +66,26 @@ def option_list(counts: dict[str, int], values: list[str], everything: str) -> s
     return "".join([f'<option value="">{everything}</option>'] + [f'<option value="{html.escape(v)}">{html.escape(v)} ({counts.get(v, 0)})</option>' for v in values])
 
 
-def render_page(papers: DataFrame, title: str, categories: list[str], most: int = 100_000) -> str:
-    """A page with all papers of a compact table (facets.compact) and its facets.
+def write_page(papers: DataFrame, path: str, title: str, categories: list[str]) -> None:
+    """A page with all papers of a compact table (facets.compact) and its facets, as one text file below path.
 
-    A page holds its whole collection, so it is for collections of at most `most` papers; over that it is an error."""
+    Papers go from tasks to the file in order, one to a line; only the counts of facets come to the driver. The format is one
+    file, so one task writes it."""
     from corpusflow.operators import facets
 
-    if papers.limit(most + 1).count() > most:
-        raise ValueError(f"a page of more than {most} papers")
+    spark = papers.sparkSession
     count = lambda df: {r["value"]: r["n"] for r in df.collect()}
     years, venues, cats = (count(facets.scalar_counts(papers, c)) for c in ("y", "vb", "c"))
     safe = lambda v: json.dumps(v, ensure_ascii=False).replace("</", "<\\/")
-    return TEMPLATE.format(
+    head, tail = TEMPLATE.format(
         title=title, total=papers.count(), years=option_list(years, sorted((y for y in years if y != "Unknown"), reverse=True), "All Years"), venues=option_list(venues, sorted(venues), "All Venues"),
-        categories=option_list(cats, categories, "All Categories"), topics=safe(count(facets.label_counts(papers, "l"))), stages=safe(count(facets.label_counts(papers, "s"))), papers=safe([r.asDict(True) for r in papers.collect()]),
-    )
+        categories=option_list(cats, categories, "All Categories"), topics=safe(count(facets.label_counts(papers, "l"))), stages=safe(count(facets.label_counts(papers, "s"))),
+    ).split("PAPERS")
+    edge = lambda text: spark.createDataFrame([(text,)], "value string").coalesce(1)
+    one = papers.repartitionByRange(1, F.desc("y"), F.desc("t")).sortWithinPartitions(F.desc("y"), F.desc("t")).select("*", F.monotonically_increasing_id().alias("__i"))
+    record = F.replace(F.to_json(F.struct(*papers.columns), {"ignoreNullFields": "false"}), F.lit("</"), F.lit("<\\/"))
+    lines = one.select(F.concat(F.when(F.col("__i") > 0, F.lit(",")).otherwise(F.lit("")), record).alias("value"))
+    edge(head).union(lines).union(edge(tail)).coalesce(1).write.mode("overwrite").text(path)
 
 
 def swap_in(df: DataFrame, path: str) -> None:

@@ -18,13 +18,23 @@ from pyspark.sql import types as T
 
 from corpusflow.functions import text as X
 from corpusflow.functions.venues import file_venue
-from corpusflow.packs import VENUES, VenuePack
+from corpusflow.packs import ACL_ABSTRACT, ACL_TITLE, DBLP_WRAPPERS, NDSS, VENUES, VenuePack
 from corpusflow.schema import BASE_FIELDS, FIELDS, OPTIONAL_FIELDS, RAW
 
 EXTENSIONS = ("bib", "json", "csv", "html", "htm")
 SNIFFED = 80_000
 
 
+def load_baseline(spark: SparkSession, path: str, pack: VenuePack = VENUES) -> tuple[DataFrame, str]:
+    """Records of an earlier collection and '', or none and a warning if it can't be read. A collection from
+    before a change is a folder or file that the caller exported."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        none = spark.createDataFrame([], "path string, content string")
+        return parse_json(none, pack), f"baseline unavailable: {path}"
+    return parse_files(spark, path, pack=pack), ""
+
+
 def read_files(spark: SparkSession, *paths: str) -> DataFrame:
     """(path, content, modified, sha256) of every file below the paths with a known extension."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
@@ -129,9 +139,7 @@ def _from_arrays(files: DataFrame, titles: Column, urls: Column, abstracts: Colu
     return _records(rows.where("r.a IS NOT NULL").select("path", F.col("pos").cast("long").alias("pos"), F.lit("").alias("map_key"), e.alias("e")), pack)
 
 
-ACL_TITLE = r"<strong><a class=align-middle href="
 ACL_ENTRY = rf"(?s){ACL_TITLE}([^\s>]+)[^>]*>(.*?)</a></strong>(.*?)(?={ACL_TITLE}|\z)"
-ACL_ABSTRACT = r'(?s)<div class="card-body p-3 small">(.*?)</div>'
 
 
 def parse_acl_html(files: DataFrame, pack: VenuePack = VENUES) -> DataFrame:
@@ -144,12 +152,6 @@ def parse_acl_html(files: DataFrame, pack: VenuePack = VENUES) -> DataFrame:
     return _from_arrays(rows, F.col("__z.t"), F.col("__z.u"), F.col("__z.a"), pack)
 
 
-NDSS = (
-    (r'(?s)<h2 class="pt-cv-title"><a href="([^"]*)"[^>]*>(.*?)</a></h2>'),
-    (r'(?s)<h3 class="blog-post-title">(.*?)</h3>.*?<a class="paper-link-abs" href="([^"]+)"'),
-)
-
-
 def parse_ndss_html(files: DataFrame, pack: VenuePack = VENUES) -> DataFrame:
     """Titles and links by the first pattern that finds any; the group that is a link tells the order."""
     zipped = [F.arrays_zip(*[F.regexp_extract_all(X.text("content"), F.lit(p), F.lit(k)).alias(n) for k, n in ((1, "a"), (2, "b"))]) for p in NDSS]
@@ -195,7 +197,7 @@ def first_and_last(records: DataFrame, key: str = "map_key") -> DataFrame:
 
 
 DBLP_PARSED = T.StructType([T.StructField(f, T.StringType()) for f in ("type", "key", "author", "booktitle", "journal", "title", "year", "url", "doi")])
-WRAPPERS = re.compile(r"<\?xml[^>]*>|<!DOCTYPE[^>]*>|</?(?:bht|h1|ref|dblpcites)[^>]*>")
+WRAPPERS = re.compile(rf"<\?xml[^>]*>|<!DOCTYPE[^>]*>|</?(?:{'|'.join(DBLP_WRAPPERS)})[^>]*>")
 
 
 def dblp_records(xml: str | None, venue: str | None, year: str | None) -> list[dict]:

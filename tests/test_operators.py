@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 from pyspark.sql import functions as F
 
@@ -64,11 +65,13 @@ def test_facets_without_selection_are_plain_counts(spark):
     assert {(r.parent, r.child, r.n) for r in shown} == {("p", "x", 2), ("q", None, 0)}
 
 
-def test_browser_rows_and_page(spark):
+def test_browser_rows_and_page(spark, tmp_path):
     papers = rows(spark, "title string, abstract string, author string, year string, venue string, venue_track string, url string, doi string, labels array<string>, pipeline_stages array<string>", ("B", "", "", "2023", "ICDE2023", "c", "", "10.1/x", ["l"], ["s"]), ("A", "</script>", "", "2024", "KDD", "c", "u", "", ["l"], []), ("C", "", "", "2024", "KDD", "", "", "", None, None))
     compact = A.compact(papers)
     assert [(r.t, r.u, r.vb) for r in compact.collect()] == [("C", "", "KDD"), ("A", "u", "KDD"), ("B", "https://doi.org/10.1/x", "ICDE")]
-    page = K.render_page(compact, "Papers", packs.CATEGORIES)
+    K.write_page(compact, str(tmp_path / "page"), "Papers", packs.CATEGORIES)
+    page = "\n".join(p.read_text() for p in sorted((tmp_path / "page").glob("part-*")))
+    assert [r["t"] for r in json.loads(page.split("papers=")[1].split(";</script>")[0].replace("<\\/", "</"))] == ["C", "A", "B"]
     assert page.count("</script>") == 1 and '<option value="2024">2024 (2)</option>' in page and '"l": 2' in page
 
 
@@ -139,8 +142,6 @@ def test_sinks(spark, tmp_path):
     K.write_sorted_json(df, str(tmp_path / "j"))
     assert [r.title for r in spark.read.json(str(tmp_path / "j")).collect()] and spark.read.json(str(tmp_path / "j")).count() == 3
     K.write_json_object(df, str(tmp_path / "o"))
-    import json
-
     text = "".join(p.read_text() for p in sorted((tmp_path / "o").glob("part-*")))
     assert list(json.loads(text)) == ["a", "b|x", "ä"] and json.loads(text)["a"]["n"] == 2
     for k in (1, 2):

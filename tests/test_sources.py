@@ -114,7 +114,7 @@ def page(kind: str, n: int) -> str:
     }[kind]
 
 
-KINDS = [x[0] for x in G.EXTRACTORS]
+KINDS = list(G.EXTRACTORS)
 
 
 def test_every_extractor(spark):

@@ -55,7 +55,7 @@ def _pages() -> dict[str, tuple[str, Column, str]]:
             "numbered_items": ("<ul>", cat("<li>(", "$k", ") ", "$t", " — ", "$a", "</li>"), "</ul>"),
             "table_pairs": ("<table>", cat("<tr><td><strong>", "$t", "</strong> https://doi.org/10.1145/", "$k", ".</td></tr><tr><td>", "$a", "</td></tr>"), "</table>"),
             "schedule": ("<p>Research Track Papers Schedule</p><p>Monday, August 3</p><p>Session chair: X (Y)</p>", cat("<p>", "$t", "</p><p>Ann ", "$one", " (X); Bob ", "$two", " (Y)</p>"), ""),
-            "programme": ('<body id="track"><table>', cat('<tr><td><div class="prog-track">Research  Track</div><strong><a href="/p/', "$k", '">', "$t", '<span>x</span></a></strong><div class="performers"><a>Ann ', "$one", "</a>, <a>Bob ", "$two", "</a></div></td></tr>"), '<tr><td><div class="prog-track">Demos</div><strong><a>A demonstration</a></strong></td></tr></table>'),
+            "programme": ('<body id="track"><table>', cat('<tr><td>9:00</td><td><div class="prog-track">Research  Track</div><strong><a href="/p/', "$k", '">', "$t", '<span>x</span></a></strong><div class="performers"><a>Ann ', "$one", "</a>, <a>Bob ", "$two", "</a></div></td></tr>"), '<tr><td><div class="prog-track">Demos</div><strong><a>A demonstration</a></strong></td></tr></table>'),
             "virtual_site": ('<noscript class="noscript"><ul>', cat('<li><a href="/virtual/2024/poster/', "$k", '">', "$t", "</a></li>"), "</ul></noscript>"),
             "proceedings": ("", cat('<div class="paper"><p class="title">', "$t", '</p><p class="details">', "$a", '</p><a href="v', "$k", '.html">abs</a></div>'), ""),
             "rows": ("<table><tr><th>No</th><th>Paper title</th><th>Authors</th></tr>", cat("<tr><td>", "$k", "</td><td>", "$t", "</td><td>", "$a", "</td></tr>"), "</table>"),

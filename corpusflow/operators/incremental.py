@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -172,6 +174,24 @@ def retryable(status: Column) -> Column:
     return (status == 429) | ((status >= 500) & (status <= 599))
 
 
+def with_retries(send: Callable[[], tuple[int, bytes]], attempts: int = 4, first: float = 1.0, cap: float = 30.0, sleep: Callable[[float], None] = time.sleep) -> bytes:
+    """The body that send() answers (status, body) with, asked again after statuses of a busy server and after network
+    errors, `attempts` times in all. Other statuses from 400 on, and the last failure, are errors."""
+    for delay in [*retry_delays(attempts, first, cap), None]:
+        try:
+            status, body = send()
+        except OSError:
+            if delay is None:
+                raise
+        else:
+            if status < 400:
+                return body
+            if delay is None or not (status == 429 or 500 <= status <= 599):
+                raise ValueError(f"status {status}")
+        sleep(delay)
+    raise ValueError("no attempts")
+
+
 def retry_delays(attempts: int = 4, first: float = 1.0, cap: float = 30.0) -> list[float]:
     """Seconds to wait after each failed attempt but the last: doubling up to the cap."""
     return [min(cap, first * 2**k) for k in range(attempts - 1)]

@@ -312,6 +312,51 @@ def source_links(read):
     return read("customer").select("c_custkey", R.volume_link(F.lit("tkde"), F.col("c_nationkey") + 2020).alias("volume"), R.year_links(content, year, F.lit("https://d.org/conf/v/index.html")).alias("links"))
 
 
+@query(f"""
+WITH w AS (SELECT p_partkey AS k, p_partkey // {10 * BLOCK} AS source, p_partkey // {BLOCK} % 10 AS page FROM part),
+x AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY k) - 1 AS place, row_number() OVER (PARTITION BY source, page ORDER BY k) - 1 AS pos FROM w WHERE page <= 6)
+SELECT source, page, pos, 'W' || k AS id FROM x WHERE place < 250""")
+def source_paged(read):
+    """Pages of a crawl by cursor: it ends with the page that names no next one, and takes 250 items of a source at most."""
+    rows = parts(read)
+    own = rows.groupBy("b").agg(F.array_sort(F.collect_list(F.struct("k"))).alias("l"))
+    cursor = F.when(F.col("b") % 10 == 6, F.lit(None)).otherwise(F.concat(F.lit("c"), "b"))
+    content = F.to_json(F.struct(F.transform("l", lambda x: F.struct(F.concat(F.lit("W"), x["k"]).alias("id"))).alias("results"), F.struct(cursor.alias("next_cursor")).alias("meta")))
+    responses = own.select(F.floor(F.col("b") / 10).alias("source"), (F.col("b") % 10).alias("page"), content.alias("content"))
+    return R.paged(responses, 250, needed=True).select("source", "page", "pos", F.get_json_object("item", "$.id").alias("id"))
+
+
+@query(f"{PART_SQL} SELECT b, title AS raw_title, 'VLDB' AS target, {YEARS_SQL} AS year, pos AS ord FROM p WHERE b % 2 = 0")
+def source_evidence(read):
+    """What raw files prove: those of a known venue that are one object; lists and other venues prove nothing."""
+    item = F.concat(F.regexp_replace(F.to_json(F.array("tp")), r"(?s)^\[(.*)\]$", "$1"), F.lit(":"), entry_json())
+    rows = parts(read)
+    mapped = raw_files(rows.where(F.col("b") % 2 == 0), item, "VLDB", ".json", "{", "}", ",")
+    listed = raw_files(rows.where(F.col("b") % 4 == 1), entry_json(), "VLDB", ".json", "[", "]", ",")
+    other = raw_files(rows.where(F.col("b") % 4 == 3), item, "Nowhere", ".json", "{", "}", ",")
+    return R.raw_evidence(mapped.union(listed).union(other)).select(at(), "raw_title", "target", "year", "ord")
+
+
+@query("SELECT n_name AS name FROM nation UNION ALL SELECT r_name FROM region")
+def source_union(read):
+    """The rows of all volumes, one of which is empty."""
+    n, r = read("nation").select(F.col("n_name").alias("name")), read("region").select(F.col("r_name").alias("name"))
+    return R.union_of([n, n.where("false"), r])
+
+
+@query("SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey >= 0")
+def source_baseline(read):
+    """A collection that was written earlier, loaded as the baseline; one that isn't there is a warning."""
+    rows = read("supplier")
+    path = new_path(rows.sparkSession, "baseline")
+    sinks.write_json_object(rows.select(F.col("s_name").alias("title"), F.col("s_suppkey").cast("string").alias("key")), f"{path}/text")
+    whole = rows.sparkSession.read.text(f"{path}/text", wholetext=True)
+    files = whole.select(F.lit("/raw/2024/VLDB2024.json").alias("path"), F.col("value").alias("content"))
+    none, warning = R.load_baseline(rows.sparkSession, f"{path}/missing")
+    known = R.parse_json(files).unionByName(none).where(F.lit(warning != ""))
+    return known.select(F.col("key").cast("long").alias("s_suppkey"), F.col("title").alias("s_name"))
+
+
 # Sinks: what was written is read back.
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusflow.functions import text as X
-from corpusflow.functions.venues import file_venue
+from corpusflow.functions.venues import base_name, file_venue
 from corpusflow.packs import ACL_ABSTRACT, ACL_TITLE, DBLP_WRAPPERS, NDSS, VENUES, VenuePack
 from corpusflow.schema import BASE_FIELDS, FIELDS, OPTIONAL_FIELDS, RAW
 
@@ -292,6 +292,49 @@ def parse_s2(pages: DataFrame) -> DataFrame:
     return out.where("title <> '' AND abstract <> ''")
 
 
+def paged(responses: DataFrame, most: int | None = None, needed: bool = False) -> DataFrame:
+    """(source, page, pos, item) of the pages that a crawl by cursor reads: responses has (source, page from 0, content), the
+    answers in the order in which they were asked for; item is the text of an entry of its list `results`.
+
+    A source ends with its first page that is empty, names no next cursor or is missing; of what is left the first `most` items count. With
+    needed, a source without any item is an error when the rows are read. What isn't JSON is an empty page."""
+    page = F.from_json(X.text("content"), "struct<results:array<string>,meta:struct<next_cursor:string>>")
+    rows = responses.select("source", F.col("page").cast("long").alias("page"), F.coalesce(page["results"], F.array().cast("array<string>")).alias("items"), X.text(page["meta"]["next_cursor"]).alias("next"))
+    # Pages of a source are few and narrow here: their items come back afterwards.
+    order = Window.partitionBy("source").orderBy("page")
+    pages = rows.select("source", "page", F.size("items").alias("n"), ((F.size("items") == 0) | (F.col("next") == "")).alias("last"))
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    pages = pages.withColumns({"ended": F.coalesce(F.max("last").over(before), F.lit(False)), "before": F.coalesce(F.sum("n").over(before), F.lit(0)), "turn": F.row_number().over(order) - 1})
+    if needed:
+        empty = F.raise_error(F.concat(F.lit("no items: "), F.col("source").cast("string"))).cast("boolean")
+        pages = pages.where(F.when((F.col("turn") == 0) & (F.col("n") == 0), empty).otherwise(True))
+    pages = pages.where(~F.col("ended") & (F.col("turn") == F.col("page"))).select("source", "page", "before")
+    out = rows.join(pages, ["source", "page"]).select("source", "page", "before", F.posexplode("items").alias("pos", "item"))
+    if most is not None:
+        out = out.where(F.col("before") + F.col("pos") < most)
+    return out.select("source", "page", F.col("pos").cast("long").alias("pos"), "item")
+
+
+def raw_evidence(files: DataFrame, pack: VenuePack = VENUES) -> DataFrame:
+    """(key, target, raw_title, path, booktitle, journal, year, ord) as joins.reconcile() takes it: the records of raw JSON
+    files whose names say a known venue. Files that are lists, and titles without a key, prove nothing."""
+    mapped = files.where(F.ltrim(X.text("content")).startswith("{"))
+    target = base_name(file_venue(F.col("path"), pack), pack)
+    rows = parse_json(mapped, pack).withColumn("target", target).where(F.col("target").isin(pack.known))
+    out = rows.select(X.title_key("title").alias("key"), "target", F.col("title").alias("raw_title"), "path", "booktitle", "journal", "year", F.col("pos").alias("ord"))
+    return out.where("key <> ''")
+
+
+def union_of(volumes: list[DataFrame]) -> DataFrame:
+    """The rows of all volumes of a journal; an error only if all are empty."""
+    out = volumes[0]
+    for df in volumes[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    if out.isEmpty():
+        raise ValueError("all volumes are empty")
+    return out
+
+
 def cascade(sources: dict[str, DataFrame], keys: list[str], union_for: Column) -> DataFrame:
     """For each key the rows of the first source that has any; where union_for holds, those of all."""
     tagged = [df.withColumn("__rank", F.lit(i)) for i, df in enumerate(sources.values())]

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusflow import packs
@@ -168,6 +169,22 @@ def test_streams_agree_with_batch(spark, tmp_path):
     assert spark.table("counts").agg(F.sum("n")).first()[0] == 40
 
 
+def test_requests_are_repeated():
+    waits, answers = [], [(429, b""), (503, b""), (200, b"ok")]
+    assert I.with_retries(lambda: answers.pop(0), sleep=waits.append) == b"ok" and waits == [1, 2]
+    with pytest.raises(ValueError, match="404"):
+        I.with_retries(lambda: (404, b""), sleep=waits.append)
+    with pytest.raises(ValueError, match="500"):
+        I.with_retries(lambda: (500, b""), sleep=waits.append)
+
+    def down():
+        raise TimeoutError
+
+    with pytest.raises(TimeoutError):
+        I.with_retries(down, attempts=2, sleep=waits.append)
+    assert len(waits) == 2 + 3 + 1
+
+
 def test_retries(spark):
     assert I.retry_delays() == [1, 2, 4] and I.retry_delays(8)[-1] == 30
     got = rows(spark, "s int", (429,), (500,), (599,), (404,), (200,)).select(I.retryable(F.col("s"))).collect()

@@ -156,3 +156,26 @@ def test_plain_rule_for_one_site(spark):
     got = G.accepted_by_rows(files(spark, ("t", table), ("l", listed), ("n", None))).collect()
     assert {(r.path, r.extractor) for r in got} == {("t", "rows"), ("l", "items")} and len([r for r in got if r.path == "t"]) == 10
     assert {r.authors for r in got if r.path == "t"} == {"A, B and C and D"} and [r.title for r in got if r.path == "l"] == ["Item title"]
+
+
+def test_paging_ends(spark):
+    page = lambda n, cursor: json.dumps({"results": [{"id": i} for i in range(n)], "meta": {"next_cursor": cursor}})
+    rows = [("a", 0, page(2, "x")), ("a", 1, page(2, None)), ("a", 2, page(2, "z")), ("b", 0, page(0, "x")), ("b", 1, page(3, "x")), ("c", 0, page(1, "x")), ("c", 2, page(1, "x")), ("d", 0, "{broken"), ("e", 0, None)]
+    responses = spark.createDataFrame(rows, "source string, page int, content string")
+    ship(spark)
+    assert sorted((r.source, r.page, r.pos) for r in R.paged(responses).collect()) == [("a", 0, 0), ("a", 0, 1), ("a", 1, 0), ("a", 1, 1), ("c", 0, 0)]
+    assert R.paged(responses, 3).where("source = 'a'").count() == 3
+    with pytest.raises(Exception, match="no items"):
+        R.paged(responses, needed=True).collect()
+    with pytest.raises(ValueError, match="empty"):
+        R.union_of([responses.where("false"), responses.limit(0)])
+
+
+def test_baselines(spark, tmp_path):
+    ship(spark)
+    none, warning = R.load_baseline(spark, str(tmp_path / "none"))
+    assert none.count() == 0 and "unavailable" in warning
+    (tmp_path / "2024").mkdir()
+    (tmp_path / "2024" / "ICDE2024.json").write_text('{"A": {"key": "k"}}')
+    found, warning = R.load_baseline(spark, str(tmp_path))
+    assert [r.title for r in found.collect()] == ["A"] and warning == ""

@@ -60,18 +60,18 @@ class RelevancePack:
     llm: list[str]
     background: list[str]
     task_list_pattern: str
-    database: tuple[str, ...] = ("sql", "database", "databases", "relational database", "relational databases")
-    schema: tuple[str, ...] = ("schema", "schemas")
-    tables: tuple[str, ...] = ("table", "tables")
-    queries: tuple[str, ...] = ("query", "queries")
-    lay_users: tuple[str, ...] = ("nlp", "non-professional", "non-professionals", "non-expert", "non-experts")
-    making: tuple[str, ...] = ("generate", "generation", "translate", "translation", "synthesis")
-    making_abroad: tuple[str, ...] = ("transformar", "traducción", "traduccion")
-    interfaces: tuple[str, ...] = ("natural language interface", "natural language query")
-    insight: tuple[str, ...] = ("data-to-insight", "business intelligence", "semantic layer")
-    parsing: str = "semantic parsing"
-    language: str = "sql"
-    answering: str = "question answering"
+    database: tuple[str, ...] = packs.DATABASE_TERMS
+    schema: tuple[str, ...] = packs.SCHEMA_TERMS
+    tables: tuple[str, ...] = packs.TABLE_TERMS
+    queries: tuple[str, ...] = packs.QUERY_TERMS
+    lay_users: tuple[str, ...] = packs.LAY_USER_TERMS
+    making: tuple[str, ...] = packs.MAKING_TERMS
+    making_abroad: tuple[str, ...] = packs.MAKING_ABROAD_TERMS
+    interfaces: tuple[str, ...] = packs.INTERFACE_TERMS
+    insight: tuple[str, ...] = packs.INSIGHT_TERMS
+    parsing: str = packs.PARSING
+    language: str = packs.LANGUAGE
+    answering: str = packs.ANSWERING
 
 
 RELEVANCE = RelevancePack(

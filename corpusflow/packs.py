@@ -288,6 +288,25 @@ NDSS = (
 )
 DBLP_WRAPPERS = ("bht", "h1", "ref", "dblpcites")
 
+# Relevance: what texts say of databases, their users, and what is made for them.
+DATABASE_TERMS = ("sql", "database", "databases", "relational database", "relational databases")
+SCHEMA_TERMS = ("schema", "schemas")
+TABLE_TERMS = ("table", "tables")
+QUERY_TERMS = ("query", "queries")
+LAY_USER_TERMS = ("nlp", "non-professional", "non-professionals", "non-expert", "non-experts")
+MAKING_TERMS = ("generate", "generation", "translate", "translation", "synthesis")
+MAKING_ABROAD_TERMS = ("transformar", "traducción", "traduccion")
+INTERFACE_TERMS = ("natural language interface", "natural language query")
+INSIGHT_TERMS = ("data-to-insight", "business intelligence", "semantic layer")
+PARSING = "semantic parsing"
+LANGUAGE = "sql"
+ANSWERING = "question answering"
+
+# Mentions that select a label as plain substrings, and the labels of texts that no term selects.
+DIRECT_MENTIONS = ["text-to-sql", "nl2sql", "natural language to sql"]
+DEFAULT_TOPICS = ["Planning and Generation", "Neural-symbolic Parsing"]
+DEFAULT_STAGES = ["SQL Generation"]
+
 # End of the fixed values.
 
 
@@ -308,10 +327,8 @@ class LabelPack:
         return list(dict.fromkeys(x for parent, children in self.taxonomy.items() for x in (parent, *children)))
 
 
-_DIRECT_MENTIONS = ["text-to-sql", "nl2sql", "natural language to sql"]
-
-TOPICS = LabelPack(TOPIC_TAXONOMY, TOPIC_TERMS, ["Planning and Generation", "Neural-symbolic Parsing"], RENAMED_TOPICS, [("Prompt Engineering", LLM_TERMS, True), ("Single-turn Text-to-SQL", _DIRECT_MENTIONS, False)])
-STAGES = LabelPack(STAGE_TAXONOMY, STAGE_TERMS, ["SQL Generation"], {}, [("SQL Generation", _DIRECT_MENTIONS, False)])
+TOPICS = LabelPack(TOPIC_TAXONOMY, TOPIC_TERMS, DEFAULT_TOPICS, RENAMED_TOPICS, [("Prompt Engineering", LLM_TERMS, True), ("Single-turn Text-to-SQL", DIRECT_MENTIONS, False)])
+STAGES = LabelPack(STAGE_TAXONOMY, STAGE_TERMS, DEFAULT_STAGES, {}, [("SQL Generation", DIRECT_MENTIONS, False)])
 
 
 @dataclass(frozen=True)

@@ -64,7 +64,8 @@ def test_dual_traversal_finds_all_pairs():
         i, j = C.dual_pairs(a, a, most, True)
         expected = {(p, q) for p, q in zip(*np.nonzero(C.chord(x, x) <= most), strict=True) if p < q}
         assert expected <= set(zip(i.tolist(), j.tolist(), strict=True))
-    back, _ = C.CoverTree.from_bytes(a.to_bytes())
+    back, raw, _ = C.CoverTree.from_bytes(a.to_bytes(a.x))
+    assert (raw == a.x).all()
     for k, ((points, radius), (more, half)) in enumerate(itertools.pairwise(zip(a.points, a.radii, strict=True))):
         assert set(points) <= set(more) and half == radius / 2
         assert (back.reach[k] == a.reach[k]).all() and sorted(a.children[k]) == list(range(len(more)))

@@ -319,7 +319,7 @@ def raw_evidence(files: DataFrame, pack: VenuePack = VENUES) -> DataFrame:
     """(key, target, raw_title, path, booktitle, journal, year, ord) as joins.reconcile() takes it: the records of raw JSON
     files whose names say a known venue. Files that are lists, and titles without a key, prove nothing."""
     mapped = files.where(F.ltrim(X.text("content")).startswith("{"))
-    target = base_name(file_venue(F.col("path"), pack), pack)
+    target = X.let(file_venue(F.col("path"), pack), lambda v: base_name(v, pack))
     rows = parse_json(mapped, pack).withColumn("target", target).where(F.col("target").isin(pack.known))
     out = rows.select(X.title_key("title").alias("key"), "target", F.col("title").alias("raw_title"), "path", "booktitle", "journal", "year", F.col("pos").alias("ord"))
     return out.where("key <> ''")

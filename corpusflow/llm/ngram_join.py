@@ -43,6 +43,7 @@ BAND = 1.25
 MARGIN = 1.15
 PARTS = 2
 CHUNK = 256
+MEET = 2048
 MOST = 64
 MEMBERS = 4096
 SLICE = 512
@@ -284,11 +285,12 @@ def _meets_again(groups: DataFrame, sizes: DataFrame) -> DataFrame:
     """groups (key, rep, comp, ...) with (x, y, side): the tasks in which sets of different components meet.
 
     sizes has (key, size, major, others): a key's sets, its largest component and the sets outside it. Sets of
-    the largest component need not meet each other, so every chunk of the others meets all chunks. Chunks are dealt by the sets' hashes."""
-    rows = groups.join(sizes, "key")
-    one, out = F.col("size") <= CHUNK, F.col("comp") != F.col("major")
-    few = F.when(one, 1).otherwise(F.ceil(F.col("others") / CHUNK))
-    many = F.when(one, 0).otherwise(F.ceil((F.col("size") - F.col("others")) / CHUNK))
+    the largest component need not meet each other, so every chunk of the others meets all chunks. Chunks of about MEET are dealt by the sets'
+    hashes; they are larger than at first, as each goes to as many tasks as there are others."""
+    rows = groups.join(bounded(sizes), "key")
+    one, out = F.col("size") <= MEET, F.col("comp") != F.col("major")
+    few = F.when(one, 1).otherwise(F.ceil(F.col("others") / MEET))
+    many = F.when(one, 0).otherwise(F.ceil((F.col("size") - F.col("others")) / MEET))
     rows = rows.withColumns({"few": few, "many": many})
     at = F.pmod(F.xxhash64("rep"), F.when(out | one, F.col("few")).otherwise(F.col("many")))
     rows = rows.withColumn("own", at + F.when(out | one, 0).otherwise(F.col("few")))
@@ -483,15 +485,17 @@ def jaccard_classes(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100)
     again = links.apart(step).select("key").union(groups.where("y > 0").select("key")).distinct()
     own, most = groups.where("side = 1").select("key", "rep", "n", "sketch"), MOST
     while True:
-        todo = materialize(links.named(own.join(again, "key", "left_semi")), "jaccard-todo")
-        if todo.isEmpty():
-            release(todo)
+        keys = materialize(again, "jaccard-keys")
+        if keys.isEmpty():
+            release(keys)
             break
+        todo = materialize(links.named(own.join(bounded(keys), "key", "left_semi")), "jaccard-todo")
         parts = todo.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
         sizes = parts.agg(F.sum("c").alias("size"), F.max_by("comp", "c").alias("major"), (F.sum("c") - F.max("c")).alias("others"))
+        sizes = materialize(sizes.where("others > 0"), "jaccard-sizes")
         release(step)
-        step = materialize(_draw(_meets_again(todo, sizes.where("others > 0")), num, den, most), "jaccard-step")
-        release(todo)
+        step = materialize(_draw(_meets_again(todo, sizes), num, den, most), "jaccard-step")
+        release(todo, sizes, keys)
         links.compare(step.where("a IS NOT NULL").select("a", "b").distinct())
         again, most = step.where("a IS NULL").select("key").distinct(), 64 * most
     comp = links.comp.withColumnsRenamed({"node": "doc_id", "component": "component_id"})

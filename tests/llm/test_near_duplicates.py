@@ -38,6 +38,7 @@ def test_small_chunks_lose_no_link(spark, monkeypatch, chunk):
     rows = hard_docs(9)
     expected = plain(rows, 3, 90, 100)
     monkeypatch.setattr(J, "CHUNK", chunk)
+    monkeypatch.setattr(J, "MEET", chunk)
     monkeypatch.setattr(J, "MOST", 1)
     got = J.jaccard_classes(spark.createDataFrame(rows, DOCS), 3, 90, 100).collect()
     assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == expected

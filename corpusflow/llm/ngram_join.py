@@ -141,9 +141,9 @@ def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def sketch(s: np.ndarray, k: int) -> bytes:
-    """Parities of the elements' counts in B places, B a power of two of about 8 k, 2^17 (16 KB) at
+    """Parities of the elements' counts in B places, B a power of two from 4 k on, 2^17 (16 KB) at
     most. Half of it xor the other half is the sketch for B / 2."""
-    bits = min(1 << 17, max(64, 1 << (8 * k - 1).bit_length()))
+    bits = min(1 << 17, max(64, 1 << (4 * k - 1).bit_length()))
     odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 

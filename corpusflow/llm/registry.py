@@ -14,6 +14,7 @@ from corpusflow.llm.quality import op4_quality
 
 from corpusflow.llm.sentencepiece_tokens import op6_sentencepiece
 from corpusflow.llm.warc import OP9_SQL, op9_warc
+from corpusflow.llm.winnowing import OP13_SQL, op13_winnowing
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_nearest": op8_nearest,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
+    "op13_winnowing": op13_winnowing,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
@@ -33,6 +35,7 @@ ORACLES = {
     "op2_near_embeddings": OP2_SQL,
     "op7_ngram_jaccard": OP7_SQL,
     "op9_warc": OP9_SQL,
+    "op13_winnowing": OP13_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from corpusflow.llm.cover_tree import OP2_SQL, op2_near_embeddings
 from corpusflow.llm.filter_audit import OP12_SQL, op12_filter_audit
+from corpusflow.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from corpusflow.llm.html_text import op5_html_text
 from corpusflow.llm.line_dedup import OP1_SQL, op1_line_dedup
 from corpusflow.llm.ngram_join import OP7_SQL, op7_ngram_jaccard
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_nearest": op8_nearest,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_filter_audit": op12_filter_audit,
     "op13_winnowing": op13_winnowing,
     "pipeline": corpus_pipeline.run,
@@ -37,6 +39,7 @@ ORACLES = {
     "op2_near_embeddings": OP2_SQL,
     "op7_ngram_jaccard": OP7_SQL,
     "op9_warc": OP9_SQL,
+    "op11_hard_negatives": OP11_SQL,
     "op12_filter_audit": OP12_SQL,
     "op13_winnowing": OP13_SQL,
 }

@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from corpusflow.llm.common import materialize, release, release_at_exit, ship
 
 STEP = 256
-PARTS = 8
+#: Components of a part: few, so that residuals are small also where vectors have no structure.
+WIDTH = 2
 CODES = 256
 SAMPLE = 4096
 ROUNDS = 8
@@ -37,8 +38,9 @@ ASKED = 1024
 GROUP = 16
 SLICE = 64
 TOGETHER = 128
-#: Components of candidates that are scored at a time.
+#: Components of candidates that are scored at a time; all pairs are multiplied if one in DENSE is a candidate.
 EXACT = 1 << 22
+DENSE = 32
 #: Scores are held within these ends.
 END = 2**63 - 1
 MOST = 1e100
@@ -55,8 +57,7 @@ def whole(raw: np.ndarray) -> np.ndarray:
 
 def _cuts(dim: int) -> list[int]:
     """Where parts begin and the last one ends."""
-    parts = min(PARTS, dim)
-    return [dim * k // parts for k in range(parts + 1)] if parts else [0]
+    return [*range(0, dim, WIDTH), dim] if dim else [0]
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -123,14 +124,26 @@ class Block:
         half = np.nextafter(norms.astype(np.float32), np.float32(np.inf)) if not norms.size or norms.max() < 1e30 else norms
         return _pack(ids, labels, small, codes, half)
 
-    def bounds(self, tables: list[np.ndarray], spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The least and the largest score of each anchor and vector."""
-        score = np.zeros((len(spread), len(self.ids)))
-        for table, codes in zip(tables, self.codes, strict=True):
-            score += table[:, codes]
-        room = spread @ self.norms
+    def bounds(self, own: list[np.ndarray], spread: np.ndarray, books: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The least and the largest score of each anchor and vector, from the anchors' parts and their norms."""
+        score = np.zeros((len(self.ids), len(spread)))
+        for x, book, codes in zip(own, books, self.codes, strict=True):
+            score += (book @ x.T)[codes]  # a row of the lookup table for each vector
+        score, room = np.ascontiguousarray(score.T), spread @ self.norms
         return np.clip(score - room, -END, END), np.clip(score + room, -END, END)
 
+    def scores(self, a: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of a, vector, exact score) of the wanted pairs: as a product of matrices where they are many and doubles are exact, else pair by pair."""
+        i, j = np.nonzero(wanted)
+        own = np.flatnonzero(wanted.any(axis=0))
+        if DENSE * len(i) > len(a) * len(own) and a.size and len(own) and np.abs(a).max() * np.abs(self.v).max() * a.shape[1] < 2**53:
+            place = np.zeros(len(self.ids), np.int64)
+            place[own] = np.arange(len(own))
+            return i, j, (a @ self.v[own].T)[i, place[j]].astype(np.int64)
+        step = max(1, EXACT // max(1, a.shape[1]))
+        found = [exact(a[i[k : k + step]], self.v[j[k : k + step]]) for k in range(0, len(i), step)]
+        return i, j, np.concatenate([np.zeros(0, np.int64), *found])
+
 
 class Asked:
     """Anchors of a task: ids, labels, vectors, lookup tables and windows (anchor, from, to) with what was found for each.
@@ -160,8 +173,7 @@ class Asked:
         kept = [self.found]
         for lo in range(0, len(self.ids), TOGETHER):
             some = slice(lo, min(lo + TOGETHER, len(self.ids)))
-            tables = [x[some] @ book.T for x, book in zip(self.own, self.books, strict=True)]
-            least, most = block.bounds(tables, self.spread[some])
+            least, most = block.bounds([x[some] for x in self.own], self.spread[some], self.books)
             fits = (self.labels[some, None] == block.labels[None, :]) == self.same
             fits &= self.ids[some, None] != block.ids[None, :]
             windows = np.nonzero((self.owner >= some.start) & (self.owner < some.stop))[0]
@@ -177,26 +189,24 @@ class Asked:
                 w = windows[place == r]
                 rows = self.owner[w] - some.start
                 wanted[rows] |= self._candidates(least[rows], most[rows], fits[rows], w)
-            i, j = np.nonzero(wanted)
-            step = max(1, EXACT // max(1, block.v.shape[1]))
-            score = [exact(self.v[i[k : k + step] + some.start], block.v[j[k : k + step]]) for k in range(0, len(i), step)]
-            score = np.concatenate([np.zeros(0, np.int64), *score])
+            i, j, score = block.scores(self.v[some], wanted)
             for r in range(int(place.max(initial=-1)) + 1):
                 w = windows[place == r]
                 at = np.full(some.stop - some.start, -1)
                 at[self.owner[w] - some.start] = w
                 of = at[i]
-                ok = (of >= 0) & (score >= self.lo[of]) & (score <= self.hi[of])
+                ok = (of >= 0) & (score >= self.lo[of]) & (score <= self.hi[of]) & (score >= self.bar[of])
                 kept.append(np.stack([of[ok], block.ids[j[ok]], score[ok]]))
         self._merge(np.concatenate(kept, axis=1))
 
     def _candidates(self, least: np.ndarray, most: np.ndarray, fits: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Which vectors can be among the first of windows w, a row each."""
         lo, hi = self.lo[w].astype(np.float64)[:, None], self.hi[w].astype(np.float64)[:, None]
-        sure = np.where(fits & (most <= hi), least, -np.inf)
-        n = sure.shape[1]
-        bar = np.partition(sure, n - self.top, axis=1)[:, n - self.top] if n >= self.top else np.full(len(w), -np.inf)
-        return fits & (least <= hi) & (most >= np.maximum(lo, np.maximum(bar, self.bar[w])[:, None]))
+        bar = self.bar[w]
+        sure = fits & (most <= hi) & (least > bar[:, None])
+        for k in np.flatnonzero(sure.sum(axis=1) >= self.top):  # these raise it
+            bar[k] = np.partition(least[k, sure[k]], -self.top)[-self.top]
+        return fits & (least <= hi) & (most >= np.maximum(lo, bar[:, None]))
 
     def _merge(self, rows: np.ndarray) -> None:
         """Keep the first `top` of each window, and its last score as the bar."""

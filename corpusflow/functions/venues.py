@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from corpusflow import packs
-from corpusflow.functions.text import nth, text
+from corpusflow.functions.text import let, nth, text
 from corpusflow.packs import VENUES, VenuePack
 from corpusflow.schema import LINK_FIELDS, SOURCE_FIELDS
 
@@ -44,15 +44,17 @@ def base_name(c: Column | str, pack: VenuePack = VENUES) -> Column:
 
 def name_with_year(c: Column | str, year: Column | str = "", pack: VenuePack = VENUES) -> Column:
     """The known venue that a free text names, with a year appended if given."""
-    low = F.lower(text(c))
     year = F.lit(year) if isinstance(year, str) else text(year)
-    found = first_alias(low, pack.aliases)
-    return (
-        F.when(F.contains(low, F.lit(pack.preprint_mark)), F.concat(F.lit(pack.preprint), year))
-        .when(_side_volume(low, pack), pack.other)
-        .when(found != "", F.concat(found, year))
-        .otherwise(pack.other)
-    )
+
+    def named(low: Column, found: Column) -> Column:
+        return (
+            F.when(F.contains(low, F.lit(pack.preprint_mark)), F.concat(F.lit(pack.preprint), year))
+            .when(_side_volume(low, pack), pack.other)
+            .when(found != "", F.concat(found, year))
+            .otherwise(pack.other)
+        )
+
+    return let(F.lower(text(c)), lambda low: let(first_alias(low, pack.aliases), lambda found: named(low, found)))
 
 
 def _joined(fields: dict[str, Column], names: tuple[str, ...]) -> Column:
@@ -63,10 +65,9 @@ def entry_venue(fields: dict[str, Column], pack: VenuePack = VENUES) -> Column:
     """The venue of a record, in order of trust: what its source names, preprint marks, its
     links, the stored venue. A stored venue that needs proof counts with it only."""
     source, link, stored = _joined(fields, SOURCE_FIELDS), _joined(fields, LINK_FIELDS), F.lower(text(fields["venue"]) if "venue" in fields else F.lit(""))
-    by_source, by_link = first_alias(source, pack.aliases), first_alias(link, pack.links)
     old = base_name(fields["venue"] if "venue" in fields else F.lit(""), pack)
     name, mark, _ = pack.side_volume
-    return (
+    decided = lambda source, by_source, by_link: (
         F.when((by_source == name) & F.contains(source, F.lit(mark)), pack.other)
         .when(by_source != "", by_source)
         .when(F.contains(source, F.lit(pack.preprint_mark)), pack.preprint)
@@ -74,6 +75,9 @@ def entry_venue(fields: dict[str, Column], pack: VenuePack = VENUES) -> Column:
         .when(_side_volume(stored, pack) | (old == pack.unproven), pack.other)
         .otherwise(old)
     )
+    each = F.struct(source.alias("s"), link.alias("l"))
+    found = lambda e: F.struct(e["s"].alias("s"), first_alias(e["s"], pack.aliases).alias("a"), first_alias(e["l"], pack.links).alias("b"))
+    return let(each, lambda e: let(found(e), lambda f: decided(f["s"], f["a"], f["b"])))
 
 
 def proven_by_source(fields: dict[str, Column], pack: VenuePack = VENUES) -> Column:

@@ -22,7 +22,6 @@ from corpusflow.packs import ACL_ABSTRACT, ACL_TITLE, DBLP_WRAPPERS, NDSS, VENUE
 from corpusflow.schema import BASE_FIELDS, FIELDS, OPTIONAL_FIELDS, RAW
 
 EXTENSIONS = ("bib", "json", "csv", "html", "htm")
-SNIFFED = 80_000
 
 
 def load_baseline(spark: SparkSession, path: str, pack: VenuePack = VENUES) -> tuple[DataFrame, str]:
@@ -62,10 +61,14 @@ def normalize(e: dict[str, Column], title: Column, venue: Column, year: Column)
     return out | {n: F.when(e[n] != "", e[n]) for n in OPTIONAL_FIELDS}
 
 
+def named(files: DataFrame, pack: VenuePack, path: str = "path") -> DataFrame:
+    """files with __venue and __year, what their names say: found once for a file, before its records become rows."""
+    return files.withColumns({"__venue": file_venue(F.col(path), pack), "__year": X.path_year(F.col(path))})
+
+
 def _records(rows: DataFrame, pack: VenuePack) -> DataFrame:
-    """From (path, pos, map_key, e: RAW) to normalized records, one for each title of a file."""
-    venue, year = file_venue(F.col("path"), pack), X.path_year(F.col("path"))
-    fields = normalize({f: F.col("e")[f] for f in FIELDS}, F.col("map_key"), venue, year)
+    """From (path, __venue, __year, pos, map_key, e: RAW) to normalized records, one for each title of a file."""
+    fields = normalize({f: F.col("e")[f] for f in FIELDS}, F.col("map_key"), F.col("__venue"), F.col("__year"))
     out = rows.select("path", "pos", "map_key", *[fields[f].alias(f) for f in FIELDS]).where("title <> ''")
     return last_of_each(out, ["path", "title"], "pos")
 
@@ -84,12 +87,12 @@ def parse_json(files: DataFrame, pack: VenuePack = VENUES) -> DataFrame:
     # A list is read as an object too, so one parse serves both shapes.
     shaped = F.when(trimmed.startswith("["), F.concat(F.lit('{"l":'), F.col("content"), F.lit("}"))).otherwise(F.concat(F.lit('{"m":'), F.col("content"), F.lit("}")))
     # Records are parsed one by one, so one that is no object spoils no other.
-    parsed = files.withColumn("__j", F.from_json(shaped, "struct<m:map<string,string>,l:array<string>>"))
+    parsed = named(files, pack).withColumn("__j", F.from_json(shaped, "struct<m:map<string,string>,l:array<string>>"))
     entry = lambda key, text: F.struct(key.alias("key"), F.when(F.ltrim(text).startswith("{"), F.from_json(text, RAW)).alias("value"))
     mapped = F.transform(F.map_entries("__j.m"), lambda kv: entry(kv["key"], kv["value"]))
     listed = F.transform(F.col("__j.l"), lambda text: entry(F.coalesce(F.get_json_object(text, "$.title"), F.lit("")), text))
-    rows = parsed.select("path", F.posexplode(F.coalesce(mapped, listed)).alias("pos", "kv"))
-    return _records(rows.where("kv.value IS NOT NULL").select("path", F.col("pos").cast("long").alias("pos"), F.col("kv.key").alias("map_key"), F.col("kv.value").alias("e")), pack)
+    rows = parsed.select("path", "__venue", "__year", F.posexplode(F.coalesce(mapped, listed)).alias("pos", "kv"))
+    return _records(rows.where("kv.value IS NOT NULL").select("path", "__venue", "__year", F.col("pos").cast("long").alias("pos"), F.col("kv.key").alias("map_key"), F.col("kv.value").alias("e")), pack)
 
 
 BRACED = r"(\w+)\s*=\s*\{((?:[^{}]++|\{[^{}]*+\})*+)\}"
@@ -100,7 +103,7 @@ def parse_bib(files: DataFrame, pack: VenuePack = VENUES) -> DataFrame:
     """Records of BibTeX: braced values with one level of braces within, then quoted values,
     which count more. Chunks without a head are skipped."""
     chunk = F.regexp_replace(F.col("chunk"), r"(?U)^[\s@]+|\s+$", "")
-    rows = files.select("path", F.posexplode(F.split(X.text("content"), "\n@")).alias("pos", "chunk")).withColumn("chunk", F.concat(F.lit("@"), chunk))
+    rows = named(files, pack).select("path", "__venue", "__year", F.posexplode(F.split(X.text("content"), "\n@")).alias("pos", "chunk")).withColumn("chunk", F.concat(F.lit("@"), chunk))
     rows = rows.where(F.col("chunk").rlike(r"^@\w+\s*\{[^,]*,"))
     pairs = lambda pattern: F.arrays_zip(F.regexp_extract_all("chunk", F.lit(pattern), F.lit(1)).alias("k"), F.regexp_extract_all("chunk", F.lit(pattern), F.lit(2)).alias("v"))
     both = F.concat(pairs(BRACED), pairs(QUOTED))
@@ -109,7 +112,7 @@ def parse_bib(files: DataFrame, pack: VenuePack = VENUES) -> DataFrame:
     head = {"type": F.upper(F.regexp_extract("chunk", r"^@(\w+)", 1)), "key": F.btrim(F.regexp_extract("chunk", r"^@\w+\s*\{([^,]*),", 1))}
     found = lambda f: F.when(F.size(F.filter(F.col("pairs"), lambda p: F.lower(p["k"]) == f)) > 0, value(f))
     e = F.struct(*[(F.coalesce(found(f), head[f]) if f in head else found(f)).alias(f) for f in FIELDS])
-    return _records(rows.select("path", F.col("pos").cast("long").alias("pos"), F.lit("").alias("map_key"), e.alias("e")), pack)
+    return _records(rows.select("path", "__venue", "__year", F.col("pos").cast("long").alias("pos"), F.lit("").alias("map_key"), e.alias("e")), pack)
 
 
 def read_csv(spark: SparkSession, path: str, pack: VenuePack = VENUES) -> DataFrame:
@@ -119,7 +122,8 @@ def read_csv(spark: SparkSession, path: str, pack: VenuePack = VENUES) -> DataFr
     rows = rows.toDF(*[c.lower() for c in rows.columns])
     e = F.struct(*[(F.coalesce(rows[f], F.lit("")) if f in rows.columns else F.lit(None).cast("string")).alias(f) for f in FIELDS])
     place = F.monotonically_increasing_id()
-    return _records(rows.select(F.col("_metadata.file_path").alias("path"), place.alias("pos"), F.lit("").alias("map_key"), e.alias("e")), pack)
+    found = rows.select(F.col("_metadata.file_path").alias("path"), place.alias("pos"), F.lit("").alias("map_key"), e.alias("e"))
+    return _records(named(found, pack), pack)
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -131,12 +135,11 @@ def unescape_each(values: pd.Series) -> pd.Series:
 def _from_arrays(files: DataFrame, titles: Column, urls: Column, abstracts: Column | None, pack: VenuePack, before: Column | None = None) -> DataFrame:
     """Records whose titles (and abstracts) are markup and whose arrays run in parallel."""
     plain = lambda a: F.transform(a, lambda x: F.regexp_replace(F.coalesce(x, F.lit("")), X.TAG, " "))
-    rows = files.select("path", plain(titles).alias("t"), urls.alias("u"), (plain(abstracts) if abstracts is not None else F.transform(titles, lambda _: F.lit(""))).alias("a"))
-    rows = rows.select("path", F.posexplode(F.arrays_zip(unescape_each("t").alias("t"), F.col("u").alias("u"), unescape_each("a").alias("a"))).alias("pos", "r"))
-    rows = rows.withColumn("v", file_venue(F.col("path"), pack))
-    values = {"type": F.lit("INPROCEEDINGS"), "title": X.squash(F.col("r.t")), "abstract": F.col("r.a"), "url": F.col("r.u"), "venue": F.col("v"), "booktitle": F.col("v"), "year": X.path_year(F.col("path"))}
+    rows = named(files, pack).select("path", "__venue", "__year", plain(titles).alias("t"), urls.alias("u"), (plain(abstracts) if abstracts is not None else F.transform(titles, lambda _: F.lit(""))).alias("a"))
+    rows = rows.select("path", "__venue", "__year", F.posexplode(F.arrays_zip(unescape_each("t").alias("t"), F.col("u").alias("u"), unescape_each("a").alias("a"))).alias("pos", "r"))
+    values = {"type": F.lit("INPROCEEDINGS"), "title": X.squash(F.col("r.t")), "abstract": F.col("r.a"), "url": F.col("r.u"), "venue": F.col("__venue"), "booktitle": F.col("__venue"), "year": F.col("__year")}
     e = F.struct(*[values.get(f, F.lit(None).cast("string")).alias(f) for f in FIELDS])
-    return _records(rows.where("r.a IS NOT NULL").select("path", F.col("pos").cast("long").alias("pos"), F.lit("").alias("map_key"), e.alias("e")), pack)
+    return _records(rows.where("r.a IS NOT NULL").select("path", "__venue", "__year", F.col("pos").cast("long").alias("pos"), F.lit("").alias("map_key"), e.alias("e")), pack)
 
 
 ACL_ENTRY = rf"(?s){ACL_TITLE}([^\s>]+)[^>]*>(.*?)</a></strong>(.*?)(?={ACL_TITLE}|\z)"
@@ -162,8 +165,8 @@ def parse_ndss_html(files: DataFrame, pack: VenuePack = VENUES) -> DataFrame:
 
 
 def html_format(path: Column, content: Column) -> Column:
-    """acl, ndss or null by the first SNIFFED characters."""
-    head = F.lower(F.substring(content, 1, SNIFFED))
+    """acl, ndss or null by the marks that a page has, wherever they stand."""
+    head = F.lower(content)
     acl = F.contains(head, F.lit("acl anthology")) | F.contains(head, F.lit("aclanthology")) | F.contains(head, F.lit("align-middle"))
     ndss = F.contains(F.lower(path), F.lit("ndss")) | F.contains(head, F.lit("ndss symposium")) | F.contains(head, F.lit("pt-cv-title"))
     return F.when(acl, "acl").when(ndss, "ndss")
@@ -319,8 +322,10 @@ def raw_evidence(files: DataFrame, pack: VenuePack = VENUES) -> DataFrame:
     """(key, target, raw_title, path, booktitle, journal, year, ord) as joins.reconcile() takes it: the records of raw JSON
     files whose names say a known venue. Files that are lists, and titles without a key, prove nothing."""
     mapped = files.where(F.ltrim(X.text("content")).startswith("{"))
-    target = X.let(file_venue(F.col("path"), pack), lambda v: base_name(v, pack))
-    rows = parse_json(mapped, pack).withColumn("target", target).where(F.col("target").isin(pack.known))
+    known = named(mapped, pack).withColumn("target", base_name(F.col("__venue"), pack)).where(F.col("target").isin(pack.known))
+    # Files are few beside their records; a file's target meets these by its path.
+    targets = known.select("path", "target").distinct()
+    rows = parse_json(known.select(*mapped.columns), pack).join(targets, "path")
     out = rows.select(X.title_key("title").alias("key"), "target", F.col("title").alias("raw_title"), "path", "booktitle", "journal", "year", F.col("pos").alias("ord"))
     return out.where("key <> ''")
 

@@ -1,17 +1,19 @@
 """Entity resolution: records of one title key become one, in the order of their input.
 
-The merge rule depends on order and has thresholds, so it can't be combined map-side: a key's members are
-sorted by ord and folded by one aggregate() expression. Members of a key are few; keys with more
-than `hot` members are sorted by range and cut into chunks of consecutive ords. A round folds one chunk of each
-such key into the record that the round before left, so the result is that of the plain fold and
-no row ever holds an unbounded group."""
+The merge rule depends on order and has thresholds, so it can't be combined map-side. Rows are dealt by key once, sorted by
+key and order within tasks, and streamed past a fold that holds one record: a key of any size takes one pass of one job
+and no row, list or task ever holds its members. Cleaning, venues, ranks and labels are columns; only the choice between two
+records is Python."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusflow.functions import rules
 from corpusflow.functions import text as X
@@ -19,10 +21,10 @@ from corpusflow.functions import venues as V
 from corpusflow.functions.text import let
 from corpusflow.packs import TOPICS, VENUES, LabelPack, VenuePack
 from corpusflow.schema import FIELDS, LIST_FIELDS, SOURCE_FIELDS
-from corpusflow.session import delete, materialize, new_path, release_at_exit
+from corpusflow.session import materialize, release_at_exit, ship
 
-HOT = 256
-CHUNK = 4  # times hot, the most rows of a key that a round takes
+#: Folded records that are given out at a time.
+GIVEN = 1000
 GAIN = 40
 MERGED = (*FIELDS, *LIST_FIELDS)
 WEIGHTS = {"doi": 4, "url": 3, "author": 2, "year": 1, "keywords": 1, "openalex_id": 2, "semantic_scholar_id": 2, "key": 1}
@@ -59,104 +61,76 @@ def canonical(papers: DataFrame, venues: VenuePack = VENUES, topics: LabelPack =
     return out.withColumn("labels", rules.normalize_labels("labels", topics))
 
 
-def combine(a: Column, b: Column, topics: LabelPack = TOPICS, prefer_first: bool = False) -> Column:
-    """One step of the fold: record b into record a, both structs of MERGED, score and rank. Venue,
-    category, source and year are those of the record with the higher rank, of the primary if they tie."""
-    second = F.lit(False) if prefer_first else b["score"] > a["score"]
-    main, other = F.when(second, b).otherwise(a), F.when(second, a).otherwise(b)
-    placed = F.when(a["rank"] > b["rank"], a).when(b["rank"] > a["rank"], b).otherwise(main)
-    return let(F.struct(main.alias("main"), other.alias("other"), placed.alias("placed")), lambda t: _combined(t["main"], t["other"], t["placed"], topics))
-
-
-def _combined(main: Column, other: Column, placed: Column, topics: LabelPack) -> Column:
-    out: dict[str, Column] = {}
-    for f in FIELDS:
-        mine, theirs = main[f], other[f]
-        if f in SOURCE_FIELDS or f in ("venue", "venue_track"):
-            out[f] = placed[f]
-        elif f == "title":
-            longer = F.least(F.length(theirs), F.lit(140)) > F.least(F.length(mine), F.lit(140))
-            out[f] = F.when(filled(mine) & ~(filled(theirs) & longer), mine).otherwise(theirs)
-        elif f == "abstract":
-            better = ~filled(mine) | (filled(theirs) & (F.length(theirs) > F.length(mine) + GAIN))
-            out[f] = F.when(better, theirs).otherwise(mine)
-        elif f == "year":
-            out[f] = F.when(filled(placed[f]), placed[f]).when(filled(mine), mine).otherwise(theirs)
-        else:
-            out[f] = F.when(filled(mine), mine).otherwise(F.coalesce(theirs, mine))
-    for f in LIST_FIELDS:
-        out[f] = ordered_union(main[f], other[f])
-    out["labels"] = let(out["labels"], lambda x: rules.normalize_labels(x, topics))
-    return F.struct(*[out[f].alias(f) for f in MERGED], placed["rank"].alias("rank"))
-
-
-def _with_score(e: Column, rank: Column, venues: VenuePack) -> Column:
-    points = score({f: e[f] for f in MERGED}, e["venue"], e["venue_track"], venues).cast("int")
-    return F.struct(*[e[f].alias(f) for f in MERGED], rank.alias("rank"), points.alias("score"))
-
-
-def fold(rows: DataFrame, keys: list[str], order: str, record: Column, step: Callable[[Column, Column], Column], hot: int = HOT) -> DataFrame:
+def told(e: dict[str, Any]) -> int:
+    """score() of a record in a fold, whose `points` are those of its venue and category."""
+    long = len(e["abstract"] or "")
+    out = e["points"] + (8 if long >= 80 else 3 if long else 0)
+    return out + sum(weight for f, weight in WEIGHTS.items() if e[f]) + sum(2 for f in LIST_FIELDS if e[f])
+
+
+def combiner(topics: LabelPack = TOPICS, prefer_first: bool = False) -> Callable[[dict, dict], dict]:
+    """The step of the fold: record b into record a, both of MERGED with normalized labels, rank and points. Venue,
+    category, source and year are those of the record with the higher rank, of the primary if they tie; the primary
+    is the one that tells more, the first if they tie or with prefer_first."""
+    place = {label: k for k, label in enumerate(topics.labels)}
+
+    def combine(a: dict, b: dict) -> dict:
+        main, other = (b, a) if not prefer_first and told(b) > told(a) else (a, b)
+        placed = main if a["rank"] == b["rank"] else a if a["rank"] > b["rank"] else b
+        out = {f: main[f] or (main[f] if other[f] is None else other[f]) for f in FIELDS}
+        out |= {f: placed[f] for f in (*SOURCE_FIELDS, "venue", "venue_track", "rank", "points")}
+        mine, theirs = main["title"], other["title"]
+        if not mine or (theirs and min(len(theirs), 140) > min(len(mine), 140)):
+            out["title"] = theirs
+        mine, theirs = main["abstract"], other["abstract"]
+        out["abstract"] = theirs if not mine or (theirs and len(theirs) > len(mine) + GAIN) else mine
+        out["year"] = placed["year"] or main["year"] or other["year"]
+        for f in LIST_FIELDS:
+            out[f] = list(dict.fromkeys([*(main[f] or ()), *(other[f] or ())]))
+        out["labels"].sort(key=place.__getitem__)
+        return out
+
+    return combine
+
+
+def fold(rows: DataFrame, keys: list[str], order: str, record: Column, step: Callable[[Any, Any], Any]) -> DataFrame:
     """(keys, order, n, record): the records of each key folded in their order; order is that of the first, n
-    their number. Each row's record is the start of its fold, so step(a, b) must give records of one type.
-
-    Keys are counted when this is called. If any has more than hot rows, those keys' rows are written to
-    the shared folder, and a job runs for each CHUNK * hot rows of the largest key."""
-    named = {k: f"__k{i}" for i, k in enumerate(keys)}
-    by = list(named.values())
-    now = rows.select(*[F.col(k).alias(n) for k, n in named.items()], F.col(order).alias("__o"), record.alias("__r"))
-    members = F.array_sort(F.collect_list(F.struct("__o", "__r")), lambda a, b: F.when(a["__o"] < b["__o"], -1).when(a["__o"] > b["__o"], 1).otherwise(0))
-
-    def first(df: DataFrame, *more: str) -> DataFrame:
-        """The folds of whole keys or first chunks, from (by, __m)."""
-        rest = F.slice("__m", 2, F.greatest(F.size("__m") - 1, F.lit(0)))
-        merged = F.aggregate(rest, F.get("__m", F.lit(0))["__r"], lambda s, m: step(s, m["__r"]))
-        return df.select(*by, F.get("__m", F.lit(0))["__o"].alias("__o"), F.size("__m").cast("long").alias("__n"), merged.alias("__r"), *more)
-
-    big = rows.groupBy(*[F.col(k).alias(n) for k, n in named.items()]).agg(F.count("*").alias("__size")).where(F.col("__size") > hot)
-    number = big.count()
-    if not number:
-        out = first(now.groupBy(*by).agg(members.alias("__m")))
-    else:
-        narrow = big.select(*[F.col(n).alias(f"{n}b") for n in by])
-        narrow = F.broadcast(narrow) if number <= 100_000 else narrow
-        same = [F.col(n).eqNullSafe(F.col(f"{n}b")) for n in by]
-        out = first(now.join(narrow, same, "left_anti").groupBy(*by).agg(members.alias("__m")))
-        out = out.unionByName(_in_rounds(now.join(narrow, same, "left_semi"), by, members, first, step, CHUNK * hot))
-    return out.select(*[F.col(n).alias(k) for k, n in named.items()], F.col("__o").alias(order), F.col("__n").alias("n"), F.col("__r").alias("record"))
-
-
-def _in_rounds(rows: DataFrame, by: list[str], members: Column, first: Callable[..., DataFrame], step: Callable[[Column, Column], Column], chunk: int) -> DataFrame:
-    """(by, __o, __n, __r) for keys of any size: every round folds the next chunk of each key that has one."""
-    spark = rows.sparkSession
-    cut, dealt, states = (new_path(spark, f"fold-{n}") for n in ("cut", "dealt", "states"))
-    # Ids of sorted rows are consecutive within a task and grow from task to task, so chunks are runs of the order.
-    placed = rows.repartitionByRange(*by, "__o").sortWithinPartitions(*by, "__o").withColumn("__at", F.monotonically_increasing_id())
-    placed.groupBy(*by, F.floor(F.col("__at") / chunk).alias("__c")).agg(members.alias("__m")).write.parquet(cut)
-    chunks = spark.read.parquet(cut)
-    turn = chunks.select(*[F.col(n).alias(f"{n}b") for n in by], F.col("__c").alias("__cb"))
-    w = Window.partitionBy(*[f"{n}b" for n in by])
-    turn = turn.withColumn("__round", F.row_number().over(w.orderBy("__cb"))).withColumn("__last", F.col("__round") == F.count("*").over(w))
-    same = [F.col(n).eqNullSafe(F.col(f"{n}b")) for n in by]
-    chunks = chunks.join(turn, [*same, F.col("__c") == F.col("__cb")]).select(*by, "__m", "__last", "__round")
-    chunks.write.partitionBy("__round").parquet(dealt)
-    delete(spark, cut)
-    kind = chunks.drop("__round").schema
-    rounds = spark.read.schema(chunks.schema).parquet(dealt).agg(F.max("__round")).first()[0] or 0
-    state = None
-    for k in range(1, rounds + 1):
-        now = spark.read.schema(kind).parquet(f"{dealt}/__round={k}")
-        if state is None:
-            after = first(now, "__last")
-        else:
-            before = state.where("NOT __last").select(*[F.col(n).alias(f"{n}b") for n in by], "__o", "__n", "__r")
-            merged = F.aggregate("__m", F.col("__r"), lambda s, m: step(s, m["__r"]))
-            after = now.join(before, same).select(*by, "__o", (F.col("__n") + F.size("__m")).alias("__n"), merged.alias("__r"), "__last")
-        after.write.parquet(f"{states}/__round={k}")
-        state = spark.read.schema(after.schema).parquet(f"{states}/__round={k}")
-    delete(spark, dealt)
-    if state is None:
-        return first(rows.limit(0).groupBy(*by).agg(members.alias("__m")))
-    return spark.read.schema(state.schema).option("basePath", states).parquet(states).where("__last").select(*by, "__o", "__n", "__r")
+    their number. Each row's record, a dict if it is a struct, is the start of its fold, so step(a, b) must give records of one type.
+
+    One job: an exchange by key, a sort within tasks, and a stream of Arrow batches past one record at a time. The rows of a key are read by one
+    task, as every step needs the one before, but never held. Null keys are equal; rows that tie in order come in any order."""
+    ship(rows.sparkSession)
+    by = [f"__k{i}" for i in range(len(keys))]
+    now = rows.select(*[F.col(k).alias(n) for k, n in zip(keys, by, strict=True)], F.col(order).alias("__o"), record.alias("__r"))
+    now = now.repartition(*by).sortWithinPartitions(*by, "__o")
+    schema = T.StructType([*now.schema.fields[:-1], T.StructField("__n", T.LongType()), now.schema.fields[-1]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[tuple] = []
+        key, first, n, held, types = None, None, 0, None, None
+
+        def give() -> pa.RecordBatch:
+            columns = [pa.array(c, t) for c, t in zip(zip(*done, strict=True), types, strict=True)]
+            done.clear()
+            return pa.RecordBatch.from_arrays(columns, schema.names)
+
+        for batch in batches:
+            types = [*batch.schema.types[:-1], pa.int64(), batch.schema.types[-1]]
+            for *own, at, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if n and own == key:
+                    held, n = step(held, value), n + 1
+                    continue
+                if n:
+                    done.append((*key, first, n, held))
+                    if len(done) >= GIVEN:
+                        yield give()
+                key, first, n, held = own, at, 1, value
+        if n:
+            done.append((*key, first, n, held))
+            yield give()
+
+    out = now.mapInArrow(run, schema)
+    return out.select(*[F.col(n).alias(k) for k, n in zip(keys, by, strict=True)], F.col("__o").alias(order), F.col("__n").alias("n"), F.col("__r").alias("record"))
 
 
 def dedupe(papers: DataFrame, venues: VenuePack = VENUES, topics: LabelPack = TOPICS, prefer_first: bool = False, canonical_result: bool = True) -> DataFrame:
@@ -164,11 +138,7 @@ def dedupe(papers: DataFrame, venues: VenuePack = VENUES, topics: LabelPack = TO
     (title_key, ord, n, fields), n rows having become one. Titles without a key are left out. Ties in ord are
     broken by nothing: ord must be unique within a key."""
     rows, record = _records(papers, venues, topics)
-    # Keys are counted before rows are folded, so the clean records are written once.
-    rows = materialize(rows.where("title_key <> ''"), "records")
-    release_at_exit(rows)
-    step = lambda a, b: let(combine(a, b, topics, prefer_first), lambda e: _with_score(e, e["rank"], venues))
-    out = fold(rows, ["title_key"], "ord", record, step)
+    out = fold(rows.where("title_key <> ''"), ["title_key"], "ord", record, combiner(topics, prefer_first))
     out = out.select("title_key", "ord", "n", *[F.col("record")[f].alias(f) for f in MERGED])
     return canonical(out, venues, topics) if canonical_result else out
 
@@ -177,7 +147,9 @@ def _records(papers: DataFrame, venues: VenuePack, topics: LabelPack) -> tuple[D
     """papers (ord, map_key, MERGED) normalized, with title_key, and each row's record for the fold."""
     rows = normalized(papers.select("ord", "map_key", *MERGED), venues, topics).withColumn("abstract", F.col("__clean"))
     rows = rows.withColumn("__rank", V.merge_precedence(F.col("venue"), venues)).withColumnRenamed("__key", "title_key")
-    return rows, _with_score(F.struct(*[F.col(f) for f in MERGED]), F.col("__rank"), venues)
+    base = V.base_name(F.col("venue"), venues)
+    points = F.when(base != venues.other, 3).otherwise(0) + F.when(filled(F.col("venue_track")) & (F.col("venue_track") != venues.other), 2).otherwise(0)
+    return rows, F.struct(*[F.col(f) for f in MERGED], F.col("__rank").alias("rank"), points.alias("points"))
 
 
 def upsert_papers(existing: DataFrame, incoming: DataFrame, venues: VenuePack = VENUES, topics: LabelPack = TOPICS, prefer_existing: bool = False) -> DataFrame:
@@ -192,17 +164,12 @@ def upsert_papers(existing: DataFrame, incoming: DataFrame, venues: VenuePack =
     rows, zero = materialize(rows, "records"), F.lit(0).cast("long")
     release_at_exit(rows)
 
-    def step(a: Column, b: Column) -> Column:
-        merged = let(combine(a["r"], b["r"], topics, prefer_existing), lambda e: _with_score(e, e["rank"], venues))
-
-        def counted(e: Column) -> Column:
-            equal = F.lit(True)
-            for f in MERGED:
-                empty = F.array().cast("array<string>") if f in LIST_FIELDS else F.lit("")
-                equal = equal & (F.coalesce(e[f], empty) == F.coalesce(a["r"][f], empty))
-            return F.struct(e.alias("r"), (a["updated"] + F.when(equal, zero).otherwise(1)).alias("updated"), (a["skipped"] + F.when(equal, 1).otherwise(zero)).alias("skipped"))
+    combine = combiner(topics, prefer_existing)
 
-        return let(merged, counted)
+    def step(a: dict, b: dict) -> dict:
+        merged = combine(a["r"], b["r"])
+        same = all((merged[f] or None) == (a["r"][f] or None) for f in MERGED)
+        return {"r": merged, "updated": a["updated"] + (not same), "skipped": a["skipped"] + same}
 
     start = F.struct(record.alias("r"), zero.alias("updated"), zero.alias("skipped"))
     out = fold(rows.where("title_key <> ''"), ["title_key"], "ord", start, step)

@@ -323,7 +323,7 @@ FROM part GROUP BY p_name""")
 def dedupe_fold(read):
     """The ordered fold: a text gives way to one that is more than 40 characters longer."""
     rows = read("part").select("p_name", "p_partkey", F.expr("repeat(p_type, p_size)").alias("text"))
-    out = merge.fold(rows, ["p_name"], "p_partkey", F.col("text"), lambda a, b: F.when(F.length(b) > F.length(a) + merge.GAIN, b).otherwise(a))
+    out = merge.fold(rows, ["p_name"], "p_partkey", F.col("text"), lambda a, b: b if len(b) > len(a) + merge.GAIN else a)
     return out.select(F.col("p_name").alias("key"), F.col("p_partkey").alias("ord"), "n", F.md5(F.col("record").cast("binary")).alias("text"))
 
 
@@ -807,6 +807,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents keyed and merged in order, labelled, and their labels counted."""
     ship(spark)
     rows = keyed(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet")).where("key <> ''")
-    merged = merge.fold(rows, ["key"], "doc_id", F.col("text"), lambda a, b: F.when(F.length(b) > F.length(a) + merge.GAIN, b).otherwise(a))
+    merged = merge.fold(rows, ["key"], "doc_id", X.text("text"), lambda a, b: b if len(b) > len(a) + merge.GAIN else a)
     labelled = merged.select(rules.classify(X.lowered("record"), FIXTURE_TOPICS).alias("labels"))
     return facets.label_counts(labelled, "labels").orderBy(F.desc("n"), "value")

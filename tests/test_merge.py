@@ -50,26 +50,30 @@ def test_merged_rows_have_no_duplicates(spark):
     assert once.count() == 4 and again.agg(M.duplicates()).first()[0] == 0 and once.agg(M.duplicates()).first()[0] == 16
 
 
-@pytest.mark.parametrize("hot", [1000, 7])
-def test_fold_is_in_order(spark, hot):
+def test_fold_is_in_order(spark):
     rng = random.Random(1)
     rows = [(k, o, rng.choice("abc")) for k in range(5) for o in range(rng.randint(1, 40))]
     rng.shuffle(rows)
-    out = M.fold(spark.createDataFrame(rows, "k int, o long, v string"), ["k"], "o", F.col("v"), lambda a, b: F.concat(a, b), hot)
+    out = M.fold(spark.createDataFrame(rows, "k int, o long, v string"), ["k"], "o", F.col("v"), lambda a, b: a + b)
     for r in out.collect():
         own = sorted((o, v) for k, o, v in rows if k == r.k)
         assert (r.record, r.n, r.o) == ("".join(v for _, v in own), len(own), 0)
 
 
-@pytest.mark.parametrize("hot", [256, 20, 2])
-def test_fold_of_hot_keys_is_the_plain_fold(spark, hot):
+@pytest.mark.parametrize("batch", [10_000, 20, 2])
+def test_fold_of_hot_keys_is_the_plain_fold(spark, batch, monkeypatch):
     rng = random.Random(2)
     sizes = {0: [10] * 255 + [15, 45, 60] + [10] * 9, None: [rng.randint(0, 150) for _ in range(300)]}
     sizes |= {k: [rng.randint(0, 150) for _ in range(rng.choice([1, 5, 200, 600]))] for k in range(1, 12)}
     rows = [(k, o, chr(97 + o % 26) * n) for k, own in sizes.items() for o, n in enumerate(own)]
     rng.shuffle(rows)
-    step = lambda a, b: F.when(F.length(b) > F.length(a) + M.GAIN, b).otherwise(a)
-    got = M.fold(spark.createDataFrame(rows, "k int, o long, v string").repartition(5), ["k"], "o", F.col("v"), step, hot).collect()
+    gain = M.GAIN
+    monkeypatch.setattr(M, "GIVEN", 3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = M.fold(spark.createDataFrame(rows, "k int, o long, v string").repartition(5), ["k"], "o", F.col("v"), lambda a, b: b if len(b) > len(a) + gain else a).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     want = {}
     for k, o, v in sorted(rows, key=lambda r: r[1]):
         want[k] = v if k not in want or len(v) > len(want[k]) + M.GAIN else want[k]
@@ -78,6 +82,27 @@ def test_fold_of_hot_keys_is_the_plain_fold(spark, hot):
     assert len(want[0]) == 60
 
 
+def test_fold_of_one_hot_key_is_one_job(spark):
+    rows = spark.range(20_000).select((F.col("id") >= 0).alias("a"), F.when(F.col("id") < 0, "z").alias("b"), F.col("id").alias("o"), F.struct(F.col("id").alias("x"), F.array(F.lit("y")).alias("l")).alias("r"))
+    out = M.fold(rows, ["a", "b"], "o", F.col("r"), lambda a, b: {"x": (31 * a["x"] + b["x"]) % 1_000_003, "l": a["l"]})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and plan.count("Exchange hashpartitioning") == 1
+    want = 0
+    for k in range(1, 20_000):
+        want = (31 * want + k) % 1_000_003
+    assert [tuple(r) for r in out.collect()] == [(True, None, 0, 20_000, (want, ["y"]))]
+    assert M.fold(rows.limit(0), ["a", "b"], "o", F.col("r"), lambda a, b: a).collect() == []
+
+
+def test_python_score_is_that_of_columns(spark):
+    rng = random.Random(4)
+    some = lambda f: rng.choice([None, "", "x" * rng.choice([1, 79, 80])]) if f != "booktitle" else rng.choice([None, "ICDE", "arXiv"])
+    rows = [{f: some(f) for f in FIELDS} | {"title": f"t {k}", "labels": rng.choice([None, [], ["Survey"]]), "pipeline_stages": rng.choice([None, [], ["x"]])} for k in range(60)]
+    df, record = M._records(papers(spark, *rows), packs.VENUES, packs.TOPICS)
+    pairs = df.select(M.score({f: F.col(f) for f in M.MERGED}, F.col("venue"), F.col("venue_track")).alias("s"), record.alias("r")).collect()
+    assert all(r.s == M.told(r.r.asDict()) for r in pairs) and len({r.s for r in pairs}) > 8
+
+
 def test_upsert(spark):
     s = "key string, a string, b string"
     old = spark.createDataFrame([("k1", "x", None), ("k2", "x", "y"), ("k3", "x", "y")], s)

@@ -1,7 +1,8 @@
 """Term rules compiled to columns: matching, relevance levels and label taxonomies.
 
 A term of ASCII letters and digits only matches as a whole word, any other as a
-substring. All whole-word terms of a list become one pattern."""
+substring. Long texts are looked up in an index: a text is split once, its words and their heads are met with those of all
+terms of a pack at once, and what is left, a few strings, answers the rules. Only a term whose head is there is looked for in the text."""
 
 from __future__ import annotations
 
@@ -16,6 +17,9 @@ from corpusflow.functions.text import let, lowered, text
 from corpusflow.packs import LabelPack
 
 WORD = re.compile("[a-z0-9]+")
+#: Letters of a word's head, and terms from which on an index is worth the split.
+HEAD = 4
+MANY = 60
 CORE, APPLICATION, IRRELEVANT = "core", "application", "irrelevant"
 
 
@@ -39,6 +43,45 @@ def any_term(c: Column, terms: list[str]) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+def head_of(term: str) -> str | None:
+    """A head that a lowered text with this substring has among its words' heads, if there is one: that of the term's longest word which begins
+    within the term, and also ends within it if it is shorter than a head."""
+    found = [(m.group(), m.end()) for m in WORD.finditer(term) if m.start() > 0]
+    sure = [w for w, end in found if len(w) >= HEAD or end < len(term)]
+    return max(sure, key=len)[:HEAD] if sure else None
+
+
+class TermIndex:
+    """Which of many terms a lowered text has: any_term() for lists of them, with the text split once.
+
+    use(index) gets the index of a row's text; it is built within let(), so once for each row. Few terms are looked for one by one."""
+
+    def __init__(self, c: Column, words: Column | None = None, heads: Column | None = None):
+        self.text, self.words, self.heads = c, words, heads
+
+    @staticmethod
+    def over(c: Column, terms: list[str], use) -> Column:
+        if len(set(terms)) < MANY:
+            return let(c, lambda t: use(TermIndex(t)))
+        words = sorted({t for t in terms if WORD.fullmatch(t)})
+        heads = sorted({h for t in terms if not WORD.fullmatch(t) and (h := head_of(t))})
+        literal = lambda xs: F.array(*[F.lit(x) for x in xs]).cast("array<string>")
+        own = let(F.array_distinct(F.split(c, "[^a-z0-9]+")), lambda ws: F.struct(c.alias("t"), F.array_intersect(ws, literal(words)).alias("w"), F.array_intersect(F.transform(ws, lambda w: F.left(w, F.lit(HEAD))), literal(heads)).alias("h")))
+        return let(own, lambda x: use(TermIndex(x["t"], x["w"], x["h"])))
+
+    def any(self, terms: list[str]) -> Column:
+        """Whether the text, which may be null, has one of the terms, all of which the index must have."""
+        if self.words is None:
+            return any_term(self.text, terms)
+        words = [t for t in terms if WORD.fullmatch(t)]
+        out = F.arrays_overlap(self.words, F.array(*[F.lit(w) for w in words])) if words else F.lit(False)
+        for t in terms:
+            if not WORD.fullmatch(t):
+                inside = F.contains(self.text, F.lit(t))
+                out = out | (F.array_contains(self.heads, head_of(t)) & inside if head_of(t) else inside)
+        return F.coalesce(out, F.lit(False))
+
+
 def any_pattern(c: Column, patterns: list[str]) -> Column:
     out = F.lit(False)
     for p in patterns:
@@ -72,23 +115,28 @@ class RelevancePack:
     parsing: str = packs.PARSING
     language: str = packs.LANGUAGE
     answering: str = packs.ANSWERING
+    #: What every text holds that a background or task list pattern finds; '' if nothing is known.
+    pattern_mark: str = ""
 
 
 RELEVANCE = RelevancePack(
     packs.DIRECT_TERMS, packs.GENERATION_TERMS, packs.NATURAL_LANGUAGE_TERMS, packs.BOUNDARY_TERMS, packs.OTHER_DOMAIN_TERMS,
-    packs.CODE_TERMS, packs.TASK_LIST_TERMS, packs.LLM_TERMS, packs.BACKGROUND_PATTERNS, packs.TASK_LIST_PATTERN,
+    packs.CODE_TERMS, packs.TASK_LIST_TERMS, packs.LLM_TERMS, packs.BACKGROUND_PATTERNS, packs.TASK_LIST_PATTERN, pattern_mark="sql",
 )
 
 
 def signals(title: Column | str, abstract: Column | str, keywords: Column | str, pack: RelevancePack = RELEVANCE) -> Column:
     """A struct of the signals that relevance weighs, each a boolean: evaluated once for each row."""
     texts = F.struct(lowered(title).alias("head"), lowered(F.concat_ws(" ", text(title), text(abstract))).alias("body"), lowered(keywords).alias("words"))
-    return let(texts, lambda t: _signals(t["head"], t["body"], t["words"], pack))
+    every = [t for own in (pack.direct, pack.generation, pack.database, pack.schema, pack.tables, pack.queries, pack.natural_language, pack.boundary, pack.other_domain, pack.code, pack.task_list, pack.llm, pack.lay_users, pack.making, pack.making_abroad, pack.interfaces, pack.insight) for t in own]
+    return let(texts, lambda t: TermIndex.over(t["body"], every, lambda body: _signals(t["head"], body, t["words"], pack)))
 
 
-def _signals(head: Column, body: Column, words: Column, pack: RelevancePack) -> Column:
-    found = lambda terms: any_term(body, list(terms))
+def _signals(head: Column, index: TermIndex, words: Column, pack: RelevancePack) -> Column:
+    body = index.text
+    found = lambda terms: index.any(list(terms))
     has = lambda part: F.contains(body, F.lit(part))
+    marked = has(pack.pattern_mark)
     tests = {
         "title_direct": any_term(head, pack.direct),
         "direct": found(pack.direct) | (has(pack.parsing) & has(pack.language)),
@@ -100,8 +148,8 @@ def _signals(head: Column, body: Column, words: Column, pack: RelevancePack) ->
         "boundary": found(pack.boundary),
         "elsewhere": found(pack.other_domain),
         "code": found(pack.code),
-        "listed": any_pattern(body, [pack.task_list_pattern]) & found([*pack.task_list, *pack.code]),
-        "background": any_pattern(body, pack.background),
+        "listed": marked & any_pattern(body, [pack.task_list_pattern]) & found([*pack.task_list, *pack.code]),
+        "background": marked & any_pattern(body, pack.background),
         "model": found(pack.llm),
         "lay": found(pack.lay_users),
         "making": found(pack.making),
@@ -160,21 +208,25 @@ def normalize_labels(labels: Column | str, pack: LabelPack) -> Column:
 
 def matched_labels(c: Column, pack: LabelPack) -> Column:
     """The labels whose terms a lowered text has, before closure."""
-    tests = {label: any_term(c, terms) for label, terms in pack.terms.items()}
-    for label, terms, as_terms in pack.also:
-        more = any_term(c, terms)
-        if not as_terms:
-            more = F.lit(False)
-            for t in terms:
-                more = more | F.contains(c, F.lit(t))
-        tests[label] = tests[label] | more if label in tests else more
-    return F.filter(F.array(*[F.when(t, F.lit(label)) for label, t in tests.items()]), lambda x: x.isNotNull())
+    every = [t for terms in (*pack.terms.values(), *(terms for _, terms, as_terms in pack.also if as_terms)) for t in terms]
+
+    def chosen(index: TermIndex) -> Column:
+        tests = {label: index.any(terms) for label, terms in pack.terms.items()}
+        for label, terms, as_terms in pack.also:
+            more = index.any(terms) if as_terms else F.lit(False)
+            if not as_terms:
+                for t in terms:
+                    more = more | F.contains(index.text, F.lit(t))
+            tests[label] = tests[label] | more if label in tests else more
+        return F.filter(F.array(*[F.when(t, F.lit(label)) for label, t in tests.items()]), lambda x: x.isNotNull())
+
+    return TermIndex.over(c, every, chosen)
 
 
 def classify(c: Column, pack: LabelPack) -> Column:
     """All labels of a lowered text with their parents; the pack's default labels if there is none."""
     default = F.array(*[F.lit(x) for x in pack.default])
-    found = let(c, lambda t: let(matched_labels(t, pack), lambda selected: normalize_labels(selected, pack)))
+    found = let(matched_labels(c, pack), lambda selected: normalize_labels(selected, pack))
     return let(found, lambda x: F.when(F.size(x) == 0, default).otherwise(x))
 
 

@@ -97,3 +97,22 @@ def test_names_and_ranks(spark):
     assert [one(spark, V.merge_precedence(F.lit(v)), t="") for v in ("TKDE", "ArXiv", "x")] == [3, 2, 1]
     assert one(spark, V.source_kind(F.lit("其他"), F.lit(None), F.lit("s")), t="") == "supplemental_or_other"
     assert [one(spark, V.raw_kind(F.lit(p)), t="") for p in ("/a/arxiv/x.json", "/a/ICDE2024-accepted.json", "/a/ICDE2024.json")] == ["arxiv", "official_accepted", "dblp"]
+
+
+def test_index_answers_as_the_plain_rule(spark):
+    import random
+
+    rng = random.Random(6)
+    terms = sorted({t for own in (packs.DIRECT_TERMS, packs.GENERATION_TERMS, packs.NATURAL_LANGUAGE_TERMS, packs.OTHER_DOMAIN_TERMS, packs.LLM_TERMS, *packs.TOPICS.terms.values()) for t in own})
+    parts = [w for t in terms for w in (t, t[1:], t[:-1], *t.split())] + ["x", "-", "é", ".", "sqlite", "to"]
+    texts = [(k, "".join(rng.choice(parts) + rng.choice([" ", "-", "", "", "s "]) for _ in range(rng.randint(0, 12))).lower()) for k in range(400)] + [(900, None), (901, "")]
+    lists = [rng.sample(terms, rng.choice([1, 2, 5, 20])) for _ in range(30)] + [[], ["to sql"], ["a-b", "c++", "-x", "知识"]]
+    index = rules.TermIndex.over(F.col("t"), [t for own in lists for t in own], lambda i: F.array(*[i.any(own) for own in lists]))
+    rows = spark.createDataFrame(texts, "k int, t string").select("k", "t", index.alias("got"), F.array(*[rules.any_term(F.col("t"), own) for own in lists]).alias("want")).collect()
+    assert all(r.got == r.want for r in rows)
+    assert 100 < sum(map(sum, (r.want for r in rows))) < 0.9 * len(rows) * len(lists)
+
+
+@pytest.mark.parametrize(("term", "head"), [("text-to-sql", "to"), ("natural language", "lang"), ("data lake", "lake"), ("to sql", None), ("c++", None), ("-sql-", "sql"), ("a of b", "of")])
+def test_heads(term, head):
+    assert rules.head_of(term) == head

@@ -104,39 +104,51 @@ def _head(source) -> bytes | None:
     return None
 
 
+def _whole(source, length: int) -> bytes:
+    block = source.read(length)
+    if len(block) < length:
+        raise ValueError("an archive ends within a record's block")
+    return block
+
+
+def _end(source) -> None:
+    """Past the two line breaks after a block; a block that was skipped beyond the archive's end has none."""
+    for _ in range(2):
+        if source.readline(2) != b"\r\n":
+            raise ValueError("an archive ends within a record, or a record is longer than it says")
+
+
 def records(source, wanted, payloads: bool) -> Iterator[tuple[Headers, int | None, bytes | None]]:
-    """(headers, payload length, payload) of the records that `wanted` accepts by their headers."""
+    """(headers, payload length, payload) of the records that `wanted` accepts by their headers. An archive that ends within
+    a record, whether that is wanted or skipped, is an error."""
     while (head := _head(source)) is not None:
         if not head.startswith(b"WARC/"):
             raise ValueError("no WARC record where one should begin")
         headers = _parse(head)
         length = int(headers.first("Content-Length") or 0)
+        found = None
         if not wanted(headers):
-            source.seek(length + 4, io.SEEK_CUR)
-            continue
-        if not (headers.first("Content-Type") or "").startswith("application/http"):
-            block = source.read(length) if payloads else None
+            source.seek(length, io.SEEK_CUR)
+        elif not (headers.first("Content-Type") or "").startswith("application/http"):
+            found = headers, length, _whole(source, length) if payloads else None
             if not payloads:
                 source.seek(length, io.SEEK_CUR)
-            yield headers, length, block
         else:
             http, used = [], 0
-            while used < length and (line := source.readline()):
+            while used < length and (line := source.readline(length - used)):
                 used += len(line)
                 http.append(line)
                 if line == b"\r\n":
                     break
             said = _parse(b"".join(http)).first("Content-Length")
-            if headers.first("WARC-Type") == "revisit":
+            again = headers.first("WARC-Type") == "revisit"
+            block = _whole(source, length - used) if payloads and not again else None
+            if block is None:
                 source.seek(length - used, io.SEEK_CUR)
-                yield headers, int(said) if said else None, None
-            elif payloads:
-                block = source.read(length - used)
-                yield headers, len(block), block
-            else:
-                source.seek(length - used, io.SEEK_CUR)
-                yield headers, length - used, None
-        source.seek(4, io.SEEK_CUR)
+            found = headers, (int(said) if said else None) if again else length - used, block
+        _end(source)
+        if found is not None:
+            yield found
 
 
 def _column(headers: Headers, column: str) -> str | None:
@@ -317,7 +329,10 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, **options: str) -> None:
     """Archives of pages (page_id, url, html, ...) in the folder path, added to what
-    is there. Other columns are not written. Option compression=gzip makes .warc.gz."""
+    is there. Other columns are not written. Option compression=gzip makes .warc.gz.
+
+    Archives appear once all tasks are done, one after the other: if the driver dies meanwhile, those already there are whole, the others stay in a
+    hidden folder that readers skip, and the write must be repeated into another folder."""
     register(pages.sparkSession)
     with_revisits(pages, least_bytes).write.format("warc").mode("append").options(**options).save(path)
 

@@ -1,7 +1,10 @@
 import base64
 import hashlib
+import gzip
 import io
 
+import pytest
+
 from corpusflow.llm import warc as W
 from corpusflow.llm.common import new_path
 
@@ -74,3 +77,39 @@ def test_partitions_and_empty(spark, tmp_path):
     W.write_warc(spark.createDataFrame([], PAGES), path)
     assert W.read_warc(spark, path).where("record_type <> 'warcinfo'").count() == len(rows())
     assert not [p for p in tmp_path.iterdir()]
+
+
+HTTP = ("Content-Type", "application/http;msgtype=response")
+WHOLE = {
+    "resource": W.record([("WARC-Type", "resource"), ("Content-Type", "text/plain")], b"x" * 1000),
+    "response": W.record([("WARC-Type", "response"), HTTP], b"HTTP/1.1 200 OK\r\nContent-Length: 900\r\n\r\n" + b"y" * 900),
+    "revisit": W.record([("WARC-Type", "revisit"), HTTP], b"HTTP/1.1 200 OK\r\nContent-Length: 900\r\n\r\n"),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(WHOLE))
+@pytest.mark.parametrize("payloads", [True, False])
+def test_truncated_archives_are_errors(kind, payloads):
+    raw = W.record([("WARC-Type", "metadata")], b"first") + WHOLE[kind]
+    begin = len(raw) - len(WHOLE[kind])
+    everything, nothing = lambda h: True, lambda h: h.first("WARC-Type") == "metadata"
+    assert len(list(W.records(io.BytesIO(raw), everything, payloads))) == 2
+    assert len(list(W.records(io.BytesIO(raw), nothing, payloads))) == 1
+    # In the headers, in the block's first line, within the payload, before and within the trailer.
+    for cut in sorted({begin + 12, raw.index(b"\r\n\r\n", begin) + 6, len(raw) - 504, len(raw) - 5, len(raw) - 4, len(raw) - 3, len(raw) - 1}):
+        if cut <= begin:
+            continue
+        for wanted in (everything, nothing):
+            with pytest.raises(ValueError, match="archive ends"):
+                list(W.records(io.BytesIO(raw[:cut]), wanted, payloads))
+            with pytest.raises((ValueError, EOFError)):
+                list(W.records(gzip.GzipFile(fileobj=io.BytesIO(gzip.compress(raw[:cut]))), wanted, payloads))
+    with pytest.raises(EOFError):
+        list(W.records(gzip.GzipFile(fileobj=io.BytesIO(gzip.compress(raw)[:-20])), nothing, payloads))
+
+
+def test_truncated_archive_fails_the_query(spark, tmp_path):
+    (tmp_path / "cut.warc").write_bytes(WHOLE["resource"][:-500])
+    for options in ({}, {"payload": "false"}):
+        with pytest.raises(Exception, match="archive ends within"):
+            W.read_warc(spark, str(tmp_path), **options).collect()

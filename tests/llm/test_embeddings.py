@@ -137,3 +137,17 @@ def test_recall(spark, source):
         hits += sum(v >= best[-1] - 1e-12 for v in got[int(names[q])].values())
         total += 5
     assert total >= 100 and hits / total >= 0.9
+
+
+def test_same_answer_for_any_partitioning(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    answers = [sorted(map(tuple, P.nearest(table.repartition(n), F.col("vec_id") % 50 == 0).collect())) for n in (1, 8, 64)]
+    assert answers[0] == answers[1] == answers[2] and len(answers[0]) > 100
+    data = {r.vec_id: r.embedding for r in table.collect()}
+    assert all(s == float(P.cosines(np.array([data[v]], float), np.array(data[q], float))[0]) for q, _, v, s in answers[0])
+    assert all(abs(s - cosine(data[q], data[v])) < 1e-15 for q, _, v, s in answers[0])
+
+
+def test_cosines_of_huge_and_tiny_vectors():
+    x = np.array([[1e200, 1e200], [1e-200, 0.0], [3.0, 4.0]])
+    assert np.allclose(P.cosines(x, np.array([1e250, 0.0])), [math.sqrt(0.5), 1, 0.6], atol=1e-15)

@@ -151,3 +151,10 @@ def test_query_same_as_the_library(spark):
     assert len(got) == len(texts)
     for r in got:
         assert (r.n_tokens, r.ids_crc32) == (len(expected[r.doc_id]), zlib.crc32(np.array(expected[r.doc_id], "<u4").tobytes()))
+
+
+def test_decode_is_that_of_the_tokenizer():
+    codec, rng = S.Codec(S.default_model()), random.Random(9)
+    ids = [[], [0], [1, 2], *[[rng.randrange(32_000) for _ in range(rng.randint(1, 30))] for _ in range(200)], *[[rng.randrange(259, 32_000) for _ in range(20)] for _ in range(200)]]
+    ids += [codec.encode([t])[0] for t in (ODD, " ", "  two  spaces ", "ü" * 100, "plain words")]
+    assert codec.decode(ids) == codec.tokenizer.decode_batch(ids, skip_special_tokens=False)

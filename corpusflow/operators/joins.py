@@ -9,12 +9,10 @@ from corpusflow import packs
 from corpusflow.functions import rules
 from corpusflow.functions import text as X
 from corpusflow.functions import venues as V
+from corpusflow.operators.containment import contained_titles as contained_titles
 from corpusflow.packs import VENUES, VenuePack
 
 
-BLOCK = 10_000
-
-
 def canary_status(canaries: DataFrame, papers: DataFrame) -> DataFrame:
     """(title, expected_venue, expected_year, found, actual_title, actual_venue, actual_year, relevance_level, ok)
     for canaries (title, venue, year) against papers (key, title, venue, year, relevance_level)."""
@@ -102,45 +100,6 @@ def apply_by_key(rows: DataFrame, results: DataFrame, key: str, fields: list[str
     return out.drop(*[f"__{f}" for f in fields])
 
 
-def contained_titles(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
-    """Pairs whose lowered texts are equal or one contains the other, each pair of rows once; empty texts match nothing.
-
-    A text that lies in another has its inner words, all but the first and the last, whole in it. So the longest inner word
-    of the one is looked up among the words of the other, and what meets there is compared. Texts of one or two
-    words have no inner one: only these are compared with every row. right is taken in blocks of about BLOCK rows, which
-    are broadcast; left is read once for each, where it is, and never shuffled."""
-    x = left.withColumn("__x", F.lower(X.squash(a))).where("__x <> ''")
-    y = right.withColumn("__y", F.lower(X.squash(b))).where("__y <> ''")
-    blocks = max(1, -(-right.count() // BLOCK))
-    parts = [y] if blocks == 1 else [y.where(F.pmod(F.xxhash64("__y"), F.lit(blocks)) == k) for k in range(blocks)]
-    out = None
-    for part in parts:
-        for found in _contained(x, part):
-            out = found if out is None else out.unionByName(found)
-    return out.drop("__x", "__y")
-
-
-def _contained(x: DataFrame, y: DataFrame) -> list[DataFrame]:
-    """Pairs of x and y, of which y is to be broadcast: y in x by its inner word, or as it has none, and x in y likewise."""
-    words = lambda c: F.split(c, " ")
-
-    def inner(c: str) -> Column:
-        own = F.slice(words(c), 2, F.greatest(F.size(words(c)) - 2, F.lit(0)))
-        longest = F.array_sort(F.transform(own, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w"))))
-        return F.get(longest, F.lit(0))["w"]
-
-    within, around = F.contains("__x", F.col("__y")), F.contains("__y", F.col("__x")) & (F.col("__x") != F.col("__y"))
-    columns = [*x.columns, *y.columns]
-    own = y.withColumn("__w", inner("__y"))
-    by_word = x.select("*", F.explode(F.array_distinct(words("__x"))).alias("__w")).join(F.broadcast(own.where("__w IS NOT NULL")), "__w").where(within)
-    few = x.join(F.broadcast(own.where("__w IS NULL").drop("__w")), within)
-    asked = x.withColumn("__w", inner("__x"))
-    known = F.broadcast(y.select("*", F.explode(F.array_distinct(words("__y"))).alias("__w")))
-    back = asked.where("__w IS NOT NULL").join(known, "__w").where(around)
-    short = asked.where("__w IS NULL").drop("__w").join(F.broadcast(y), around)
-    return [df.select(*columns) for df in (by_word, few, back, short)]
-
-
 def index_links(pages: DataFrame, titles: DataFrame, link_text: str = "abs") -> DataFrame:
     """(title, path, url): titles found in index pages (path, content) of paper blocks, by simple key."""
     from corpusflow.sources.pages import index_entries

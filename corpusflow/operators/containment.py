@@ -38,7 +38,7 @@ def _identity(c: str) -> Column:
 def _runs(tokens: Column, k: int, kind: int) -> Column:
     """Hashes of every run of k tokens."""
     hashed = lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - k), lambda i: F.xxhash64(F.lit(kind), *[F.get(w, i + j) for j in range(k)]))
-    return X.let(F.transform(tokens, lambda t: F.xxhash64(t)), lambda w: F.when(F.size(w) >= k, hashed(w)).otherwise(F.array().cast("array<bigint>")))
+    return X.let(tokens, lambda w: F.when(F.size(w) >= k, hashed(w)).otherwise(F.array().cast("array<bigint>")))
 
 
 def _grams(words: Column, t: str, level: int) -> Column:
@@ -51,10 +51,11 @@ def _grams(words: Column, t: str, level: int) -> Column:
 
 
 def _least(values: Column, width: int) -> Column:
-    """The least of WINDOW values from each place on, of fewer at the end; the width doubles from step to step."""
+    """The least of WINDOW values from each place on, of fewer at the end; each step takes four widths together."""
     if width == WINDOW:
         return values
-    return X.let(F.transform(values, lambda v, i: F.least(v, F.get(values, i + width))), lambda w: _least(w, 2 * width))
+    least = F.transform(values, lambda v, i: F.least(v, *[F.get(values, i + k * width) for k in (1, 2, 3)]))
+    return X.let(least, lambda w: _least(w, 4 * width))
 
 
 def _asked(texts: DataFrame) -> DataFrame:

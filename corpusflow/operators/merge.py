@@ -19,9 +19,10 @@ from corpusflow.functions import rules
 from corpusflow.functions import text as X
 from corpusflow.functions import venues as V
 from corpusflow.functions.text import let
+from corpusflow.operators.buckets import BucketTable
 from corpusflow.packs import TOPICS, VENUES, LabelPack, VenuePack
 from corpusflow.schema import FIELDS, LIST_FIELDS, SOURCE_FIELDS
-from corpusflow.session import materialize, release_at_exit, ship
+from corpusflow.session import materialize, release, release_at_exit, ship
 
 #: Folded records that are given out at a time.
 GIVEN = 1000
@@ -179,6 +180,31 @@ def upsert_papers(existing: DataFrame, incoming: DataFrame, venues: VenuePack =
     return out.unionByName(bad.select(F.lit("").alias("title_key"), *none, *[zero.alias(c) for c in ("added", "updated", "skipped")], "invalid"))
 
 
+def papers_table(papers: DataFrame, path: str, buckets: int = 64, venues: VenuePack = VENUES, topics: LabelPack = TOPICS) -> BucketTable:
+    """A table of deduplicated papers (title_key, MERGED) that upsert_into() changes."""
+    return BucketTable.create(dedupe(papers, venues, topics).select("title_key", *MERGED), path, ["title_key"], buckets)
+
+
+def upsert_into(table: BucketTable, incoming: DataFrame, venues: VenuePack = VENUES, topics: LabelPack = TOPICS, prefer_existing: bool = False) -> dict[str, int]:
+    """upsert_papers() into a papers_table(): only buckets that hold keys of incoming are read and written. The
+    counts of upsert_counts() but for the total; rows without a key are counted as invalid and reach no bucket."""
+    title = F.when(F.coalesce(F.col("title"), F.lit("")) == "", F.col("map_key")).otherwise(F.col("title"))
+    keyed = materialize(incoming.select("ord", "map_key", *MERGED).withColumn("title_key", F.coalesce(X.title_key(X.clean_title(title)), F.lit(""))), "keyed")
+    counts = {"added": 0, "updated": 0, "skipped": 0}
+
+    def merged(old: DataFrame, new: DataFrame) -> DataFrame:
+        existing = old.select(F.lit(0).cast("long").alias("ord"), F.lit("").alias("map_key"), *MERGED)
+        out = materialize(upsert_papers(existing, new, venues, topics, prefer_existing), "upserted")
+        release_at_exit(out)
+        counts.update(out.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]).first().asDict())
+        return out.select("title_key", *MERGED)
+
+    table.upsert(keyed.where("title_key <> ''"), merged)
+    counts["invalid"] = keyed.where("title_key = ''").count()
+    release(keyed)
+    return counts
+
+
 def upsert_counts(merged: DataFrame) -> DataFrame:
     """One row (added, updated, skipped, invalid, total) over upsert_papers()'s result."""
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("added", "updated", "skipped", "invalid")]

@@ -12,10 +12,10 @@ from corpusflow import packs
 from corpusflow.functions import rules
 from corpusflow.functions import text as X
 from corpusflow.functions import venues as V
-from corpusflow.operators import facets, gates, incremental, joins, merge, sampling
+from corpusflow.operators import buckets, facets, gates, incremental, joins, merge, sampling
 from corpusflow.packs import FIXTURE_TOPICS, VenuePack
 from corpusflow.plans.registry import query
-from corpusflow.session import ship
+from corpusflow.session import drop_at_exit, new_path, ship
 from corpusflow.sources import pages as G
 from corpusflow.sources import records as R
 
@@ -355,20 +355,56 @@ def dedupe_papers(read):
     return out.select("title_key", "ord", "n", F.md5(F.col("abstract").cast("binary")).alias("abstract"), "author", "doi", F.array_join("labels", "|").alias("labels"), F.array_join(F.array_sort("pipeline_stages"), "|").alias("stages"))
 
 
-@query("""
+UPSERT_SQL = """
 WITH e AS (SELECT DISTINCT p_name AS k FROM part), i AS (SELECT n_nationkey AS ord, CASE WHEN n_regionkey = 0 THEN '' WHEN n_nationkey < 12 THEN (SELECT k FROM (SELECT k, row_number() OVER (ORDER BY k) - 1 AS r FROM e) WHERE r = n_nationkey % 3) ELSE 'Paper ' || n_regionkey END AS k FROM nation)
 SELECT (SELECT count(DISTINCT k) FROM i WHERE k LIKE 'Paper %') AS added, (SELECT count(DISTINCT k) FROM i WHERE k <> '' AND k NOT LIKE 'Paper %') AS updated,
-  (SELECT count(*) FROM i WHERE k <> '') - (SELECT count(DISTINCT k) FROM i WHERE k <> '') AS skipped, (SELECT count(*) FROM i WHERE k = '') AS invalid, (SELECT count(*) FROM e) + (SELECT count(DISTINCT k) FROM i WHERE k LIKE 'Paper %') AS total""")
-def upsert_papers(read):
-    """An upsert by key and score: the first to come for a known key brings it keywords, those after it nothing new."""
+  (SELECT count(*) FROM i WHERE k <> '') - (SELECT count(DISTINCT k) FROM i WHERE k <> '') AS skipped, (SELECT count(*) FROM i WHERE k = '') AS invalid, (SELECT count(*) FROM e) + (SELECT count(DISTINCT k) FROM i WHERE k LIKE 'Paper %') AS total"""
+
+
+def incoming_papers(read) -> DataFrame:
     none = F.lit(None).cast("string")
     names = read("part").select("p_name").distinct()
     three = names.withColumn("r", F.row_number().over(Window.orderBy("p_name")) - 1).where("r < 3")  # names are few
     n = read("nation").withColumn("r", F.col("n_nationkey") % 3).join(F.broadcast(three), "r")
     title = F.when(F.col("n_regionkey") == 0, "").when(F.col("n_nationkey") < 12, F.col("p_name")).otherwise(F.concat(F.lit("Paper "), "n_regionkey"))
     columns = {"title": title, "keywords": F.lit("words"), "year": F.lit("2024"), "type": F.lit("ARTICLE")}
-    incoming = n.select(F.col("n_nationkey").cast("long").alias("ord"), F.lit("").alias("map_key"), *[columns.get(f, none).alias(f) for f in merge.FIELDS], F.array().cast("array<string>").alias("labels"), F.array().cast("array<string>").alias("pipeline_stages"))
-    return merge.upsert_counts(merge.upsert_papers(part_papers(read), incoming, packs.VENUES, FIXTURE_TOPICS, prefer_existing=True))
+    return n.select(F.col("n_nationkey").cast("long").alias("ord"), F.lit("").alias("map_key"), *[columns.get(f, none).alias(f) for f in merge.FIELDS], F.array().cast("array<string>").alias("labels"), F.array().cast("array<string>").alias("pipeline_stages"))
+
+
+@query(UPSERT_SQL)
+def upsert_papers(read):
+    """An upsert by key and score: the first to come for a known key brings it keywords, those after it nothing new."""
+    return merge.upsert_counts(merge.upsert_papers(part_papers(read), incoming_papers(read), packs.VENUES, FIXTURE_TOPICS, prefer_existing=True))
+
+
+@query(UPSERT_SQL)
+def upsert_papers_buckets(read):
+    """The same upsert into a table of buckets, of which only those with keys that came are rewritten."""
+    incoming = incoming_papers(read)
+    table = merge.papers_table(part_papers(read), new_path(incoming.sparkSession, "papers"), 16, packs.VENUES, FIXTURE_TOPICS)
+    drop_at_exit(incoming.sparkSession, table.files.root)
+    counts = merge.upsert_into(table, incoming, packs.VENUES, FIXTURE_TOPICS, prefer_existing=True)
+    return table.read().agg(*[F.lit(n).cast("long").alias(c) for c, n in counts.items()], F.count("*").alias("total"))
+
+
+@query("SELECT o_custkey AS custkey, count(*) AS n_orders, strftime(max(o_orderdate), '%Y-%m-%d') AS last_order, true AS as_planned FROM orders GROUP BY 1")
+def upsert_buckets(read):
+    """Customers' counts of orders before the last day, and that day's orders merged into the buckets they hit. as_planned: a
+    row's file is a new one exactly where its bucket was hit."""
+    orders = read("orders").select(F.col("o_custkey").alias("custkey"), "o_orderdate")
+    days = orders.join(F.broadcast(orders.agg(F.max("o_orderdate").alias("last"))))  # one row
+    counts = lambda rows: rows.groupBy("custkey").agg(F.count("*").alias("n_orders"), F.max(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("last_order"))
+    both = lambda old, new: old.unionByName(new).groupBy("custkey").agg(F.sum("n_orders").alias("n_orders"), F.max("last_order").alias("last_order"))
+    spark, incoming = orders.sparkSession, counts(days.where("o_orderdate = last"))
+    table = buckets.BucketTable.create(counts(days.where("o_orderdate < last")), new_path(spark, "customers"), ["custkey"], 64)
+    drop_at_exit(spark, table.files.root)
+    table.upsert(incoming, both)
+    place = table.bucket(table.version()).alias("bucket")
+    before = table.read(0).select(F.col("custkey").alias("__k"), F.input_file_name().alias("__before"))
+    after = table.read().select("*", place, F.input_file_name().alias("__after"))
+    hit = incoming.select(place).distinct().withColumn("__hit", F.lit(True))
+    rows = after.join(before, F.col("custkey").eqNullSafe(F.col("__k")), "left").join(F.broadcast(hit), "bucket", "left")  # hit has a row for each bucket at most
+    return rows.select("custkey", "n_orders", "last_order", (F.col("__before").eqNullSafe(F.col("__after")) == F.col("__hit").isNull()).alias("as_planned"))
 
 
 # Customers by their orders, and suppliers by their lines under every twentieth of the same keys: two versions of one table, from all rows.

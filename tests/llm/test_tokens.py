@@ -157,4 +157,8 @@ def test_decode_is_that_of_the_tokenizer():
     codec, rng = S.Codec(S.default_model()), random.Random(9)
     ids = [[], [0], [1, 2], *[[rng.randrange(32_000) for _ in range(rng.randint(1, 30))] for _ in range(200)], *[[rng.randrange(259, 32_000) for _ in range(20)] for _ in range(200)]]
     ids += [codec.encode([t])[0] for t in (ODD, " ", "  two  spaces ", "ü" * 100, "plain words")]
+    # Runs of bytes (ids 3 to 258): any, ASCII ones, whole characters and cut ones, between pieces and at both ends.
+    runs = [[3 + b for b in t.encode()] for t in ("\n", " ", "  a", "ü", "𝄞é", "\x00\x7f", "漢字\n")]
+    runs += [r[:-1] for r in runs if len(r) > 1] + [[3 + rng.randrange(256)] for _ in range(50)] + [[3 + 0xED, 3 + 0xA0, 3 + 0x80], [3 + 0xC0, 3 + 0x80]]
+    ids += runs + [[*rng.choice(runs), rng.randrange(259, 32_000), *rng.choice(runs), *rng.choice(runs), rng.randrange(259, 32_000), *rng.choice(runs)] for _ in range(500)]
     assert codec.decode(ids) == codec.tokenizer.decode_batch(ids, skip_special_tokens=False)

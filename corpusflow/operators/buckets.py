@@ -150,11 +150,14 @@ class BucketTable:
         finally:
             release(new)
 
-    def replace(self, rows: DataFrame) -> Version:
+    def replace(self, rows: DataFrame, check: Callable[[DataFrame], object] | None = None) -> Version:
         """Commit rows (the table's columns) as all there is; readers see the old table until then. A Conflict if another
-        writer was first."""
+        writer was first. check is given the rows as they were written, before the commit; if it raises, the table stays."""
         seen = self.version()
-        return self._commit(Version(seen.number + 1, seen.keys, seen.buckets, seen.schema, self._write(rows, seen.keys, seen.buckets, seen.schema)))
+        new = Version(seen.number + 1, seen.keys, seen.buckets, seen.schema, self._write(rows, seen.keys, seen.buckets, seen.schema))
+        if check is not None:
+            check(self._read(new))
+        return self._commit(new)
 
     def vacuum(self, keep: int = 1) -> list[str]:
         """Delete all but the newest `keep` versions and writes that none of them names; the names of these writes.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,15 +100,42 @@ RULES: list[tuple[str, bool, str]] = [
 
 def violations(row: DataFrame, gate_rules: list[tuple[str, bool, str]] = RULES) -> DataFrame:
     """(rule, fatal) for every rule that a row of metrics breaks. Rules whose metrics the row lacks are left out;
-    a metric that is null breaks no rule but those that ask for null."""
-    import re
-
-    have = set(row.columns)
-    usable = [r for r in gate_rules if set(re.findall(r"[a-z_]+", re.sub(r"\b(?:NOT|IS|NULL|OR|AND)\b", "", r[2]))) <= have]
+    a metric that is null breaks no rule but those that ask for null. findings() reports rules left out as well."""
+    usable = [r for r in gate_rules if _measured(r, row)]
     marks = F.array(*[F.when(F.coalesce(F.expr(test), F.lit(False)), F.struct(F.lit(name).alias("rule"), F.lit(fatal).alias("fatal"))) for name, fatal, test in usable])
     return row.select(F.explode(F.filter(marks, lambda m: m.isNotNull())).alias("m")).select("m.rule", "m.fatal")
 
 
+def _measured(rule: tuple[str, bool, str], row: DataFrame) -> bool:
+    return set(re.findall(r"[a-z_]+", re.sub(r"\b(?:NOT|IS|NULL|OR|AND)\b", "", rule[2]))) <= set(row.columns)
+
+
+def findings(row: DataFrame, gate_rules: list[tuple[str, bool, str]] = RULES) -> DataFrame:
+    """(rule, fatal, why) for every rule that a row of metrics breaks (why is 'broken') or lacks metrics for ('unmeasured'): a rule
+    that was never tested has not passed."""
+    names = [F.struct(F.lit(r[0]).alias("rule"), F.lit(r[1]).alias("fatal")) for r in gate_rules if not _measured(r, row)]
+    broken = violations(row, gate_rules).withColumn("why", F.lit("broken"))
+    if not names:
+        return broken
+    return broken.unionByName(row.limit(1).select(F.explode(F.array(*names)).alias("m")).select("m.rule", "m.fatal", F.lit("unmeasured").alias("why")))
+
+
+class Refused(Exception):
+    """Fatal rules are broken or untested; found holds (rule, fatal, why) of all findings."""
+
+    def __init__(self, found: list[tuple[str, bool, str]]):
+        super().__init__(", ".join(f"{rule} ({why})" for rule, fatal, why in found if fatal))
+        self.found = found
+
+
+def must_hold(row: DataFrame, gate_rules: list[tuple[str, bool, str]] = RULES) -> list[tuple[str, bool, str]]:
+    """The findings over a row of metrics, at most one for each rule; Refused if one is fatal."""
+    found = sorted(tuple(r) for r in findings(row, gate_rules).collect())
+    if any(fatal for _, fatal, _ in found):
+        raise Refused(found)
+    return found
+
+
 def pivot_counts(rows: DataFrame, keys: list[str], kind: str, kinds: list[str], weight: str | None = None) -> DataFrame:
     """Counts, or sums of weight, by key with a column for each kind, 0 where there is none."""
     value = F.lit(1) if weight is None else F.col(weight)

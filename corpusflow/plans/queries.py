@@ -407,6 +407,40 @@ def upsert_buckets(read):
     return rows.select("custkey", "n_orders", "last_order", (F.col("__before").eqNullSafe(F.col("__after")) == F.col("__hit").isNull()).alias("as_planned"))
 
 
+#: Gate rules that metrics() has no count for; they are reported as such.
+UNTESTED = [(name, fatal) for name, fatal, _ in gates.RULES if name in ("baseline_unavailable", "not_published", "rate_limited")]
+GATED = [r for r in gates.RULES if r[0] in ("duplicate_titles", "irrelevant_present", "deprecated_labels", "venue_unsupported", "side_volume_tagged", *(n for n, _ in UNTESTED))]
+
+
+@query(f"""
+WITH g AS (SELECT p_name, min(p_size) = 1 AS small FROM part GROUP BY 1),
+c AS (SELECT (SELECT count(*) FROM part) AS rows_, (SELECT count_if(p_size = 1) FROM part) AS smalls, count(*) AS names, count_if(small) AS pruned FROM g),
+t AS (SELECT 1 AS o, 'every row' AS attempt, rows_ > names AS dup, smalls > 0 AS irr, rows_ AS had FROM c UNION ALL SELECT 2, 'merged', false, pruned > 0, names FROM c UNION ALL SELECT 3, 'pruned', false, false, names - pruned FROM c),
+k AS (SELECT *, dup OR irr AS refused, coalesce((SELECT max_by(x.had, x.o) FROM t x WHERE x.o <= t.o AND NOT (x.dup OR x.irr)), 0) AS n FROM t),
+f AS (SELECT * FROM (VALUES ('duplicate_titles', true, 'broken'), ('irrelevant_present', true, 'broken'), {", ".join(f"('{n}', {str(x).lower()}, 'unmeasured')" for n, x in UNTESTED)}) AS v(rule, fatal, why))
+SELECT attempt, refused, n, rule, fatal, why FROM k, f WHERE why = 'unmeasured' OR (rule = 'duplicate_titles' AND dup) OR (rule = 'irrelevant_present' AND irr)""")
+def gate_commit(read):
+    """Three tries to replace a table, tested on what was written before it is committed: all rows (names repeat), one for each name, and
+    of these the relevant ones. n is what readers see after each try; rules without metrics are reported, none of them fatal."""
+    rows = read("part").select(X.title_key("p_name").alias("key"), "p_size", "p_partkey").withColumn("at", F.struct("p_size", "p_partkey"))
+    merged, spark = merge.first_per_key(rows, ["key"], "at"), rows.sparkSession
+    table = buckets.BucketTable.create(rows.where("false").drop("at"), new_path(spark, "gated"), ["key"], 16)
+    drop_at_exit(spark, table.files.root)
+    blank = {c: F.lit("") for c in ("venue", "venue_track", "booktitle", "journal", "container", "source", "publisher", "url", "doi")}
+    level = F.when(F.col("p_size") == 1, rules.IRRELEVANT).otherwise(rules.CORE)
+
+    def attempt(name: str, new: DataFrame) -> list[tuple]:
+        found: list[tuple] = []
+        try:
+            table.replace(new.drop("at"), lambda written: found.extend(gates.must_hold(gates.metrics(written.withColumns(blank | {"labels": F.array().cast("array<string>"), "relevance_level": level})), GATED)))
+        except gates.Refused as refused:
+            return [(name, True, table.read().count(), *f) for f in refused.found]
+        return [(name, False, table.read().count(), *f) for f in found]
+
+    said = [r for name, new in (("every row", rows), ("merged", merged), ("pruned", merged.where("p_size <> 1"))) for r in attempt(name, new)]
+    return spark.createDataFrame(said, "attempt string, refused boolean, n long, rule string, fatal boolean, why string")
+
+
 # Customers by their orders, and suppliers by their lines under every twentieth of the same keys: two versions of one table, from all rows.
 VERSIONS_SQL = """
 WITH a AS (SELECT o_custkey AS k, min(o_orderstatus) AS s, count(*) % 3 AS v FROM orders GROUP BY 1), b AS (SELECT l_suppkey * 20 AS k, max(l_linestatus) AS s, max(l_returnflag) AS p, count(*) % 3 AS v FROM lineitem GROUP BY 1)

@@ -45,6 +45,17 @@ def test_reader_keeps_its_version(spark, table):
     assert reader.count() == 200 and content(table.read()) == [(1, "only")]
 
 
+def test_replacement_that_fails_its_check(spark, table):
+    def check(written):
+        if written.where("v IS NULL").count():
+            raise ValueError("nulls")
+
+    with pytest.raises(ValueError, match="nulls"):
+        table.replace(spark.createDataFrame([(1, None)], "k long, v string"), check)
+    assert table.version().number == 0 and table.read().count() == 200
+    assert table.replace(spark.createDataFrame([(1, "a")], "k long, v string"), check).number == 1 and table.read().count() == 1
+
+
 def test_job_that_dies_leaves_the_table(spark, table):
     def dies(old, new):
         return newest(old, new).withColumn("v", F.when(F.col("k") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("v")))

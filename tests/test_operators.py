@@ -116,6 +116,12 @@ def test_gates(spark):
     assert [r.venue for r in V.side_volume(rows(spark, s, good, acl)).collect()] == ["ACL"]
     every = rows(spark, "payload_ok boolean, sentinel_version int, changed int, stale int, drop_ratio double, canaries_missed int, other_ratio double, api_key_set boolean, dblp_failure_ratio double", (False, 1, None, 2, 0.06, 1, 0.31, False, 0.31))
     assert {r.rule for r in V.violations(every).collect()} == {"payload_not_an_object", "sentinel_version", "dry_run_unreadable", "dry_run_stale", "unexplained_drop", "canary_missed", "other_ratio", "api_key_unset", "dblp_failure_ratio"}
+    measured = {r.rule: (r.fatal, r.why) for r in V.findings(every).collect()}
+    assert measured["sentinel_version"] == (True, "broken") and measured["duplicate_titles"] == (True, "unmeasured") and measured["rate_limited"] == (False, "unmeasured") and "dry_run_changed" not in measured
+    some = [r for r in V.RULES if r[0] in ("duplicate_titles", "rate_limited")]
+    assert V.must_hold(V.metrics(rows(spark, s, good)), some) == [("rate_limited", False, "unmeasured")]
+    with pytest.raises(V.Refused, match="duplicate_titles"):
+        V.must_hold(V.metrics(rows(spark, s, good, bad)), some)
 
 
 def test_audit(spark):

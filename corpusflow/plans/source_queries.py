@@ -367,10 +367,11 @@ def sink_sorted_json(read):
     path = new_path(rows.sparkSession, "sorted-json")
     sinks.write_sorted_json(rows, path)
     lines = rows.sparkSession.read.schema("p_partkey long, p_name string, title string").json(path).select("*", F.col("_metadata.file_name").alias("f"), F.col("_metadata.file_block_start").alias("s"), F.monotonically_increasing_id().alias("i"))
-    # A row's place is the number of rows in files before its own, and before it in its file.
-    sizes = lines.groupBy("f").agg(F.count("*").alias("n"), F.min("title").alias("low"), F.max("title").alias("high"), F.min("i").alias("i0"))
-    before = sizes.alias("a").join(F.broadcast(sizes).alias("b"), F.col("b.f") < F.col("a.f"), "left").groupBy("a.f", "a.i0").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
-    return lines.join(F.broadcast(before), "f").select("p_partkey", "p_name", (F.col("before") + F.col("i") - F.col("i0")).alias("place"))
+    # Large files are read in several pieces. A row's place is the number of rows in pieces before its own, by file and start, and before it in its piece.
+    pieces = lines.groupBy("f", "s").agg(F.count("*").alias("n"), F.min("i").alias("i0"))
+    earlier = F.struct("b.f", "b.s") < F.struct("a.f", "a.s")
+    before = pieces.alias("a").join(F.broadcast(pieces).alias("b"), earlier, "left").groupBy("a.f", "a.s", "a.i0").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
+    return lines.join(F.broadcast(before), ["f", "s"]).select("p_partkey", "p_name", (F.col("before") + F.col("i") - F.col("i0")).alias("place"))
 
 
 @query("SELECT '| ' || replace(n_name, '_', '\\|') || ' | ' || n_regionkey || ' |' AS line FROM nation")

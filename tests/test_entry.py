@@ -41,6 +41,15 @@ def test_runs_without_sql(spark, name):
     assert library.QUERIES[name](spark, SF).count() >= 0
 
 
+def test_sorted_json_in_pieces(spark, duck):
+    """Files that are read in several pieces each (as large ones are) give every row its place."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        test_same_rows_as_sql(spark, duck, "sink_sorted_json")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_entry(spark):
     rows = entry.entry(spark).collect()
     assert rows and [r.n for r in rows] == sorted((r.n for r in rows), reverse=True)

@@ -167,15 +167,15 @@ YEARS_SQL = "(2020 + b % 5)::VARCHAR"
 
 
 def raw_files(rows: DataFrame, item: Column, stem: str, end: str, head: str = "", tail: str = "", between: str = "") -> DataFrame:
-    """(path, content): a raw file of a block, in a folder of its year."""
+    """(path, content): a raw file of a block, in a folder of its year. Numbers of blocks have a letter before them: 2024 alone would be a year."""
     own = files(rows, item, head, tail, between)
     year = (F.col("b") % 5 + 2020).cast("string")
-    return own.select(F.concat(F.lit("/raw/"), "b", F.lit("/"), year, F.lit(f"/{stem}"), year, F.lit(end)).alias("path"), "content")
+    return own.select(F.concat(F.lit("/raw/b"), "b", F.lit("/"), year, F.lit(f"/{stem}"), year, F.lit(end)).alias("path"), "content")
 
 
 def at(path: str = "path") -> Column:
     """The block in a raw file's path."""
-    return F.regexp_extract(path, r"^/raw/(\d+)/", 1).cast("long").alias("b")
+    return F.regexp_extract(path, r"^/raw/b(\d+)/", 1).cast("long").alias("b")
 
 
 def entry_json() -> Column:
@@ -258,7 +258,7 @@ def source_dblp_xml(read):
     """Publications in XML with markup in titles; those of another year go, those without a year stay."""
     year = F.when(F.col("size") > 25, "<year>1990</year>").when(F.col("size") > 12, "<year>2024</year>").otherwise("")
     item = cat('<r><inproceedings key="c/', "$k", '"><author>Ann ', "$one", "</author><author>Bob ", "$two", "</author><title>", "$t", "</title>", year, "<booktitle>ICDE</booktitle><doi>10.1/", "$k", "</doi></inproceedings></r>")
-    pages = files(parts(read), item, "<bht>", "</bht>").select(F.concat(F.lit("/raw/"), "b", F.lit("/x")).alias("path"), "content", F.lit("ICDE").alias("venue"), F.lit("2024").alias("year"), F.lit("DB").alias("track"))
+    pages = files(parts(read), item, "<bht>", "</bht>").select(F.concat(F.lit("/raw/b"), "b", F.lit("/x")).alias("path"), "content", F.lit("ICDE").alias("venue"), F.lit("2024").alias("year"), F.lit("DB").alias("track"))
     return R.parse_dblp(pages).select(at(), "title", "author", "booktitle", "doi", "url")
 
 
@@ -266,12 +266,12 @@ def source_dblp_xml(read):
 def source_atom(read):
     """Entries of an Atom feed: the first alternate link counts."""
     item = cat("<entry><id>http://arxiv.org/abs/v", "$k", "</id><title>", F.regexp_replace("t", "</?i>", ""), "</title><summary> About\n", F.col("size").cast("string"), "</summary><published>2023-01-02T</published><author><name>Ann ", "$one", "</name></author><author><name>Bob ", "$two", '</name></author><link href="x" rel="self"/><link href="http://l/', "$k", '" rel="alternate"/></entry>')
-    pages = files(parts(read), item, "<feed>", "</feed>").select(F.concat(F.lit("/raw/"), "b", F.lit("/x")).alias("path"), "content")
+    pages = files(parts(read), item, "<feed>", "</feed>").select(F.concat(F.lit("/raw/b"), "b", F.lit("/x")).alias("path"), "content")
     return R.parse_atom(pages).select(at(), "pos", "title", "abstract", "author", "year", "url", "key")
 
 
 def api_pages(read, item: Column, name: str) -> DataFrame:
-    return files(parts(read), item, f'{{"{name}":[', "]}", ",").select(F.concat(F.lit("/raw/"), "b", F.lit("/x")).alias("path"), "content")
+    return files(parts(read), item, f'{{"{name}":[', "]}", ",").select(F.concat(F.lit("/raw/b"), "b", F.lit("/x")).alias("path"), "content")
 
 
 @query(f"{PART_SQL} SELECT b, pos, title, 'b a b' AS abstract, authors AS author, '10.1234/' || k AS doi, 'W' || k AS openalex_id, '2024' AS year, 'S' AS source FROM p")

@@ -42,7 +42,7 @@ def test_runs_without_sql(spark, name):
     assert library.QUERIES[name](spark, SF).count() >= 0
 
 
-@pytest.mark.parametrize("name", ["source_bib", "source_evidence", "source_json_lists", "source_json_maps"])
+@pytest.mark.parametrize("name", ["source_bib", "source_evidence", "source_json_lists", "source_json_maps", "source_ndss_html"])
 def test_numbers_of_blocks_are_no_years(spark, tmp_path, monkeypatch, name):
     """Blocks 1998 to 2097, as larger tables have them: years are those of the files, not numbers of blocks."""
     con = duckdb.connect()

@@ -109,6 +109,25 @@ def test_sentencepiece_parity(texts):
     assert codec.decode(ids) == own.decode(ids)
 
 
+@pytest.mark.parametrize("at", [0, 40, 77, 99])
+def test_every_text_is_compared(at):
+    """A tokenizer that is wrong on one text only is found out, wherever that stands in a batch."""
+    codec = S.Codec(S.default_model())
+    texts = [f"plain words {i}" for i in range(100)]
+    for _ in range(2):  # past the first batch of a worker too
+        assert codec.encode(texts) == codec.library().encode(texts)
+    right = codec.tokenizer
+
+    class Wrong:
+        def encode_batch_fast(self, batch, **options):
+            out = right.encode_batch_fast(batch, **options)
+            return [right.encode("wrong") if i == at else e for i, e in enumerate(out)]
+
+    codec.tokenizer = Wrong()
+    with pytest.raises(ValueError, match=f"differ on a text that begins with 'plain words {at}'"):
+        codec.encode(texts)
+
+
 def test_unigram_model_is_rebuilt():
     """A hand-made unigram model: best path by scores, byte fallback for the rest."""
     import struct

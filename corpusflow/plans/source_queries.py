@@ -27,7 +27,8 @@ def parts(read) -> DataFrame:
     plain = F.concat(F.lit("On the "), "p_name", F.lit(" & its number "), "p_partkey")
     markup = F.concat(F.lit("On the <i>"), "p_name", F.lit("</i> &amp; its number "), "p_partkey")
     authors = F.concat(F.lit("Ann "), "p_type", F.lit(" and Bob "), F.replace("p_brand", F.lit("#"), F.lit("")))
-    return rows.select(F.col("p_partkey").alias("k"), F.floor(F.col("p_partkey") / BLOCK).alias("b"), plain.alias("tp"), markup.alias("t"), authors.alias("a"), F.col("p_size").alias("size"), F.col("p_type").alias("one"), F.replace("p_brand", F.lit("#"), F.lit("")).alias("two"))
+    # Whole numbers are divided as such: by way of doubles large keys came to other blocks.
+    return rows.select(F.col("p_partkey").alias("k"), F.expr(f"p_partkey div {BLOCK}").alias("b"), plain.alias("tp"), markup.alias("t"), authors.alias("a"), F.col("p_size").alias("size"), F.col("p_type").alias("one"), F.replace("p_brand", F.lit("#"), F.lit("")).alias("two"))
 
 
 def files(rows: DataFrame, item: Column, head: str = "", tail: str = "", between: str = "") -> DataFrame:
@@ -175,7 +176,7 @@ def raw_files(rows: DataFrame, item: Column, stem: str, end: str, head: str = ""
 
 def at(path: str = "path") -> Column:
     """The block in a raw file's path."""
-    return F.regexp_extract(path, r"^/raw/b(\d+)/", 1).cast("long").alias("b")
+    return F.regexp_extract(path, r"^/raw/b(-?\d+)/", 1).cast("long").alias("b")
 
 
 def entry_json() -> Column:

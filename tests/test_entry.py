@@ -52,6 +52,17 @@ def test_numbers_of_blocks_are_no_years(spark, tmp_path, monkeypatch, name):
     test_same_rows_as_sql(spark, con, name)
 
 
+@pytest.mark.parametrize("name", ["source_evidence"])
+@pytest.mark.parametrize("first", [10**17, -100])
+def test_blocks_of_far_keys(spark, tmp_path, monkeypatch, name, first):
+    """Keys that doubles can't tell apart, and keys below zero: every part is in the block of its key."""
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE part AS SELECT * REPLACE ({first} + p_partkey AS p_partkey) FROM '{SF}/part.parquet' WHERE p_partkey < 200")
+    con.execute(f"COPY part TO '{tmp_path}/part.parquet' (FORMAT parquet)")
+    monkeypatch.setattr(sys.modules[__name__], "SF", str(tmp_path))
+    test_same_rows_as_sql(spark, con, name)
+
+
 def test_sorted_json_in_pieces(spark, duck):
     """Files that are read in several pieces each (as large ones are) give every row its place."""
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")

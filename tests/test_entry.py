@@ -52,7 +52,7 @@ def test_numbers_of_blocks_are_no_years(spark, tmp_path, monkeypatch, name):
     test_same_rows_as_sql(spark, con, name)
 
 
-@pytest.mark.parametrize("name", ["source_evidence", "source_json_lists", "source_json_maps"])
+@pytest.mark.parametrize("name", ["source_evidence", "source_json_lists", "source_json_maps", "source_ndss_html"])
 @pytest.mark.parametrize("first", [10**17, -100])
 def test_blocks_of_far_keys(spark, tmp_path, monkeypatch, name, first):
     """Keys that doubles can't tell apart, and keys below zero: every part is in the block of its key."""

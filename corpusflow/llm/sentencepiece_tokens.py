@@ -5,13 +5,15 @@ scores and types, trainer and normaliser settings. They are rebuilt as a tokeniz
 pipeline: normaliser (compiled character map, extra spaces, dummy prefix, spaces as the metaspace
 marker), a Unigram model with its scores or a BPE model whose merges are ordered by piece score,
 byte fallback, and a decoder that undoes all that. Batches are encoded and decoded by the
-library's threads. The ids of every text are compared with those of the sentencepiece library; a
+library's threads, whole texts as parts of many words where no piece goes over the start of a word. The
+ids of every text are compared with those that the sentencepiece library finds for the whole text; a
 difference is an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -20,6 +22,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 BATCH = 128
 THREADS = 2
+# A part has this many characters or more and ends where a word does: before a marker that follows other characters.
+PART = re.compile(f".{{1,400}}{MARK}*[^{MARK}]*", re.DOTALL)
 
 
 def wire(raw: bytes) -> Iterator[tuple[int, object]]:
@@ -106,6 +111,10 @@ class Model:
         """Whether all that normalising does is a dummy prefix and markers for spaces."""
         return self.dummy_prefix and self.escape_spaces and not self.fewer_spaces and not self.charsmap and not any(t == USER_DEFINED for _, _, t in self.pieces)
 
+    def in_parts(self) -> bool:
+        """Whether a text's ids are those of its parts: words are apart, and markers are all that normalising puts in."""
+        return self.spaces_only() and self.words_are_apart()
+
     def tokenizer(self):
         from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
@@ -115,7 +124,7 @@ class Model:
             scores = [(p, s if t in (NORMAL, USER_DEFINED) else lowest - 1e6) for p, s, t in self.pieces]
             out = Tokenizer(models.Unigram(scores, unk_id=self.unknown, byte_fallback=self.byte_fallback))
         else:
-            out = Tokenizer(models.BPE({p: i for i, (p, _, _) in enumerate(self.pieces)}, self.merges(), unk_token=unknown, fuse_unk=True, byte_fallback=self.byte_fallback))
+            out = Tokenizer(models.BPE({p: i for i, (p, _, _) in enumerate(self.pieces)}, self.merges(), unk_token=unknown, fuse_unk=True, byte_fallback=self.byte_fallback, **({"cache_capacity": 0} if self.in_parts() else {})))
         steps = [normalizers.Precompiled(self.charsmap)] if self.charsmap else []
         if self.fewer_spaces:
             steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
@@ -124,8 +133,8 @@ class Model:
         if self.escape_spaces:
             steps.append(normalizers.Replace(" ", MARK))
         out.normalizer = normalizers.Sequence(steps)
-        if self.words_are_apart():
-            # Merges never cross the start of a word, so words may be looked up one by one.
+        if self.words_are_apart() and not self.in_parts():
+            # Merges never cross the start of a word, so words may be looked up one by one. (Parts are faster: a word costs more to split off than to merge.)
             out.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
         own = [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
         out.decoder = decoders.Sequence([*own, decoders.Strip(" ", 1, 0)] if self.dummy_prefix else own)
@@ -141,21 +150,29 @@ class Codec:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         model = Model.parse(Path(path).read_bytes())
-        self.path, self.tokenizer, self.spaces_only = path, model.tokenizer(), model.spaces_only()
+        self.path, self.tokenizer, self.spaces_only, self.in_parts = path, model.tokenizer(), model.spaces_only(), model.in_parts()
         if self.spaces_only:  # done on whole strings: the tokenizer's normaliser keeps the place of every character
             from tokenizers import normalizers
 
             self.tokenizer.normalizer = normalizers.Sequence([])
         self.processor, self.prefix = None, " " * model.dummy_prefix
-        self.spelled = {i: p.replace(MARK, " ") for i, (p, _, t) in enumerate(model.pieces) if t == NORMAL and not p.startswith("<0x")}
-        # Bytes from 128 on are lone surrogates, which decode() joins to characters.
-        self.spelled |= {i: bytes([int(p[3:5], 16)]).decode("utf-8", "surrogateescape") for i, (p, _, t) in enumerate(model.pieces) if t == BYTE}
+        # The bytes of normal pieces and of byte pieces, null for others.
+        spelled = {i: p.replace(MARK, " ").encode() for i, (p, _, t) in enumerate(model.pieces) if t == NORMAL and not p.startswith("<0x")}
+        spelled |= {i: bytes([int(p[3:5], 16)]) for i, (p, _, t) in enumerate(model.pieces) if t == BYTE}
+        self.spelled = pa.array([spelled.get(i) for i in range(len(model.pieces))], pa.large_binary())
 
     def encode(self, texts: list[str]) -> list[list[int]]:
+        return [x.tolist() for x in self.arrays(texts)]
+
+    def arrays(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, compared with the library's."""
         given = [MARK + t.replace(" ", MARK) if t else t for t in texts] if self.spaces_only else texts
-        out = [e.ids for e in self.tokenizer.encode_batch_fast(given, add_special_tokens=False)]
-        for text, own, expected in zip(texts, out, self.library().encode(texts, num_threads=1), strict=True):
-            if own != expected:
+        if self.in_parts:
+            given = [PART.findall(t) for t in given]
+        found = self.tokenizer.encode_batch_fast(given, is_pretokenized=self.in_parts, add_special_tokens=False)
+        out = [np.array(e.ids, np.int32) for e in found]
+        for text, own, expected in zip(texts, out, self.library().encode(texts, out_type="numpy", num_threads=1), strict=True):
+            if not np.array_equal(own, expected):
                 raise ValueError(f"the rebuilt tokenizer and sentencepiece differ on a text that begins with {text[:80]!r}")
         return out
 
@@ -167,17 +184,20 @@ class Codec:
             self.processor = sentencepiece.SentencePieceProcessor(model_file=self.path)
         return self.processor
 
-    def decode(self, ids: list[list[int]]) -> list[str]:
+    def decode(self, ids: list[list[int] | np.ndarray]) -> list[str]:
         """Texts of normal pieces and bytes are spelled out. Pieces are whole characters, so a text's bytes are UTF-8 just where each run
         of bytes is; where one is not, or ids hold anything else, the tokenizer decodes."""
+        flat = np.concatenate([np.zeros(0, np.int32), *(np.asarray(x, np.int32) for x in ids)])
+        pieces = self.spelled.take(pa.array(flat, mask=(flat < 0) | (flat >= len(self.spelled))))
+        ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int64())
         out: list[str | None] = []
-        for own in ids:
+        for raw in pc.binary_join(pa.LargeListArray.from_arrays(ends, pieces), pa.scalar(b"", pa.large_binary())).to_pylist():
             try:
-                out.append("".join(map(self.spelled.get, own)).encode("utf-8", "surrogateescape").decode().removeprefix(self.prefix))
-            except (TypeError, UnicodeDecodeError):
+                out.append(None if raw is None else raw.decode().removeprefix(self.prefix))
+            except UnicodeDecodeError:
                 out.append(None)
         rest = [i for i, t in enumerate(out) if t is None]
-        for i, text in zip(rest, self.tokenizer.decode_batch([ids[i] for i in rest], skip_special_tokens=False), strict=True):
+        for i, text in zip(rest, self.tokenizer.decode_batch([list(map(int, ids[i])) for i in rest], skip_special_tokens=False), strict=True):
             out[i] = text
         return out
 
@@ -201,7 +221,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     def ids(texts: pa.Array) -> pa.Array:
         own, out = codec(model), []
         for at in range(0, len(texts), BATCH):
-            out += own.encode([t or "" for t in texts.slice(at, BATCH).to_pylist()])
+            out += own.arrays([t or "" for t in texts.slice(at, BATCH).to_pylist()])
         return pa.array(out, pa.list_(pa.int32()))
 
     return without(docs, ["ids"]).withColumn("ids", ids("text"))
@@ -233,9 +253,9 @@ def summarise(docs: DataFrame, model: str) -> DataFrame:
         own, n, crc, same = codec(model), [], [], []
         for at in range(0, len(texts), BATCH):
             some = [t or "" for t in texts.slice(at, BATCH).to_pylist()]
-            ids = own.encode(some)
+            ids = own.arrays(some)
             n += [len(x) for x in ids]
-            crc += [zlib.crc32(np.array(x, "<u4").tobytes()) for x in ids]
+            crc += [zlib.crc32(x.astype("<u4").tobytes()) for x in ids]
             same += [a == b for a, b in zip(own.decode(ids), some, strict=True)]
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())], ["n_tokens", "ids_crc32", "round_trip"])
 

@@ -128,6 +128,28 @@ def test_every_text_is_compared(at):
         codec.encode(texts)
 
 
+def test_texts_reach_the_tokenizer_in_parts():
+    """The tokenizer gets a text in parts of 400 characters or more, not word by word, and they end where words do."""
+    codec, rng = S.Codec(S.default_model()), random.Random(3)
+    texts = ["", " ", " " * 1500, "x" * 3000, "a" * 399 + "  b", "▁" * 900, "\n" * 900, "日本 " * 500, "a  b " * 400, "plain words " * 1000]
+    texts += ["".join(rng.choice([" ", " ", "  ", "▁", "\n", "the", "of", "é", "x9", "😀"]) for _ in range(n)) for n in range(300, 500, 7)]
+    for text in texts:
+        marked = S.MARK + text.replace(" ", S.MARK)
+        parts = S.PART.findall(marked)
+        assert "".join(parts) == marked and len(parts) <= 1 + len(marked) // 400
+        assert all(a[-1] != S.MARK and b[0] == S.MARK for a, b in zip(parts, parts[1:]))
+    right, given = codec.tokenizer, []
+
+    class Seen:
+        def encode_batch_fast(self, batch, **options):
+            given.extend(batch)
+            return right.encode_batch_fast(batch, **options)
+
+    codec.tokenizer = Seen()
+    assert codec.encode(texts) == sentencepiece.SentencePieceProcessor(model_file=S.default_model()).encode(texts)
+    assert all(len(x) <= 1 + len(t) // 300 for x, t in zip(given, texts, strict=True))
+
+
 def test_unigram_model_is_rebuilt():
     """A hand-made unigram model: best path by scores, byte fallback for the rest."""
     import struct

@@ -5,9 +5,9 @@ scores and types, trainer and normaliser settings. They are rebuilt as a tokeniz
 pipeline: normaliser (compiled character map, extra spaces, dummy prefix, spaces as the metaspace
 marker), a Unigram model with its scores or a BPE model whose merges are ordered by piece score,
 byte fallback, and a decoder that undoes all that. Batches are encoded and decoded by the
-library's threads, whole texts as parts of many words where no piece goes over the start of a word. The
-ids of every text are compared with those that the sentencepiece library finds for the whole text; a
-difference is an error.
+library's threads; where no piece goes over the start of a word, a worker has each word encoded once and puts
+texts together of their words' ids. The ids of every text are compared with those that the sentencepiece
+library finds for the whole text; a difference is an error.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 from pathlib import Path
 
 import numpy as np
@@ -35,6 +36,7 @@ BATCH = 128
 THREADS = 2
 # A part has this many characters or more and ends where a word does: before a marker that follows other characters.
 PART = re.compile(f".{{1,400}}{MARK}*[^{MARK}]*", re.DOTALL)
+KNOWN = 1 << 21  # ids of words that a worker keeps
 
 
 def wire(raw: bytes) -> Iterator[tuple[int, object]]:
@@ -112,8 +114,8 @@ class Model:
         return self.dummy_prefix and self.escape_spaces and not self.fewer_spaces and not self.charsmap and not any(t == USER_DEFINED for _, _, t in self.pieces)
 
     def in_parts(self) -> bool:
-        """Whether a text's ids are those of its parts: words are apart, and markers are all that normalising puts in."""
-        return self.spaces_only() and self.words_are_apart()
+        """Whether a text's ids are those of its words: they are apart, and begin with markers, which are all that normalising puts in."""
+        return self.spaces_only() and self.words_are_apart() and (MARK, NORMAL) in {(p, t) for p, _, t in self.pieces}
 
     def tokenizer(self):
         from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
@@ -142,6 +144,18 @@ class Model:
         return out
 
 
+def apart(marked: str) -> str:
+    """A marked text, which has no spaces, with spaces between words: before each marker that follows another character."""
+    out = marked.replace(MARK, f" {MARK}")
+    while (twin := f"{MARK} {MARK}") in out:
+        out = out.replace(twin, MARK * 2)
+    return out.removeprefix(" ")
+
+
+def differ(text: str) -> ValueError:
+    return ValueError(f"the rebuilt tokenizer and sentencepiece differ on a text that begins with {text[:80]!r}")
+
+
 class Codec:
     """Encodes and decodes batches of texts by a model file."""
 
@@ -160,6 +174,13 @@ class Codec:
         spelled = {i: p.replace(MARK, " ").encode() for i, (p, _, t) in enumerate(model.pieces) if t == NORMAL and not p.startswith("<0x")}
         spelled |= {i: bytes([int(p[3:5], 16)]) for i, (p, _, t) in enumerate(model.pieces) if t == BYTE}
         self.spelled = pa.array([spelled.get(i) for i in range(len(model.pieces))], pa.large_binary())
+        self.begins, self.marks = (np.array([t == NORMAL and f(p) for p, _, t in model.pieces], bool) for f in (lambda p: p.startswith(MARK), lambda p: not p.strip(MARK)))
+        self.forget()
+
+    def forget(self):
+        """Drops the words seen: their numbers, and the ids of word n, known[ends[n]:ends[n + 1]]."""
+        self.number: dict[str, int] = {}
+        self.known, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [x.tolist() for x in self.arrays(texts)]
@@ -167,13 +188,46 @@ class Codec:
     def arrays(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, compared with the library's."""
         given = [MARK + t.replace(" ", MARK) if t else t for t in texts] if self.spaces_only else texts
-        if self.in_parts:
-            given = [PART.findall(t) for t in given]
-        found = self.tokenizer.encode_batch_fast(given, is_pretokenized=self.in_parts, add_special_tokens=False)
-        out = [np.array(e.ids, np.int32) for e in found]
+        out = self.of_words(texts, given) if self.in_parts else [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(given, add_special_tokens=False)]
         for text, own, expected in zip(texts, out, self.library().encode(texts, out_type="numpy", num_threads=1), strict=True):
             if not np.array_equal(own, expected):
-                raise ValueError(f"the rebuilt tokenizer and sentencepiece differ on a text that begins with {text[:80]!r}")
+                self.forget()
+                raise differ(text)
+        return out
+
+    def of_words(self, texts: list[str], given: list[str]) -> list[np.ndarray]:
+        """The ids of each text by those of its words. The tokenizer gets each text's new words, in a row; only the last can be markers alone."""
+        lists = pc.split_pattern(pa.array([apart(t) or None for t in given], pa.large_string()), " ")
+        words, n_words = lists.flatten().dictionary_encode(), pc.list_value_length(lists).fill_null(0).to_numpy()
+        own, at = words.dictionary.to_numpy(zero_copy_only=False), words.indices.to_numpy()
+        # Words are numbered as they come, so a word is first met where the number is above all before.
+        first = np.flatnonzero(np.diff(np.maximum.accumulate(at), prepend=-1))
+        text_of = np.repeat(np.arange(len(texts)), n_words)[first]
+        number = np.fromiter(map(self.number.get, own, repeat(-1)), np.int64, len(own))
+        new = np.flatnonzero(number < 0)
+        number[new] = np.arange(len(self.number), len(self.number) + len(new))
+        fresh: list[list[str]] = [[] for _ in texts]
+        for word, i in zip(own[new], text_of[new].tolist(), strict=True):
+            fresh[i].append(word)
+        found = self.tokenizer.encode_batch_fast([PART.findall("".join(x)) for x in fresh], is_pretokenized=True, add_special_tokens=False)
+        found = [np.array(e.ids, np.int32) for e in found]
+        # A word begins with a piece that does, unless markers alone are before it in the word.
+        flat, sizes = np.concatenate([np.zeros(0, np.int32), *found]), np.array([len(x) for x in found], np.int64)
+        begins = self.begins[flat]
+        begins[1:] &= ~self.marks[flat[:-1]]
+        begins[(sizes.cumsum() - sizes)[sizes > 0]] = True
+        for text, sent, n in zip(texts, fresh, np.bincount(np.repeat(np.arange(len(found)), sizes), begins, len(found)), strict=True):
+            if len(sent) != n:
+                raise differ(text)
+        self.number.update(zip(own[new], number[new].tolist(), strict=True))
+        self.ends = np.concatenate([self.ends, len(self.known) + np.append(np.flatnonzero(begins), len(flat))[1:]])
+        self.known = np.concatenate([self.known, flat])
+        ids = pa.LargeListArray.from_arrays(pa.array(self.ends), pa.array(self.known)).take(pa.array(number[at]))
+        ends = ids.offsets.to_numpy()[np.append(0, n_words.cumsum())]
+        flat = ids.values.to_numpy()
+        out = [flat[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        if len(self.known) > KNOWN:
+            self.forget()
         return out
 
     def library(self):

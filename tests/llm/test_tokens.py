@@ -150,6 +150,35 @@ def test_texts_reach_the_tokenizer_in_parts():
     assert all(len(x) <= 1 + len(t) // 300 for x, t in zip(given, texts, strict=True))
 
 
+def test_words_are_encoded_once_and_texts_compared_whole(monkeypatch):
+    """A worker has a word encoded once; texts of known words are still compared with the library, so a wrong word is found out."""
+    codec, own = S.Codec(S.default_model()), sentencepiece.SentencePieceProcessor(model_file=S.default_model())
+    right, given = codec.tokenizer, []
+
+    class Seen:
+        def encode_batch_fast(self, batch, **options):
+            given.append(sum(len(part) for parts in batch for part in parts))
+            return right.encode_batch_fast(batch, **options)
+
+        decode_batch = right.decode_batch
+
+    codec.tokenizer = Seen()
+    texts = ["", "plain words", "words plain  words ", "plain  ", " plain▁", "x" * 500 + " plain", "é\n words", " ", "", "▁▁ \x00"]
+    for some in ([], [""], ["", ""], texts, texts[::-1], texts * 20):
+        ids = codec.encode(some)
+        assert ids == own.encode(some) and codec.decode(ids) == [own.decode(x) for x in ids]
+    assert given[3] > 0 and given[4] == given[5] == 0
+    monkeypatch.setattr(S, "KNOWN", 3)  # words are dropped after each batch
+    assert codec.encode(texts) == codec.encode(texts) == own.encode(texts)
+    monkeypatch.undo()
+    codec.encode(texts)
+    codec.known = codec.known.copy()
+    codec.known[codec.ends[codec.number["▁words"]]] += 1
+    with pytest.raises(ValueError, match="differ on a text that begins with 'some words'"):
+        codec.encode(["plain", "some words"])
+    assert codec.encode(texts) == own.encode(texts)
+
+
 def test_unigram_model_is_rebuilt():
     """A hand-made unigram model: best path by scores, byte fallback for the rest."""
     import struct

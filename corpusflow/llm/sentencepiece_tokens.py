@@ -152,6 +152,14 @@ def apart(marked: str) -> str:
     return out.removeprefix(" ")
 
 
+def put(table: np.ndarray, n: int, more: np.ndarray) -> np.ndarray:
+    """The table with more after its first n values; it grows by doubling, so adding costs the same however long it is."""
+    if n + len(more) > len(table):
+        table = np.concatenate([table[:n], np.zeros(n + len(more), table.dtype)])
+    table[n : n + len(more)] = more
+    return table
+
+
 def differ(text: str) -> ValueError:
     return ValueError(f"the rebuilt tokenizer and sentencepiece differ on a text that begins with {text[:80]!r}")
 
@@ -180,7 +188,7 @@ class Codec:
     def forget(self):
         """Drops the words seen: their numbers, and the ids of word n, known[ends[n]:ends[n + 1]]."""
         self.number: dict[str, int] = {}
-        self.known, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        self.known, self.n_known, self.ends = np.zeros(0, np.int32), 0, np.zeros(1, np.int64)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [x.tolist() for x in self.arrays(texts)]
@@ -219,14 +227,14 @@ class Codec:
         for text, sent, n in zip(texts, fresh, np.bincount(np.repeat(np.arange(len(found)), sizes), begins, len(found)), strict=True):
             if len(sent) != n:
                 raise differ(text)
+        self.ends = put(self.ends, len(self.number) + 1, self.n_known + np.append(np.flatnonzero(begins), len(flat))[1:])
+        self.known, self.n_known = put(self.known, self.n_known, flat), self.n_known + len(flat)
         self.number.update(zip(own[new], number[new].tolist(), strict=True))
-        self.ends = np.concatenate([self.ends, len(self.known) + np.append(np.flatnonzero(begins), len(flat))[1:]])
-        self.known = np.concatenate([self.known, flat])
-        ids = pa.LargeListArray.from_arrays(pa.array(self.ends), pa.array(self.known)).take(pa.array(number[at]))
+        ids = pa.LargeListArray.from_arrays(pa.array(self.ends[: len(self.number) + 1]), pa.array(self.known[: self.n_known])).take(pa.array(number[at]))
         ends = ids.offsets.to_numpy()[np.append(0, n_words.cumsum())]
         flat = ids.values.to_numpy()
         out = [flat[i:j] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
-        if len(self.known) > KNOWN:
+        if self.n_known > KNOWN:
             self.forget()
         return out
 
